@@ -224,18 +224,19 @@ def parse_feeds(feeds: DataFrame, limit: int, now_iso: str, xml_col: str = "xml"
     status = parsed.select(url_col, "feed_ok",
                            F.when(~F.col("feed_ok"), F.lit("XML parse error: feed is not well-formed"))
                            .alias("feed_error"))
+    keep = [c for c in ("seq",) if c in feeds.columns]
     exploded = parsed.where("feed_ok").select(
-        url_col, name_col, F.posexplode(F.slice(F.col("_entries"), 1, limit)).alias("pos", "e"))
+        *keep, url_col, name_col, F.posexplode(F.slice(F.col("_entries"), 1, limit)).alias("pos", "e"))
     link = _entry_link(F.coalesce(F.col("e.link"), F.array()))
     title = F.nullif(strip_ws(F.col("e.title")), F.lit(""))
     raw_date = F.coalesce(F.nullif(strip_ws(F.col("e.pubDate")), F.lit("")),
                           F.nullif(strip_ws(F.col("e.published")), F.lit("")), F.lit(now_iso))
     out = exploded.select(
-        "pos", F.col(url_col).alias("source_url"), link.alias("_link"),
+        *keep, "pos", F.col(url_col).alias("source_url"), link.alias("_link"),
         parse_feed_date(raw_date).alias("discovered_at"), title.alias("title_hint"),
         F.col(name_col).alias("source_label"),
     ).where(F.col("_link").isNotNull())
-    out = out.select("pos", "source_url", normalize_url(F.col("_link")).alias("article_url"),
+    out = out.select(*keep, "pos", "source_url", normalize_url(F.col("_link")).alias("article_url"),
                      "discovered_at", "title_hint", "source_label", F.lit(VIA_RSS).alias("discovered_via"))
     return out, status
 

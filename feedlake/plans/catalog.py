@@ -287,4 +287,190 @@ FROM (SELECT *, CASE WHEN href <> '' THEN {S.resolve_simple('base', 'href')} END
       FROM {S.anchors_cte('pages', 'page_id', 'url', 'html')})""")(_page_links_spark)
 
 
+
+# --- pages grouped into rendered documents (listing pages, home pages, feeds)
+
+_RANKED = f"""
+(SELECT page_id, url, host, chunk,
+        row_number() OVER (PARTITION BY host, chunk ORDER BY page_id) - 1 AS rk,
+        min(page_id) OVER (PARTITION BY host, chunk) AS first_id
+ FROM (SELECT page_id, url, {S.url_host('url')} AS host, CAST(floor(page_id / 50) AS BIGINT) AS chunk FROM pages))"""
+_LISTING_URL = "'https://' || host || '/@' || replace(host, '.', '-') || '/reads?page=' || CAST(chunk AS VARCHAR)"
+_PUB_URL = "'https://' || host || '/archive/' || CAST(chunk AS VARCHAR)"
+_BROKEN = "(contains(host, 'spam') OR contains(host, 'cheap'))"
+
+_DIRECT_SQL = f"""
+(SELECT first_id AS seq, pos, source_url, article_url, '{I.RUN_ISO}' AS discovered_at, title_hint,
+        NULL::VARCHAR AS source_label, 'reads_direct' AS discovered_via
+ FROM (SELECT *, row_number() OVER (PARTITION BY first_id, article_url ORDER BY pos) AS r
+       FROM (SELECT first_id, CAST(4 * rk AS INTEGER) AS pos, {_LISTING_URL} AS source_url,
+                    {S.normalize_url('url')} AS article_url, 'Post ' || CAST(page_id AS VARCHAR) AS title_hint
+             FROM {_RANKED})
+       WHERE {S.is_article_url('article_url')})
+ WHERE r = 1)"""
+
+
+def _direct_spark(spark, sf):
+    return extract.direct_articles(I.listing_pages(_t(spark, sf, "pages")), I.RUN_ISO)
+
+
+register("direct_articles", f"SELECT * FROM {_DIRECT_SQL}")(_direct_spark)
+
+
+_PUBS_SQL = f"""
+(SELECT seq, pos, {S.short_id('publication_url')} AS publication_id, publication_name, publication_url,
+        regexp_replace(publication_url, '/+$', '') || '/feed' AS rss_url, discovered_from_profile,
+        '{I.RUN_ISO}' AS first_seen, '{I.RUN_ISO}' AS last_seen_on_reads
+ FROM (SELECT *, row_number() OVER (PARTITION BY seq, publication_url ORDER BY pos) AS r FROM (
+   SELECT first_id AS seq, CAST(4 * rk + 1 AS INTEGER) AS pos, 'Author ' || CAST(page_id AS VARCHAR) AS publication_name,
+          'https://' || host || '/@author' || CAST(page_id AS VARCHAR) AS publication_url,
+          {_LISTING_URL} AS discovered_from_profile FROM {_RANKED}
+   UNION ALL
+   SELECT first_id, CAST(4 * rk + 2 AS INTEGER), 'top', {S.normalize_url(_LISTING_URL)}, {_LISTING_URL}
+   FROM {_RANKED}))
+ WHERE r = 1)"""
+
+register("discovered_publications", f"SELECT * FROM {_PUBS_SQL}")(
+    lambda spark, sf: extract.discovered_publications(I.listing_pages(_t(spark, sf, "pages")), I.RUN_ISO))
+
+
+register("homepage_posts", f"""
+SELECT CAST(3 * rk AS INTEGER) AS pos, {_PUB_URL} AS source_url,
+       'https://' || host || '/p/post-' || CAST(page_id AS VARCHAR) AS article_url, '{I.RUN_ISO}' AS discovered_at,
+       'Post ' || CAST(page_id AS VARCHAR) AS title_hint, host AS source_label, 'publication_html' AS discovered_via
+FROM {_RANKED} WHERE rk < 5""")(
+    lambda spark, sf: extract.homepage_posts(I.homepages(_t(spark, sf, "pages")), 5, I.RUN_ISO))
+
+
+_FEED_TS = "(TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id))"
+_FEED_ITEMS_SQL = f"""
+(SELECT first_id AS seq, CAST(rk AS INTEGER) AS pos, {_PUB_URL} AS source_url, {S.normalize_url('url')} AS article_url,
+        CASE WHEN starts_with(host, 'blog.') THEN strftime({_FEED_TS}, '%Y-%m-%dT%H:%M:%SZ')
+             ELSE strftime({_FEED_TS}, '%Y-%m-%dT%H:%M:%S') || '+00:00' END AS discovered_at,
+        'Post ' || CAST(page_id AS VARCHAR) AS title_hint, host AS source_label, 'publication_rss' AS discovered_via
+ FROM {_RANKED} WHERE rk < 5 AND NOT contains(url, '#') AND NOT {_BROKEN})"""
+
+register("feed_items", f"SELECT * FROM {_FEED_ITEMS_SQL}")(
+    lambda spark, sf: extract.parse_feeds(I.feeds(_t(spark, sf, "pages")), 5, I.RUN_ISO)[0])
+
+register("feed_status", f"""
+SELECT DISTINCT {_PUB_URL} AS publication_url, NOT {_BROKEN} AS feed_ok,
+       CASE WHEN {_BROKEN} THEN 'XML parse error: feed is not well-formed' END AS feed_error
+FROM {_RANKED}""")(
+    lambda spark, sf: extract.parse_feeds(I.feeds(_t(spark, sf, "pages")), 5, I.RUN_ISO)[1])
+
+
+# --- C9 / C10: canonical rows of the page articles (fetch fails on spam hosts)
+
+def _fetched_pages(pages: DataFrame) -> DataFrame:
+    host = fl.url_host("url")
+    broken = host.contains("spam") | host.contains("cheap")
+    return pages.select("url", "html", F.when(broken, F.concat(F.lit("403 Client Error: Forbidden for url: "),
+                                                              F.col("url"))).alias("error"))
+
+
+_CANON_OUT = [c for c in extract.CANONICAL_COLUMNS if c not in ("summary_bullets", "topic_tags")] + ["seq"]
+
+
+def _canonical_spark(spark, sf):
+    pages = _t(spark, sf, "pages")
+    items = I.page_read_items(pages)
+    fetched = _fetched_pages(pages)
+    arts = extract.build_articles(items, fetched.where(F.col("error").isNull()), I.RUN_ISO)
+    summ = summarize.summarize(arts, created_at=I.RUN_ISO)
+    ok = extract.build_canonical(summ, I.SOURCE_PROFILE, I.RUN_DATE)
+    failed = extract.build_failed(items.join(fetched.where(F.col("error").isNotNull())
+                                             .select(F.col("url").alias("article_url"), "error"), "article_url"),
+                                  I.SOURCE_PROFILE, I.RUN_DATE, I.RUN_ISO)
+    return ok.unionByName(failed).select(*_CANON_OUT, _arr(F.col("summary_bullets")).alias("summary_bullets"),
+                                         _arr(F.col("topic_tags")).alias("topic_tags"))
+
+
+def _canonical_ok_sql(articles_sql: str, resp: str | None = None) -> str:
+    return f"""
+    (SELECT article_id, '{I.SOURCE_PROFILE}' AS source_profile, source_label, original_url AS article_url,
+            canonical_url, title, coalesce(subtitle, description) AS subtitle, author, publication, published_at,
+            body_text, summary_short, _b AS summary_bullets, {S.key_takeaway_from('_b', 'summary_short')} AS key_takeaway,
+            topic_tags, fetched_at AS scraped_at, '{I.RUN_DATE}' AS run_date,
+            CASE WHEN fetch_status = 'fetched' THEN 'completed' ELSE fetch_status END AS processing_status,
+            summary_status, NULL::VARCHAR AS summary_model, content_hash, NULL::VARCHAR AS error_message,
+            discovered_via, seq
+     FROM {_summary_sql(articles_sql, resp)})"""
+
+
+_CANON_SQL = f"""
+SELECT {', '.join(_CANON_OUT)}, {S.arr_text('summary_bullets')} AS summary_bullets, {S.arr_text('topic_tags')} AS topic_tags
+FROM (
+  SELECT * FROM {_canonical_ok_sql(_page_articles_sql(f"WHERE NOT (contains({S.url_host('url')}, 'spam') OR contains({S.url_host('url')}, 'cheap'))"))}
+  UNION ALL
+  SELECT {S.short_id(S.normalize_url('url'))}, '{I.SOURCE_PROFILE}', 'Reads', {S.normalize_url('url')},
+         {S.normalize_url('url')}, NULL, NULL, NULL, NULL, NULL, '', NULL, []::VARCHAR[], NULL, []::VARCHAR[],
+         '{I.RUN_ISO}', '{I.RUN_DATE}', 'failed_extraction', 'not_started', NULL, NULL,
+         '403 Client Error: Forbidden for url: ' || url, 'reads_direct', page_id
+  FROM pages WHERE contains({S.url_host('url')}, 'spam') OR contains({S.url_host('url')}, 'cheap'))"""
+
+register("canonical_articles", _CANON_SQL)(_canonical_spark)
+
+
+# ============================================================ D: dedupe
+
+def _filter_new_spark(spark, sf):
+    pages = _t(spark, sf, "pages")
+    cands = I.page_read_items(pages).withColumn("canonical_url", fl.normalize_url("article_url"))
+    return dedupe.filter_new(cands, I.page_seen(pages)).select("seq", "canonical_url")
+
+
+_FRESH_SQL = f"""
+(SELECT page_id AS seq, {S.normalize_url('url')} AS canonical_url FROM pages
+ WHERE {S.normalize_url('url')} NOT IN (SELECT {S.normalize_url('url')} FROM pages WHERE starts_with(url, 'http://')))"""
+
+register("filter_new", f"SELECT * FROM {_FRESH_SQL}")(_filter_new_spark)
+
+register("select_batch", f"SELECT * FROM {_FRESH_SQL} ORDER BY seq LIMIT 10")(
+    lambda spark, sf: state.select_batch(_filter_new_spark(spark, sf), 10, ["seq"]))
+
+
+def _filter_unseen_spark(spark, sf):
+    docs = _t(spark, sf, "documents")
+    return dedupe.filter_unseen(I.doc_articles(docs), I.doc_seen(docs)).select("seq", "canonical_url", "content_hash")
+
+
+register("filter_unseen", f"""
+WITH a AS (SELECT * FROM {_doc_articles_sql()})
+SELECT seq, canonical_url, content_hash FROM a
+WHERE canonical_url NOT IN (SELECT canonical_url FROM a WHERE lang = 'es')
+  AND content_hash NOT IN (SELECT content_hash FROM a WHERE lang IN ('es', 'de'))""")(_filter_unseen_spark)
+
+
+def _merge_items_spark(spark, sf):
+    pages = _t(spark, sf, "pages")
+    direct = extract.direct_articles(I.listing_pages(pages), I.RUN_ISO).select(*extract.READ_ITEM_COLUMNS)
+    monitored = extract.parse_feeds(I.feeds(pages), 5, I.RUN_ISO)[0].select(*extract.READ_ITEM_COLUMNS)
+    merged = dedupe.merge_items(direct, monitored)
+    return merged.select("article_url", "source_rank", "seq", "pos", "source_url", "discovered_via")
+
+
+register("merge_items", f"""
+SELECT article_url, source_rank, seq, pos, source_url, discovered_via FROM (
+  SELECT *, row_number() OVER (PARTITION BY {S.normalize_url('article_url')} ORDER BY source_rank, seq, pos) AS r
+  FROM (SELECT *, 0 AS source_rank FROM {_DIRECT_SQL} UNION ALL SELECT *, 1 FROM {_FEED_ITEMS_SQL}))
+WHERE r = 1""")(_merge_items_spark)
+
+
+register("dedupe_first", f"""
+WITH RECURSIVE d AS (
+  SELECT seq, canonical_url AS u, content_hash AS h, row_number() OVER (ORDER BY seq) AS rn
+  FROM {_doc_articles_sql()}),
+walk(rn, seq, kept, urls, hashes) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, false, []::VARCHAR[], []::VARCHAR[]
+  UNION ALL
+  SELECT d.rn, d.seq, NOT (list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h)),
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.urls ELSE list_append(w.urls, d.u) END,
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.hashes ELSE list_append(w.hashes, d.h) END
+  FROM walk w JOIN d ON d.rn = w.rn + 1)
+SELECT w.seq, d.u AS canonical_url, d.h AS content_hash FROM walk w JOIN d ON d.seq = w.seq WHERE w.kept""")(
+    lambda spark, sf: dedupe.dedupe_first(I.doc_articles(_t(spark, sf, "documents"))).select(
+        "seq", "canonical_url", "content_hash"))
+
+
 ALL = (QUERIES, ORACLES)

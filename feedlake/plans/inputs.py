@@ -94,11 +94,13 @@ def homepages(pages: DataFrame) -> DataFrame:
     slug = F.concat(F.lit("/p/post-"), F.col("page_id").cast("string"))
     anchor = F.concat(F.lit('<a href="'), slug, F.lit('">Post '), F.col("page_id").cast("string"),
                       F.lit('</a><a href="/archive">Archive</a><a href="'), slug, F.lit('/?ref=home">again</a>'))
-    g = p.groupBy("host", "chunk").agg(F.array_sort(F.collect_list(F.struct("page_id", anchor.alias("a")))).alias("items"))
+    g = p.groupBy("host", "chunk").agg(F.min("page_id").alias("seq"),
+                                       F.array_sort(F.collect_list(F.struct("page_id", anchor.alias("a")))).alias("items"))
     pub_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/archive/"), F.col("chunk").cast("string"))
     html = F.concat(F.lit("<html><body><main>"), F.array_join(F.transform(F.col("items"), lambda x: x["a"]), ""),
                     F.lit("</main></body></html>"))
-    return g.select(pub_url.alias("publication_url"), F.col("host").alias("publication_name"), html.alias("html"))
+    return g.select("seq", pub_url.alias("publication_url"), F.col("host").alias("publication_name"),
+                    html.alias("html"))
 
 
 def feeds(pages: DataFrame) -> DataFrame:
@@ -120,7 +122,8 @@ def feeds(pages: DataFrame) -> DataFrame:
                                                        _xml_escape(F.col("url")), F.lit('"/>'))),
         F.lit("<published>"), F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</published></entry>"))
     p = p.withColumn("entry", F.when(atom, atom_entry).otherwise(rss_item))
-    g = p.groupBy("host", "chunk").agg(F.array_sort(F.collect_list(F.struct("page_id", "entry"))).alias("items"))
+    g = p.groupBy("host", "chunk").agg(F.min("page_id").alias("seq"),
+                                       F.array_sort(F.collect_list(F.struct("page_id", "entry"))).alias("items"))
     body = F.array_join(F.transform(F.col("items"), lambda x: x["entry"]), "")
     is_atom = F.col("host").startswith("blog.")
     doc = F.when(is_atom, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("host"),
@@ -130,7 +133,8 @@ def feeds(pages: DataFrame) -> DataFrame:
     broken = F.col("host").contains("spam") | F.col("host").contains("cheap")
     doc = F.when(broken, F.substring(doc, 1, 60)).otherwise(doc)
     pub_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/archive/"), F.col("chunk").cast("string"))
-    return g.select(pub_url.alias("publication_url"), F.col("host").alias("publication_name"), doc.alias("xml"))
+    return g.select("seq", pub_url.alias("publication_url"), F.col("host").alias("publication_name"),
+                    doc.alias("xml"))
 
 
 # ------------------------------------------------------------ documents ---
