@@ -116,13 +116,16 @@ def run_errors(articles: DataFrame, by: str = "run_id") -> DataFrame:
         by, "seq", F.concat_ws(": ", F.col("article_url"), F.col("error_message")).alias("error"))
 
 
-def discovery_blocked(pages: DataFrame, direct: DataFrame, pubs: DataFrame, by: str = "seq") -> DataFrame:
-    """A reads page is blocked when it was a challenge/empty snapshot and
-    yielded no publications and no direct links."""
+def discovery_blocked(reads_pages: DataFrame, direct: DataFrame, pubs: DataFrame, by: str = "seq") -> DataFrame:
+    """A reads page is blocked when a debug snapshot was taken (challenge
+    page, or nothing found) and it yielded no publications and no direct
+    links.  ``reads_pages`` carries ``is_challenge``."""
     d = direct.groupBy(by).agg(F.count(F.lit(1)).alias("_d"))
     p = pubs.groupBy(by).agg(F.count(F.lit(1)).alias("_p"))
-    j = pages.select(by, "is_snapshot").join(d, by, "left").join(p, by, "left").na.fill(0, ["_d", "_p"])
-    return j.select(by, (F.col("is_snapshot") & (F.col("_d") == 0) & (F.col("_p") == 0)).alias("discovery_blocked"))
+    j = reads_pages.select(by, "is_challenge").join(d, by, "left").join(p, by, "left").na.fill(0, ["_d", "_p"])
+    nothing = (F.col("_d") == 0) & (F.col("_p") == 0)
+    snapshot = F.col("is_challenge") | nothing
+    return j.select(by, snapshot.alias("snapshot_taken"), (snapshot & nothing).alias("discovery_blocked"))
 
 
 def display_choice(runs: DataFrame, article_counts: DataFrame, profile_col: str = "source_profile",

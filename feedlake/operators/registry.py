@@ -76,7 +76,7 @@ def expire(registry: DataFrame, now, default_expiry: int = DEFAULT_EXPIRY_DAYS)
     """Deactivate rows whose whole days since last seen exceed their
     expiry (strict).  Whole days = floor(elapsed seconds / 86400)."""
     now_c = _ts(now)
-    age_days = F.floor((F.unix_seconds(now_c) - F.unix_seconds(F.col("last_seen_on_reads"))) / 86400)
+    age_days = F.floor((F.unix_micros(now_c) - F.unix_micros(F.col("last_seen_on_reads"))) / 86_400_000_000)
     expired = F.col("last_seen_on_reads").isNotNull() & (
         age_days > F.coalesce(F.col("expiry_after_days"), F.lit(default_expiry)))
     return registry.withColumn("is_active", F.when(expired, F.lit(False)).otherwise(F.col("is_active")))

@@ -151,7 +151,7 @@ def _checks_sql() -> str:
            f"WHEN value < 100 THEN 'The read operation timed out' ELSE 'Connection reset by peer' END")
     return f"""
     (SELECT strftime(ts, '%Y%m%d') AS run_id, event_id AS seq, kind,
-            CASE WHEN kind = 'source' THEN 'https://pub' || CAST(user_id AS VARCHAR) || '.example.com'
+            CASE WHEN kind = 'source' THEN 'https://pub' || CAST(user_id AS VARCHAR) || '.example.com/'
                  ELSE 'https://reads.example.com/feed' END AS target, ok,
             CAST(CASE WHEN kind = 'http' THEN CASE WHEN value < 400 THEN 200 WHEN value < 450 THEN 503 ELSE 403 END END AS INTEGER)
               AS status_code,
@@ -372,7 +372,7 @@ def _fetched_pages(pages: DataFrame) -> DataFrame:
 _CANON_OUT = [c for c in extract.CANONICAL_COLUMNS if c not in ("summary_bullets", "topic_tags")] + ["seq"]
 
 
-def _canonical_spark(spark, sf):
+def _page_canonical_rows(spark, sf):
     pages = _t(spark, sf, "pages")
     items = I.page_read_items(pages)
     fetched = _fetched_pages(pages)
@@ -382,8 +382,13 @@ def _canonical_spark(spark, sf):
     failed = extract.build_failed(items.join(fetched.where(F.col("error").isNotNull())
                                              .select(F.col("url").alias("article_url"), "error"), "article_url"),
                                   I.SOURCE_PROFILE, I.RUN_DATE, I.RUN_ISO)
-    return ok.unionByName(failed).select(*_CANON_OUT, _arr(F.col("summary_bullets")).alias("summary_bullets"),
-                                         _arr(F.col("topic_tags")).alias("topic_tags"))
+    return ok.unionByName(failed)
+
+
+def _canonical_spark(spark, sf):
+    return _page_canonical_rows(spark, sf).select(
+        *_CANON_OUT, _arr(F.col("summary_bullets")).alias("summary_bullets"),
+        _arr(F.col("topic_tags")).alias("topic_tags"))
 
 
 def _canonical_ok_sql(articles_sql: str, resp: str | None = None) -> str:
@@ -398,9 +403,8 @@ def _canonical_ok_sql(articles_sql: str, resp: str | None = None) -> str:
      FROM {_summary_sql(articles_sql, resp)})"""
 
 
-_CANON_SQL = f"""
-SELECT {', '.join(_CANON_OUT)}, {S.arr_text('summary_bullets')} AS summary_bullets, {S.arr_text('topic_tags')} AS topic_tags
-FROM (
+_CANON_ROWS_SQL = f"""
+(
   SELECT * FROM {_canonical_ok_sql(_page_articles_sql(f"WHERE NOT (contains({S.url_host('url')}, 'spam') OR contains({S.url_host('url')}, 'cheap'))"))}
   UNION ALL
   SELECT {S.short_id(S.normalize_url('url'))}, '{I.SOURCE_PROFILE}', 'Reads', {S.normalize_url('url')},
@@ -409,6 +413,10 @@ FROM (
          '403 Client Error: Forbidden for url: ' || url, 'reads_direct', page_id
   FROM pages WHERE contains({S.url_host('url')}, 'spam') OR contains({S.url_host('url')}, 'cheap'))"""
 
+_CANON_SQL = f"""
+SELECT {', '.join(_CANON_OUT)}, {S.arr_text('summary_bullets')} AS summary_bullets, {S.arr_text('topic_tags')} AS topic_tags
+FROM {_CANON_ROWS_SQL}"""
+
 register("canonical_articles", _CANON_SQL)(_canonical_spark)
 
 
@@ -473,4 +481,3 @@ SELECT w.seq, d.u AS canonical_url, d.h AS content_hash FROM walk w JOIN d ON d.
         "seq", "canonical_url", "content_hash"))
 
 
-ALL = (QUERIES, ORACLES)

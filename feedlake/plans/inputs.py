@@ -186,7 +186,8 @@ def responses(conversations: DataFrame) -> DataFrame:
 # --------------------------------------------------------------- events ---
 
 def _pub_url(user_id: Column) -> Column:
-    return F.concat(F.lit("https://pub"), user_id.cast("string"), F.lit(".example.com"))
+    """Normalised publication URL (a bare host keeps its ``/`` path)."""
+    return F.concat(F.lit("https://pub"), user_id.cast("string"), F.lit(".example.com/"))
 
 
 def check_message(value: Column, user_id: Column) -> Column:
@@ -239,7 +240,7 @@ def registry_from_events(events: DataFrame, before: str | None = None) -> DataFr
     return j.select(
         url.alias("publication_url"), short_id(url).alias("publication_id"),
         F.concat(F.lit("Publication "), F.col("user_id").cast("string")).alias("publication_name"),
-        F.concat(url, F.lit("/feed")).alias("rss_url"), F.lit(SOURCE_PROFILE).alias("discovered_from_profile"),
+        F.concat(url, F.lit("feed")).alias("rss_url"), F.lit(SOURCE_PROFILE).alias("discovered_from_profile"),
         "first_seen", F.col("last_seen").alias("last_seen_on_reads"),
         F.lit(None).cast("timestamp").alias("last_checked"), F.lit(None).cast("timestamp").alias("last_attempted_check"),
         F.lit(None).cast("timestamp").alias("last_successful_check"),
@@ -261,7 +262,7 @@ def found_publications(events: DataFrame, since: str) -> DataFrame:
         F.col("event_id").alias("seq"), url.alias("publication_url"),
         F.concat(F.lit("Publication "), F.col("user_id").cast("string"), F.lit(" #"), F.col("event_id").cast("string"))
         .alias("publication_name"),
-        F.when(F.col("value") > 100, F.concat(url, F.lit("/rss"))).alias("rss_url"),
+        F.when(F.col("value") > 100, F.concat(url, F.lit("rss"))).alias("rss_url"),
         F.lit(SOURCE_PROFILE).alias("discovered_from_profile"))
 
 

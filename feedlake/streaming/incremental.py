@@ -22,11 +22,19 @@ from ..operators import dedupe, extract, state, summarize
 from ..sources import io
 
 
+def _page_stream(spark: SparkSession, pages_dir: str, file_glob: str | None):
+    reader = spark.readStream.schema(io.PAGES_SCHEMA)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    return reader.parquet(pages_dir)
+
+
 def incremental_urls(spark: SparkSession, pages_dir: str, checkpoint: str, sink_table: str,
-                     run_iso: str = "") -> "object":
+                     file_glob: str | None = None):
     """Start a stream that appends every first-seen normalised page URL to
-    the in-memory table ``sink_table`` (``availableNow`` trigger)."""
-    stream = spark.readStream.schema(io.PAGES_SCHEMA).parquet(pages_dir)
+    the in-memory table ``sink_table`` (``availableNow`` trigger).  The
+    dedupe state lives in the checkpoint, so later runs only add new URLs."""
+    stream = _page_stream(spark, pages_dir, file_glob)
     urls = stream.select(normalize_url(F.col("url")).alias("canonical_url"), F.col("page_id").alias("seq"))
     deduped = urls.dropDuplicates(["canonical_url"])
     return (deduped.writeStream.format("memory").queryName(sink_table).outputMode("append")
@@ -51,9 +59,9 @@ def process_batch(batch: DataFrame, batch_id: int, *, seen_path: str, out_path:
 
 
 def incremental_articles(spark: SparkSession, pages_dir: str, checkpoint: str, seen_path: str, out_path: str,
-                         run_iso: str):
+                         run_iso: str, file_glob: str | None = None):
     """Start the ``foreachBatch`` stream (``availableNow``) and return it."""
-    stream = spark.readStream.schema(io.PAGES_SCHEMA).parquet(pages_dir)
+    stream = _page_stream(spark, pages_dir, file_glob)
     return (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
             .foreachBatch(lambda df, bid: process_batch(df, bid, seen_path=seen_path, out_path=out_path,
                                                         run_iso=run_iso))
