@@ -63,7 +63,7 @@ def merge_items(direct: DataFrame, monitored: DataFrame) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str = "content_hash",
-                 order_col: str = "seq") -> DataFrame:
+                 order_col: str = "seq", materialize: bool = True) -> DataFrame:
     """In-run rule -- a row is dropped when its URL or its hash equals that
     of an **earlier kept** row (dropped rows do not block later ones).
 
@@ -74,7 +74,13 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
     progress.  Only (seq, url, hash) travel through the loop; the full rows
     are restored by one semi join at the end.  Each round's remainder is
     checkpointed to the shared checkpoint folder to cut lineage.
+
+    With ``materialize`` the input rows are checkpointed first, so an
+    expensive upstream plan (HTML extraction) runs once for both the keys and
+    the returned rows.
     """
+    if materialize:
+        df = cut_lineage(df)
     # A NULL key never matches: give it a per-row value no URL or digest can equal.
     k_hash = F.coalesce(F.col(hash_col), F.concat(F.lit("~null:"), F.col(order_col).cast("string")))
     k_url = F.coalesce(F.col(url_col), F.concat(F.lit("~null:"), F.col(order_col).cast("string")))
