@@ -140,39 +140,60 @@ MARKDOWN_COLUMNS = ["run_date", "section", "group_lower", "group_seq", "row_kind
 
 
 def markdown_blocks(articles: DataFrame, runs: DataFrame | None = None, title: str = DEFAULT_TITLE,
-                    intro: str = "") -> DataFrame:
+                    intro: str = "", materialize: bool = True) -> DataFrame:
     """H4: the Markdown digest as ordered text blocks.
 
     Writing the ``text`` column in (run_date, section, group_lower, group_seq,
     row_kind, sort_published desc, sort_scraped desc, seq) order, one line
     per row, gives ``"\\n".join(lines).rstrip() + "\\n"`` of the digest.
     ``runs`` (run_date) adds header rows for runs without publishable rows.
+
+    Each article block is rendered once into a narrow table; with
+    ``materialize`` that table is checkpointed, so the upstream plan is not
+    recomputed for the group, header and block branches that read it.
+    Group ranks come from aggregates (partial aggregation, skew-safe).
     """
-    arts = ordered_articles(articles)
+    pub = publishable(articles).withColumn("group_name", group_key(F.col("publication")))
+    arts = pub.select(
+        "run_date", "group_name", F.col("seq").cast("long").alias("seq"),
+        F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("")).alias("sort_published"),
+        F.coalesce(F.nullif(F.col("scraped_at"), F.lit("")), F.lit("")).alias("sort_scraped"),
+        _article_block(pub).alias("text"))
+    if materialize:
+        from ..session import cut_lineage
+        arts = cut_lineage(arts)
+    groups = arts.groupBy("run_date", "group_name").agg(F.min("seq").alias("group_seq"))
+    first = groups.groupBy("run_date").agg(
+        F.min(F.struct(F.lower("group_name").alias("l"), F.col("group_seq").alias("s"))).alias("_first"))
+    groups = (groups.join(first, "run_date")
+              .withColumn("group_first", (F.lower("group_name") == F.col("_first.l"))
+                          & (F.col("group_seq") == F.col("_first.s"))).drop("_first")
+              .withColumn("group_lower", F.lower("group_name")))
     run_dates = arts.select("run_date").distinct()
     if runs is not None:
         run_dates = run_dates.unionByName(runs.select("run_date")).distinct()
     head_text = F.replace(F.lit(title), F.lit("{run_date}"), F.col("run_date"))
     if intro:
         head_text = F.concat(head_text, F.lit("\n\n" + intro))
+    zero = F.lit(0).cast("long")
     header = run_dates.select("run_date", F.lit(0).alias("section"), F.lit("").alias("group_lower"),
-                              F.lit(0).cast("long").alias("group_seq"), F.lit(0).alias("row_kind"),
+                              zero.alias("group_seq"), F.lit(0).alias("row_kind"),
                               F.lit("").alias("sort_published"), F.lit("").alias("sort_scraped"),
-                              F.lit(0).cast("long").alias("seq"), head_text.alias("text"))
-    empty_runs = run_dates.join(arts.select("run_date").distinct(), "run_date", "left_anti")
+                              zero.alias("seq"), head_text.alias("text"))
+    empty_runs = run_dates.join(groups.select("run_date").distinct(), "run_date", "left_anti")
     empty = empty_runs.select("run_date", F.lit(1).alias("section"), F.lit("").alias("group_lower"),
-                              F.lit(0).cast("long").alias("group_seq"), F.lit(0).alias("row_kind"),
+                              zero.alias("group_seq"), F.lit(0).alias("row_kind"),
                               F.lit("").alias("sort_published"), F.lit("").alias("sort_scraped"),
-                              F.lit(0).cast("long").alias("seq"), F.lit("\n" + EMPTY_DIGEST_LINE).alias("text"))
-    groups = arts.select("run_date", "group_name", "group_lower", "group_seq", "group_first").distinct()
+                              zero.alias("seq"), F.lit("\n" + EMPTY_DIGEST_LINE).alias("text"))
     heading = groups.select(
         "run_date", F.lit(1).alias("section"), "group_lower", "group_seq", F.lit(0).alias("row_kind"),
-        F.lit("").alias("sort_published"), F.lit("").alias("sort_scraped"), F.lit(0).cast("long").alias("seq"),
+        F.lit("").alias("sort_published"), F.lit("").alias("sort_scraped"), zero.alias("seq"),
         F.concat(F.when(F.col("group_first"), F.lit("\n")).otherwise(F.lit("\n\n")), F.lit("## "),
                  F.col("group_name")).alias("text"))
-    blocks = arts.select("run_date", F.lit(1).alias("section"), "group_lower", "group_seq",
-                         F.lit(1).alias("row_kind"), "sort_published", "sort_scraped",
-                         F.col("seq").cast("long").alias("seq"), _article_block(arts).alias("text"))
+    blocks = arts.join(groups.select("run_date", "group_name", "group_lower", "group_seq"),
+                       ["run_date", "group_name"]).select(
+        "run_date", F.lit(1).alias("section"), "group_lower", "group_seq", F.lit(1).alias("row_kind"),
+        "sort_published", "sort_scraped", "seq", "text")
     return header.unionByName(empty).unionByName(heading).unionByName(blocks)
 
 

@@ -310,6 +310,12 @@ def _batch_articles(spark, sf):
     return doc_rows.unionByName(page_rows)
 
 
+def _batch_once(spark, sf):
+    """The batch rows materialised once, for queries that read them twice."""
+    from ..session import cut_lineage
+    return cut_lineage(_batch_articles(spark, sf))
+
+
 _DOC_RESP = (f"(SELECT a.*, {S.strip('r.output_text')} AS _resp FROM {_doc_articles_sql()} a "
              f"LEFT JOIN {_RESP_SQL} r ON a.seq = r.conv_id)")
 _BATCH_SQL = f"""
@@ -394,7 +400,7 @@ SELECT run_date, count(*) FILTER (WHERE discovered_via = 'reads_direct') AS read
        CASE WHEN count(*) FILTER (WHERE processing_status = 'failed_extraction') > 0 THEN 'completed_with_errors'
             ELSE 'completed' END AS status
 FROM {_BATCH_SQL} GROUP BY run_date""")(
-    lambda spark, sf: health.run_manifest(_batch_articles(spark, sf), _batch_articles(spark, sf), by="run_date"))
+    lambda spark, sf: (lambda b: health.run_manifest(b, b, by="run_date"))(_batch_once(spark, sf)))
 
 register("check_counts", f"""
 SELECT run_id, count(*) AS source_checks_attempted, count(*) FILTER (WHERE ok) AS source_checks_succeeded,
@@ -435,7 +441,7 @@ def _display_spark(spark, sf):
     chk = I.checks(_t(spark, sf, "events")).withColumn("run_id", F.date_format("checked_at", "yyyy-MM-dd"))
     st = health.run_status(chk).join(chk.groupBy("run_id").agg(F.min("checked_at").alias("started_at")), "run_id")
     runs = st.select("run_id", "run_status", "started_at", F.lit(I.SOURCE_PROFILE).alias("source_profile"))
-    arts = _batch_articles(spark, sf).withColumn("run_id", F.col("run_date"))
+    arts = _batch_once(spark, sf).withColumn("run_id", F.col("run_date"))
     shown = health.display_payload(runs, arts)
     return shown.select("shown_for_run", "run_status", "display_run_id", "data_freshness", "banner_message",
                         "article_id", "seq")
@@ -509,7 +515,8 @@ FROM last l JOIN pos ON l.article_id = pos.article_id""")(_merge_index_spark)
 
 
 def _checkpoints_spark(spark, sf):
-    man = health.run_manifest(_batch_articles(spark, sf), _batch_articles(spark, sf), by="run_date")
+    b = _batch_once(spark, sf)
+    man = health.run_manifest(b, b, by="run_date")
     man = man.withColumn("dry_run", F.col("run_date") > "2024-01-27")
     return state.checkpoints(man)
 

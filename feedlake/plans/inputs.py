@@ -19,6 +19,7 @@ from ..functions.status import error_type, fetch_status
 from ..functions.text import clean_whitespace, content_hash, normalize_text, short_id, topic_tags
 from ..functions.urls import normalize_url, url_host
 from ..operators.extract import build_articles
+from ..sources.io import spread
 
 # The run clock and profile the derived inputs use.
 RUN_TS = "2024-01-31 06:00:00"
@@ -31,8 +32,16 @@ EPOCH_2024 = 1704067200  # 2024-01-01T00:00:00Z
 CHUNK = 50
 
 
+# Id column of each driver table (the partitioning key for :func:`spread`).
+TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "events": "event_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a driver table; text-heavy tables read as too few partitions are
+    spread over the cores (a no-op for inputs made of many files)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 def _xml_escape(c: Column) -> Column:

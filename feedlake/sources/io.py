@@ -33,6 +33,22 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work enough tasks.
+
+    A scan of a few large files (or of one row group) yields fewer
+    partitions than there are cores; then the rows are hash-partitioned on
+    ``key`` (deterministic on retry).  When the scan already has at least
+    ``min_partitions`` partitions -- always the case on a large input -- the
+    plan is returned unchanged, so no shuffle is added at scale.  The check
+    only plans the scan; it runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A1: fetched pages (page_id, url, html).  ``fmt="html"`` reads landed
     raw files (one page per file; url = file path)."""
