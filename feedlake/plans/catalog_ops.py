@@ -549,10 +549,10 @@ def _incremental_spark(spark, sf):
     from ..session import ensure_checkpoint_dir
     from ..streaming.incremental import incremental_urls
     base = ensure_checkpoint_dir(spark)
-    name = "incremental_urls_" + uuid.uuid4().hex[:8]
-    q = incremental_urls(spark, sf, f"{base}/stream-{name}", name, file_glob="pages.parquet")
+    run = f"{base}/incremental-urls-{uuid.uuid4().hex[:8]}"
+    q = incremental_urls(spark, sf, f"{run}/checkpoint", f"{run}/out", file_glob="pages.parquet")
     q.awaitTermination()
-    return spark.table(name).select("canonical_url")
+    return spark.read.parquet(f"{run}/out").select("canonical_url")
 
 
 register("incremental_urls", f"SELECT DISTINCT {S.normalize_url('url')} AS canonical_url FROM pages")(

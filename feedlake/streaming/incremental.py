@@ -29,15 +29,19 @@ def _page_stream(spark: SparkSession, pages_dir: str, file_glob: str | None):
     return reader.parquet(pages_dir)
 
 
-def incremental_urls(spark: SparkSession, pages_dir: str, checkpoint: str, sink_table: str,
+def incremental_urls(spark: SparkSession, pages_dir: str, checkpoint: str, out_path: str,
                      file_glob: str | None = None):
     """Start a stream that appends every first-seen normalised page URL to
-    the in-memory table ``sink_table`` (``availableNow`` trigger).  The
-    dedupe state lives in the checkpoint, so later runs only add new URLs."""
+    the parquet table at ``out_path`` (``availableNow`` trigger).
+
+    The dedupe state and the sink's commit log live in ``checkpoint``, so a
+    rerun only processes new files and only appends URLs never seen before;
+    the file sink is exactly-once across restarts.
+    """
     stream = _page_stream(spark, pages_dir, file_glob)
     urls = stream.select(normalize_url(F.col("url")).alias("canonical_url"), F.col("page_id").alias("seq"))
     deduped = urls.dropDuplicates(["canonical_url"])
-    return (deduped.writeStream.format("memory").queryName(sink_table).outputMode("append")
+    return (deduped.writeStream.format("parquet").option("path", out_path).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
