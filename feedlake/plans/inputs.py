@@ -169,13 +169,13 @@ def doc_articles(documents: DataFrame) -> DataFrame:
         content_hash(F.col("body_text")).alias("content_hash"), fetch_status(F.col("body_text")).alias("fetch_status"),
         F.lit(RUN_ISO).alias("fetched_at"),
         topic_tags(F.replace(F.col("_fl"), F.lit(" | "), F.lit(","))).alias("topic_tags"),
-        F.col("source").alias("source_label"), F.lit("publication_rss").alias("discovered_via"))
+        F.col("source").alias("source_label"), F.lit("publication_rss").alias("discovered_via"), "lang")
 
 
 def doc_seen(documents: DataFrame) -> DataFrame:
     """Prior seen-set: Spanish documents under their own URL and German
     documents archived under another URL (so only their hash can match)."""
-    arts = doc_articles(documents).join(documents.select(F.col("doc_id").alias("seq"), "lang"), "seq")
+    arts = doc_articles(documents)
     own = arts.where(F.col("lang") == "es").select("canonical_url", "article_id", "content_hash")
     moved = arts.where(F.col("lang") == "de").select(
         F.concat(F.lit("https://archive.example.com/"), F.col("seq").cast("string")).alias("canonical_url"),
