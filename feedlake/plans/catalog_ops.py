@@ -311,7 +311,9 @@ def _batch_articles(spark, sf):
 
 
 def _batch_once(spark, sf):
-    """The batch rows materialised once, for queries that read them twice."""
+    """The batch rows materialised once, as a run's canonical table is (A7):
+    output queries read stored rows, so a filter on a derived column such as
+    ``processing_status`` does not re-run extraction and summaries."""
     from ..session import cut_lineage
     return cut_lineage(_batch_articles(spark, sf))
 
@@ -327,14 +329,14 @@ register("digest", f"""
 SELECT article_id, title, canonical_url, publication, published_at, summary_short,
        {S.arr_text('summary_bullets')} AS summary_bullets, key_takeaway, processing_status, 'current' AS data_freshness
 FROM {_BATCH_SQL} WHERE processing_status IN ('completed', 'partial')""")(
-    lambda spark, sf: outputs.digest(fl.with_freshness(outputs.publishable(_batch_articles(spark, sf)), "current"))
+    lambda spark, sf: outputs.digest(fl.with_freshness(outputs.publishable(_batch_once(spark, sf)), "current"))
     .withColumn("summary_bullets", _arr(F.col("summary_bullets"))))
 
 register("dashboard_feed", f"""
 SELECT article_id AS id, title, canonical_url AS url, publication, author, summary_short AS summary, summary_status,
        scraped_at, processing_status, {S.arr_text('topic_tags')} AS topic_tags, 'current' AS data_freshness
 FROM {_BATCH_SQL}""")(
-    lambda spark, sf: outputs.dashboard_feed(fl.with_freshness(_batch_articles(spark, sf), "current"))
+    lambda spark, sf: outputs.dashboard_feed(fl.with_freshness(_batch_once(spark, sf), "current"))
     .withColumn("topic_tags", _arr(F.col("topic_tags"))))
 
 register("daily_batch_header", f"""
@@ -343,15 +345,15 @@ SELECT '1.0' AS schema_version, run_date AS run_id, run_date, '{I.SOURCE_PROFILE
        CASE WHEN bool_or(processing_status = 'failed_extraction') THEN 'completed_with_errors' ELSE 'completed' END
          AS status
 FROM {_BATCH_SQL} GROUP BY run_date""")(
-    lambda spark, sf: outputs.daily_batch_header(_batch_articles(spark, sf), None, I.SOURCE_PROFILE, I.RUN_ISO))
+    lambda spark, sf: outputs.daily_batch_header(_batch_once(spark, sf), None, I.SOURCE_PROFILE, I.RUN_ISO))
 
 register("article_count", f"SELECT run_date, count(*) AS article_count FROM {_BATCH_SQL} GROUP BY run_date")(
-    lambda spark, sf: outputs.article_count(_batch_articles(spark, sf)))
+    lambda spark, sf: outputs.article_count(_batch_once(spark, sf)))
 
 
 def _markdown_spark(spark, sf):
     runs = _t(spark, sf, "events").select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("run_date"))
-    return outputs.markdown_blocks(_batch_articles(spark, sf), runs.distinct()).select(*outputs.MARKDOWN_COLUMNS)
+    return outputs.markdown_blocks(_batch_once(spark, sf), runs.distinct()).select(*outputs.MARKDOWN_COLUMNS)
 
 
 def _md_block_sql() -> str:
@@ -495,7 +497,7 @@ FROM old o FULL OUTER JOIN new n ON o.canonical_url = n.canonical_url""")(_remem
 
 
 def _merge_index_spark(spark, sf):
-    rows = _batch_articles(spark, sf).where(F.col("seq") < PAGE_SEQ_OFFSET).select(
+    rows = _batch_once(spark, sf).where(F.col("seq") < PAGE_SEQ_OFFSET).select(
         "article_id", "seq", "run_date", "title", "content_hash")
     old = rows.where(F.col("run_date") < "2024-01-15").withColumn("first_run_date", F.col("run_date")) \
         .withColumn("first_seq", F.col("seq"))
