@@ -74,9 +74,31 @@ def extract_metadata(pages: DataFrame, url_col: str = "url", html_col: str = "ht
     return out.drop("_clean", "_metas")
 
 
-def extract_body(pages: DataFrame, html_col: str = "html", out_col: str = "body_text") -> DataFrame:
-    """C2 alone: visible text of the main container."""
-    return pages.withColumn(out_col, H.body_text(H.strip_non_text(F.col(html_col))))
+def extract_body(pages: DataFrame, html_col: str = "html", out_col: str = "body_text",
+                 method: str = "regex") -> DataFrame:
+    """C2 alone: visible text of the main container.
+
+    ``method="regex"`` stays in JVM built-ins (whole-stage codegen);
+    ``method="parser"`` runs the standard library HTML parser per row in an
+    Arrow-batched ``mapInPandas`` (exact element nesting, every character
+    reference) -- the general path for pages the regex chain cannot read.
+    """
+    if method == "regex":
+        return pages.withColumn(out_col, H.body_text(H.strip_non_text(F.col(html_col))))
+    if method != "parser":
+        raise ValueError(f"unknown method: {method}")
+    from pyspark.sql import types as T
+
+    from ..functions.htmltext import body_text as parse_body
+
+    out_schema = T.StructType([*pages.schema.fields, T.StructField(out_col, T.StringType())])
+
+    def run(batches):
+        for pdf in batches:
+            pdf[out_col] = [parse_body(h) for h in pdf[html_col]]
+            yield pdf
+
+    return pages.mapInPandas(run, out_schema)
 
 
 def quarantine_challenges(pages: DataFrame, html_col: str = "html") -> tuple[DataFrame, DataFrame]:

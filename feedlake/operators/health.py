@@ -168,16 +168,8 @@ def consumer_outputs(runs: DataFrame, articles: DataFrame, run_col: str = "run_i
     """H6: latest batch rows, digest and dashboard feed as displayed for each
     run, each with the banner column when falling back."""
     shown = display_payload(runs, articles, run_col=run_col, **kw)
-    keys = ["shown_for_run", "banner_message"]
-    return {
-        "articles": shown,
-        "digest": shown.select(*keys, *digest(shown).columns),
-        "dashboard_feed": shown.select(*keys, *[F.col(s).alias(d) for s, d in [
-            ("article_id", "id"), ("title", "title"), ("canonical_url", "url"), ("publication", "publication"),
-            ("author", "author"), ("summary_short", "summary"), ("summary_status", "summary_status"),
-            ("scraped_at", "scraped_at"), ("processing_status", "processing_status"),
-            ("topic_tags", "topic_tags"), ("data_freshness", "data_freshness")]]),
-    }
+    keys = ("shown_for_run", "banner_message")
+    return {"articles": shown, "digest": digest(shown, keys), "dashboard_feed": dashboard_feed(shown, keys)}
 
 
 def promote_latest(run: DataFrame, payload: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -39,16 +39,16 @@ def publishable(df: DataFrame) -> DataFrame:
     return df.where(F.col("processing_status").isin(PUBLISHABLE_STATUSES))
 
 
-def digest(articles: DataFrame) -> DataFrame:
-    """H2: the 10-column digest item view."""
-    return articles.select(*[_opt(articles, c, "array<string>" if c == "summary_bullets" else "string").alias(c)
-                             for c in DIGEST_COLUMNS])
+def digest(articles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """H2: the 10-column digest item view (plus ``keep`` columns)."""
+    return articles.select(*keep, *[_opt(articles, c, "array<string>" if c == "summary_bullets" else "string")
+                                    .alias(c) for c in DIGEST_COLUMNS])
 
 
-def dashboard_feed(articles: DataFrame) -> DataFrame:
+def dashboard_feed(articles: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """H3: the 11-column dashboard feed (renamed id / url / summary)."""
-    return articles.select(*[_opt(articles, src, "array<string>" if src == "topic_tags" else "string").alias(dst)
-                             for src, dst in FEED_COLUMNS])
+    return articles.select(*keep, *[_opt(articles, src, "array<string>" if src == "topic_tags" else "string")
+                                    .alias(dst) for src, dst in FEED_COLUMNS])
 
 
 def article_count(articles: DataFrame, by: str = "run_date") -> DataFrame:

@@ -592,3 +592,11 @@ c AS (SELECT * FROM {_canonical_ok_sql('k')})
 SELECT article_id, title, canonical_url, publication, published_at, summary_short,
        {S.arr_text('summary_bullets')} AS summary_bullets, key_takeaway, processing_status, 'current' AS data_freshness
 FROM c WHERE processing_status IN ('completed', 'partial')""")(_digest_pipeline_spark)
+
+
+# ============================================================ C2 general path (parser)
+
+register("page_body_parsed", f"""
+SELECT page_id, coalesce({S.nclean(S.body_text(S.strip_non_text('html')))}, '') AS body_text FROM pages""")(
+    lambda spark, sf: extract.extract_body(_t(spark, sf, "pages").select("page_id", "html"), method="parser")
+    .select("page_id", F.coalesce(fl.normalize_text("body_text"), F.lit("")).alias("body_text")))

@@ -376,3 +376,14 @@ def test_merge_index_keeps_position(spark):
     batch = spark.createDataFrame([("c", 0, "new-c"), ("a", 1, "new-a")], "article_id string, seq long, title string")
     got = state.merge_index(index, batch, "2026-03-02").orderBy("first_run_date", "first_seq").collect()
     assert [(r.article_id, r.title) for r in got] == [("a", "new-a"), ("b", "old-b"), ("c", "new-c")]
+
+
+def test_parser_body_path(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    regex = extract.extract_body(pages, out_col="a")
+    both = extract.extract_body(regex, out_col="b", method="parser")
+    assert both.where("a <> b").count() == 0
+    nested = spark.createDataFrame([(1, "<article><p>a<article><p>b</p></article><p>c &#8212; d</article>x")],
+                                   "id int, html string")
+    row = extract.extract_body(nested, method="parser").first()
+    assert row.body_text == "a b c — d"
