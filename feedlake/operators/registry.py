@@ -87,11 +87,14 @@ def active(registry: DataFrame) -> DataFrame:
     return registry.where(F.coalesce(F.col("is_active"), F.lit(True)))
 
 
-def top_publications(registry: DataFrame, now, k: int = 20,
+def top_publications(registry: DataFrame, now, k: int | None = 20,
                      default_expiry: int = DEFAULT_EXPIRY_DAYS) -> DataFrame:
     """active publications by last seen (newest first, ties in insertion
-    order), first ``k``.  Plans as TakeOrderedAndProject."""
+    order), first ``k``.  Plans as TakeOrderedAndProject; ``k=None`` keeps
+    every active publication (unordered)."""
     act = active(expire(registry, now, default_expiry))
+    if k is None:
+        return act
     return act.orderBy(F.col("last_seen_on_reads").desc_nulls_last(), F.col("inserted_at").asc(),
                        F.col("seq").asc()).limit(k)
 

@@ -25,9 +25,11 @@ def top_posts(items: DataFrame, n: int = 5, group_col: str = "source_url", order
     return items.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def select_batch(fresh: DataFrame, n: int = 10, order_cols: list[str] | None = None) -> DataFrame:
+def select_batch(fresh: DataFrame, n: int | None = 10, order_cols: list[str] | None = None) -> DataFrame:
     """first ``n`` fresh candidates in discovery order (the per-run fetch
-    limit; plans as TakeOrderedAndProject)."""
+    limit; plans as TakeOrderedAndProject).  ``n=None`` keeps every row."""
+    if n is None:
+        return fresh
     cols = order_cols or [c for c in ("source_rank", "seq", "pos") if c in fresh.columns]
     return fresh.orderBy(*[F.col(c).asc() for c in cols]).limit(n)
 

@@ -600,3 +600,86 @@ register("page_body_parsed", f"""
 SELECT page_id, coalesce({S.nclean(S.body_text(S.strip_non_text('html')))}, '') AS body_text FROM pages""")(
     lambda spark, sf: extract.extract_body(_t(spark, sf, "pages").select("page_id", "html"), method="parser")
     .select("page_id", F.coalesce(fl.normalize_text("body_text"), F.lit("")).alias("body_text")))
+
+
+# ============================================================ K1: one daily run (rows-only check)
+
+def _daily_run_spark(spark, sf):
+    """K1 over derived inputs: registry = one publication per feed, monitored
+    by feed (home page on malformed feeds); every selected item is fetched
+    from ``pages`` (first page per normalised URL); limits set so the whole
+    input is processed."""
+    from ..plans.jobs import RunConfig, run_daily
+    pages = _t(spark, sf, "pages")
+    feeds = I.feeds(pages)
+    first_seen = F.timestamp_seconds(F.lit(I.EPOCH_2024) + F.col("seq") * 3600)
+    reg = registry.with_registry_defaults(feeds.select(
+        "publication_url", F.col("publication_name"), F.lit(I.SOURCE_PROFILE).alias("discovered_from_profile"),
+        first_seen.alias("first_seen"), first_seen.alias("last_seen_on_reads"), first_seen.alias("inserted_at"),
+        "seq", fl.short_id("publication_url").alias("publication_id"),
+        fl.default_feed_url("publication_url").alias("rss_url")))
+    fetched = dedupe.first_by_key(pages.select(fl.normalize_url("url").alias("url"), "page_id", "html"),
+                                  ["url"], ["page_id"]).select("url", "html", F.lit(None).cast("string").alias("error"))
+    cfg = RunConfig(run_ts=I.RUN_TS, source_profile=I.SOURCE_PROFILE, discovery_mode="registry_only",
+                    article_fetch_limit=None, max_publications_per_run=None)
+    out = run_daily(spark, cfg, reads_pages=None, fetched=fetched, feeds=feeds, homepages=I.homepages(pages),
+                    responses=None, reg=reg, seen=I.page_seen(pages))
+    return out["canonical"].select(*[c for c in extract.CANONICAL_COLUMNS if c not in ("summary_bullets", "topic_tags")],
+                                   F.to_json("seq").alias("run_order"),
+                                   _arr(F.col("summary_bullets")).alias("summary_bullets"))
+
+
+
+
+def _daily_run_sql() -> str:
+    k1 = "(-((1704067200 + seq * 3600) * 1000000))"
+    k2 = "((1704067200 + seq * 3600) * 1000000)"
+    items = f"""
+      (SELECT seq, pos, source_url, article_url, title_hint, source_label, discovered_via FROM {_FEED_ITEMS_SQL}
+       UNION ALL
+       SELECT first_id, CAST(3 * rk AS INTEGER), {_PUB_URL}, 'https://' || host || '/p/post-' || CAST(page_id AS VARCHAR),
+              'Post ' || CAST(page_id AS VARCHAR), host, 'publication_html'
+       FROM {_RANKED} WHERE rk < 5 AND {_BROKEN})"""
+    seen_sql = _page_articles_sql("WHERE starts_with(url, 'http://')")
+    return f"""
+WITH RECURSIVE it AS (
+  SELECT *, {S.normalize_url('article_url')} AS cu,
+         '{{"source_rank":1,"k1":' || CAST({k1} AS VARCHAR) || ',"k2":' || CAST({k2} AS VARCHAR) || ',"k3":'
+           || CAST(seq AS VARCHAR) || ',"pos":' || CAST(pos AS VARCHAR) || '}}' AS run_order
+  FROM {items}),
+first_it AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cu ORDER BY seq DESC, pos) AS r FROM it)
+             WHERE r = 1),
+seen AS (SELECT canonical_url, content_hash FROM {seen_sql}),
+fresh AS (SELECT * FROM first_it WHERE cu NOT IN (SELECT canonical_url FROM seen)),
+pg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY seq) AS r2
+                      FROM {_page_articles_sql()}) WHERE r2 = 1),
+art AS (SELECT f.seq AS pub_seq, f.pos, f.run_order, {S.short_id('f.cu')} AS article_id, f.source_url,
+               f.cu AS original_url, f.cu AS canonical_url, coalesce(p.title, f.title_hint) AS title,
+               NULL::VARCHAR AS subtitle, NULL::VARCHAR AS author, NULL::VARCHAR AS publication,
+               NULL::VARCHAR AS published_at, NULL::VARCHAR AS description, p.body_text, p.content_hash,
+               p.fetch_status, '{I.RUN_ISO}' AS fetched_at, []::VARCHAR[] AS topic_tags, f.source_label,
+               f.discovered_via
+        FROM fresh f JOIN pg p ON f.cu = p.canonical_url
+        WHERE p.content_hash NOT IN (SELECT content_hash FROM seen)),
+d AS (SELECT run_order, canonical_url AS u, content_hash AS h,
+             row_number() OVER (ORDER BY pub_seq DESC, pos) AS rn FROM art),
+walk(rn, run_order, kept, urls, hashes) AS (
+  SELECT 0::BIGINT, NULL::VARCHAR, false, []::VARCHAR[], []::VARCHAR[]
+  UNION ALL
+  SELECT d.rn, d.run_order, NOT (list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h)),
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.urls ELSE list_append(w.urls, d.u) END,
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.hashes
+              ELSE list_append(w.hashes, d.h) END
+  FROM walk w JOIN d ON d.rn = w.rn + 1),
+k AS (SELECT *, run_order AS seq FROM art WHERE run_order IN (SELECT run_order FROM walk WHERE kept)),
+ok AS (SELECT * FROM {_canonical_ok_sql('k')})
+SELECT {', '.join(c for c in extract.CANONICAL_COLUMNS if c not in ('summary_bullets', 'topic_tags'))},
+       seq AS run_order, {S.arr_text('summary_bullets')} AS summary_bullets FROM ok
+UNION ALL
+SELECT {S.short_id('cu')}, '{I.SOURCE_PROFILE}', source_label, cu, cu, title_hint, NULL, NULL, NULL, NULL, '', NULL,
+       NULL, '{I.RUN_ISO}', '{I.RUN_DATE}', 'failed_extraction', 'not_started', NULL, NULL, 'page was not fetched',
+       discovered_via, run_order, ''
+FROM fresh WHERE cu NOT IN (SELECT canonical_url FROM pg)"""
+
+
+register("daily_run", _daily_run_sql())(_daily_run_spark)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import iso_seconds
@@ -26,9 +26,9 @@ class RunConfig:
     source_profile: str
     discovery_mode: str = "live_reads"
     dry_run: bool = False
-    article_fetch_limit: int = 10
+    article_fetch_limit: int | None = 10        # None: no per-run limit
     max_posts_per_publication: int = 5
-    max_publications_per_run: int = 20
+    max_publications_per_run: int | None = 20   # None: every active publication
     expiry_days: int = 30
     max_input_chars: int = 12000
     summaries_enabled: bool = True
@@ -43,7 +43,8 @@ class RunConfig:
     extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        if self.article_fetch_limit < 1 or self.max_posts_per_publication < 1 or self.max_publications_per_run < 1:
+        limits = [self.article_fetch_limit, self.max_posts_per_publication, self.max_publications_per_run]
+        if any(x is not None and x < 1 for x in limits):
             raise ValueError("limits must be >= 1")
         if self.expiry_days < 1:
             raise ValueError("expiry must be >= 1")
@@ -91,8 +92,9 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
               reg: DataFrame, seen: DataFrame, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
     """K1: one daily run as a DataFrame plan (nothing is written here).
 
-    ``fetched`` holds (url, html, error): a non-NULL error marks a failed
-    fetch.  Returns the canonical articles, summaries, outputs and the new
+    ``fetched`` holds (url, html, error), one row per fetched (normalised)
+    article URL: a non-NULL error marks a failed fetch, a selected item
+    without any fetched row fails with "page was not fetched".  Returns the canonical articles, summaries, outputs and the new
     state tables.
     """
     direct, found, reg = discovery(spark, cfg, reads_pages, reg, seeds)
@@ -106,16 +108,33 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     items, results = registry.recent_posts(monitored_pubs, feed_items, feed_status, home_items, home_status,
                                            cfg.rss_enabled, cfg.html_fallback_enabled)
     reg = registry.mark_checked(reg, registry.check_rows(results, cfg.run_ts))
-    monitored = items.withColumn("seq", F.lit(0).cast("long"))
-    merged = dedupe.merge_items(direct.select(*extract.READ_ITEM_COLUMNS),
-                                monitored.select(*extract.READ_ITEM_COLUMNS))
+    # Run order of candidates: direct links first (page, anchor position),
+    # then monitored posts in publication ranking (F1: last seen desc with
+    # NULLs last, then insertion order) and feed position.  The key is a
+    # struct of longs, so neither a window nor a global sort is needed.
+    never = F.lit(2 ** 62)
+    direct_o = direct.select(*extract.READ_ITEM_COLUMNS).withColumn("source_rank", F.lit(0)) \
+        .withColumn("k1", F.col("seq").cast("long")).withColumn("k2", F.lit(0).cast("long")) \
+        .withColumn("k3", F.lit(0).cast("long"))
+    pubs_o = monitored_pubs.select(
+        F.col("publication_url").alias("source_url"),
+        F.coalesce(-F.unix_micros("last_seen_on_reads"), never).alias("k1"),
+        F.coalesce(F.unix_micros("inserted_at"), never).alias("k2"), F.col("seq").cast("long").alias("k3"))
+    monitored = (items.withColumn("seq", F.lit(0).cast("long")).select(*extract.READ_ITEM_COLUMNS)
+                 .join(pubs_o, "source_url").withColumn("source_rank", F.lit(1)))
+    order = ["source_rank", "k1", "k2", "k3", "pos"]
     from ..functions.urls import normalize_url
-    cands = merged.withColumn("canonical_url", normalize_url(F.col("article_url")))
-    fresh = state.select_batch(dedupe.filter_new(cands, seen, cfg.skip_existing), cfg.article_fetch_limit)
+    both = direct_o.unionByName(monitored.select(*direct_o.columns)) \
+        .withColumn("canonical_url", normalize_url(F.col("article_url")))
+    merged = dedupe.first_by_key(both, ["canonical_url"], order)
+    fresh = state.select_batch(dedupe.filter_new(merged, seen, cfg.skip_existing), cfg.article_fetch_limit, order)
+    fresh = fresh.withColumn("seq", F.struct(*[F.col(c) for c in order])).drop("k1", "k2", "k3", "canonical_url")
     ok_pages = fetched.where(F.col("error").isNull())
-    articles = extract.build_articles(fresh.drop("canonical_url"), ok_pages, cfg.run_iso)
-    failed = (fresh.join(fetched.where(F.col("error").isNotNull()).select(F.col("url").alias("article_url"), "error"),
-                         "article_url"))
+    articles = extract.build_articles(fresh, ok_pages, cfg.run_iso)
+    errors = fetched.where(F.col("error").isNotNull()).select(F.col("url").alias("_u"), F.col("error").alias("_e"))
+    failed = (fresh.join(ok_pages.select(F.col("url").alias("article_url")), "article_url", "left_anti")
+              .join(errors, F.col("article_url") == F.col("_u"), "left")
+              .withColumn("error", F.coalesce(F.col("_e"), F.lit("page was not fetched"))).drop("_u", "_e"))
     if cfg.dedupe_enabled:
         articles = dedupe.filter_unseen(articles, seen, cfg.dedupe_by_hash)
         articles = dedupe.dedupe_first(articles, hash_col="content_hash" if cfg.dedupe_by_hash else "_nohash") \
