@@ -199,3 +199,51 @@ def test_promote_and_consumer_outputs(spark):
     assert out["digest"].where("shown_for_run = 'r1'").first().data_freshness == "current"
     current, last_ok = health.promote_latest(runs.where("run_id = 'r2'"), arts.withColumn("run_id", F.lit("r2")))
     assert current.count() == 1 and last_ok.count() == 0
+
+
+def test_import_seeds_job(spark, tmp_path):
+    from feedlake.plans.jobs import import_seeds
+    seeds = tmp_path / "seeds.json"
+    seeds.write_text(json.dumps({"publications": [
+        {"publication_name": "Macro", "publication_url": "https://macro.example.com/?utm=1"},
+        {"name": "Rates", "url": "https://rates.example.com"}, {"name": "no url"}]}))
+    base = str(tmp_path / "registry")
+    assert import_seeds(spark, str(seeds), base, _cfg("manual_seed")) == 2
+    assert import_seeds(spark, str(seeds), base, _cfg("manual_seed")) == 2  # idempotent upsert
+    reg = io.read_published(spark, base)
+    assert sorted(r.publication_url for r in reg.collect()) == ["https://macro.example.com/",
+                                                               "https://rates.example.com/"]
+
+
+def test_render_digest_job(spark, tmp_path):
+    from feedlake.plans.jobs import render_digest
+    batch = tmp_path / "batch.json"
+    batch.write_text(json.dumps({"run_date": "2026-03-11", "articles": [
+        {"article_id": "a", "title": "Fed", "canonical_url": "https://m/p/fed", "publication": "Macro",
+         "summary_short": "S.", "summary_bullets": ["b1"], "key_takeaway": "b1", "processing_status": "completed"},
+        {"article_id": "f", "title": "Blocked", "publication": "X", "processing_status": "failed_extraction"}]}))
+    out = tmp_path / "md"
+    render_digest(spark, str(batch), str(out))
+    text = "".join(f.read_text() for f in sorted((out / "run_date=2026-03-11").glob("part-*")))
+    assert text == ("# Daily Digest - 2026-03-11\n\n## Macro\n\n### [Fed](https://m/p/fed)\n\nS.\n\n- b1\n\n"
+                    "**Key takeaway:** b1\n")
+
+
+def test_run_with_health_gate(spark):
+    from feedlake.operators import registry
+    from feedlake.plans.jobs import run_with_health
+    pages = I.table(spark, "/root/testdata/sf0.001", "pages")
+    inputs = dict(reads_pages=I.listing_pages(pages).select("page_id", "url", "html"),
+                  fetched=pages.select(F.col("url"), "html", F.lit(None).cast("string").alias("error")),
+                  feeds=I.feeds(pages), homepages=I.homepages(pages), responses=None,
+                  reg=registry.empty_registry(spark), seen=I.page_seen(pages))
+    bad = spark.createDataFrame([(1, "dns", "reads.example.com", False, None, "gaierror")],
+                                "seq long, kind string, target string, ok boolean, status_code int, error string")
+    out = run_with_health(spark, _cfg(), bad, **inputs)
+    assert set(out) == {"run_status"}
+    r = out["run_status"].first()
+    assert (r.run_status, r.failure_stage) == ("degraded", "preflight_dns")
+    good = bad.withColumn("ok", F.lit(True))
+    out = run_with_health(spark, _cfg(), good, **inputs)
+    assert out["run_status"].first().run_status in ("healthy", "degraded")
+    assert out["health"].count() > 0
