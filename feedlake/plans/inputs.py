@@ -38,7 +38,12 @@ TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "events": "event_id", "
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read a driver table; text-heavy tables read as too few partitions are
-    spread over the cores (a no-op for inputs made of many files)."""
+    spread over the cores (a no-op for inputs made of many files).
+
+    The run clocks are UTC literals, so the session clock is pinned to UTC.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     key = TABLE_KEYS.get(name)
     return spread(df, key) if key else df

@@ -109,20 +109,22 @@ def read_daily_batch(spark: SparkSession, path: str) -> DataFrame:
     """
     text = spark.read.format("text").option("wholetext", True).load(path)
     doc = F.trim(F.col("value"))
+    # One small row per file reaches the driver: flags only, never the articles.
+    arts = F.ltrim(F.get_json_object(doc, "$.articles"))
+    keys = F.json_object_keys(F.when(doc.startswith("{"), doc))
     probe = text.select(
         doc.startswith("{").alias("is_obj"),
-        F.get_json_object(doc, "$.run_date").isNotNull().alias("has_date"),
-        F.json_object_keys(F.when(doc.startswith("{"), doc)).alias("keys"),
-        F.get_json_object(doc, "$.articles").alias("arts"),
+        F.array_contains(keys, "run_date").alias("has_date"),
+        F.array_contains(keys, "articles").alias("has_articles"),
+        F.coalesce(arts.startswith("["), F.lit(False)).alias("arts_is_list"),
     ).first()
     if probe is None or not probe.is_obj:
         raise ValueError("Daily batch file must contain a JSON object.")
-    keys = probe.keys or []
-    if "run_date" not in keys:
+    if not probe.has_date:
         raise ValueError("Daily batch file is missing required field: run_date")
-    if "articles" not in keys:
+    if not probe.has_articles:
         raise ValueError("Daily batch file is missing required field: articles")
-    if probe.arts is None or not probe.arts.lstrip().startswith("["):
+    if not probe.arts_is_list:
         raise ValueError("Daily batch field 'articles' must be a list.")
     schema = T.StructType([T.StructField("run_date", T.StringType()),
                            T.StructField("articles", T.ArrayType(BATCH_ARTICLE))])
