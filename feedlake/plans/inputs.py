@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import iso_seconds
 from ..functions.status import error_type, fetch_status
-from ..functions.text import clean_whitespace, content_hash, normalize_text, short_id, topic_tags
-from ..functions.urls import normalize_url, url_host
+from ..functions.text import content_hash, normalize_text, short_id, topic_tags
+from ..functions.urls import url_host
 from ..operators.extract import build_articles
 from ..sources.io import spread
 

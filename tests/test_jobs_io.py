@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import json
-import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.operators import dedupe, state
+from feedlake.operators import state
 from feedlake.plans import inputs as I
 from feedlake.plans.jobs import RunConfig, discovery, run_daily
 from feedlake.sources import io
