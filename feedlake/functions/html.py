@@ -60,8 +60,14 @@ TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
 
 def unescape(c) -> Column:
-    """Decode the character references in :data:`ENTITIES`."""
-    out = as_col(c)
+    """Decode the character references in :data:`ENTITIES` (``&amp;`` last);
+    built as the session SQL function ``feedlake_unescape``."""
+    from .sqlfns import call
+    return call("feedlake_unescape", _unescape_cols, as_col(c))
+
+
+def _unescape_cols(c: Column) -> Column:
+    out = c
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out

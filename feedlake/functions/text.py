@@ -27,9 +27,16 @@ UNTITLED_PROMPT_TITLE = "Untitled article"
 
 
 def clean_whitespace(c) -> Column:
-    """B2: collapse every whitespace run to one space and trim."""
-    # After the collapse only single U+0020 spaces remain, so plain trim is exact.
-    return F.trim(F.regexp_replace(as_col(c), WS_CLASS + "+", " "))
+    """B2: collapse every whitespace run to one space and trim.
+
+    After the collapse only single U+0020 spaces remain, so plain trim is
+    exact.  Built as the session SQL function ``feedlake_clean_ws``."""
+    from .sqlfns import call
+    return call("feedlake_clean_ws", _clean_cols, as_col(c))
+
+
+def _clean_cols(c: Column) -> Column:
+    return F.trim(F.regexp_replace(c, WS_CLASS + "+", " "))
 
 
 def normalize_text(c) -> Column:
@@ -39,7 +46,12 @@ def normalize_text(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace only."""
-    return F.regexp_replace(as_col(c), "^" + WS_CLASS + "+|" + WS_CLASS + "+$", "")
+    from .sqlfns import call
+    return call("feedlake_strip_ws", _strip_cols, as_col(c))
+
+
+def _strip_cols(c: Column) -> Column:
+    return F.regexp_replace(c, "^" + WS_CLASS + "+|" + WS_CLASS + "+$", "")
 
 
 def trim_text(c, max_chars: int) -> Column:

@@ -81,8 +81,13 @@ def _norm_struct(v: Column) -> Column:
 
 def normalize_url(c) -> Column:
     """B1: lower-case scheme and host, drop params/query/fragment, strip
-    trailing slashes, empty path -> ``/``."""
-    col = as_col(c)
+    trailing slashes, empty path -> ``/``.  Built as the session SQL function
+    ``feedlake_normalize_url`` (same rule as :func:`_norm_struct`)."""
+    from .sqlfns import call
+    return call("feedlake_normalize_url", _normalize_cols, as_col(c))
+
+
+def _normalize_cols(col: Column) -> Column:
     return F.when(col.isNull(), F.lit(None).cast("string")).otherwise(
         let(_parts_struct(_prepare(col)), _norm_struct))
 
