@@ -128,6 +128,10 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     merged = dedupe.first_by_key(both, ["canonical_url"], order)
     fresh = state.select_batch(dedupe.filter_new(merged, seen, cfg.skip_existing), cfg.article_fetch_limit, order)
     fresh = fresh.withColumn("seq", F.struct(*[F.col(c) for c in order])).drop("k1", "k2", "k3", "canonical_url")
+    # The run's candidate batch feeds both the fetched articles and the failed
+    # rows: materialise it once (discovery, monitoring and merge run once).
+    from ..session import cut_lineage
+    fresh = cut_lineage(fresh)
     ok_pages = fetched.where(F.col("error").isNull())
     articles = extract.build_articles(fresh, ok_pages, cfg.run_iso)
     errors = fetched.where(F.col("error").isNotNull()).select(F.col("url").alias("_u"), F.col("error").alias("_e"))
