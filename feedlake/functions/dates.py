@@ -43,7 +43,7 @@ def run_date(ts, tz: str = "UTC") -> Column:
 
 
 def run_id(ts, tz: str = "UTC") -> Column:
-    """Pipeline run id ``YYYYMMDDTHHMMSS`` in zone ``tz``."""
+    """Daily run id ``YYYYMMDDTHHMMSS`` in zone ``tz``."""
     return F.date_format(F.from_utc_timestamp(as_col(ts), tz), "yyyyMMdd'T'HHmmss")
 
 

@@ -1,5 +1,5 @@
 """Registered queries, part 2: registry, monitoring, outputs, health, state,
-streaming and the flagship pipeline (see :mod:`feedlake.plans.catalog`)."""
+streaming and the flagship digest (see :mod:`feedlake.plans.catalog`)."""
 
 from __future__ import annotations
 
@@ -563,7 +563,7 @@ register("incremental_urls", f"SELECT DISTINCT {S.normalize_url('url')} AS canon
 
 # ============================================================ flagship: pages -> digest
 
-def _digest_pipeline_spark(spark, sf):
+def _flagship_digest_spark(spark, sf):
     pages = _t(spark, sf, "pages")
     arts = dedupe.dedupe_first(dedupe.filter_unseen(I.page_articles(pages), I.page_seen(pages)))
     summ = summarize.summarize(arts, created_at=I.RUN_ISO)
@@ -572,7 +572,7 @@ def _digest_pipeline_spark(spark, sf):
         "summary_bullets", _arr(F.col("summary_bullets")))
 
 
-register("digest_pipeline", f"""
+register("flagship_digest", f"""
 WITH RECURSIVE seen AS (SELECT canonical_url, content_hash
                         FROM {_page_articles_sql("WHERE starts_with(url, 'http://')")}),
 a AS (SELECT * FROM {_page_articles_sql()}
@@ -591,7 +591,7 @@ k AS (SELECT * FROM a WHERE seq IN (SELECT seq FROM walk WHERE kept)),
 c AS (SELECT * FROM {_canonical_ok_sql('k')})
 SELECT article_id, title, canonical_url, publication, published_at, summary_short,
        {S.arr_text('summary_bullets')} AS summary_bullets, key_takeaway, processing_status, 'current' AS data_freshness
-FROM c WHERE processing_status IN ('completed', 'partial')""")(_digest_pipeline_spark)
+FROM c WHERE processing_status IN ('completed', 'partial')""")(_flagship_digest_spark)
 
 
 # ============================================================ C2 general path (parser)
