@@ -272,3 +272,21 @@ def test_all_registered_plans(spark):
         # grows by one row per run, not with the data.
         if name != "display_payload":
             assert not _global_windows(plan), (name, _global_windows(plan))
+
+
+def test_history_and_batch_sinks(spark, tmp_path):
+    hist = str(tmp_path / "runs")
+    rows = [("r1", "2026-03-01 00:00:00", "healthy"), ("r2", "2026-03-02 00:00:00", "degraded")]
+    for r in rows:
+        io.append_manifest(spark.createDataFrame([r], "run_id string, started_at string, run_status string"), hist)
+    latest = io.latest_run(spark.read.parquet(hist)).first()
+    assert (latest.run_id, latest.run_status) == ("r2", "degraded")
+    arts = spark.createDataFrame([("2026-03-01", "a", ["x"]), ("2026-03-01", "b", [])],
+                                 "run_date string, article_id string, summary_bullets array<string>")
+    header = spark.createDataFrame([("1.0", "2026-03-01", 2)], "schema_version string, run_date string, "
+                                                               "article_count long")
+    out = str(tmp_path / "batch")
+    io.write_daily_batch(header, arts, out)
+    back = spark.read.json(f"{out}/articles")
+    assert sorted(r.article_id for r in back.collect()) == ["a", "b"]
+    assert spark.read.json(f"{out}/header").first().article_count == 2
