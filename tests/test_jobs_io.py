@@ -290,3 +290,27 @@ def test_history_and_batch_sinks(spark, tmp_path):
     back = spark.read.json(f"{out}/articles")
     assert sorted(r.article_id for r in back.collect()) == ["a", "b"]
     assert spark.read.json(f"{out}/header").first().article_count == 2
+
+
+def test_landed_raw_files_and_run_errors(spark, tmp_path):
+    from feedlake.operators import health
+    d = tmp_path / "landed"
+    d.mkdir()
+    (d / "a.html").write_text("<html><title>A</title>\n<article>one</article></html>")
+    (d / "b.html").write_text("<html><article>two\nlines</article></html>")
+    pages = io.read_pages(spark, str(d), fmt="html")
+    got = sorted(r.html.count("\n") for r in pages.collect())
+    assert got == [1, 1] and pages.select("page_id").distinct().count() == 2
+    f = tmp_path / "feeds"
+    f.mkdir()
+    (f / "x.xml").write_text("<rss><channel><item><title>t</title><link>https://x.example.com/p/1</link>"
+                             "</item></channel></rss>")
+    feeds = io.read_feeds(spark, str(f), fmt="xml")
+    from feedlake.operators import extract
+    items, _ = extract.parse_feeds(feeds, 5, "t")
+    assert [r.article_url for r in items.collect()] == ["https://x.example.com/p/1"]
+    canon = spark.createDataFrame([("r", 1, "failed_extraction", "https://a/p/1", "403"),
+                                   ("r", 2, "completed", "https://a/p/2", None)],
+                                  "run_id string, seq long, processing_status string, article_url string, "
+                                  "error_message string")
+    assert [r.error for r in health.run_errors(canon).collect()] == ["https://a/p/1: 403"]
