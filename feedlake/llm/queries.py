@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, quality
+from . import chat, exact_dedup, langid, quality
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,41 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+#: A conversation whose texts hold control strings of common templates.
+CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+@query("op2_chat_format", r"""
+with m as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (
+  select *, replace(replace(replace(role, '\', '\\'), '|', '\|'), chr(10), '\n') as erole,
+         replace(replace(text, '\', '\\'), '|', '\|') as etext
+  from m)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, etext)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, etext) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length('<|turn|>' || erole || chr(10) || etext || '<|end|>' || chr(10)))::bigint as formatted_chars
+from e group by conv_id
+""")
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from the formatted text."""
+    talk = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    messages = talk.unionByName(extra).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("content"))
+    out = chat.format_chat(messages).withColumn("turns", chat.read_back(F.col("formatted"))) \
+        .withColumn("masked", chat.masked_text(F.col("turns")))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                      F.sha2(whole.cast("binary"), 256).alias("turns_sha256"),
+                      F.char_length("masked").cast("long").alias("loss_chars"),
+                      F.sha2(F.col("masked").cast("binary"), 256).alias("loss_sha256"),
+                      F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 @query("op7_exact_dedup", """
 with n as (
   select doc_id, length(coalesce(text, '')) as n_chars,
