@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, quality
+from . import chat, exact_dedup, langid, quality, secrets
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,63 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def _duck_spans(pattern: str, keep: str = "true") -> str:
+    """DuckDB list of (s, e, m) of a pattern's matches: lengths of the text between matches and of the matches, summed up."""
+    return f"""
+      (select list({{'s': s, 'e': s + length(m), 'm': m}} order by s) from (
+        select m, coalesce(sum(length(g) + length(m)) over (order by i rows between unbounded preceding and 1 preceding), 0) + length(g) as s
+        from (select unnest(ms) as m, unnest(gs[1:len(ms)]) as g, unnest(range(len(ms))) as i
+              from (select regexp_extract_all(t, {pattern}) as ms, string_split_regex(t, {pattern}) as gs))) where {keep})"""
+
+
+_ASSIGN = """'(?i)(?:password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?[A-Za-z0-9+/_.=-]+'"""
+_ASSIGN_KEEP = """length(regexp_extract(m, '(?i)(password|passwd|secret|token|api_?key)["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)) >= 6"""
+_ALLOWED = " or ".join(f"regexp_matches(m, '{p}')" for p in secrets.ALLOW)
+
+
+def _duck_entropy(least: float) -> str:
+    """DuckDB list of the (s, e) that windows of enough entropy cover, of a list of candidates (s, e, m)."""
+    window = f"list_filter(range(0, length(c.m) - {secrets.WINDOW - 1}), lambda i: list_aggregate(string_split(substr(c.m, (i + 1)::int, {secrets.WINDOW}), ''), 'entropy') >= {least})"
+    return f"list_filter(list_transform(cs, lambda c: {{'s': c.s + list_min({window}), 'e': c.s + list_max({window}) + {secrets.WINDOW}}}), lambda x: x.s is not null)"
+
+
+OP6_SQL = f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+f as (select doc_id, {_duck_spans(_ASSIGN, _ASSIGN_KEEP)} as a, {_duck_spans("'AKIA[A-Z0-9]{16,}'")} as k, {_duck_spans("'[0-9a-f]{24,}'")} as h,
+        {_duck_spans("'[0-9A-Fa-f]{20,}'", f"regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOWED})")} as ch,
+        {_duck_spans("'[A-Za-z0-9+/_=-]{20,}'", f"regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOWED})")} as cb
+      from d),
+e as (select doc_id, a, k, h, {_duck_entropy(secrets.CLASSES[0][3]).replace('cs', 'ch')} as eh, {_duck_entropy(secrets.CLASSES[1][3]).replace('cs', 'cb')} as eb from f),
+u as (
+  select doc_id, 0 as kind, 'assign' as name, unnest(a) as x from e union all
+  select doc_id, 1, 'access', unnest(k) from e union all
+  select doc_id, 2, 'hex', unnest(h) from e),
+b as (select doc_id, kind, name, x.s as s, x.e as e from u),
+v as (select doc_id, 3 as kind, 'entropy_hex' as name, unnest(eh) as x from e union all select doc_id, 4, 'entropy_base64', unnest(eb) from e),
+w as (select doc_id, kind, name, x.s as s, x.e as e from v),
+n as (select * from w where not exists (select 1 from b where b.doc_id = w.doc_id and b.s <= w.s and b.e >= w.e)),
+al as (select * from b union all select * from n)
+select d.doc_id, coalesce(sum((kind = 0)::int), 0)::bigint as n_assign, coalesce(sum((kind = 1)::int), 0)::bigint as n_access,
+       coalesce(sum((kind = 2)::int), 0)::bigint as n_hex,
+       sha256(coalesce(string_agg(name || ':' || s || ':' || e, ',' order by s, kind) filter (kind < 3), '')) as base_sha256,
+       coalesce(string_agg(name || ':' || s || ':' || e, ',' order by s, kind), '') as spans
+from d left join al using (doc_id) group by d.doc_id
+"""
+
+
+@query("op6_secret_scan", OP6_SQL)
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base kinds, and all spans."""
+    out = secrets.scan_secrets(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("base_spans", lambda s: s["kind_no"] == secrets.KINDS.index(kind))).cast("long")
+
+    return out.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+                      F.sha2(secrets.as_text(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"),
+                      secrets.as_text(F.sort_array(F.concat("base_spans", "entropy_spans"))).alias("spans"))
+
+
 @query("op7_exact_dedup", """
 with n as (
   select doc_id, length(coalesce(text, '')) as n_chars,
