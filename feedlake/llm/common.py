@@ -23,6 +23,16 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+#: Names of the columns that with_id_key() adds.
+ID_KEY = ("_id_null", "_id")
+
+
+def with_id_key(df: DataFrame) -> DataFrame:
+    """``df`` with doc_id as two columns that are never null: a join and a later
+    dropDuplicates() on them share one shuffle, also where ids are null."""
+    return df.withColumn(ID_KEY[0], F.col("doc_id").isNull()).withColumn(ID_KEY[1], F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows_per_class: int,
                     classes: Iterable | None = None, held_out: Column | None = None) -> DataFrame:
     """(y, text) of at most ``rows_per_class`` labelled documents of each class.

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, write_stage
+from .common import ASCII_SPACE, ID_KEY, with_id_key, write_stage
 
 PREFIX_CHARS = 64
 
@@ -45,7 +45,8 @@ def _keys(docs: DataFrame) -> DataFrame:
 def surviving_groups(docs: DataFrame) -> DataFrame:
     """(len, prefix) groups of two or more rows: what levels 1 and 2 leave."""
     keys = _keys(docs).select("len", "prefix")
-    lengths = keys.groupBy("len").count().where("count > 1").select("len")
+    # Written, so that the join knows its size: at most one row for each length that texts have.
+    lengths = write_stage(keys.groupBy("len").count().where("count > 1").select("len"), "dedup-lengths")
     return keys.join(lengths, "len", "left_semi").groupBy("len", "prefix").count().where("count > 1") \
         .select("len", "prefix", F.lit(True).alias("again"))
 
@@ -83,7 +84,8 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Kept rows are found again by (doc_id, full hash); of rows repeated whole
     one stays.
     """
-    kept = exact_dedup(docs, hash_all=True).where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("full_hash").alias("_keep_hash"))
-    keyed = docs.withColumn("_hash", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["_keep_id"]) & (keyed["_hash"] == kept["_keep_hash"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keys = [*ID_KEY, "_hash"]
+    kept = with_id_key(exact_dedup(docs, hash_all=True).where("kept")).withColumnRenamed("full_hash", "_hash").select(*keys)
+    keyed = with_id_key(docs).withColumn("_hash", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    out = keyed.join(kept, keys, "left_semi").dropDuplicates(keys)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

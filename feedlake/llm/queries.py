@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, quality, secrets
+from . import chat, exact_dedup, langid, quality, secrets, simhash
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,6 +70,13 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: shingles of 3 words, at most 2 differing bits."""
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=3, radius=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def _duck_spans(pattern: str, keep: str = "true") -> str:
     """DuckDB list of (s, e, m) of a pattern's matches: lengths of the text between matches and of the matches, summed up."""
     return f"""
