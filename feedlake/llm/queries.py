@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, quality, secrets, simhash
+from . import chat, decontam, exact_dedup, langid, packing, quality, secrets, simhash
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,8 +35,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-#: A conversation whose texts hold control strings of common templates.
-CONTROL_CONVERSATION = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+#: Text of conversation -7: control strings of common templates.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
 @query("op2_chat_format", r"""
@@ -58,7 +58,9 @@ from e group by conv_id
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every formatted conversation, read back from the formatted text."""
     talk = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    extra = spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(-7).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+        for turn, role in enumerate(("user", "assistant"))])))
     messages = talk.unionByName(extra).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("content"))
     out = chat.format_chat(messages).withColumn("turns", chat.read_back(F.col("formatted"))) \
         .withColumn("masked", chat.masked_text(F.col("turns")))
@@ -77,6 +79,24 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 2048 tokens."""
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=1)
+
+
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents within their error budget."""
+    return decontam.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def _duck_spans(pattern: str, keep: str = "true") -> str:
     """DuckDB list of (s, e, m) of a pattern's matches: lengths of the text between matches and of the matches, summed up."""
     return f"""
