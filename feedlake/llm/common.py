@@ -33,7 +33,7 @@ def with_id_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ID_KEY[0], F.col("doc_id").isNull()).withColumn(ID_KEY[1], F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows_per_class: int,
+def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows_per_class: int | dict,
                     classes: Iterable | None = None, held_out: Column | None = None) -> DataFrame:
     """(y, text) of at most ``rows_per_class`` labelled documents of each class.
 
@@ -45,8 +45,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows_per_cla
     lab = labels.select("doc_id", F.col(value).alias("y")).where("y is not null and doc_id is not null")
     if held_out is not None:
         lab = lab.where(~held_out)
+    most = rows_per_class if isinstance(rows_per_class, dict) else {c: rows_per_class for c in (classes or (0, 1))}
     parts = [lab.where(F.col("y") == c).dropDuplicates(["doc_id"])
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[c])
              for c in (classes if classes is not None else (0, 1))]
     chosen = parts[0]
     for p in parts[1:]:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, langid, packing, quality, secrets, simhash
+from . import chat, decontam, exact_dedup, langid, packing, quality, secrets, simhash, toxicity
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,16 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    net = toxicity.train(docs, labels, folds=5, held_out=0)
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), net, "score")
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 @query("op4_simhash_near_dedup")
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: shingles of 3 words, at most 2 differing bits."""
