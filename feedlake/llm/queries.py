@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, langid, packing, quality, secrets, simhash, toxicity
+from . import chat, decontam, exact_dedup, html_extract, langid, packing, quality, secrets, simhash, toxicity
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,6 +181,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.col("full_hash").alias("text_sha256"))
 
 
+@query("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = read(spark, sf_dir, "pages")
+    out = html_extract.extract_main_text(pages.select("page_id", "url", "html"), html_extract.train(pages), "text")
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("op10_quality_classifier")
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
