@@ -107,7 +107,8 @@ class Net:
 
         h = HIDDEN
         return cls({
-            "word": draw(1 << WORD_BITS, DIM, scale=0.1), "gram": draw(1 << GRAM_BITS, DIM, scale=0.3),
+            # small, so that what training has not seen says little
+            "word": draw(1 << WORD_BITS, DIM, scale=0.03), "gram": draw(1 << GRAM_BITS, DIM, scale=0.03),
             "x": draw(2 * DIM, 6 * h, scale=(2 * DIM) ** -0.5), "xb": np.zeros(6 * h, dtype=np.float32),
             "uf": draw(h, 3 * h, scale=h ** -0.5), "ub": draw(h, 3 * h, scale=h ** -0.5),
             "att": draw(2 * h, scale=0.3), "out": draw(2 * h, scale=0.3), "bias": np.zeros(1, dtype=np.float32)})
