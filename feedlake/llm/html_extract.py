@@ -192,6 +192,7 @@ def parse(page: str | None) -> Node:
         if name in BLOCK:
             if closing:
                 if name == "p" and not opened(("p",), ()):
+                    flush()  # stands for an empty paragraph
                     continue
                 if i := opened((name,), ()):
                     if name not in ("body", "html"):

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import write_stage
 
@@ -117,7 +118,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end
     for name in ("start", "length", "ids_crc32", "doc_tokens", "part", "local_rank"):
         schema = schema.add(name, "long")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
