@@ -285,29 +285,48 @@ def test_summaries(spark):
 
 # --------------------------------------------------------------- H4 / A11
 
-def _py_markdown(run_date, articles):
-    def clean(s):
-        return " ".join((s or "").split())
-    arts = [a for a in articles if a.get("processing_status") in ("completed", "partial")]
-    groups = {}
-    for a in arts:
-        groups.setdefault(clean(a.get("publication")) or "Unknown Publication", []).append(a)
-    lines = [f"# Daily Digest - {run_date}", ""]
-    if not groups:
-        lines += ["No completed or partial articles were available for this run.", ""]
-        return "\n".join(lines).rstrip() + "\n"
-    for name, items in sorted(groups.items(), key=lambda kv: kv[0].lower()):
-        lines += [f"## {name}", ""]
-        for a in sorted(items, key=lambda a: (a.get("published_at") or "", a.get("scraped_at") or ""), reverse=True):
-            bl = [clean(b) for b in a.get("summary_bullets") or [] if clean(b)]
-            lines += [f"### [{clean(a.get('title')) or 'Untitled Article'}]({a.get('canonical_url') or '#'})", "",
-                      clean(a.get("summary_short")) or "No summary available.", ""]
-            lines += [f"- {b}" for b in bl] + ([""] if bl else [])
-            kt = clean(a.get("key_takeaway"))
-            if kt:
-                lines += [f"**Key takeaway:** {kt}", ""]
-        lines.append("")
-    return "\n".join(lines).rstrip() + "\n"
+EXPECTED_DIGEST = """\
+# Daily Digest - 2026-03-11
+
+## Macro Notes
+
+### [Newer](https://m/p/n)
+
+S3
+
+**Key takeaway:** k
+
+### [Fed](https://m/p/fed)
+
+Short.
+
+- a
+- b
+- c
+
+**Key takeaway:** a
+
+
+## macro notes
+
+### [Later](https://m/p/l)
+
+S2
+
+
+## Unknown Publication
+
+### [Untitled Article](#)
+
+No summary available.
+
+- x
+"""
+EXPECTED_EMPTY = """\
+# Daily Digest - 2026-03-12
+
+No completed or partial articles were available for this run.
+"""
 
 
 def test_markdown_document(spark, tmp_path):
@@ -335,13 +354,13 @@ def test_markdown_document(spark, tmp_path):
     runs = spark.createDataFrame([("2026-03-11",), ("2026-03-12",)], "run_date string")
     blocks = outputs.markdown_blocks(df, runs)
     ordered = blocks.orderBy(*outputs.markdown_sort_order()).collect()
-    for run_date, arts in (("2026-03-11", rows), ("2026-03-12", [])):
+    for run_date, want in (("2026-03-11", EXPECTED_DIGEST), ("2026-03-12", EXPECTED_EMPTY)):
         text = "\n".join(r.text for r in ordered if r.run_date == run_date) + "\n"
-        assert text == _py_markdown(run_date, arts)
+        assert text == want
     from feedlake.sources import io
     io.write_markdown(blocks, str(tmp_path / "md"))
     files = sorted((tmp_path / "md" / "run_date=2026-03-12").glob("part-*"))
-    assert "".join(f.read_text() for f in files) == _py_markdown("2026-03-12", [])
+    assert "".join(f.read_text() for f in files) == EXPECTED_EMPTY
 
 
 # --------------------------------------------------------------- F6 / G6
@@ -365,7 +384,8 @@ def test_display_fallback(spark):
     assert choice["r3"] == ("r3", "current", False)
     assert choice["r5"] == ("r4", "last_successful_fallback", True)
     assert choice["r6"] == ("r6", "current", False)
-    shown = health.display_payload(runs, arts)
+    shown = health.display_payload(runs, arts, shown=runs)
+    assert {r.shown_for_run for r in health.display_payload(runs, arts).collect()} == set()  # r6, the latest, is empty
     assert sorted(r.article_id for r in shown.where("shown_for_run = 'r2'").collect()) == ["a1", "a2"]
     assert shown.where("shown_for_run = 'r5'").count() == 0
 
