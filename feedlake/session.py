@@ -52,8 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is used as is.  Only a session without one (tests, local runs) gets a
-    fresh scratch folder.
+    and is used as is.  Only a local session without one (tests, the bench)
+    gets a fresh scratch folder; on a cluster a missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
@@ -63,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     if sc_dir:
         return sc_dir
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="feedlake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -9,7 +9,8 @@ Two forms:
 * :func:`incremental_articles` -- ``foreachBatch`` running D1 -> C8 -> D2 ->
   D4 -> I1 -> G5 per micro-batch, idempotent by ``batch_id``: the batch's
   output is written to ``out/batch_id=<id>`` with overwrite, and the seen
-  table is versioned per batch, so a replayed batch produces the same files.
+  table has a version per batch, of which a batch reads the one before its
+  own, so a replayed batch produces the same files.
 """
 
 from __future__ import annotations
@@ -47,19 +48,29 @@ def incremental_urls(spark: SparkSession, pages_dir: str, checkpoint: str, out_p
 
 def process_batch(batch: DataFrame, batch_id: int, *, seen_path: str, out_path: str, run_iso: str,
                   responses: DataFrame | None = None) -> None:
-    """One micro-batch of pages through the article chain (idempotent)."""
+    """One micro-batch of pages through the article chain.
+
+    Replay-safe: the batch reads the seen-set as the batches before it left it
+    (the highest version below ``batch_id``) and publishes version
+    ``batch_id``, so processing a batch again gives the same files.  Of pages
+    that share a normalised URL the one with the smallest page_id counts.
+    """
     spark = batch.sparkSession
-    seen = io.read_published(spark, seen_path) or spark.createDataFrame([], state.SEEN_SCHEMA)
-    items = batch.select(F.col("page_id").alias("seq"), F.lit(0).alias("pos"), F.lit("").alias("source_url"),
-                         F.col("url").alias("article_url"), F.lit(run_iso).alias("discovered_at"),
+    seen = io.read_version_before(spark, seen_path, batch_id)
+    if seen is None:
+        seen = spark.createDataFrame([], state.SEEN_SCHEMA)
+    pages = dedupe.first_by_key(batch.select("page_id", "html", normalize_url(F.col("url")).alias("canonical_url")),
+                                ["canonical_url"], ["page_id"])
+    items = pages.select(F.col("page_id").alias("seq"), F.lit(0).alias("pos"), F.lit("").alias("source_url"),
+                         F.col("canonical_url").alias("article_url"), F.lit(run_iso).alias("discovered_at"),
                          F.lit(None).cast("string").alias("title_hint"), F.lit(None).cast("string").alias("source_label"),
-                         F.lit("reads_direct").alias("discovered_via"))
-    cands = dedupe.filter_new(items.withColumn("canonical_url", normalize_url(F.col("article_url"))), seen)
-    arts = extract.build_articles(cands.drop("canonical_url"), batch.select("url", "html"), run_iso)
+                         F.lit("reads_direct").alias("discovered_via"), "canonical_url")
+    cands = dedupe.filter_new(items, seen)
+    arts = extract.build_articles(cands.drop("canonical_url"), pages.select(F.col("canonical_url").alias("url"), "html"), run_iso)
     arts = dedupe.dedupe_first(dedupe.filter_unseen(arts, seen))
     summ = summarize.summarize(arts, responses, created_at=run_iso)
     summ.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-    io.publish_version(state.remember(seen, arts), seen_path)
+    io.publish_version(state.remember(seen, arts), seen_path, version=batch_id)
 
 
 def incremental_articles(spark: SparkSession, pages_dir: str, checkpoint: str, seen_path: str, out_path: str,
