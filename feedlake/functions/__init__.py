@@ -1,10 +1,8 @@
 """Column functions (no session needed): URL, text, HTML, date, status."""
 
-from .dates import (iso_seconds, iso_z, parse_feed_date, parse_feed_timestamp, rfc2822,
-                    run_date, run_id, state_run_id)
+from .dates import (iso_seconds, iso_z, parse_feed_date, run_date, run_id, state_run_id)
 from .html import (anchor_href, anchor_text, anchors, body_text, canonical_link,
-                   fragment_text, is_challenge_page, meta_content, meta_tags,
-                   strip_non_text, time_datetime, title_text, unescape)
+                   fragment_text, is_challenge_page, strip_non_text, time_datetime, title_text, unescape)
 from .status import error_type, fetch_status, processing_status, with_freshness
 from .text import (bullets, clean_whitespace, content_hash, first_non_blank,
                    first_sentences, key_takeaway, normalize_text, short_id,

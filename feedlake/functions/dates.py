@@ -6,8 +6,6 @@ deterministic; nothing reads the wall clock inside a plan.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,15 +50,6 @@ def state_run_id(ts) -> Column:
     return iso_z(ts)
 
 
-def now_literal(run_ts: str | datetime | None = None) -> str:
-    """ISO text of the run clock; callers pass it to jobs as a literal."""
-    if run_ts is None:
-        run_ts = datetime.now(timezone.utc).replace(microsecond=0)
-    if isinstance(run_ts, datetime):
-        return run_ts.astimezone(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
-    return run_ts
-
-
 def _rfc_parts(s: Column):
     g = [F.regexp_extract(s, RFC2822_RE, i) for i in range(1, 8)]
     return g
@@ -112,15 +101,3 @@ def parse_feed_date(c) -> Column:
     mins = _offset_minutes(zone)
     iso = F.concat(F.date_format(local_ts, "yyyy-MM-dd'T'HH:mm:ss"), _fmt_offset(mins))
     return F.when(local_ts.isNotNull(), iso).otherwise(s)
-
-
-def parse_feed_timestamp(c) -> Column:
-    """B16 companion: the parsed instant as a UTC timestamp (NULL if raw)."""
-    local_ts, zone = _rfc_local(as_col(c))
-    mins = F.coalesce(_offset_minutes(zone), F.lit(0))
-    return F.timestamp_seconds(F.unix_seconds(local_ts) - mins * 60)
-
-
-def rfc2822(ts) -> Column:
-    """Format a UTC timestamp as an RFC 2822 date (``..., dd Mon yyyy HH:mm:ss GMT``)."""
-    return F.date_format(as_col(ts), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")

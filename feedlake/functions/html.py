@@ -100,15 +100,6 @@ def _first_tag_attr(tags: Column, match_attr: str, match_value: str, value_attr:
     return F.nullif(clean_whitespace(attr(hit, value_attr)), F.lit(""))
 
 
-def meta_tags(html) -> Column:
-    return F.regexp_extract_all(as_col(html), F.lit(META_RE), 0)
-
-
-def meta_content(metas: Column, key_attr: str, key: str) -> Column:
-    """``meta[key_attr='key']@content`` of the first such tag."""
-    return _first_tag_attr(metas, key_attr, key, "content")
-
-
 def canonical_link(html) -> Column:
     tags = F.regexp_extract_all(as_col(html), F.lit(LINK_TAG_RE), 0)
     return _first_tag_attr(tags, "rel", "canonical", "href")

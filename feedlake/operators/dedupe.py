@@ -67,40 +67,55 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
     """In-run rule -- a row is dropped when its URL or its hash equals that
     of an **earlier kept** row (dropped rows do not block later ones).
 
-    Rounds over the undecided rows: accept every row that is the first of
-    both its URL group and its hash group; remove every row that shares a URL
-    or a hash with an accepted row; repeat until nothing is undecided.  The
-    globally first undecided row is always accepted, so each round makes
-    progress.  Only (seq, url, hash) travel through the loop; the full rows
-    are restored by one semi join at the end.  Each round's remainder is
-    checkpointed to the shared checkpoint folder to cut lineage.
-
-    With ``materialize`` the input rows are checkpointed first, so an
-    expensive upstream plan (HTML extraction) runs once for both the keys and
-    the returned rows.
+    Earlier means a smaller (order, URL, hash), so a repeated ``order_col`` is
+    no ambiguity; of rows equal in all three one is kept.  Only those three
+    travel through the steps:
+
+    1. equal (URL, hash) pairs collapse to their first row; a later one never
+       survives, whatever happens to the first;
+    2. a URL group whose hashes occur nowhere else, or a hash group whose URLs
+       occur nowhere else, is settled at once: its first pair stays;
+    3. the rest, pairs in conflict on both keys, is settled in rounds: accept
+       every pair that is first of both its groups, remove all pairs that
+       share a URL or a hash with an accepted one.  The first undecided pair
+       is always accepted, so each round makes progress; a round writes one
+       checkpoint to the shared folder.
+
+    A NULL key matches nothing.  With ``materialize`` the input rows are
+    checkpointed first, so an expensive upstream plan (HTML extraction) runs
+    once for both the keys and the returned rows.
     """
     if materialize:
         df = cut_lineage(df)
-    # A NULL key never matches: give it a per-row value no URL or digest can equal.
-    k_hash = F.coalesce(F.col(hash_col), F.concat(F.lit("~null:"), F.col(order_col).cast("string")))
-    k_url = F.coalesce(F.col(url_col), F.concat(F.lit("~null:"), F.col(order_col).cast("string")))
-    undecided = df.select(F.col(order_col).alias("k_seq"), k_url.alias("k_url"), k_hash.alias("k_hash"))
-    accepted_parts: list[DataFrame] = []
-    rounds = 0
-    while True:
-        rounds += 1
-        url_first = undecided.groupBy("k_url").agg(F.min("k_seq").alias("k_seq"))
-        hash_first = undecided.groupBy("k_hash").agg(F.min("k_seq").alias("k_seq"))
-        acc = cut_lineage(undecided.join(url_first, ["k_url", "k_seq"], "left_semi")
-                          .join(hash_first, ["k_hash", "k_seq"], "left_semi"))
-        accepted_parts.append(acc.select("k_seq"))
-        rest = (undecided.join(acc.select("k_url").distinct(), "k_url", "left_anti")
-                .join(acc.select("k_hash").distinct(), "k_hash", "left_anti"))
-        rest = cut_lineage(rest)
-        if rest.isEmpty():
-            break
-        undecided = rest
-    kept = accepted_parts[0]
-    for part in accepted_parts[1:]:
-        kept = kept.unionByName(part)
-    return df.join(kept.select(F.col("k_seq").alias(order_col)), order_col, "left_semi")
+
+    def own(c: str):  # a NULL key gets a per-row value that no URL or digest can equal
+        return F.coalesce(F.col(c), F.concat(F.lit("~null:"), F.to_json(F.struct(order_col, url_col, hash_col))))
+
+    keys = df.select(own(url_col).alias("k_url"), own(hash_col).alias("k_hash"), F.col(order_col).alias("k_seq"))
+    pairs = keys.groupBy("k_url", "k_hash").agg(F.min("k_seq").alias("k_seq")) \
+        .select("k_url", "k_hash", F.struct("k_seq", "k_url", "k_hash").alias("k"))
+    by_url = pairs.groupBy("k_url").agg(F.count(F.lit(1)).alias("n_url"))
+    by_hash = pairs.groupBy("k_hash").agg(F.count(F.lit(1)).alias("n_hash"))
+    pairs = cut_lineage(pairs.join(by_url, "k_url").join(by_hash, "k_hash"))
+    # What a group's members have beside the group's own key decides whether it stands alone.
+    url_groups = pairs.groupBy("k_url").agg(F.min("k").alias("k"), F.max("n_hash").alias("most"))
+    hash_groups = pairs.groupBy("k_hash").agg(F.min("k").alias("k"), F.max("n_url").alias("most"))
+    kept = url_groups.where("most = 1").select("k").unionByName(hash_groups.where("most = 1").select("k"))
+    undecided = pairs.select("k_url", "k_hash", "k") \
+        .join(url_groups.where("most = 1").select("k_url"), "k_url", "left_anti") \
+        .join(hash_groups.where("most = 1").select("k_hash"), "k_hash", "left_anti")
+    while not undecided.isEmpty():
+        first_url = undecided.groupBy("k_url").agg(F.min("k").alias("u"))
+        first_hash = undecided.groupBy("k_hash").agg(F.min("k").alias("h"))
+        seen = cut_lineage(undecided.join(first_url, "k_url").join(first_hash, "k_hash").select(
+            "k_url", "k_hash", "k", ((F.col("k") == F.col("u")) & (F.col("k") == F.col("h"))).alias("accepted")))
+        accepted = seen.where("accepted")
+        kept = kept.unionByName(accepted.select("k"))
+        undecided = seen.where(~F.col("accepted")).select("k_url", "k_hash", "k") \
+            .join(accepted.select("k_url"), "k_url", "left_anti").join(accepted.select("k_hash"), "k_hash", "left_anti")
+    # A pair that is alone in both its groups is named twice.
+    kept = kept.select("k.*").distinct()
+    marked = df.withColumns({"_k_url": own(url_col), "_k_hash": own(hash_col), "_k_seq": F.col(order_col)})
+    found = marked.join(kept.select(F.col("k_seq").alias("_k_seq"), F.col("k_url").alias("_k_url"), F.col("k_hash").alias("_k_hash")),
+                        ["_k_seq", "_k_url", "_k_hash"], "left_semi")
+    return found.dropDuplicates(["_k_seq", "_k_url", "_k_hash"]).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -159,8 +159,7 @@ def direct_articles(pages: DataFrame, discovered_at: str, source_label: str | No
     URL within a page wins; title hint is the anchor text or NULL.
     """
     links = _links_column(pages, base_col, html_col)
-    cands = F.filter(links, lambda x: (x["href"] != "") & ~x["href"].startswith("#")
-                     & is_article_url(x["url"]))
+    cands = _article_links(links)
     rows = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("source_url"),
                         F.explode(_first_per_url(cands)).alias("l"))
     return rows.select(
@@ -171,6 +170,23 @@ def direct_articles(pages: DataFrame, discovered_at: str, source_label: str | No
         F.lit(VIA_READS).alias("discovered_via"))
 
 
+def _article_links(links: Column) -> Column:
+    return F.filter(links, lambda x: (x["href"] != "") & ~x["href"].startswith("#") & is_article_url(x["url"]))
+
+
+def _publication_links(links: Column, profile_host: Column) -> Column:
+    return F.filter(links, lambda x: (x["href"] != "") & is_publication_url(x["url"], profile_host))
+
+
+def link_counts(pages: DataFrame, base_col: str = "url", html_col: str = "html", seq_col: str = "page_id") -> DataFrame:
+    """Per page: seq, is_challenge, and how many links C4 and C5 would take (before first-per-URL)."""
+    staged = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("_base"),
+                          H.is_challenge_page(F.col(html_col)).alias("is_challenge"),
+                          _links_column(pages, base_col, html_col).alias("_links"))
+    return staged.select("seq", "is_challenge", F.size(_article_links(F.col("_links"))).alias("direct_links"),
+                         F.size(_publication_links(F.col("_links"), url_host(F.col("_base")))).alias("publication_links"))
+
+
 def discovered_publications(pages: DataFrame, discovered_at: str, base_col: str = "url",
                             html_col: str = "html", seq_col: str = "page_id") -> DataFrame:
     """Candidate publication links of a profile's reads page.
@@ -180,7 +196,7 @@ def discovered_publications(pages: DataFrame, discovered_at: str, base_col: str
     """
     links = _links_column(pages, base_col, html_col)
     profile_host = url_host(F.col(base_col))
-    cands = F.filter(links, lambda x: (x["href"] != "") & is_publication_url(x["url"], profile_host))
+    cands = _publication_links(links, profile_host)
     rows = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("discovered_from_profile"),
                         F.explode(_first_per_url(cands)).alias("l"))
     url = F.col("l.url")
@@ -348,7 +364,3 @@ def build_failed(failed_items: DataFrame, source_profile: str, run_date: str, sc
         F.lit(None).cast("string").alias("summary_model"), F.lit(None).cast("string").alias("content_hash"),
         F.col(error_col).cast("string").alias("error_message"), "discovered_via", "seq",
     )
-
-
-def fetched_at_literal(run_ts: str) -> Column:
-    return iso_seconds(F.lit(run_ts).cast("timestamp"))

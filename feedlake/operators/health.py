@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .extract import link_counts
 from .outputs import FALLBACK_BANNER, dashboard_feed, digest
-from ..functions.status import with_freshness
 
 # Warnings and stage names.
 WARN_DNS = "DNS resolution failed for required external domains."
@@ -29,22 +29,20 @@ def check_counts(checks: DataFrame, by: str = "run_id") -> DataFrame:
         F.count_if(~F.col("ok")).alias("source_checks_failed"))
 
 
+def _failed(kind: str) -> Column:
+    return F.max(((F.col("kind") == kind) & ~F.col("ok")).cast("int"))
+
+
+def _stage() -> Column:
+    return F.when(F.col("_dns_fail") == 1, F.lit("preflight_dns")).when(F.col("_http_fail") == 1, F.lit("preflight_http"))
+
+
 def preflight_status(checks: DataFrame, by: str = "run_id") -> DataFrame:
     """E5: any DNS failure -> degraded/preflight_dns; else any HTTP failure
     -> degraded/preflight_http; else ok."""
-    agg = checks.groupBy(by).agg(
-        F.max(((F.col("kind") == "dns") & ~F.col("ok")).cast("int")).alias("_dns_fail"),
-        F.max(((F.col("kind") == "http") & ~F.col("ok")).cast("int")).alias("_http_fail"))
-    stage = (F.when(F.col("_dns_fail") == 1, F.lit("preflight_dns"))
-             .when(F.col("_http_fail") == 1, F.lit("preflight_http")))
-    return agg.select(by, F.when(stage.isNotNull(), F.lit("degraded")).otherwise(F.lit("ok")).alias("core_status"),
-                      stage.alias("failure_stage"))
-
-
-def http_ok(status_code) -> Column:
-    """Check success rule: 200 <= status < 400."""
-    c = F.col(status_code) if isinstance(status_code, str) else status_code
-    return (c >= 200) & (c < 400)
+    agg = checks.groupBy(by).agg(_failed("dns").alias("_dns_fail"), _failed("http").alias("_http_fail"))
+    return agg.select(by, F.when(_stage().isNotNull(), F.lit("degraded")).otherwise(F.lit("ok")).alias("core_status"),
+                      _stage().alias("failure_stage"))
 
 
 def discovery_status(succeeded, failed) -> tuple[Column, Column]:
@@ -60,18 +58,34 @@ def final_status(internal_error, degraded) -> Column:
             .otherwise(F.lit("healthy")))
 
 
-def run_status(checks: DataFrame, by: str = "run_id") -> DataFrame:
+def run_status(checks: DataFrame, by: str = "run_id", internal: DataFrame | None = None) -> DataFrame:
     """E5 -> E6 -> E7 per run, with the caller's rule that a run where no
-    source check succeeded is degraded too (even with zero checks)."""
-    pre = preflight_status(checks, by)
-    counts = check_counts(checks, by)
-    j = pre.join(counts, by, "left").na.fill(0, ["source_checks_attempted", "source_checks_succeeded",
-                                                 "source_checks_failed"])
-    pre_bad = F.col("core_status") == "degraded"
+    source check succeeded is degraded too (even with zero checks).
+
+    ``internal`` (``by``, error) names runs that an unexpected error ended:
+    they are ``failed`` at stage ``internal``, whatever their checks say.  One
+    aggregation gives the preflight stage and the counts.
+    """
+    source = F.col("kind") == "source"
+    j = checks.groupBy(by).agg(
+        _failed("dns").alias("_dns_fail"), _failed("http").alias("_http_fail"),
+        F.count_if(source).alias("source_checks_attempted"),
+        F.count_if(source & F.col("ok")).alias("source_checks_succeeded"),
+        F.count_if(source & ~F.col("ok")).alias("source_checks_failed"))
+    j = j.withColumn("failure_stage", _stage()) \
+        .withColumn("core_status", F.when(F.col("failure_stage").isNotNull(), F.lit("degraded")).otherwise(F.lit("ok")))
+    if internal is not None:
+        errors = internal.groupBy(by).agg(F.min("error").alias("_error"), F.lit(True).alias("_internal"))
+        j = j.join(errors, by, "full_outer").na.fill(0, ["source_checks_attempted", "source_checks_succeeded", "source_checks_failed"])
+    else:
+        j = j.withColumn("_error", F.lit(None).cast("string")).withColumn("_internal", F.lit(False))
+    crashed = F.coalesce(F.col("_internal"), F.lit(False))
+    pre_bad = F.coalesce(F.col("core_status") == "degraded", F.lit(False))
     disc_state, disc_stage = discovery_status(F.col("source_checks_succeeded"), F.col("source_checks_failed"))
     disc_bad = (disc_state == "degraded") | (F.col("source_checks_succeeded") == 0)
     degraded = pre_bad | disc_bad
-    warnings = (F.when(F.col("failure_stage") == "preflight_dns", F.array(F.lit(WARN_DNS)))
+    warnings = (F.when(crashed & ~pre_bad, F.array().cast("array<string>"))
+                .when(F.col("failure_stage") == "preflight_dns", F.array(F.lit(WARN_DNS)))
                 .when(pre_bad, F.array(F.lit(WARN_PREFLIGHT)))
                 .when(disc_bad, F.array(F.lit(WARN_NO_SOURCES)))
                 .otherwise(F.array().cast("array<string>")))
@@ -79,8 +93,8 @@ def run_status(checks: DataFrame, by: str = "run_id") -> DataFrame:
     zero_if_pre = lambda c: F.when(pre_bad, F.lit(0)).otherwise(F.col(c)).cast("long")
     return j.select(
         by,
-        final_status(F.lit(False), degraded).alias("run_status"),
-        F.when(pre_bad, F.col("failure_stage")).when(disc_bad, F.coalesce(disc_stage, F.lit("discovery")))
+        final_status(crashed, degraded).alias("run_status"),
+        F.when(crashed, F.lit("internal")).when(pre_bad, F.col("failure_stage")).when(disc_bad, F.coalesce(disc_stage, F.lit("discovery")))
         .alias("failure_stage"),
         zero_if_pre("source_checks_attempted").alias("source_checks_attempted"),
         zero_if_pre("source_checks_succeeded").alias("source_checks_succeeded"),
@@ -88,26 +102,24 @@ def run_status(checks: DataFrame, by: str = "run_id") -> DataFrame:
         warnings.alias("warnings"))
 
 
-def run_manifest(items: DataFrame, articles: DataFrame, by: str = "run_id") -> DataFrame:
-    """Counters per run.
+def run_manifest(direct: DataFrame, selected: DataFrame, fetched: DataFrame, summaries: DataFrame,
+                 failed: DataFrame, by: str = "run_id") -> DataFrame:
+    """Counters per run, each from the step that it counts.
 
-    ``items``: selected read items (run_id, discovered_via); ``articles``:
-    canonical rows (run_id, processing_status, error_message).  Reads
-    discovered counts direct links only; fetched = not failed; summaries =
-    completed or partial rows; errors = the failed items' messages.
+    ``direct``: direct links as discovered, before merge, filter and limit;
+    ``selected``: candidates after them; ``fetched``: pages fetched, duplicates
+    found afterwards included; ``summaries``: articles summarised; ``failed``:
+    items whose fetch or extraction failed.  Only ``by`` of each is read.
     """
-    disc = items.groupBy(by).agg(
-        F.count_if(F.col("discovered_via") == "reads_direct").alias("reads_discovered"),
-        F.count(F.lit(1)).alias("articles_selected"))
-    arts = articles.groupBy(by).agg(
-        F.count_if(F.col("processing_status") != "failed_extraction").alias("articles_fetched"),
-        F.count_if(F.col("processing_status").isin("completed", "partial")).alias("summaries_created"),
-        F.count_if(F.col("processing_status") == "failed_extraction").alias("error_count"))
-    j = disc.join(arts, by, "full_outer").na.fill(0)
-    return j.select(by, "reads_discovered", "articles_selected", "articles_fetched", "summaries_created",
-                    "error_count",
-                    F.when(F.col("error_count") > 0, F.lit("completed_with_errors"))
-                    .otherwise(F.lit("completed")).alias("status"))
+    steps = {"reads_discovered": direct, "articles_selected": selected, "articles_fetched": fetched,
+             "summaries_created": summaries, "error_count": failed}
+    counted = None
+    for name, df in steps.items():
+        part = df.select(by, F.lit(name).alias("_step"))
+        counted = part if counted is None else counted.unionByName(part)
+    j = counted.groupBy(by).agg(*[F.count_if(F.col("_step") == name).alias(name) for name in steps])
+    return j.withColumn("status", F.when(F.col("error_count") > 0, F.lit("completed_with_errors"))
+                        .otherwise(F.lit("completed")))
 
 
 def run_errors(articles: DataFrame, by: str = "run_id") -> DataFrame:
@@ -116,16 +128,15 @@ def run_errors(articles: DataFrame, by: str = "run_id") -> DataFrame:
         by, "seq", F.concat_ws(": ", F.col("article_url"), F.col("error_message")).alias("error"))
 
 
-def discovery_blocked(reads_pages: DataFrame, direct: DataFrame, pubs: DataFrame, by: str = "seq") -> DataFrame:
+def discovery_blocked(reads_pages: DataFrame, base_col: str = "url", html_col: str = "html",
+                      seq_col: str = "page_id") -> DataFrame:
     """A reads page is blocked when a debug snapshot was taken (challenge
     page, or nothing found) and it yielded no publications and no direct
-    links.  ``reads_pages`` carries ``is_challenge``."""
-    d = direct.groupBy(by).agg(F.count(F.lit(1)).alias("_d"))
-    p = pubs.groupBy(by).agg(F.count(F.lit(1)).alias("_p"))
-    j = reads_pages.select(by, "is_challenge").join(d, by, "left").join(p, by, "left").na.fill(0, ["_d", "_p"])
-    nothing = (F.col("_d") == 0) & (F.col("_p") == 0)
+    links.  All of it is decided inside the page's row: one parse, no shuffle."""
+    seen = link_counts(reads_pages, base_col, html_col, seq_col)
+    nothing = (F.col("direct_links") == 0) & (F.col("publication_links") == 0)
     snapshot = F.col("is_challenge") | nothing
-    return j.select(by, snapshot.alias("snapshot_taken"), (snapshot & nothing).alias("discovery_blocked"))
+    return seen.select("seq", snapshot.alias("snapshot_taken"), (snapshot & nothing).alias("discovery_blocked"))
 
 
 def display_choice(runs: DataFrame, article_counts: DataFrame, profile_col: str = "source_profile",
@@ -137,6 +148,8 @@ def display_choice(runs: DataFrame, article_counts: DataFrame, profile_col: str
     empty), stamped ``last_successful_fallback`` with the banner; failed ->
     current.  ``display_run_id`` is NULL when no healthy run exists yet
     (an empty fallback).
+
+    The window has one partition per profile, of one small row per run.
     """
     w = (Window.partitionBy(profile_col).orderBy(F.col(order_col).asc(), F.col(run_col).asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -153,12 +166,27 @@ def display_choice(runs: DataFrame, article_counts: DataFrame, profile_col: str
     ).drop("_last_healthy")
 
 
-def display_payload(runs: DataFrame, articles: DataFrame, run_col: str = "run_id", **kw) -> DataFrame:
-    """article rows each run displays (with freshness and banner)."""
+def latest_runs(runs: DataFrame, profile_col: str = "source_profile", order_col: str = "started_at",
+                run_col: str = "run_id") -> DataFrame:
+    """The run that is on display for each profile: the one started last."""
+    return runs.groupBy(profile_col).agg(F.max(F.struct(order_col, run_col)).alias("_l")) \
+        .select(F.col("_l")[run_col].alias(run_col))
+
+
+def display_payload(runs: DataFrame, articles: DataFrame, run_col: str = "run_id",
+                    shown: DataFrame | None = None, **kw) -> DataFrame:
+    """article rows that the run on display shows (with freshness and banner).
+
+    ``shown`` (``run_col``) names the runs to show, by default each profile's
+    latest.  Rows are only copied for those: any number of earlier degraded
+    runs may point to the same healthy run, and :func:`display_choice` keeps
+    that pointer for every run without touching article rows.
+    """
     counts = articles.groupBy(run_col).agg(F.count(F.lit(1)).alias("article_count"))
     choice = display_choice(runs, counts, run_col=run_col, **kw)
-    c = choice.select(F.col(run_col).alias("shown_for_run"), "run_status", "display_run_id",
-                      "data_freshness", "banner_message")
+    shown = latest_runs(runs, run_col=run_col, **{k: v for k, v in kw.items() if k != "run_col"}) if shown is None else shown.select(run_col).distinct()
+    c = choice.join(shown, run_col, "left_semi").select(
+        F.col(run_col).alias("shown_for_run"), "run_status", "display_run_id", "data_freshness", "banner_message")
     a = articles.drop("data_freshness")
     j = c.join(a, c["display_run_id"] == a[run_col], "inner")
     return j.drop(run_col)
@@ -181,37 +209,37 @@ def promote_latest(run: DataFrame, payload: DataFrame) -> tuple[DataFrame, DataF
 
 
 def reads_source_row(checks: DataFrame, reads_host: str, profile_url: str, by: str = "run_id",
-                     reads_name: str = "Reads profile") -> DataFrame:
+                     reads_name: str = "Reads profile", blocked: DataFrame | None = None) -> DataFrame:
     """The extra health row of the reads profile for every run.
 
-    Status ok unless a preflight stage failed; the error type follows the
+    Status ok unless a preflight stage failed or discovery was blocked
+    (``blocked`` names those runs); the error type follows the
     failed stage (dns -> dns_failure; http -> http_403 when the first failed
     http check on the reads host returned 403, else http_failure); the
-    message is that check's error, or ``HTTP <code>``.
+    message is that check's error or, if that is blank, ``HTTP <code>``.
     """
-    pre = preflight_status(checks, by)
-    on_host = F.col("target").contains(reads_host)
-    first_dns = checks.where((F.col("kind") == "dns") & ~F.col("ok") & on_host).groupBy(by).agg(
-        F.min(F.struct("seq", "error")).alias("_dns"))
-    first_http = checks.where((F.col("kind") == "http") & ~F.col("ok") & on_host).groupBy(by).agg(
-        F.min(F.struct("seq", "status_code", "error")).alias("_http"))
-    started = checks.groupBy(by).agg(F.min("checked_at").alias("_started"))
-    j = pre.join(first_dns, by, "left").join(first_http, by, "left").join(started, by, "left")
-    stage = F.col("failure_stage")
+    on_host = F.col("target").contains(reads_host) & ~F.col("ok")
+    j = checks.groupBy(by).agg(
+        _failed("dns").alias("_dns_fail"), _failed("http").alias("_http_fail"),
+        F.min(F.when((F.col("kind") == "dns") & on_host, F.struct("seq", "error"))).alias("_dns"),
+        F.min(F.when((F.col("kind") == "http") & on_host, F.struct("seq", "status_code", "error"))).alias("_http"),
+        F.min("checked_at").alias("_started"))
+    if blocked is not None:
+        j = j.join(blocked.select(by, F.lit(True).alias("_blocked")).distinct(), by, "left")
+    else:
+        j = j.withColumn("_blocked", F.lit(None).cast("boolean"))
+    stage = _stage()
     etype = (F.when(stage == "preflight_dns", F.lit("dns_failure"))
              .when(stage == "preflight_http", F.when(F.col("_http.status_code") == 403, F.lit("http_403"))
                    .otherwise(F.lit("http_failure"))))
-    emsg = (F.when(stage == "preflight_dns", F.col("_dns.error"))
+    emsg = (F.when(stage == "preflight_dns", F.nullif(F.col("_dns.error"), F.lit("")))
             .when(stage == "preflight_http", F.coalesce(
-                F.col("_http.error"),
+                F.nullif(F.col("_http.error"), F.lit("")),
                 F.when(F.col("_http").isNotNull(), F.concat(F.lit("HTTP "), F.col("_http.status_code").cast("string"))))))
-    status = F.when(stage.isNull(), F.lit("ok")).otherwise(F.lit("error"))
+    good = stage.isNull() & ~F.coalesce(F.col("_blocked"), F.lit(False))
+    status = F.when(good, F.lit("ok")).otherwise(F.lit("error"))
     return j.select(
         by, F.lit(reads_name).alias("name"), F.lit(profile_url).alias("url"), status.alias("monitor_status"),
-        F.when(stage.isNull(), F.col("_started")).alias("last_successful_check"),
+        F.when(good, F.col("_started")).alias("last_successful_check"),
         F.col("_started").alias("last_attempted_check"), etype.alias("last_error_type"),
         emsg.alias("last_error_message"))
-
-
-def stamp(articles: DataFrame, freshness: str) -> DataFrame:
-    return with_freshness(articles, freshness)

@@ -27,6 +27,7 @@ UNTITLED_ARTICLE = "Untitled Article"
 NO_SUMMARY = "No summary available."
 EMPTY_DIGEST_LINE = "No completed or partial articles were available for this run."
 DEFAULT_TITLE = "# Daily Digest - {run_date}"
+DEFAULT_INTRO = "Generated from public Reads activity."
 FALLBACK_BANNER = "Current monitoring run degraded. Displaying last successful dataset."
 
 
@@ -97,26 +98,6 @@ def group_key(publication) -> Column:
                       F.lit(UNKNOWN_PUBLICATION))
 
 
-def ordered_articles(articles: DataFrame, seq_col: str = "seq") -> DataFrame:
-    """E3 + F4 + F5 sort keys on every publishable article.
-
-    Groups order by lower-cased name, ties by first appearance (min seq of
-    the group); articles inside a group by (published_at or '', scraped_at
-    or '') descending, ties in input order.
-    """
-    pub = publishable(articles).withColumn("group_name", group_key(F.col("publication")))
-    groups = pub.groupBy("run_date", "group_name").agg(F.min(seq_col).alias("group_seq"))
-    first = groups.groupBy("run_date").agg(
-        F.min(F.struct(F.lower("group_name").alias("l"), F.col("group_seq").alias("s"))).alias("_first"))
-    groups = (groups.join(first, "run_date")
-              .withColumn("group_first", (F.lower("group_name") == F.col("_first.l"))
-                          & (F.col("group_seq") == F.col("_first.s"))).drop("_first"))
-    out = pub.join(groups, ["run_date", "group_name"])
-    return (out.withColumn("group_lower", F.lower("group_name"))
-            .withColumn("sort_published", F.coalesce(F.nullif(F.col("published_at"), F.lit("")), F.lit("")))
-            .withColumn("sort_scraped", F.coalesce(F.nullif(F.col("scraped_at"), F.lit("")), F.lit(""))))
-
-
 def _article_block(df: DataFrame) -> Column:
     title = F.coalesce(F.nullif(clean_whitespace(F.coalesce(F.col("title"), F.lit(""))), F.lit("")),
                        F.lit(UNTITLED_ARTICLE))

@@ -53,19 +53,20 @@ def empty_registry(spark) -> DataFrame:
 
 
 def with_registry_defaults(df: DataFrame, expiry_days: int = DEFAULT_EXPIRY_DAYS) -> DataFrame:
-    """Add columns missing from older state with their defaults."""
+    """Older state gets its missing values: a defaulted column that is
+    absent, or NULL in a row written before the column existed, takes the
+    default; other absent columns are NULL."""
     defaults = {
         "monitor_status": F.lit(DEFAULT_MONITOR_STATUS), "monitor_method": F.lit(DEFAULT_MONITOR_METHOD),
         "expiry_after_days": F.lit(expiry_days), "is_active": F.lit(True),
     }
-    out = df
+    columns = []
     for field in REGISTRY_SCHEMA.fields:
-        if field.name not in out.columns:
-            value = defaults.get(field.name, F.lit(None))
-            out = out.withColumn(field.name, value.cast(field.dataType))
-        else:
-            out = out.withColumn(field.name, F.col(field.name).cast(field.dataType))
-    return out.select(*REGISTRY_COLUMNS)
+        value = F.col(field.name).cast(field.dataType) if field.name in df.columns else F.lit(None).cast(field.dataType)
+        if field.name in defaults:
+            value = F.coalesce(value, defaults[field.name].cast(field.dataType))
+        columns.append(value.alias(field.name))
+    return df.select(*columns)
 
 
 def _ts(value) -> Column:

@@ -66,13 +66,14 @@ def merge_index(index: DataFrame, batch: DataFrame, run_date: str) -> DataFrame:
     new = batch.select(*value_cols, F.lit(run_date).alias("first_run_date"), F.col("seq").alias("first_seq"),
                        F.lit(1).alias("_v"))
     both = old.unionByName(new)
-    agg = both.groupBy("article_id").agg(
-        F.max(F.struct(F.col("_v"), F.col("seq").alias("_s"),
-                       *[F.col(c) for c in value_cols if c != "article_id"])).alias("_last"),
+    # The winner is chosen on narrow columns; the wide row is fetched by one join on (id, version, seq).
+    pick = both.groupBy("article_id").agg(
+        F.max(F.struct("_v", "seq")).alias("_last"),
         F.min(F.struct("first_run_date", "first_seq")).alias("_pos"))
-    return agg.select("article_id", *[F.col("_last")[c].alias(c) for c in value_cols if c != "article_id"],
-                      F.col("_pos.first_run_date").alias("first_run_date"),
-                      F.col("_pos.first_seq").alias("first_seq")).select(*value_cols, "first_run_date", "first_seq")
+    pick = pick.select(F.col("article_id").alias("_id"), F.col("_last._v").alias("_lv"), F.col("_last.seq").alias("_ls"), "_pos")
+    won = both.drop("first_run_date", "first_seq").join(
+        pick, (F.col("article_id") == F.col("_id")) & (F.col("_v") == F.col("_lv")) & F.col("seq").eqNullSafe(F.col("_ls")))
+    return won.select(*value_cols, F.col("_pos.first_run_date").alias("first_run_date"), F.col("_pos.first_seq").alias("first_seq"))
 
 
 def checkpoints(manifests: DataFrame) -> DataFrame:
