@@ -187,9 +187,9 @@ def _feed_dates_spark(spark, sf):
         suffix = F.when(F.col("event_type") == et, F.lit(sfx)).otherwise(suffix)
     raw = F.when(F.col("event_type") == "error", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(
         F.concat(F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss"), suffix))
-    return e.select("event_id", raw.alias("raw")).withColumn("parsed", fl.parse_feed_date("raw")).join(
-        e.select("event_id", fl.run_date("ts").alias("run_date"), fl.run_id("ts").alias("run_id"),
-                 fl.state_run_id("ts").alias("state_run_id")), "event_id")
+    return e.select("event_id", raw.alias("raw"), fl.parse_feed_date(raw).alias("parsed"),
+                    fl.run_date("ts").alias("run_date"), fl.run_id("ts").alias("run_id"),
+                    fl.state_run_id("ts").alias("state_run_id"))
 
 
 _sfx_raw = " ".join(f"WHEN '{et}' THEN '{a}'" for et, (a, _) in _ZONE_SUFFIX.items())

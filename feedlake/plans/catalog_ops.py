@@ -310,14 +310,6 @@ def _batch_articles(spark, sf):
     return doc_rows.unionByName(page_rows)
 
 
-def _batch_once(spark, sf):
-    """The batch rows materialised once, as a run's canonical table is (A7):
-    output queries read stored rows, so a filter on a derived column such as
-    ``processing_status`` does not re-run extraction and summaries."""
-    from ..session import cut_lineage
-    return cut_lineage(_batch_articles(spark, sf))
-
-
 _DOC_RESP = (f"(SELECT a.*, {S.strip('r.output_text')} AS _resp FROM {_doc_articles_sql()} a "
              f"LEFT JOIN {_RESP_SQL} r ON a.seq = r.conv_id)")
 _BATCH_SQL = f"""
@@ -329,14 +321,14 @@ register("digest", f"""
 SELECT article_id, title, canonical_url, publication, published_at, summary_short,
        {S.arr_text('summary_bullets')} AS summary_bullets, key_takeaway, processing_status, 'current' AS data_freshness
 FROM {_BATCH_SQL} WHERE processing_status IN ('completed', 'partial')""")(
-    lambda spark, sf: outputs.digest(fl.with_freshness(outputs.publishable(_batch_once(spark, sf)), "current"))
+    lambda spark, sf: outputs.digest(fl.with_freshness(outputs.publishable(_batch_articles(spark, sf)), "current"))
     .withColumn("summary_bullets", _arr(F.col("summary_bullets"))))
 
 register("dashboard_feed", f"""
 SELECT article_id AS id, title, canonical_url AS url, publication, author, summary_short AS summary, summary_status,
        scraped_at, processing_status, {S.arr_text('topic_tags')} AS topic_tags, 'current' AS data_freshness
 FROM {_BATCH_SQL}""")(
-    lambda spark, sf: outputs.dashboard_feed(fl.with_freshness(_batch_once(spark, sf), "current"))
+    lambda spark, sf: outputs.dashboard_feed(fl.with_freshness(_batch_articles(spark, sf), "current"))
     .withColumn("topic_tags", _arr(F.col("topic_tags"))))
 
 register("daily_batch_header", f"""
@@ -345,15 +337,15 @@ SELECT '1.0' AS schema_version, run_date AS run_id, run_date, '{I.SOURCE_PROFILE
        CASE WHEN bool_or(processing_status = 'failed_extraction') THEN 'completed_with_errors' ELSE 'completed' END
          AS status
 FROM {_BATCH_SQL} GROUP BY run_date""")(
-    lambda spark, sf: outputs.daily_batch_header(_batch_once(spark, sf), None, I.SOURCE_PROFILE, I.RUN_ISO))
+    lambda spark, sf: outputs.daily_batch_header(_batch_articles(spark, sf), None, I.SOURCE_PROFILE, I.RUN_ISO))
 
 register("article_count", f"SELECT run_date, count(*) AS article_count FROM {_BATCH_SQL} GROUP BY run_date")(
-    lambda spark, sf: outputs.article_count(_batch_once(spark, sf)))
+    lambda spark, sf: outputs.article_count(_batch_articles(spark, sf)))
 
 
 def _markdown_spark(spark, sf):
     runs = _t(spark, sf, "events").select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd").alias("run_date"))
-    return outputs.markdown_blocks(_batch_once(spark, sf), runs.distinct()).select(*outputs.MARKDOWN_COLUMNS)
+    return outputs.markdown_blocks(_batch_articles(spark, sf), runs.distinct()).select(*outputs.MARKDOWN_COLUMNS)
 
 
 def _md_block_sql() -> str:
@@ -393,16 +385,38 @@ UNION ALL
 SELECT run_date, 1, lower(group_name), group_seq, 1, coalesce(nullif(published_at, ''), ''),
        coalesce(nullif(scraped_at, ''), ''), seq, {_md_block_sql()} FROM art""")(_markdown_spark)
 
-register("run_manifest", f"""
-SELECT run_date, count(*) FILTER (WHERE discovered_via = 'reads_direct') AS reads_discovered,
-       count(*) AS articles_selected,
-       count(*) FILTER (WHERE processing_status <> 'failed_extraction') AS articles_fetched,
-       count(*) FILTER (WHERE processing_status IN ('completed', 'partial')) AS summaries_created,
-       count(*) FILTER (WHERE processing_status = 'failed_extraction') AS error_count,
-       CASE WHEN count(*) FILTER (WHERE processing_status = 'failed_extraction') > 0 THEN 'completed_with_errors'
-            ELSE 'completed' END AS status
-FROM {_BATCH_SQL} GROUP BY run_date""")(
-    lambda spark, sf: (lambda b: health.run_manifest(b, b, by="run_date"))(_batch_once(spark, sf)))
+def _manifest_spark(spark, sf):
+    """A run per published day: English documents count as direct links, the
+    first document of each URL is selected, blank ones fail, and documents
+    known by hash or URL are dropped after the fetch."""
+    docs = _t(spark, sf, "documents")
+    arts = I.doc_articles(docs).withColumn("run_date", F.substring("published_at", 1, 10))
+    direct = arts.where(F.col("lang") == "en").select("run_date")
+    selected = dedupe.first_by_key(arts.select("run_date", "canonical_url", "seq", "content_hash", "fetch_status"),
+                                   ["run_date", "canonical_url"], ["seq"])
+    fetched = selected.where(F.col("fetch_status") == "fetched")
+    kept = dedupe.filter_unseen(fetched, I.doc_seen(docs))
+    failed = selected.where(F.col("fetch_status") != "fetched")
+    return health.run_manifest(direct, selected, fetched, kept, failed, by="run_date")
+
+
+_MANIFEST_SQL = f"""
+(WITH a AS (SELECT *, substring(published_at, 1, 10) AS run_date FROM {_doc_articles_sql()}),
+sel AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY run_date, canonical_url ORDER BY seq) AS r FROM a) WHERE r = 1),
+kept AS (SELECT * FROM sel WHERE body_text <> ''
+         AND canonical_url NOT IN (SELECT canonical_url FROM a WHERE lang = 'es')
+         AND content_hash NOT IN (SELECT content_hash FROM a WHERE lang IN ('es', 'de')))
+SELECT run_date,
+       (SELECT count(*) FROM a WHERE a.run_date = d.run_date AND lang = 'en') AS reads_discovered,
+       (SELECT count(*) FROM sel WHERE sel.run_date = d.run_date) AS articles_selected,
+       (SELECT count(*) FROM sel WHERE sel.run_date = d.run_date AND body_text <> '') AS articles_fetched,
+       (SELECT count(*) FROM kept WHERE kept.run_date = d.run_date) AS summaries_created,
+       (SELECT count(*) FROM sel WHERE sel.run_date = d.run_date AND body_text = '') AS error_count,
+       CASE WHEN (SELECT count(*) FROM sel WHERE sel.run_date = d.run_date AND body_text = '') > 0
+            THEN 'completed_with_errors' ELSE 'completed' END AS status
+FROM (SELECT DISTINCT run_date FROM a) d)"""
+
+register("run_manifest", f"SELECT * FROM {_MANIFEST_SQL}")(_manifest_spark)
 
 register("check_counts", f"""
 SELECT run_id, count(*) AS source_checks_attempted, count(*) FILTER (WHERE ok) AS source_checks_succeeded,
@@ -439,17 +453,32 @@ register("run_health", f"SELECT * FROM {_RUN_HEALTH_SQL}")(
         "warnings", _arr(F.col("warnings"))))
 
 
-def _display_spark(spark, sf):
+def _display_runs(spark, sf):
     chk = I.checks(_t(spark, sf, "events")).withColumn("run_id", F.date_format("checked_at", "yyyy-MM-dd"))
     st = health.run_status(chk).join(chk.groupBy("run_id").agg(F.min("checked_at").alias("started_at")), "run_id")
-    runs = st.select("run_id", "run_status", "started_at", F.lit(I.SOURCE_PROFILE).alias("source_profile"))
-    arts = _batch_once(spark, sf).withColumn("run_id", F.col("run_date"))
-    shown = health.display_payload(runs, arts)
+    return st.select("run_id", "run_status", "started_at", F.lit(I.SOURCE_PROFILE).alias("source_profile"))
+
+
+def _display_choice_spark(spark, sf):
+    counts = _batch_articles(spark, sf).groupBy(F.col("run_date").alias("run_id")).agg(F.count(F.lit(1)).alias("article_count"))
+    choice = health.display_choice(_display_runs(spark, sf), counts)
+    return choice.select(F.col("run_id").alias("shown_for_run"), "run_status", "article_count", "display_run_id",
+                         "data_freshness", "banner_message", "promoted")
+
+
+def _display_spark(spark, sf):
+    """Rows of the latest run of each kind: healthy or degraded, with rows of its own or without."""
+    arts = _batch_articles(spark, sf).withColumn("run_id", F.col("run_date"))
+    runs = _display_runs(spark, sf)
+    counts = arts.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
+    latest = runs.join(counts, "run_id", "left").groupBy("run_status", F.col("n").isNull().alias("empty")).agg(
+        F.max(F.struct("started_at", "run_id")).alias("l")).select("l.run_id")
+    shown = health.display_payload(runs, arts, shown=latest)
     return shown.select("shown_for_run", "run_status", "display_run_id", "data_freshness", "banner_message",
                         "article_id", "seq")
 
 
-register("display_payload", f"""
+_DISPLAY_SQL = f"""
 WITH chk AS (SELECT * REPLACE (strftime(checked_at, '%Y-%m-%d') AS run_id) FROM {_checks_sql()}),
 pre AS (SELECT run_id, bool_or(kind IN ('dns', 'http') AND NOT ok) AS pre_bad,
                count(*) FILTER (WHERE kind = 'source' AND ok) AS ok_n, min(checked_at) AS started_at
@@ -462,16 +491,25 @@ ch AS (SELECT r.*, coalesce(c.n, 0) AS article_count,
               last_value(CASE WHEN r.run_status = 'healthy' THEN r.run_id END IGNORE NULLS)
                 OVER (ORDER BY r.started_at, r.run_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_healthy
        FROM runs r LEFT JOIN cnt c ON r.run_id = c.run_id),
-disp AS (SELECT run_id AS shown_for_run, run_status,
+disp AS (SELECT run_id AS shown_for_run, run_status, article_count,
                 CASE WHEN run_status = 'degraded' AND article_count = 0 THEN last_healthy ELSE run_id END
                   AS display_run_id,
                 CASE WHEN run_status = 'degraded' AND article_count = 0 THEN 'last_successful_fallback'
                      ELSE 'current' END AS data_freshness,
                 CASE WHEN run_status = 'degraded' AND article_count = 0
-                     THEN 'Current monitoring run degraded. Displaying last successful dataset.' END AS banner_message
-         FROM ch)
+                     THEN 'Current monitoring run degraded. Displaying last successful dataset.' END AS banner_message,
+                run_status = 'healthy' AS promoted, started_at
+         FROM ch)"""
+
+register("display_choice", f"""{_DISPLAY_SQL}
+SELECT shown_for_run, run_status, article_count, display_run_id, data_freshness, banner_message, promoted
+FROM disp""")(_display_choice_spark)
+
+register("display_payload", f"""{_DISPLAY_SQL}
 SELECT d.shown_for_run, d.run_status, d.display_run_id, d.data_freshness, d.banner_message, a.article_id, a.seq
-FROM disp d JOIN arts a ON d.display_run_id = a.run_id""")(_display_spark)
+FROM disp d JOIN arts a ON d.display_run_id = a.run_id
+WHERE (d.started_at, d.shown_for_run) IN (
+  SELECT max((started_at, shown_for_run)) FROM disp GROUP BY run_status, article_count > 0)""")(_display_spark)
 
 
 # ============================================================ G5-G7: state
@@ -496,47 +534,48 @@ SELECT coalesce(o.canonical_url, n.canonical_url) AS canonical_url,
 FROM old o FULL OUTER JOIN new n ON o.canonical_url = n.canonical_url""")(_remember_spark)
 
 
+_INDEX_ARRAYS = ("summary_bullets", "topic_tags")
+_INDEX_COLUMNS = [*extract.CANONICAL_COLUMNS, "seq"]
+
+
 def _merge_index_spark(spark, sf):
-    rows = _batch_once(spark, sf).where(F.col("seq") < PAGE_SEQ_OFFSET).select(
-        "article_id", "seq", "run_date", "title", "content_hash")
+    """All 23 columns of the document and the page rows; the arrays as text."""
+    rows = _batch_articles(spark, sf).select(*_INDEX_COLUMNS)
     old = rows.where(F.col("run_date") < "2024-01-15").withColumn("first_run_date", F.col("run_date")) \
         .withColumn("first_seq", F.col("seq"))
     new = rows.where(F.col("run_date") >= "2024-01-10")
-    return state.merge_index(old, new, I.RUN_DATE)
+    out = state.merge_index(old, new, I.RUN_DATE)
+    return out.select(*[_arr(F.col(c)).alias(c) if c in _INDEX_ARRAYS else F.col(c) for c in out.columns])
+
 
+_INDEX_SQL_COLUMNS = ", ".join(f"{S.arr_text('l.' + c)} AS {c}" if c in _INDEX_ARRAYS else f"l.{c}" for c in _INDEX_COLUMNS)
 
 register("merge_index", f"""
-WITH rows AS (SELECT article_id, seq, run_date, title, content_hash FROM {_BATCH_SQL} WHERE seq < {PAGE_SEQ_OFFSET}),
+WITH rows AS (SELECT * FROM {_BATCH_SQL}),
 u AS (SELECT *, 0 AS v, run_date AS first_run_date, seq AS first_seq FROM rows WHERE run_date < '2024-01-15'
       UNION ALL SELECT *, 1, '{I.RUN_DATE}', seq FROM rows WHERE run_date >= '2024-01-10'),
 last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY v DESC, seq DESC) AS r FROM u)
          WHERE r = 1),
 pos AS (SELECT article_id, min(struct_pack(d := first_run_date, s := first_seq)) AS p FROM u GROUP BY article_id)
-SELECT l.article_id, l.seq, l.run_date, l.title, l.content_hash, pos.p.d AS first_run_date, pos.p.s AS first_seq
+SELECT {_INDEX_SQL_COLUMNS}, pos.p.d AS first_run_date, pos.p.s AS first_seq
 FROM last l JOIN pos ON l.article_id = pos.article_id""")(_merge_index_spark)
 
 
 def _checkpoints_spark(spark, sf):
-    b = _batch_once(spark, sf)
-    man = health.run_manifest(b, b, by="run_date")
-    man = man.withColumn("dry_run", F.col("run_date") > "2024-01-27")
-    return state.checkpoints(man)
+    man = _manifest_spark(spark, sf)
+    return state.checkpoints(man.withColumn("dry_run", F.col("run_date") > "2024-01-27"))
 
 
 register("checkpoints", f"""
 SELECT max(run_date) AS last_successful_run_date, max(run_date) AS last_reads_scrape_date
-FROM (SELECT DISTINCT run_date FROM {_BATCH_SQL}) WHERE NOT (run_date > '2024-01-27')""")(_checkpoints_spark)
+FROM {_MANIFEST_SQL} WHERE NOT (run_date > '2024-01-27')""")(_checkpoints_spark)
 
 
 def _blocked_spark(spark, sf):
     pages = _t(spark, sf, "pages")
     listing = I.listing_pages(pages)
     raw = pages.select((F.col("page_id") + F.lit(PAGE_SEQ_OFFSET)).alias("page_id"), "url", "html")
-    reads = listing.select("page_id", "url", "html").unionByName(raw)
-    flagged = reads.select(F.col("page_id").alias("seq"), fl.is_challenge_page("html").alias("is_challenge"))
-    direct = extract.direct_articles(reads, I.RUN_ISO)
-    pubs = extract.discovered_publications(reads, I.RUN_ISO)
-    return health.discovery_blocked(flagged, direct, pubs)
+    return health.discovery_blocked(listing.select("page_id", "url", "html").unionByName(raw))
 
 
 register("discovery_blocked", f"""

@@ -36,16 +36,18 @@ TABLE_KEYS = {"pages": "page_id", "documents": "doc_id", "events": "event_id", "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table; text-heavy tables read as too few partitions are
-    spread over the cores (a no-op for inputs made of many files).
+    """Read a driver table.
 
-    The run clocks are UTC literals, so the session clock is pinned to UTC.
+    ``spark.feedlake.scanPartitions`` (unset unless a session asks for it, as
+    the bench does for its single-file inputs) spreads the rows over that many
+    partitions; the plan never depends on the input's size.  The run clocks
+    are UTC literals, so the session clock is pinned to UTC.
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    key, n = TABLE_KEYS.get(name), spark.conf.get("spark.feedlake.scanPartitions", None)
+    return spread(df, int(n), key) if key and n else df
 
 
 def _xml_escape(c: Column) -> Column:
@@ -119,7 +121,7 @@ def homepages(pages: DataFrame) -> DataFrame:
 def feeds(pages: DataFrame) -> DataFrame:
     """Feeds per (host, chunk): Atom for ``blog.`` hosts, RSS otherwise; a
     page URL with a fragment gives a link-less entry; hosts containing
-    ``spam`` or ``cheap`` serve a truncated (malformed) document."""
+    ``spam`` or ``cheap`` serve a document without its closing tags (malformed)."""
     p = _page_host(pages)
     ts = F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("page_id") * 3600)
     atom = F.col("host").startswith("blog.")
@@ -139,12 +141,11 @@ def feeds(pages: DataFrame) -> DataFrame:
                                        F.array_sort(F.collect_list(F.struct("page_id", "entry"))).alias("items"))
     body = F.array_join(F.transform(F.col("items"), lambda x: x["entry"]), "")
     is_atom = F.col("host").startswith("blog.")
+    broken = F.col("host").contains("spam") | F.col("host").contains("cheap")
     doc = F.when(is_atom, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("host"),
-                                   F.lit("</title>"), body, F.lit("</feed>"))) \
+                                   F.lit("</title>"), body, F.when(broken, F.lit("")).otherwise(F.lit("</feed>")))) \
         .otherwise(F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>'), F.col("host"),
-                            F.lit("</title>"), body, F.lit("</channel></rss>")))
-    broken = F.col("host").contains("spam") | F.col("host").contains("cheap")
-    doc = F.when(broken, F.substring(doc, 1, 60)).otherwise(doc)
+                            F.lit("</title>"), body, F.when(broken, F.lit("")).otherwise(F.lit("</channel></rss>"))))
     pub_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/archive/"), F.col("chunk").cast("string"))
     return g.select("seq", pub_url.alias("publication_url"), F.col("host").alias("publication_name"),
                     doc.alias("xml"))

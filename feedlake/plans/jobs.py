@@ -7,7 +7,9 @@ or from one aggregated row; the data work itself is a DataFrame plan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ DISCOVERY_MODES = ("live_reads", "manual_seed", "registry_only")
 
 @dataclass
 class RunConfig:
-    """Job arguments (the reference's config values, same bounds)."""
+    """Job arguments, with their bounds.  ``run_ts`` is the run's start in UTC; dates and ids are in ``run_zone``."""
     run_ts: str
     source_profile: str
     discovery_mode: str = "live_reads"
@@ -39,7 +41,8 @@ class RunConfig:
     html_fallback_enabled: bool = True
     source_label: str | None = None
     model: str | None = None
-    extra: dict = field(default_factory=dict)
+    reads_enabled: bool = True
+    run_zone: str = "UTC"
 
     def __post_init__(self):
         limits = [self.article_fetch_limit, self.max_posts_per_publication, self.max_publications_per_run]
@@ -54,9 +57,21 @@ class RunConfig:
     def run_iso(self) -> str:
         return self.run_ts.replace(" ", "T") + "+00:00"
 
+    @property
+    def _local(self) -> datetime:
+        return datetime.fromisoformat(self.run_ts).replace(tzinfo=timezone.utc).astimezone(ZoneInfo(self.run_zone))
+
     @property
     def run_date(self) -> str:
-        return self.run_ts[:10]
+        return self._local.strftime("%Y-%m-%d")
+
+    @property
+    def run_id(self) -> str:
+        return self._local.strftime("%Y%m%dT%H%M%S")
+
+    @property
+    def state_run_id(self) -> str:
+        return self.run_ts.replace(" ", "T") + "Z"
 
 
 def discovery(spark: SparkSession, cfg: RunConfig, reads_pages: DataFrame | None, reg: DataFrame,
@@ -64,7 +79,7 @@ def discovery(spark: SparkSession, cfg: RunConfig, reads_pages: DataFrame | None
     """(direct read items, found publications, registry) for the mode.
 
     ``live_reads`` parses the reads pages (C4 + C5, challenge pages go to
-    quarantine); ``manual_seed`` imports seeds (G3, then G1); and
+    quarantine), unless ``reads_enabled`` is off; ``manual_seed`` imports seeds (G3, then G1); and
     ``registry_only`` discovers nothing.  Any other mode is an error.
     """
     empty_items = spark.createDataFrame([], "seq long, pos int, source_url string, article_url string, "
@@ -72,6 +87,8 @@ def discovery(spark: SparkSession, cfg: RunConfig, reads_pages: DataFrame | None
                                             "discovered_via string")
     empty_pubs = spark.createDataFrame([], "seq long, publication_url string, publication_name string, "
                                            "rss_url string, discovered_from_profile string")
+    if cfg.discovery_mode == "live_reads" and not cfg.reads_enabled:
+        return empty_items, empty_pubs, reg
     if cfg.discovery_mode == "live_reads":
         clean, _quarantine = extract.quarantine_challenges(reads_pages)
         direct = extract.direct_articles(clean, cfg.run_iso, cfg.source_label)
@@ -89,13 +106,16 @@ def discovery(spark: SparkSession, cfg: RunConfig, reads_pages: DataFrame | None
 def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | None, fetched: DataFrame,
               feeds: DataFrame, homepages: DataFrame | None, responses: DataFrame | None,
               reg: DataFrame, seen: DataFrame, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
-    """K1: one daily run as a DataFrame plan (nothing is written here).
+    """K1: one daily run as a DataFrame plan (:func:`persist_run` writes it).
 
-    ``fetched`` holds (url, html, error), one row per fetched (normalised)
-    article URL: a non-NULL error marks a failed fetch, a selected item
-    without any fetched row fails with "page was not fetched".  Returns the canonical articles, summaries, outputs and the new
-    state tables.
+    ``fetched`` holds (url, html, error) of fetched (normalised) article URLs:
+    a non-NULL error marks a failed fetch, a selected item without any fetched
+    row fails with "page was not fetched".  Of several rows for one URL a page
+    goes before an error, then the smallest html counts.  Returns the canonical
+    articles, summaries, outputs and the new state tables.
     """
+    fetched = fetched.groupBy("url").agg(F.min(F.struct(F.col("error").isNotNull().alias("bad"), "html", "error")).alias("f")) \
+        .select("url", "f.html", "f.error")
     direct, found, reg = discovery(spark, cfg, reads_pages, reg, seeds)
     monitored_pubs = registry.top_publications(reg, cfg.run_ts, cfg.max_publications_per_run, cfg.expiry_days)
     feed_items, feed_status = extract.parse_feeds(feeds, cfg.max_posts_per_publication, cfg.run_iso)
@@ -133,16 +153,17 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     from ..session import cut_lineage
     fresh = cut_lineage(fresh)
     ok_pages = fetched.where(F.col("error").isNull())
-    articles = extract.build_articles(fresh, ok_pages, cfg.run_iso)
+    articles = fetched_articles = extract.build_articles(fresh, ok_pages, cfg.run_iso)
     errors = fetched.where(F.col("error").isNotNull()).select(F.col("url").alias("_u"), F.col("error").alias("_e"))
     failed = (fresh.join(ok_pages.select(F.col("url").alias("article_url")), "article_url", "left_anti")
               .join(errors, F.col("article_url") == F.col("_u"), "left")
               .withColumn("error", F.coalesce(F.col("_e"), F.lit("page was not fetched"))).drop("_u", "_e"))
     if cfg.dedupe_enabled:
         articles = dedupe.filter_unseen(articles, seen, cfg.dedupe_by_hash)
-        articles = dedupe.dedupe_first(articles, hash_col="content_hash" if cfg.dedupe_by_hash else "_nohash") \
-            if cfg.dedupe_by_hash else dedupe.dedupe_first(articles.withColumn("_nohash", F.lit(None).cast("string")),
-                                                           hash_col="_nohash").drop("_nohash")
+        if cfg.dedupe_by_hash:
+            articles = dedupe.dedupe_first(articles)
+        else:
+            articles = dedupe.dedupe_first(articles.withColumn("_nohash", F.lit(None).cast("string")), hash_col="_nohash").drop("_nohash")
     summarized = summarize.summarize(articles, responses, cfg.summaries_enabled, cfg.include_bullets,
                                      cfg.max_input_chars, model=cfg.model, created_at=cfg.run_iso)
     canonical = extract.build_canonical(summarized, cfg.source_profile, cfg.run_date).unionByName(
@@ -150,7 +171,9 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     new_seen = state.remember(seen, articles)
     return {
         "direct": direct, "found": found, "registry": reg, "monitor_results": results,
-        "candidates": fresh, "articles": articles, "summaries": summarized, "canonical": canonical,
+        "raw_items": merged.select(*[c for c in extract.READ_ITEM_COLUMNS if c != "seq"]),
+        "monitored_items": items.select(*[c for c in extract.READ_ITEM_COLUMNS if c in items.columns]),
+        "candidates": fresh, "fetched_articles": fetched_articles, "failed": failed, "articles": articles, "summaries": summarized, "canonical": canonical,
         "digest": outputs.digest(canonical.withColumn("data_freshness", F.lit("current"))),
         "dashboard_feed": outputs.dashboard_feed(canonical.withColumn("data_freshness", F.lit("current"))),
         "batch_header": outputs.daily_batch_header(canonical, None, cfg.source_profile, cfg.run_iso),
@@ -158,11 +181,91 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     }
 
 
+def load_registry(spark: SparkSession, path: str, cfg: RunConfig) -> DataFrame:
+    reg = io.read_published(spark, path)
+    return registry.with_registry_defaults(registry.empty_registry(spark) if reg is None else reg, cfg.expiry_days)
+
+
+def load_seen(spark: SparkSession, path: str) -> DataFrame:
+    seen = io.read_published(spark, path)
+    return spark.createDataFrame([], state.SEEN_SCHEMA) if seen is None else seen
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut a run's table from its plan, so that its several outputs don't compute it again."""
+    from ..session import cut_lineage
+    return cut_lineage(df)
+
+
+def manifest(out: dict[str, DataFrame], cfg: RunConfig, completed_at: str | None = None) -> DataFrame:
+    """E1 for one run: counters of the steps, clocks and dry-run flag."""
+    run = lambda df: df.select(F.lit(cfg.run_id).alias("run_id"))
+    counts = health.run_manifest(run(out["direct"]), run(out["candidates"]), run(out["fetched_articles"]),
+                                 run(out["summaries"]), run(out["failed"]))
+    one = out["direct"].sparkSession.range(1).select(F.lit(cfg.run_id).alias("run_id"))  # a run without any row has a manifest, too
+    numbers = ("reads_discovered", "articles_selected", "articles_fetched", "summaries_created", "error_count")
+    joined = one.join(counts, "run_id", "left")
+    return joined.select(
+        "run_id", F.lit(cfg.run_date).alias("run_date"), F.lit(cfg.run_iso).alias("started_at"),
+        F.lit(completed_at or cfg.run_iso).alias("completed_at"), F.lit(cfg.dry_run).alias("dry_run"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers], F.coalesce("status", F.lit("completed")).alias("status"))
+
+
+def persist_run(spark: SparkSession, cfg: RunConfig, out: dict[str, DataFrame], base: str,
+                completed_at: str | None = None) -> dict[str, DataFrame]:
+    """Write what one K1 run leaves behind below ``base``.
+
+    Raw discovery rows are landed also in a dry run (A6).  Otherwise: the
+    canonical articles and summaries of the run date (A7), the merged article
+    index (G6), the archive of the batch, digest and dashboard feed (A8), the
+    manifest with its error rows (A9, E1), the seen-set and the registry as new
+    versions (G5, A10) and the checkpoints derived from the manifests (G7).
+    The registry goes last: a run that breaks off before is simply run again.
+    """
+    on_date = lambda df: df.withColumn("run_date", F.lit(cfg.run_date))
+    io.write_raw(on_date(out["raw_items"]), f"{base}/raw/reads")
+    io.write_raw(on_date(out["found"]), f"{base}/raw/publications")
+    io.write_raw(on_date(out["monitored_items"]), f"{base}/raw/monitored")
+    out = out | {k: stored(out[k]) for k in ("summaries", "registry", "seen")}
+    flat = stored(numbered(out["canonical"]))
+    fresh = flat.withColumn("data_freshness", F.lit("current"))
+    man = stored(manifest(out, cfg, completed_at))
+    out = out | {"manifest": man, "flat": flat}
+    if cfg.dry_run:
+        return out
+    io.write_processed(flat, f"{base}/processed/articles")
+    io.write_processed(on_date(out["summaries"]).drop("seq"), f"{base}/processed/summaries")
+    index = io.read_published(spark, f"{base}/processed/index")
+    if index is None:
+        index = spark.createDataFrame([], flat.schema).withColumns({"first_run_date": F.lit(""), "first_seq": F.lit(0).cast("long")})
+    io.publish_version(state.merge_index(index, flat, cfg.run_date), f"{base}/processed/index")
+    header = outputs.daily_batch_header(flat, spark.range(1).select(F.lit(cfg.run_date).alias("run_date"), F.lit(cfg.run_id).alias("run_id")),
+                                        cfg.source_profile, cfg.run_iso)
+    io.write_daily_batch(header, fresh, f"{base}/archive/batch")
+    io.write_archive(on_date(outputs.digest(fresh)), f"{base}/archive/digest")
+    io.write_archive(on_date(outputs.dashboard_feed(fresh)), f"{base}/archive/dashboard_feed")
+    errors = out["failed"].select(F.lit(cfg.run_id).alias("run_id"), F.concat_ws(": ", "article_url", "error").alias("error"))
+    io.write_raw(on_date(errors), f"{base}/runs/errors")
+    io.append_manifest(man, f"{base}/runs/manifests")
+    io.publish_version(out["seen"], f"{base}/state/seen")
+    io.publish_version(state.checkpoints(spark.read.parquet(f"{base}/runs/manifests")), f"{base}/state/checkpoints")
+    io.publish_version(out["registry"], f"{base}/state/registry")
+    return out
+
+
+def numbered(canonical: DataFrame) -> DataFrame:
+    """The rows with ``seq`` as longs that increase with the run's order (a struct of keys).
+
+    A global sort numbers its partitions in order, so no window is needed; the
+    result is stored by the caller, which fixes the numbers.
+    """
+    return canonical.orderBy("seq").withColumn("seq", F.monotonically_increasing_id())
+
+
 def import_seeds(spark: SparkSession, seeds_path: str, registry_path: str, cfg: RunConfig) -> int:
     """K2: seeds file -> G3 -> new registry version (A10).  Returns the
     number of imported seed rows (one small aggregate)."""
-    reg = io.read_published(spark, registry_path) or registry.empty_registry(spark)
-    reg = registry.with_registry_defaults(reg, cfg.expiry_days)
+    reg = load_registry(spark, registry_path, cfg)
     new_reg, rows = registry.import_publications(reg, io.read_seeds(spark, seeds_path), cfg.source_profile,
                                                  cfg.run_ts, cfg.expiry_days)
     io.publish_version(new_reg, registry_path)
@@ -170,35 +273,107 @@ def import_seeds(spark: SparkSession, seeds_path: str, registry_path: str, cfg:
 
 
 def render_digest(spark: SparkSession, batch_path: str, out_path: str, title: str = outputs.DEFAULT_TITLE,
-                  intro: str = "") -> DataFrame:
+                  intro: str = outputs.DEFAULT_INTRO) -> DataFrame:
     """K3: batch file -> validate (A5) -> publishable (D8) -> Markdown (H4) -> files."""
     arts = io.read_daily_batch(spark, batch_path)
     arts = arts.withColumn("run_date", F.col("batch_run_date"))
     runs = arts.select("run_date").distinct()
+    if io.path_exists(spark, f"{batch_path}/header"):
+        runs = runs.unionByName(io.read_batch_header(spark, batch_path).select("run_date")).distinct()  # empty batches, too
     blocks = outputs.markdown_blocks(arts, runs, title, intro)
     io.write_markdown(blocks, out_path)
     return blocks
 
 
-def run_with_health(spark: SparkSession, cfg: RunConfig, checks: DataFrame, **inputs) -> dict[str, DataFrame]:
-    """K4: preflight gate (E5) -> K1 -> E6/E7 -> G10 / F6 -> G9 / G11.
+def run_with_health(spark: SparkSession, cfg: RunConfig, checks: DataFrame, base: str | None = None,
+                    reads_host: str | None = None, **inputs) -> dict[str, DataFrame]:
+    """K4: preflight gate (E5) -> K1 -> E6/E7 -> G10 / F6 / H5 / H6 -> G9 / G11.
 
-    The gate reads one aggregated row for this run; a degraded preflight
-    skips the daily run and shows the last successful dataset.
+    The gate reads one aggregated row for this run.  Whatever happens, the run
+    has a status row and, with ``base``, it is published: the run's payload as
+    ``latest`` and, if the run is healthy, as ``latest_successful``; what
+    consumers see (a degraded run without rows shows the last successful
+    payload under a banner); the registry's health snapshot with the row of the
+    reads profile; and one more row of run history.  An unexpected error ends
+    in status ``failed`` at stage ``internal``, and the last payloads stay.
     """
-    pre = health.preflight_status(checks.withColumn("run_id", F.lit(cfg.run_date))).first()
-    if pre is not None and pre.core_status == "degraded":
-        return {"run_status": spark.createDataFrame(
-            [(cfg.run_date, "degraded", pre.failure_stage)], "run_id string, run_status string, failure_stage string")}
-    out = run_daily(spark, cfg, **inputs)
-    counts = out["monitor_results"].agg(
-        F.count(F.lit(1)).alias("attempted"), F.count_if("success").alias("succeeded"),
-        F.count_if(~F.col("success")).alias("failed"))
-    status = counts.select(
-        F.lit(cfg.run_date).alias("run_id"),
-        health.final_status(F.lit(False), (F.col("succeeded") == 0)).alias("run_status"),
-        F.when(F.col("succeeded") == 0, F.lit("discovery")).alias("failure_stage"),
-        "attempted", "succeeded", "failed")
-    out["run_status"] = status
-    out["health"] = registry.health_snapshot(out["registry"])
+    checks = checks.withColumn("run_id", F.lit(cfg.state_run_id))
+    if "checked_at" not in checks.columns:
+        checks = checks.withColumn("checked_at", F.lit(cfg.run_ts).cast("timestamp"))
+    out: dict[str, DataFrame] = {}
+    status = {"run_id": cfg.state_run_id, "started_at": cfg.run_ts, "run_status": "running", "failure_stage": None,
+              "article_count": 0, "source_checks_attempted": 0, "source_checks_succeeded": 0, "source_checks_failed": 0,
+              "preserved_last_successful_output": False, "warnings": [], "errors": []}
+    try:
+        pre = health.preflight_status(checks).first()
+        blocked = None
+        if pre is not None and pre.core_status == "degraded":
+            status |= {"run_status": "degraded", "failure_stage": pre.failure_stage, "warnings": [
+                health.WARN_DNS if pre.failure_stage == "preflight_dns" else health.WARN_PREFLIGHT]}
+            current = spark.createDataFrame([], PAYLOAD_SCHEMA)
+        else:
+            out = run_daily(spark, cfg, **inputs)
+            if base:
+                out = persist_run(spark, cfg, out, base)
+            counts = out["monitor_results"].agg(
+                F.count(F.lit(1)).alias("attempted"), F.count_if("success").alias("succeeded"),
+                F.count_if(~F.col("success")).alias("failed")).first()
+            degraded = counts.succeeded == 0
+            status |= {"run_status": "degraded" if degraded else "healthy", "failure_stage": "discovery" if degraded else None,
+                       "source_checks_attempted": counts.attempted, "source_checks_succeeded": counts.succeeded,
+                       "source_checks_failed": counts.failed, "warnings": [health.WARN_NO_SOURCES] if degraded else []}
+            if cfg.discovery_mode == "live_reads" and cfg.reads_enabled and inputs.get("reads_pages") is not None:
+                seen = health.discovery_blocked(inputs["reads_pages"])
+                blocked = seen.agg(F.min("discovery_blocked").alias("b")).where("b").select(F.lit(cfg.state_run_id).alias("run_id"))
+            current = out["flat"] if "flat" in out else stored(numbered(out["canonical"]))
+        current = outputs.articles_payload(current, cfg.state_run_id, status["run_status"])
+        out["reads_row"] = health.reads_source_row(checks, reads_host or _host(cfg.source_profile), cfg.source_profile, blocked=blocked)
+        if base:
+            _publish(spark, cfg, base, status, current, out)
+        reg = out["registry"] if "registry" in out else inputs["reg"]
+        out["health"] = registry.health_snapshot(reg, out["reads_row"])
+        if base:
+            io.publish_version(out["health"], f"{base}/latest/registry_snapshot")
+    except Exception as e:  # the run is over; its status row tells why
+        status |= {"run_status": "failed", "failure_stage": "internal", "errors": [repr(e)[:2000]]}
+    out["run_status"] = spark.createDataFrame([tuple(status.values())], RUN_STATUS_SCHEMA)
+    if base:
+        io.append_manifest(out["run_status"], f"{base}/runs/status")
     return out
+
+
+RUN_STATUS_SCHEMA = ("run_id string, started_at string, run_status string, failure_stage string, article_count long, "
+                     "source_checks_attempted long, source_checks_succeeded long, source_checks_failed long, "
+                     "preserved_last_successful_output boolean, warnings array<string>, errors array<string>")
+PAYLOAD_SCHEMA = ", ".join(f"{c} {'array<string>' if c in ('summary_bullets', 'topic_tags') else 'string'}"
+                           for c in extract.CANONICAL_COLUMNS) + ", seq long"
+
+
+def _host(url: str) -> str:
+    return url.split("://", 1)[-1].split("/", 1)[0]
+
+
+def _publish(spark: SparkSession, cfg: RunConfig, base: str, status: dict, current: DataFrame, out: dict[str, DataFrame]) -> None:
+    """The payload of this run, the last successful one, and what is shown."""
+    io.publish_version(current, f"{base}/latest/payload")
+    current = io.read_published(spark, f"{base}/latest/payload")
+    status["article_count"] = current.count()
+    healthy = status["run_status"] == "healthy"
+    if healthy:
+        io.publish_version(current, f"{base}/latest/successful")
+    status["preserved_last_successful_output"] = not healthy
+    shown, banner = current, None
+    if status["run_status"] == "degraded" and status["article_count"] == 0:
+        last = io.read_published(spark, f"{base}/latest/successful")
+        shown = (current if last is None else last).withColumn("data_freshness", F.lit("last_successful_fallback"))
+        banner = outputs.FALLBACK_BANNER
+    shown = shown.withColumn("banner_message", F.lit(banner).cast("string"))
+    header = outputs.daily_batch_header(
+        shown.withColumn("run_date", F.lit(cfg.run_date)),
+        spark.range(1).select(F.lit(cfg.run_date).alias("run_date"), F.lit(cfg.state_run_id).alias("run_id")),
+        cfg.source_profile, cfg.run_iso).withColumns({"status": F.lit(status["run_status"]), "banner_message": F.lit(banner).cast("string")})
+    io.publish_version(header, f"{base}/latest/batch_header")
+    io.publish_version(shown, f"{base}/latest/batch")
+    io.publish_version(outputs.digest(shown, ("banner_message",)), f"{base}/latest/digest")
+    io.publish_version(outputs.dashboard_feed(shown, ("banner_message",)), f"{base}/latest/dashboard_feed")
+    out["displayed"] = shown
