@@ -2,17 +2,19 @@
 
 The page text is processed with JVM regular expressions in this order:
 drop comments and script/style/template blocks, pick the container, turn
-every tag into a space, unescape entities (``&amp;`` last), collapse
-whitespace.  Tags are matched only when ``<`` is followed by a letter, as an
+every tag into a space, decode character references, collapse whitespace.  Tags are matched only when ``<`` is followed by a letter, as an
 HTML tokenizer does.
 """
 
 from __future__ import annotations
 
+import json
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._common import as_col
+from ._common import as_col, let
 from .text import clean_whitespace
 
 # Markers of an anti-bot challenge page.
@@ -24,19 +26,9 @@ CHALLENGE_MARKERS = [
     "cloudflare",
 ]
 
-# Named and numeric character references decoded by the regex
-# path (``&amp;`` is applied last so ``&amp;lt;`` stays ``&lt;``).
-ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&#x27;", "'"), ("&#34;", '"'), ("&#60;", "<"), ("&#62;", ">"), ("&nbsp;", " "),
-    ("&#160;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&middot;", "·"), ("&bull;", "•"), ("&hellip;", "…"), ("&mdash;", "—"),
-    ("&ndash;", "–"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&laquo;", "«"), ("&raquo;", "»"), ("&deg;", "°"),
-    ("&euro;", "€"), ("&pound;", "£"), ("&yen;", "¥"), ("&cent;", "¢"),
-    ("&sect;", "§"), ("&para;", "¶"), ("&times;", "×"), ("&divide;", "÷"),
-    ("&#38;", "&"), ("&amp;", "&"),
-]
+# A start tag's attributes: a quoted value may hold ">".  Where quotes don't
+# pair up, the tag ends at the first ">".
+_ATTRS = r"""(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
 
 NON_TEXT_BLOCKS_RE = (
     r"(?is)<!--.*?(?:-->|$)"
@@ -45,32 +37,67 @@ NON_TEXT_BLOCKS_RE = (
     r"|<template\b[^>]*>.*?(?:</template\s*>|$)"
 )
 DECLARATION_RE = r"(?s)<[!?][^>]*>"
-TAG_RE = r"(?s)</?[A-Za-z][^>]*>"
+TAG_RE = r"(?s)</?[A-Za-z]" + _ATTRS
 
-# Body containers by selector priority (not by position in the page).
-ARTICLE_RE = r"(?is)<article\b[^>]*>(.*?)(?:</article\s*>|$)"
-MAIN_RE = r"(?is)<main\b[^>]*>(.*?)(?:</main\s*>|$)"
 POST_CONTENT_OPEN_RE = r"""(?is)<([A-Za-z][A-Za-z0-9]*)\b[^>]*\sdata-testid\s*=\s*["']?post-content["']?[^>]*>"""
 
-ANCHOR_RE = r"(?is)<a\b[^>]*>.*?</a\s*>"
-META_RE = r"(?is)<meta\b[^>]*>"
-LINK_TAG_RE = r"(?is)<link\b[^>]*>"
-TIME_TAG_RE = r"(?is)<time\b[^>]*>"
+ANCHOR_RE = r"(?is)<a\b" + _ATTRS + r".*?</a\s*>"
+ANCHOR_OPEN_RE = r"(?is)^<a\b" + _ATTRS
+META_RE = r"(?is)<meta\b" + _ATTRS
+LINK_TAG_RE = r"(?is)<link\b" + _ATTRS
+TIME_TAG_RE = r"(?is)<time\b" + _ATTRS
 TITLE_RE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 
+REFERENCE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+COMMON_REFERENCES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"))
+
+
+@lru_cache(maxsize=1)
+def _named_references() -> str:
+    """JSON of the named character references that end in a semicolon (from the standard library's table)."""
+    from html.entities import html5
+    return json.dumps({"&" + name: text for name, text in html5.items() if name.endswith(";")}, ensure_ascii=False)
+
+
+# Numbers 128 to 159 mean the characters of this code page, where it has any.
+_C1 = "".join(chr(c) for c in range(128, 160))
+_C1_TEXT = "".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(128, 160))
+
 
 def unescape(c) -> Column:
-    """Decode the character references in :data:`ENTITIES` (``&amp;`` last);
-    built as the session SQL function ``feedlake_unescape``."""
-    from .sqlfns import call
-    return call("feedlake_unescape", _unescape_cols, as_col(c))
+    """Decode character references, named, decimal and hexadecimal, in one
+    pass (so ``&amp;lt;`` becomes ``&lt;``); unknown names stay as they are.
 
+    A text without ``&`` is returned as it is.
+    """
+    return let(as_col(c), lambda x: F.when(~F.contains(x, F.lit("&")), x).otherwise(_decode_all(x)))
 
-def _unescape_cols(c: Column) -> Column:
-    out = c
-    for ent, ch in ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+
+def _decode_all(x: Column) -> Column:
+    between = F.split(x, REFERENCE_RE, -1)
+    refs = F.regexp_extract_all(x, F.lit(REFERENCE_RE), 0)
+    named = lambda r: F.coalesce(F.from_json(F.lit(_named_references()), "map<string,string>")[r], r)
+
+    def one(r: Column) -> Column:
+        out = F.when(F.startswith(r, F.lit("&#")), _numeric(r))
+        for ref, ch in COMMON_REFERENCES:  # the map is searched from its start
+            out = out.when(r == ref, F.lit(ch))
+        return out.otherwise(named(r))
+
+    decoded = F.transform(refs, one)
+    # between has one piece more than there are references
+    return F.array_join(F.zip_with(between, decoded, lambda t, d: F.concat(t, F.coalesce(d, F.lit("")))), "")
+
+
+def _numeric(ref: Column) -> Column:
+    digits = F.substr(ref, F.lit(3), F.char_length(ref) - 3)
+    number = F.when(F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substr(digits, F.lit(2)), 16, 10)) \
+        .otherwise(digits).cast("long")
+    bad = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    code = F.when(bad, F.lit(0xFFFD)).otherwise(number)
+    return F.translate(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"), _C1, _C1_TEXT)
 
 
 def strip_non_text(c) -> Column:
@@ -129,14 +156,30 @@ def body_text(clean_html) -> Column:
     has_main = h.rlike(r"(?is)<main\b")
     pc_tag = F.regexp_extract(h, POST_CONTENT_OPEN_RE, 1)
     container = (
-        F.when(has_article, F.regexp_extract(h, ARTICLE_RE, 1))
-        .when(has_main, F.regexp_extract(h, MAIN_RE, 1))
+        F.when(has_article, _inner(h, "article"))
+        .when(has_main, _inner(h, "main"))
         .when(pc_tag != "", _post_content_inner(h, pc_tag))
         .otherwise(h)
     )
     return fragment_text(container)
 
 
+def _inner(h: Column, tag: str) -> Column:
+    """Content of the first ``tag`` element up to its own close tag, elements
+    of the same name inside it included; to the end if it is never closed."""
+    opening = rf"(?is)<{tag}\b" + _ATTRS
+    after = F.element_at(F.split(h, opening, 2), 2)  # limit 2: the element's start tag only
+
+    def upto_close(pieces: Column) -> Column:
+        # The close tag after piece i ends the element when the pieces so far opened i more of them.
+        opens = F.transform(pieces, lambda p: F.size(F.regexp_extract_all(p, F.lit(opening), 0)))
+        ends = F.transform(opens, lambda _, i: F.aggregate(F.slice(opens, 1, i + 1), F.lit(0), lambda n, k: n + k) == i)
+        last = F.array_position(ends, True)
+        return F.when(last > 0, F.array_join(F.slice(pieces, 1, last.cast("int")), " ")).otherwise(F.array_join(pieces, " "))
+
+    return let(F.split(after, rf"(?is)</{tag}\s*>", -1), upto_close)
+
+
 def _post_content_inner(h: Column, tag: Column) -> Column:
     """Content after the post-content start tag up to the first close tag of
     the same name (nesting of that tag name is not tracked on this path)."""
@@ -163,12 +206,12 @@ def anchors(clean_html) -> Column:
 def anchor_href(anchor) -> Column:
     """``href`` of an anchor; NULL when the attribute is absent."""
     a = as_col(anchor)
-    start = F.regexp_extract(a, r"(?is)^<a\b[^>]*>", 0)
+    start = F.regexp_extract(a, ANCHOR_OPEN_RE, 0)
     present = start.rlike(r"(?is)\shref\b")
     return F.when(present, attr(start, "href"))
 
 
 def anchor_text(anchor) -> Column:
     """Visible text of an anchor (text nodes joined by one space)."""
-    inner = F.regexp_extract(as_col(anchor), r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)
-    return fragment_text(inner)
+    a = as_col(anchor)
+    return fragment_text(F.regexp_replace(F.regexp_replace(a, ANCHOR_OPEN_RE, ""), r"(?is)</a\s*>$", ""))

@@ -1,8 +1,9 @@
 """Session SQL functions for the most used Column rules.
 
 Spark inlines a SQL function (``CREATE TEMPORARY FUNCTION ... RETURN expr``)
-into the plan, so it runs exactly like the built-in expression it stands for
-(JVM-side, whole-stage codegen).  Calling it from Python is one call instead
+into the plan, so it runs exactly like the built-in expression it stands for,
+JVM-side.  (Bodies that bind a value with ``transform`` are evaluated by Spark's
+interpreter for higher-order functions, not in generated code.)  Calling it from Python is one call instead
 of the hundreds needed to assemble the same expression tree with the Column
 API, which keeps per-query planning time small.  Each body binds its
 argument once (``transform(array(x), v -> ...)[0]``) so an expensive
@@ -18,7 +19,6 @@ import threading
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .html import ENTITIES
 from .text import WS_CLASS
 
 URL_RE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
@@ -35,13 +35,6 @@ def lit(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _unescape_body(x: str) -> str:
-    out = x
-    for ent, ch in ENTITIES:
-        out = f"replace({out}, {lit(ent)}, {lit(ch)})"
-    return out
-
-
 _PREPARE = (f"regexp_replace(regexp_replace(u, {lit('^[\\x00-\\x20' + WS_CLASS[1:-1] + ']+|' + WS_CLASS + '+$')}, ''),"
             f" {lit('[\\t\\r\\n]')}, '')")
 _NETLOC_SCHEMES = ", ".join(lit(x) for x in USES_NETLOC)
@@ -61,7 +54,6 @@ CASE WHEN u IS NULL THEN NULL ELSE transform(array({_PREPARE}), s ->
            v.p))[0])[0] END"""
 
 DEFINITIONS = {
-    "feedlake_unescape": ("s STRING", f"transform(array(s), x -> {_unescape_body('x')})[0]"),
     "feedlake_clean_ws": ("s STRING", f"trim(regexp_replace(s, {lit(WS_CLASS + '+')}, ' '))"),
     "feedlake_strip_ws": ("s STRING", f"regexp_replace(s, {lit('^' + WS_CLASS + '+|' + WS_CLASS + '+$')}, '')"),
     "feedlake_normalize_url": ("u STRING", _NORMALIZE),

@@ -233,7 +233,9 @@ def homepage_posts(homepages: DataFrame, limit: int, discovered_at: str,
 
 _LINK_T = "array<struct<_href:string,_VALUE:string>>"
 _ENTRY_T = f"struct<title:string,link:{_LINK_T},pubDate:string,published:string>"
-FEED_SCHEMA = f"struct<channel:struct<item:array<{_ENTRY_T}>>,entry:array<{_ENTRY_T}>,_corrupt_record:string>"
+FEED_SCHEMA = f"struct<channel:array<struct<item:array<{_ENTRY_T}>>>,entry:array<{_ENTRY_T}>,_corrupt_record:string>"
+# Entries count only in a document whose root is bound to the Atom namespace.
+ATOM_ROOT_RE = rf"""(?s)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:[\w.-]+:)?feed\b[^>]*\sxmlns(?::[\w.-]+)?\s*=\s*["']{ATOM_NS}["']"""
 
 
 def _entry_link(links: Column) -> Column:
@@ -248,14 +250,17 @@ def parse_feeds(feeds: DataFrame, limit: int, now_iso: str, xml_col: str = "xml"
     """(items, status) from fetched feed documents.
 
     RSS ``item`` elements are used, or Atom ``entry`` elements when there is no
-    item at all.  The first ``limit`` entries are taken and only then are
+    item at all.  Elements are matched by local name, whatever their prefix, and
+    the items of all channels count.  The first ``limit`` entries are taken and only then are
     link-less ones dropped.  ``status`` has one row per feed: ``feed_ok`` is
     false for malformed XML (an error row for the monitor, D7).
     """
     parsed = feeds.withColumn("_x", F.from_xml(F.col(xml_col), FEED_SCHEMA,
-                                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
-    items = F.col("_x.channel.item")
-    entries = F.when(F.size(F.coalesce(items, F.array())) > 0, items).otherwise(F.col("_x.entry"))
+                                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "ignoreNamespace": "true"}))
+    none = F.array().cast(f"array<{_ENTRY_T}>")
+    items = F.flatten(F.transform(F.coalesce(F.col("_x.channel"), F.array().cast(f"array<struct<item:array<{_ENTRY_T}>>>")),
+                                  lambda c: F.coalesce(c["item"], none)))
+    entries = F.when(F.size(items) > 0, items).when(F.col(xml_col).rlike(ATOM_ROOT_RE), F.col("_x.entry"))
     ok = F.col(xml_col).isNotNull() & F.col("_x._corrupt_record").isNull() & F.col("_x").isNotNull()
     parsed = parsed.withColumn("feed_ok", ok).withColumn("_entries", F.coalesce(entries, F.array()))
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions.status import error_type
 from ..functions.text import short_id
 from ..functions.urls import default_feed_url, normalize_url
+from ..session import cut_lineage
 
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("publication_url", T.StringType(), False),
@@ -261,11 +262,14 @@ def check_rows(results: DataFrame, checked_at) -> DataFrame:
 
 def recent_posts(pubs: DataFrame, feed_items: DataFrame, feed_status: DataFrame,
                  home_items: DataFrame | None = None, home_status: DataFrame | None = None,
-                 rss_enabled: bool = True, html_fallback_enabled: bool = True) -> tuple[DataFrame, DataFrame]:
+                 rss_enabled: bool = True, html_fallback_enabled: bool = True,
+                 materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """Per monitored publication pick feed rows (when the feed parsed, even
     with zero rows), else home-page rows, else nothing with method
     ``disabled``.  Returns (items, results) where results has one row per
-    publication: success, monitor_method, error_message.
+    publication: success, monitor_method, error_message.  ``materialize``
+    checkpoints the narrow results, which the items and the registry both read,
+    so that feeds are not parsed again for each of them.
     """
     p = pubs.select("publication_url", "seq")
     fs = feed_status.select(F.col("publication_url").alias("_f_url"), "feed_ok", "feed_error")
@@ -291,6 +295,8 @@ def recent_posts(pubs: DataFrame, feed_items: DataFrame, feed_status: DataFrame,
         method, success, err = F.lit("disabled"), F.lit(True), F.lit(None)
     results = j.select("publication_url", "seq", success.alias("success"), method.alias("monitor_method"),
                        err.cast("string").alias("error_message"))
+    if materialize:
+        results = cut_lineage(results)
     use_feed = results.where(F.col("success") & (F.col("monitor_method") == "rss")).select("publication_url")
     items = feed_items.join(use_feed.withColumnRenamed("publication_url", "source_url"), "source_url", "left_semi")
     if home_items is not None:
