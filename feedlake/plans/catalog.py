@@ -158,7 +158,8 @@ def _checks_sql() -> str:
             CASE WHEN ok THEN NULL WHEN kind = 'dns' THEN 'Temporary failure in name resolution'
                  WHEN kind = 'http' THEN NULL ELSE {msg} END AS error,
             ts AS checked_at, user_id, value, event_type
-     FROM (SELECT *, CASE WHEN kind = 'source' THEN event_type <> 'error' ELSE value < 400 END AS ok FROM
+     FROM (SELECT *, CASE WHEN kind = 'source' THEN event_type <> 'error'
+                                ELSE value < 400 AND NOT (kind = 'dns' AND event_id % 997 = 0) END AS ok FROM
            (SELECT *, CASE event_type WHEN 'signup' THEN 'dns' WHEN 'click' THEN 'http' ELSE 'source' END AS kind
             FROM events)))"""
 
@@ -169,11 +170,19 @@ SELECT seq, error, {S.error_type('error')} AS error_type FROM {_checks_sql()} WH
         "seq", "error", fl.error_type("error").alias("error_type")))
 
 
+# The pages hold no marker, so every seventh gets one in turn.
+_MARKERS = ["Just a Moment", "cf-browser-verification", "Challenge-Platform", "checking your browser", "CLOUDFLARE"]
+
+
+def _challenge_spark(spark, sf):
+    pages = _t(spark, sf, "pages")
+    marker = F.element_at(F.array(*[F.lit(m) for m in _MARKERS]), (F.col("page_id") % len(_MARKERS) + 1).cast("int"))
+    html = F.when(F.col("page_id") % 7 == 0, F.concat("html", F.lit("<p>"), marker)).otherwise(F.col("html"))
+    return pages.select("page_id", fl.is_challenge_page(html).alias("is_challenge"))
+
+
 register("challenge_pages", """
-SELECT page_id, (contains(lower(html), 'just a moment') OR contains(lower(html), 'cf-browser-verification')
-  OR contains(lower(html), 'challenge-platform') OR contains(lower(html), 'checking your browser')
-  OR contains(lower(html), 'cloudflare')) AS is_challenge FROM pages""")(
-    lambda spark, sf: _t(spark, sf, "pages").select("page_id", fl.is_challenge_page("html").alias("is_challenge")))
+SELECT page_id, page_id % 7 = 0 AS is_challenge FROM pages""")(_challenge_spark)
 
 
 _ZONE_SUFFIX = {"purchase": (" +0530", "+05:30"), "click": (" EST", "-05:00"), "view": (" GMT", "+00:00"),
@@ -234,18 +243,24 @@ def _doc_html(documents: DataFrame) -> DataFrame:
     def esc(c):
         return F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
                                    F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    def refs(c):  # some characters as decimal, hexadecimal and named references
+        out = esc(c)
+        for ch, ref in (("é", "&#233;"), ("ü", "&uuml;"), ("ñ", "&#xF1;"), ("ß", "&szlig;"), ("|", "&vert;")):
+            out = F.replace(out, F.lit(ch), F.lit(ref))
+        return out
     first = F.substring_index(F.col("text"), "\n", 1)
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head><title>"), esc(first), F.lit("</title>"),
         F.lit('<meta charset="utf-8"><meta name="author" content="'), esc(F.col("lang")), F.lit('">'),
         F.lit("<meta property='og:site_name' content='"), F.col("source"), F.lit("'>"),
-        F.lit('<meta content="'), esc(first), F.lit('" name="description">'),
+        F.lit('<meta data-x="a > b" content="'), refs(first), F.lit('" name="description">'),
         F.lit('<meta name="keywords" content="'), F.col("lang"), F.lit(", "), F.col("source"), F.lit(',, news">'),
         F.lit('<link rel="canonical" href="https://'), F.col("source"), F.lit(".example.com/p/"),
         F.col("doc_id").cast("string"), F.lit('/?utm_source=feed">'),
         F.lit('<meta property="article:published_time" content="2024-01-15T08:00:00Z">'),
         F.lit("</head><body><nav><a href=\"/\">Home</a></nav><!-- <article>not this</article> -->"),
-        F.lit("<article><h1>"), esc(first), F.lit("</h1><p>"), esc(F.col("text")), F.lit("</p></article>"),
+        F.lit('<article title="x > y"><h1>'), refs(first), F.lit("</h1><article><p title='>'>"), refs(F.col("text")),
+        F.lit("</p></article><p></p></article><p>after</p>"),
         F.lit("<footer>&copy; feed</footer></body></html>"))
     return documents.select(F.col("doc_id"), F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/x/"),
                                                      F.col("doc_id").cast("string")).alias("url"), html.alias("html"))

@@ -12,7 +12,7 @@ from .. import functions as fl
 from ..operators import dedupe, extract, health, outputs, registry, state, summarize
 from . import inputs as I
 from . import sqlref as S
-from .catalog import (_BROKEN, _CANON_ROWS_SQL, _FEED_ITEMS_SQL, _PUB_URL, _RANKED, _RESP_SQL, _arr,
+from .catalog import (_DIRECT_SQL, _BROKEN, _CANON_ROWS_SQL, _FEED_ITEMS_SQL, _PUB_URL, _RANKED, _RESP_SQL, _arr,
                       _canonical_ok_sql, _checks_sql, _doc_articles_sql, _page_articles_sql,
                       _page_canonical_rows, _t, _ts, register)
 
@@ -643,51 +643,105 @@ SELECT page_id, coalesce({S.nclean(S.body_text(S.strip_non_text('html')))}, '')
 
 # ============================================================ K1: one daily run (rows-only check)
 
-def _daily_run_spark(spark, sf):
-    """K1 over derived inputs: registry = one publication per feed, monitored
-    by feed (home page on malformed feeds); every selected item is fetched
-    from ``pages`` (first page per normalised URL); limits set so the whole
-    input is processed."""
-    from ..plans.jobs import RunConfig, run_daily
+def _run_inputs(spark, sf):
     pages = _t(spark, sf, "pages")
+    fetched = pages.select(fl.normalize_url("url").alias("url"), "html", F.lit(None).cast("string").alias("error"), "page_id")
+    fetched = dedupe.first_by_key(fetched, ["url"], ["page_id"]).drop("page_id")
+    return pages, fetched
+
+
+_CANON_SCALARS = [c for c in extract.CANONICAL_COLUMNS if c not in ("summary_bullets", "topic_tags")]
+
+
+def _canonical_out(df):
+    return df.select(*_CANON_SCALARS, F.to_json("seq").alias("run_order"), _arr(F.col("summary_bullets")).alias("summary_bullets"))
+
+
+def _feed_registry(spark, sf, pages):
     feeds = I.feeds(pages)
     first_seen = F.timestamp_seconds(F.lit(I.EPOCH_2024) + F.col("seq") * 3600)
-    reg = registry.with_registry_defaults(feeds.select(
+    return feeds, registry.with_registry_defaults(feeds.select(
         "publication_url", F.col("publication_name"), F.lit(I.SOURCE_PROFILE).alias("discovered_from_profile"),
         first_seen.alias("first_seen"), first_seen.alias("last_seen_on_reads"), first_seen.alias("inserted_at"),
         "seq", fl.short_id("publication_url").alias("publication_id"),
         fl.default_feed_url("publication_url").alias("rss_url")))
-    fetched = dedupe.first_by_key(pages.select(fl.normalize_url("url").alias("url"), "page_id", "html"),
-                                  ["url"], ["page_id"]).select("url", "html", F.lit(None).cast("string").alias("error"))
-    cfg = RunConfig(run_ts=I.RUN_TS, source_profile=I.SOURCE_PROFILE, discovery_mode="registry_only",
-                    article_fetch_limit=None, max_publications_per_run=None)
-    out = run_daily(spark, cfg, reads_pages=None, fetched=fetched, feeds=feeds, homepages=I.homepages(pages),
-                    responses=None, reg=reg, seen=I.page_seen(pages))
-    return out["canonical"].select(*[c for c in extract.CANONICAL_COLUMNS if c not in ("summary_bullets", "topic_tags")],
-                                   F.to_json("seq").alias("run_order"),
-                                   _arr(F.col("summary_bullets")).alias("summary_bullets"))
 
 
+def _run_config(mode, run_ts=I.RUN_TS):
+    from ..plans.jobs import RunConfig
+    return RunConfig(run_ts=run_ts, source_profile=I.SOURCE_PROFILE, discovery_mode=mode,
+                     article_fetch_limit=None, max_publications_per_run=None)
 
 
-def _daily_run_sql() -> str:
-    k1 = "(-((1704067200 + seq * 3600) * 1000000))"
-    k2 = "((1704067200 + seq * 3600) * 1000000)"
-    items = f"""
+def _daily_run_spark(spark, sf):
+    """K1 over derived inputs: registry = one publication per feed, monitored
+    by feed (home page on malformed feeds); every selected item is fetched
+    from ``pages`` (first page per normalised URL); limits set so the whole
+    input is processed."""
+    from ..plans.jobs import run_daily
+    pages, fetched = _run_inputs(spark, sf)
+    feeds, reg = _feed_registry(spark, sf, pages)
+    out = run_daily(spark, _run_config("registry_only"), reads_pages=None, fetched=fetched, feeds=feeds,
+                    homepages=I.homepages(pages), responses=None, reg=reg, seen=I.page_seen(pages))
+    return _canonical_out(out["canonical"])
+
+
+def _daily_run_live_spark(spark, sf):
+    """K1 in live_reads mode: the listing pages' direct links; the authors
+    found there have no feed or home page, so monitoring them yields nothing."""
+    from ..plans.jobs import run_daily
+    pages, fetched = _run_inputs(spark, sf)
+    out = run_daily(spark, _run_config("live_reads"), reads_pages=I.listing_pages(pages).select("page_id", "url", "html"),
+                    fetched=fetched, feeds=I.feeds(pages), homepages=None, responses=None,
+                    reg=registry.empty_registry(spark), seen=I.page_seen(pages))
+    return _canonical_out(out["canonical"])
+
+
+def _displayed_spark(spark, sf):
+    """K4 twice: a healthy run is persisted and published; the next day's
+    preflight fails, and what consumers are shown is the first day's dataset."""
+    from ..plans import jobs
+    from ..session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark)}/display-{uuid.uuid4().hex[:8]}"
+    pages, fetched = _run_inputs(spark, sf)
+    feeds, reg = _feed_registry(spark, sf, pages)
+    inputs = dict(reads_pages=None, fetched=fetched, feeds=feeds, homepages=I.homepages(pages), responses=None)
+    check = spark.range(1).select(F.col("id").alias("seq"), F.lit("dns").alias("kind"), F.lit("reads.example.com").alias("target"),
+                                  F.lit(True).alias("ok"), F.lit(None).cast("int").alias("status_code"), F.lit(None).cast("string").alias("error"))
+    jobs.run_with_health(spark, _run_config("registry_only"), check, base=base, reg=reg, seen=I.page_seen(pages), **inputs)
+    next_day = _run_config("registry_only", "2024-02-01 06:00:00")
+    out = jobs.run_with_health(spark, next_day, check.withColumn("ok", F.lit(False)), base=base,
+                               reg=jobs.load_registry(spark, f"{base}/state/registry", next_day),
+                               seen=jobs.load_seen(spark, f"{base}/state/seen"), **inputs)
+    return out["displayed"].crossJoin(out["run_status"].select("run_status", "failure_stage")).select(
+        "article_id", "canonical_url", "processing_status", "title", "run_date", "data_freshness", "banner_message", "run_status", "failure_stage")
+
+
+_MONITORED_ITEMS = f"""
       (SELECT seq, pos, source_url, article_url, title_hint, source_label, discovered_via FROM {_FEED_ITEMS_SQL}
        UNION ALL
        SELECT first_id, CAST(3 * rk AS INTEGER), {_PUB_URL}, 'https://' || host || '/p/post-' || CAST(page_id AS VARCHAR),
               'Post ' || CAST(page_id AS VARCHAR), host, 'publication_html'
        FROM {_RANKED} WHERE rk < 5 AND {_BROKEN})"""
+
+
+def _daily_run_sql(live: bool = False) -> str:
+    if live:
+        items, rank, order = _DIRECT_SQL, "seq, pos", "pub_seq, pos"
+        keys = ("0", "CAST(seq AS VARCHAR)", "'0'", "'0'")
+    else:
+        items, rank, order = _MONITORED_ITEMS, "seq DESC, pos", "pub_seq DESC, pos"
+        keys = ("1", "CAST((-((1704067200 + seq * 3600) * 1000000)) AS VARCHAR)", "CAST(((1704067200 + seq * 3600) * 1000000) AS VARCHAR)",
+                "CAST(seq AS VARCHAR)")
     seen_sql = _page_articles_sql("WHERE starts_with(url, 'http://')")
     return f"""
 WITH RECURSIVE it AS (
   SELECT *, {S.normalize_url('article_url')} AS cu,
-         '{{"source_rank":1,"k1":' || CAST({k1} AS VARCHAR) || ',"k2":' || CAST({k2} AS VARCHAR) || ',"k3":'
-           || CAST(seq AS VARCHAR) || ',"pos":' || CAST(pos AS VARCHAR) || '}}' AS run_order
+         '{{"source_rank":{keys[0]},"k1":' || {keys[1]} || ',"k2":' || {keys[2]} || ',"k3":'
+           || {keys[3]} || ',"pos":' || CAST(pos AS VARCHAR) || '}}' AS run_order
   FROM {items}),
-first_it AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cu ORDER BY seq DESC, pos) AS r FROM it)
-             WHERE r = 1),
+first_it AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cu ORDER BY {rank}) AS r0 FROM it)
+             WHERE r0 = 1),
 seen AS (SELECT canonical_url, content_hash FROM {seen_sql}),
 fresh AS (SELECT * FROM first_it WHERE cu NOT IN (SELECT canonical_url FROM seen)),
 pg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY seq) AS r2
@@ -701,7 +755,7 @@ art AS (SELECT f.seq AS pub_seq, f.pos, f.run_order, {S.short_id('f.cu')} AS art
         FROM fresh f JOIN pg p ON f.cu = p.canonical_url
         WHERE p.content_hash NOT IN (SELECT content_hash FROM seen)),
 d AS (SELECT run_order, canonical_url AS u, content_hash AS h,
-             row_number() OVER (ORDER BY pub_seq DESC, pos) AS rn FROM art),
+             row_number() OVER (ORDER BY {order}) AS rn FROM art),
 walk(rn, run_order, kept, urls, hashes) AS (
   SELECT 0::BIGINT, NULL::VARCHAR, false, []::VARCHAR[], []::VARCHAR[]
   UNION ALL
@@ -712,7 +766,7 @@ walk(rn, run_order, kept, urls, hashes) AS (
   FROM walk w JOIN d ON d.rn = w.rn + 1),
 k AS (SELECT *, run_order AS seq FROM art WHERE run_order IN (SELECT run_order FROM walk WHERE kept)),
 ok AS (SELECT * FROM {_canonical_ok_sql('k')})
-SELECT {', '.join(c for c in extract.CANONICAL_COLUMNS if c not in ('summary_bullets', 'topic_tags'))},
+SELECT {', '.join(_CANON_SCALARS)},
        seq AS run_order, {S.arr_text('summary_bullets')} AS summary_bullets FROM ok
 UNION ALL
 SELECT {S.short_id('cu')}, '{I.SOURCE_PROFILE}', source_label, cu, cu, title_hint, NULL, NULL, NULL, NULL, '', NULL,
@@ -722,3 +776,64 @@ FROM fresh WHERE cu NOT IN (SELECT canonical_url FROM pg)"""
 
 
 register("daily_run", _daily_run_sql())(_daily_run_spark)
+register("daily_run_live", _daily_run_sql(live=True))(_daily_run_live_spark)
+register("displayed_after_degraded_run", f"""
+SELECT article_id, canonical_url, processing_status, title, run_date, 'last_successful_fallback' AS data_freshness,
+       'Current monitoring run degraded. Displaying last successful dataset.' AS banner_message,
+       'degraded' AS run_status, 'preflight_dns' AS failure_stage
+FROM ({_daily_run_sql()})""")(_displayed_spark)
+
+
+# ============================================================ L1 in two batches, G8
+
+SPLIT_PAGE = 120
+
+
+def _incremental_articles_spark(spark, sf):
+    """The foreachBatch stream over two arrivals of pages; equal to one pass in page order."""
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.incremental import incremental_articles
+    run = f"{ensure_checkpoint_dir(spark)}/incremental-articles-{uuid.uuid4().hex[:8]}"
+    pages = _t(spark, sf, "pages")
+    for part in (pages.where(F.col("page_id") < SPLIT_PAGE), pages.where(F.col("page_id") >= SPLIT_PAGE)):
+        part.write.mode("append").parquet(f"{run}/in")
+        incremental_articles(spark, f"{run}/in", f"{run}/checkpoint", f"{run}/seen", f"{run}/out", I.RUN_ISO,
+                             file_glob="*.parquet").awaitTermination()
+    return spark.read.parquet(f"{run}/out").select("seq", "article_id", "canonical_url", "title", "content_hash", "summary_status")
+
+
+register("incremental_articles", f"""
+WITH RECURSIVE a AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_url, seq < {SPLIT_PAGE} ORDER BY seq) AS r
+                 FROM {_page_articles_sql()}) WHERE r = 1),
+d AS (SELECT seq, canonical_url AS u, content_hash AS h, row_number() OVER (ORDER BY seq) AS rn FROM a),
+walk(rn, seq, kept, urls, hashes) AS (
+  SELECT 0::BIGINT, NULL::BIGINT, false, []::VARCHAR[], []::VARCHAR[]
+  UNION ALL
+  SELECT d.rn, d.seq, NOT (list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h)),
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.urls ELSE list_append(w.urls, d.u) END,
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.hashes
+              ELSE list_append(w.hashes, d.h) END
+  FROM walk w JOIN d ON d.rn = w.rn + 1)
+SELECT seq, article_id, canonical_url, title, content_hash, 'fallback' AS summary_status
+FROM a WHERE seq IN (SELECT seq FROM walk WHERE kept)""")(_incremental_articles_spark)
+
+
+def _registry_defaults_spark(spark, sf):
+    """State written before four columns existed, half of it rewritten since with NULLs in them."""
+    old = I.registry_from_events(_t(spark, sf, "events"))
+    gone = ("monitor_status", "monitor_method", "expiry_after_days", "is_active")
+    old = old.withColumns({c: F.when(F.col("seq") % 2 == 0, F.col(c)) for c in gone[:3]}).drop("is_active")
+    out = registry.with_registry_defaults(old, 45)
+    return out.select("publication_url", "seq", *gone, F.col("last_checked").isNull().alias("never_checked"))
+
+
+register("registry_defaults", f"""
+WITH e AS (SELECT * FROM events),
+v AS (SELECT user_id, CAST(floor(min(value)) AS INTEGER) AS expiry FROM e WHERE event_type = 'view' GROUP BY user_id),
+x AS (SELECT DISTINCT user_id FROM e WHERE event_type = 'error')
+SELECT 'https://pub' || CAST(v.user_id AS VARCHAR) || '.example.com/' AS publication_url, CAST(v.user_id AS BIGINT) AS seq,
+       CASE WHEN v.user_id % 2 = 0 AND x.user_id IS NOT NULL THEN 'error' ELSE 'pending' END AS monitor_status,
+       'rss' AS monitor_method, CASE WHEN v.user_id % 2 = 0 THEN expiry ELSE 45 END AS expiry_after_days,
+       true AS is_active, true AS never_checked
+FROM v LEFT JOIN x ON v.user_id = x.user_id""")(_registry_defaults_spark)

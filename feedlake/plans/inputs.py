@@ -88,7 +88,7 @@ def listing_pages(pages: DataFrame) -> DataFrame:
     chunk, the author profile, a fragment link and an excluded path."""
     p = _page_host(pages)
     anchor = F.concat(
-        F.lit('<li><a href="'), _xml_escape(F.col("url")), F.lit('">Post '), F.col("page_id").cast("string"),
+        F.lit('<li><a title="older > newer" href="'), _xml_escape(F.col("url")), F.lit('">Post '), F.col("page_id").cast("string"),
         F.lit('</a> by <a href="/@author'), F.col("page_id").cast("string"), F.lit('">Author '),
         F.col("page_id").cast("string"), F.lit('</a> <a href="#top">top</a> <a href="/about">about</a></li>'))
     g = p.groupBy("host", "chunk").agg(
@@ -119,8 +119,9 @@ def homepages(pages: DataFrame) -> DataFrame:
 
 
 def feeds(pages: DataFrame) -> DataFrame:
-    """Feeds per (host, chunk): Atom for ``blog.`` hosts, RSS otherwise; a
-    page URL with a fragment gives a link-less entry; hosts containing
+    """Feeds per (host, chunk): Atom for ``blog.`` hosts (every other chunk with
+    a prefix on all elements), RSS otherwise (every other chunk in a second
+    channel, every third item with a prefixed Atom link); a page URL with a fragment gives a link-less entry; hosts containing
     ``spam`` or ``cheap`` serve a document without its closing tags (malformed)."""
     p = _page_host(pages)
     ts = F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("page_id") * 3600)
@@ -129,7 +130,9 @@ def feeds(pages: DataFrame) -> DataFrame:
     title = F.concat(F.lit("Post "), F.col("page_id").cast("string"))
     rss_item = F.concat(
         F.lit("<item><title>"), title, F.lit("</title>"),
-        F.when(has_frag, F.lit("")).otherwise(F.concat(F.lit("<link>"), _xml_escape(F.col("url")), F.lit("</link>"))),
+        F.when(has_frag, F.lit(""))
+        .when(F.col("page_id") % 3 == 0, F.concat(F.lit('<atom:link rel="alternate" href="'), _xml_escape(F.col("url")), F.lit('"/>')))
+        .otherwise(F.concat(F.lit("<link>"), _xml_escape(F.col("url")), F.lit("</link>"))),
         F.lit("<pubDate>"), F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss 'GMT'"), F.lit("</pubDate></item>"))
     atom_entry = F.concat(
         F.lit("<entry><title>"), title, F.lit("</title>"),
@@ -142,10 +145,14 @@ def feeds(pages: DataFrame) -> DataFrame:
     body = F.array_join(F.transform(F.col("items"), lambda x: x["entry"]), "")
     is_atom = F.col("host").startswith("blog.")
     broken = F.col("host").contains("spam") | F.col("host").contains("cheap")
-    doc = F.when(is_atom, F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("host"),
-                                   F.lit("</title>"), body, F.when(broken, F.lit("")).otherwise(F.lit("</feed>")))) \
-        .otherwise(F.concat(F.lit('<?xml version="1.0"?><rss version="2.0"><channel><title>'), F.col("host"),
-                            F.lit("</title>"), body, F.when(broken, F.lit("")).otherwise(F.lit("</channel></rss>"))))
+    odd = F.col("chunk") % 2 == 1
+    close = lambda text: F.when(broken, F.lit("")).otherwise(F.lit(text))
+    plain = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>'), F.col("host"), F.lit("</title>"), body, close("</feed>"))
+    prefixed = F.concat(F.lit('<a:feed xmlns:a="http://www.w3.org/2005/Atom"><a:title>'), F.col("host"), F.lit("</a:title>"),
+                        F.regexp_replace(body, "<(/?)(entry|title|link|published)", "<$1a:$2"), close("</a:feed>"))
+    rss = F.concat(F.lit('<?xml version="1.0"?><rss version="2.0" xmlns:atom="http://www.w3.org/2005/Atom"><channel><title>'), F.col("host"),
+                   F.lit("</title>"), F.when(odd, F.lit("</channel><channel>")).otherwise(F.lit("")), body, close("</channel></rss>"))
+    doc = F.when(is_atom & odd, prefixed).when(is_atom, plain).otherwise(rss)
     pub_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/archive/"), F.col("chunk").cast("string"))
     return g.select("seq", pub_url.alias("publication_url"), F.col("host").alias("publication_name"),
                     doc.alias("xml"))
@@ -219,11 +226,13 @@ def check_message(value: Column, user_id: Column) -> Column:
 
 def checks(events: DataFrame) -> DataFrame:
     """Check results per day: signup -> dns, click -> http, others -> source;
-    source checks fail on error events, dns/http checks on values >= 400."""
+    source checks fail on error events, dns/http checks on values >= 400, one dns
+    check in 997 in any case."""
     e = events.withColumn("ts", F.col("ts").cast("timestamp"))
     kind = F.when(F.col("event_type") == "signup", "dns").when(F.col("event_type") == "click", "http").otherwise("source")
     e = e.withColumn("kind", kind)
-    ok = F.when(F.col("kind") == "source", F.col("event_type") != "error").otherwise(F.col("value") < 400)
+    ok = F.when(F.col("kind") == "source", F.col("event_type") != "error") \
+        .otherwise((F.col("value") < 400) & ((F.col("kind") != "dns") | (F.col("event_id") % 997 != 0)))
     e = e.withColumn("ok", ok)
     code = F.when(F.col("kind") == "http", F.when(F.col("value") < 400, 200).when(F.col("value") < 450, 503).otherwise(403))
     err = (F.when(F.col("ok"), F.lit(None).cast("string"))

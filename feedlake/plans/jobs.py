@@ -14,7 +14,9 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.urls import normalize_url
 from ..operators import dedupe, extract, health, outputs, registry, state, summarize
+from ..session import cut_lineage
 from ..sources import io
 
 DISCOVERY_MODES = ("live_reads", "manual_seed", "registry_only")
@@ -125,7 +127,8 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
                                     F.lit(None).cast("string").alias("home_error"))
                    if homepages is not None else None)
     items, results = registry.recent_posts(monitored_pubs, feed_items, feed_status, home_items, home_status,
-                                           cfg.rss_enabled, cfg.html_fallback_enabled)
+                                           cfg.rss_enabled, cfg.html_fallback_enabled, materialize=True)
+    items = cut_lineage(items)  # narrow rows, read by the merge and by the raw sink
     reg = registry.mark_checked(reg, registry.check_rows(results, cfg.run_ts))
     # Run order of candidates: direct links first (page, anchor position),
     # then monitored posts in publication ranking (F1: last seen desc with
@@ -142,7 +145,6 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     monitored = (items.withColumn("seq", F.lit(0).cast("long")).select(*extract.READ_ITEM_COLUMNS)
                  .join(pubs_o, "source_url").withColumn("source_rank", F.lit(1)))
     order = ["source_rank", "k1", "k2", "k3", "pos"]
-    from ..functions.urls import normalize_url
     both = direct_o.unionByName(monitored.select(*direct_o.columns)) \
         .withColumn("canonical_url", normalize_url(F.col("article_url")))
     merged = dedupe.first_by_key(both, ["canonical_url"], order)
@@ -150,7 +152,6 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     fresh = fresh.withColumn("seq", F.struct(*[F.col(c) for c in order])).drop("k1", "k2", "k3", "canonical_url")
     # The run's candidate batch feeds both the fetched articles and the failed
     # rows: materialise it once (discovery, monitoring and merge run once).
-    from ..session import cut_lineage
     fresh = cut_lineage(fresh)
     ok_pages = fetched.where(F.col("error").isNull())
     articles = fetched_articles = extract.build_articles(fresh, ok_pages, cfg.run_iso)
@@ -193,7 +194,6 @@ def load_seen(spark: SparkSession, path: str) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut a run's table from its plan, so that its several outputs don't compute it again."""
-    from ..session import cut_lineage
     return cut_lineage(df)
 
 
