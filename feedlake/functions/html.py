@@ -8,7 +8,6 @@ HTML tokenizer does.
 
 from __future__ import annotations
 
-import json
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -54,11 +53,30 @@ REFERENCE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31}
 COMMON_REFERENCES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", "\u00a0"))
 
 
-@lru_cache(maxsize=1)
-def _named_references() -> str:
-    """JSON of the named character references that end in a semicolon (from the standard library's table)."""
-    from html.entities import html5
-    return json.dumps({"&" + name: text for name, text in html5.items() if name.endswith(";")}, ensure_ascii=False)
+@lru_cache(maxsize=2)
+def _named_references(frequent: bool) -> str:
+    """Named character references that end in a semicolon, from the standard
+    library's tables, as one text: separator, reference, characters.  The
+    frequent ones are those of HTML 4 up to Latin-1; the others are the rest."""
+    from html.entities import html5, name2codepoint
+    chosen = {n for n, c in name2codepoint.items() if c < 256}
+    return "".join(f"{_SEP}&{name}{text}" for name, text in sorted(html5.items())
+                   if name.endswith(";") and (name[:-1] in chosen) == frequent) + _SEP
+
+
+_SEP = "\x01"
+
+
+def _named(ref: Column) -> Column:
+    """Characters of a named reference, or the reference itself.  A text search,
+    in the short table first: a map literal of all names would slow down
+    planning wherever it is used, and is searched from its start as well."""
+    def look_up(frequent: bool) -> Column:
+        table = F.lit(_named_references(frequent))
+        at = F.instr(table, F.concat(F.lit(_SEP), ref))
+        return F.when(at > 0, F.substring_index(F.substr(table, at + F.char_length(ref) + 1), _SEP, 1))
+
+    return F.coalesce(look_up(True), look_up(False), ref)
 
 
 # Numbers 128 to 159 mean the characters of this code page, where it has any.
@@ -78,13 +96,11 @@ def unescape(c) -> Column:
 def _decode_all(x: Column) -> Column:
     between = F.split(x, REFERENCE_RE, -1)
     refs = F.regexp_extract_all(x, F.lit(REFERENCE_RE), 0)
-    named = lambda r: F.coalesce(F.from_json(F.lit(_named_references()), "map<string,string>")[r], r)
-
     def one(r: Column) -> Column:
         out = F.when(F.startswith(r, F.lit("&#")), _numeric(r))
-        for ref, ch in COMMON_REFERENCES:  # the map is searched from its start
+        for ref, ch in COMMON_REFERENCES:  # the others are searched for
             out = out.when(r == ref, F.lit(ch))
-        return out.otherwise(named(r))
+        return out.otherwise(_named(r))
 
     decoded = F.transform(refs, one)
     # between has one piece more than there are references
