@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import decontam, exact_dedup, packing, quality, simhash
-from feedlake.llm.common import read, write_stage
+from feedlake.llm.common import OWN, read, write_stage
 from feedlake.llm.queries import tokenizer_path
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the compression classifier, learnt outside its held-out fold, finds good."""
     model = quality.train(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), folds=3, held_out=1)
-    scored = quality.score_quality(docs, model, "_quality")
-    return scored.where(F.col("_quality") >= 0.5).drop("_quality")
+    score = OWN + "quality"
+    return quality.score_quality(docs, model, score).where(F.col(score) >= 0.5).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,8 +23,10 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+#: Prefix of working columns; input columns are not expected to use it.
+OWN = "__feedlake_"
 #: Names of the columns that with_id_key() adds.
-ID_KEY = ("_id_null", "_id")
+ID_KEY = (OWN + "id_null", OWN + "id")
 
 
 def with_id_key(df: DataFrame) -> DataFrame:
@@ -33,6 +35,33 @@ def with_id_key(df: DataFrame) -> DataFrame:
     return df.withColumn(ID_KEY[0], F.col("doc_id").isNull()).withColumn(ID_KEY[1], F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
 
 
+def map_texts(df: DataFrame, text: str, added: dict[str, str], fn) -> DataFrame:
+    """``df`` with columns computed from a text column, batch by batch in Python tasks.
+
+    ``added``: the new columns and their types; an input column of such a name
+    is replaced.  ``fn()`` runs once per task and gives the function that maps
+    a list of texts (null is empty) to one list for each new column.
+    """
+    base = df.drop(*[c for c in added if c != text]) if text not in added else df
+    kept = [c for c in base.columns if c not in added]
+    schema = base.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(t).alias(c) for c, t in added.items()]).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = fn()
+        for b in batches:
+            columns: list[list] = [[] for _ in added]
+            for _, texts in batches_by_bytes(b.column(text)):
+                for column, values in zip(columns, work(texts)):
+                    column.extend(values)
+            arrays = [pa.array(c, ARROW[t]) for c, t in zip(columns, added.values())]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *arrays], [*kept, *added])
+
+    return base.mapInArrow(run, schema)
+
+
+ARROW = {"string": pa.string(), "double": pa.float64(), "long": pa.int64()}
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows_per_class: int | dict,
                     classes: Iterable | None = None, held_out: Column | None = None) -> DataFrame:
     """(y, text) of at most ``rows_per_class`` labelled documents of each class.

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ID_KEY, with_id_key, write_stage
+from .common import ASCII_SPACE, ID_KEY, OWN, with_id_key, write_stage
 
 PREFIX_CHARS = 64
 
@@ -84,8 +84,9 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Kept rows are found again by (doc_id, full hash); of rows repeated whole
     one stays.
     """
-    keys = [*ID_KEY, "_hash"]
-    kept = with_id_key(exact_dedup(docs, hash_all=True).where("kept")).withColumnRenamed("full_hash", "_hash").select(*keys)
-    keyed = with_id_key(docs).withColumn("_hash", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    digest = OWN + "hash"
+    keys = [*ID_KEY, digest]
+    kept = with_id_key(exact_dedup(docs, hash_all=True).where("kept")).withColumnRenamed("full_hash", digest).select(*keys)
+    keyed = with_id_key(docs).withColumn(digest, F.sha2(normalised(F.col("text")).cast("binary"), 256))
     out = keyed.join(kept, keys, "left_semi").dropDuplicates(keys)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

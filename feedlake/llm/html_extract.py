@@ -31,15 +31,13 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes
+from .common import map_texts
 
 #: Bounds of what is fitted on: sampled pages, characters of a page, layouts of each page.
 FIT_PAGES, FIT_CHARS, FIT_LAYOUTS = 150, 40_000, 8
@@ -595,12 +593,5 @@ def train(pages: DataFrame, rows: int = FIT_PAGES, chars: int = FIT_CHARS) -> Bo
 
 
 def extract_main_text(pages: DataFrame, model: Boosted, column: str = "text") -> DataFrame:
-    """``pages`` with the main text of each row's whole html."""
-    schema = pages.select("*", F.lit("").alias(column)).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [t for _, part in batches_by_bytes(b.column("html"), 1 << 20) for t in extract_all(part, model)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, column])
-
-    return pages.mapInArrow(run, schema)
+    """``pages`` with the main text of each row's whole html (a column of that name is replaced)."""
+    return map_texts(pages, "html", {column: "string"}, lambda: lambda texts: [extract_all(texts, model)])

@@ -21,16 +21,14 @@ rows every text is ``und``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, fold
+from .common import fold, map_texts
 
 #: Families by ISO 639-1 code.
 FAMILIES = {
@@ -206,31 +204,23 @@ def train(docs: DataFrame, folds: int = 4, held_out: int = 2, rows_per_lang: int
     """Fit on at most ``rows_per_lang`` rows of each language, ``chars`` characters of each, outside the held-out fold.
 
     Rows are chosen by a hash of doc_id among the narrow columns; only then are
-    the texts of that bounded set read, in one pass.
+    the texts of that set read, in one pass.  Its size is bounded by the number
+    of languages times ``rows_per_lang``.
     """
     usable = docs.select("doc_id", "lang").where("lang is not null and doc_id is not null").where(fold(F.col("doc_id"), folds) != held_out)
-    langs = [r["lang"] for r in usable.select("lang").distinct().collect()]
-    chosen = None
-    for lang in langs:  # bounded by the number of languages, not of rows
-        part = usable.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_lang)
-        chosen = part if chosen is None else chosen.unionAll(part)
-    if chosen is None:
-        return LangModel()
-    chosen = chosen.dropDuplicates().select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    rows = docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi") \
+    # A row-number limit is applied within each partition before the shuffle, so a frequent language is no hot key.
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = usable.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rows_per_lang) \
+        .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).dropDuplicates()
+    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi") \
         .select("doc_id", "lang", F.substring("text", 1, chars).alias("text")).collect()
     return fit([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"] or ""))])
 
 
 def predict_language(docs: DataFrame, model: LangModel) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` for each row's whole text."""
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [p for _, texts in batches_by_bytes(b.column("text"), 1 << 19) for p in model.predict(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([p[0] for p in found], pa.string()), pa.array([p[1] for p in found], pa.float64())],
-                [*b.schema.names, "lang_pred", "score"])
+    """``docs`` with ``lang_pred`` and ``score`` for each row's whole text (columns of these names are replaced)."""
+    def work(texts: list[str]) -> list[list]:
+        found = model.predict(texts)
+        return [[p[0] for p in found], [p[1] for p in found]]
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, "text", {"lang_pred": "string", "score": "double"}, lambda: work)

@@ -22,16 +22,14 @@ class every score is the share of label 1 (0.5 without labels).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, labelled_sample
+from .common import fold, labelled_sample, map_texts
 
 WINDOW = 128
 CLIP = 0.1
@@ -135,14 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1,
 
 
 def score_quality(docs: DataFrame, model: QualityModel, column: str = "quality_score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for each row's whole text."""
-    schema = docs.select("*", F.lit(0.0).alias(column)).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``docs`` with a score from 0 to 1 for each row's whole text (a column of that name is replaced)."""
+    def start():
         pair = model.compressors()
-        for b in batches:
-            texts = b.column("text")
-            x = [difference(texts[i].as_py(), *pair) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(model.score(x), pa.float64())], [*b.schema.names, column])
+        return lambda texts: [model.score([difference(t, *pair) for t in texts]).tolist()]
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, "text", {column: "double"}, start)

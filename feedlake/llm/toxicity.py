@@ -23,15 +23,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_by_bytes, fold, labelled_sample
+from .common import fold, labelled_sample, map_texts
 
 WINDOW, STRIDE = 48, 24
 HIDDEN, DIM = 8, 12
@@ -342,14 +340,9 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
 
 
 def score_toxicity(docs: DataFrame, net: Net, column: str = "toxicity") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for each row's whole text."""
-    schema = docs.select("*", F.lit(0.0).alias(column)).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``docs`` with a score from 0 to 1 for each row's whole text (a column of that name is replaced)."""
+    def start():
         scorer = Scorer(net)
-        for b in batches:
-            z = [scorer.logits(texts) for _, texts in batches_by_bytes(b.column("text"), 1 << 20)]
-            scores = net.score(np.concatenate(z) if z else np.zeros(0))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], [*b.schema.names, column])
+        return lambda texts: [net.score(scorer.logits(texts)).tolist()]
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, "text", {column: "double"}, start)

@@ -5,10 +5,11 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from feedlake.llm import decontam, quality, queries, simhash
+from feedlake.llm import decontam, exact_dedup, html_extract, langid, packing, quality, queries, secrets, simhash, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -61,6 +62,25 @@ def test_stages_on_an_empty_table(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).collect() == []
 
 
+def test_columns_with_clashing_names(spark):
+    """Working and result names as input columns: kept, or replaced by the result, and never mixed up."""
+    rows = [(1, "The quick brown fox jumps over the lazy dog", "en"), (2, None, None), (None, "", "de"), (3, "Der Hund und die Katze im Haus", "de"), (3, "Der Hund und die Katze im Haus", "de")]
+    names = ["score", "lang_pred", "quality_score", "toxicity", "_id", "_hash", "fp", "component_id", "kept", "keep_id", "rank", "row", "h", "again", "best",
+             "size", "start", "length", "part", "ids", "item_id", "distance", "root", "node", "y", "shard", "a", "b", "turn", "count", "full_hash", "html", "body"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for n in names:
+        df = df.withColumn(n, F.lit("own " + n))
+    for out, made in ((langid.predict_language(df, langid.train(df)), {"lang_pred", "score"}), (quality.score_quality(df, quality.fit([])), {"quality_score"}),
+                      (toxicity.score_toxicity(df, toxicity.fit([])), {"toxicity"}), (html_extract.extract_main_text(df, html_extract.fit([], layouts=1), "body"), {"body"}),
+                      (secrets.scan_secrets(df), {"base_spans", "entropy_spans"}), (exact_dedup.drop_copies(df), set()), (simhash.keep_one(df), set()),
+                      (decontam.drop_leaks(df, spark.createDataFrame([(1, "no such words here")], "item_id long, text string").withColumn("doc_id", F.lit(9))), set())):
+        assert set(out.columns) == set(df.columns) | made and len(out.columns) == len(set(out.columns))
+        got = out.collect()
+        assert got and all(r[n] == "own " + n for r in got for n in names if n not in made)
+    assert packing.pack_documents(df, queries.tokenizer_path(), 64).count() == len(rows)
+    assert exact_dedup.exact_dedup(df).count() == simhash.near_duplicates(df).count() == len(rows)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, sf_dir, name):
     con = duckdb.connect()
