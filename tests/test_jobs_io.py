@@ -210,6 +210,16 @@ def test_scan_prunes_columns(spark, sf_dir):
     assert "ReadSchema: struct<page_id:bigint,url:string>" in plan
 
 
+def test_output_queries_read_only_their_columns(spark, sf_dir):
+    import re
+
+    from __spark_entry__ import queries
+    scans = lambda name: re.findall(r"ReadSchema: struct<([^>]*)>", _plan(queries()[name](spark, sf_dir)))
+    assert not any("text:" in s or "html:" in s for s in scans("article_count"))
+    assert not any("text:" in s for s in scans("display_payload"))
+    assert not any("html:" in s for s in scans("run_manifest"))
+
+
 def test_incremental_articles_foreach_batch(spark, sf_dir, tmp_path):
     from feedlake.streaming.incremental import incremental_articles
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")

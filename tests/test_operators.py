@@ -161,6 +161,39 @@ def test_dedupe_first_matches_sequential_rule(spark):
     assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows)
 
 
+def _count_checkpoints(monkeypatch):
+    calls = []
+    real = dedupe.cut_lineage
+    monkeypatch.setattr(dedupe, "cut_lineage", lambda df: calls.append(1) or real(df))
+    return calls
+
+
+def test_dedupe_first_settles_groups_without_rounds(spark, monkeypatch):
+    """Copies under one URL, and one text (the empty one, say) under many URLs, need no round."""
+    calls = _count_checkpoints(monkeypatch)
+    rows = [(i, f"u{i % 7}", f"h{i}") for i in range(70)] + [(100 + i, f"v{i}", "empty") for i in range(50)] + [(200 + i, "w", "hw") for i in range(20)]
+    df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
+    assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows)
+    assert len(calls) == 2  # the input and the pairs
+
+
+def test_dedupe_first_long_chain(spark, monkeypatch):
+    """Each pair conflicts with the next by URL or by hash in turn: every second one stays."""
+    calls = _count_checkpoints(monkeypatch)
+    rows = [(i, f"u{(i + 1) // 2}", f"h{i // 2}") for i in range(40)]
+    df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
+    assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows) == list(range(0, 40, 2))
+    assert len(calls) <= 2 + 20  # one checkpoint a round, which settles two pairs of the chain
+
+
+def test_dedupe_first_with_repeated_order(spark):
+    rows = [(1, "u", "h"), (1, "u", "h"), (1, "u", "g"), (1, "v", "g"), (2, None, None), (2, None, None), (3, None, "h")]
+    df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
+    got = sorted(((r.seq, r.canonical_url, r.content_hash) for r in dedupe.dedupe_first(df).collect()), key=repr)
+    # (1, u, g) goes first and blocks u and g; the dropped (1, u, h) does not block h
+    assert got == sorted([(1, "u", "g"), (2, None, None), (3, None, "h")], key=repr)
+
+
 def test_filters_against_seen(spark):
     seen = spark.createDataFrame([("https://a.com/x", "id", "h1")], "canonical_url string, article_id string, "
                                                                    "content_hash string")
