@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedlake.session import cut_lineage, ensure_checkpoint_dir  # noqa: F401  (re-exported)
@@ -62,25 +62,42 @@ def map_texts(df: DataFrame, text: str, added: dict[str, str], fn) -> DataFrame:
 ARROW = {"string": pa.string(), "double": pa.float64(), "long": pa.int64()}
 
 
+def sample_by_hash(rows: DataFrame, of: str, group: str, most: int | dict) -> DataFrame:
+    """At most ``most`` rows of each group (a number, or one for each group), chosen by a hash of column ``of``.
+
+    The choice is the same on every run and does not follow the order of files.
+    A threshold on the hash, from the group's count, first leaves about eight
+    times the rows wanted, wherever they lie; only those are ranked, so neither
+    a task nor the driver sees more, however frequent the group.  The counts
+    are one row per group and are broadcast: groups are classes or languages.
+    """
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias(OWN + "n"))
+    if isinstance(most, dict):
+        wanted = F.lit(0)
+        for value, n in most.items():
+            wanted = F.when(F.col(group) == value, n).otherwise(wanted)
+    else:
+        wanted = F.lit(most)
+    share = F.least(F.lit(1.0), 8.0 * wanted / F.col(OWN + "n"))
+    fine = 1 << 30
+    near = rows.join(F.broadcast(counts), group).where(F.pmod(F.xxhash64(of), F.lit(fine)) < share * fine)
+    order = Window.partitionBy(group).orderBy(F.xxhash64(of), of)
+    near = near.withColumn(OWN + "rank", F.row_number().over(order)).where(F.col(OWN + "rank") <= wanted)
+    return near.drop(OWN + "rank", OWN + "n")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, value: str, rows_per_class: int | dict,
-                    classes: Iterable | None = None, held_out: Column | None = None) -> DataFrame:
-    """(y, text) of at most ``rows_per_class`` labelled documents of each class.
+                    held_out: Column | None = None) -> DataFrame:
+    """(doc_id, y, text) of at most ``rows_per_class`` labelled documents of each class 0 and 1.
 
-    The choice is by a hash of doc_id, so it is the same on every run and does
-    not follow the order of files.  Labels are narrow, so they are cut down
-    before any text is touched; the ids kept are a bounded set, which makes the
-    broadcast of them safe.  Rows for which ``held_out`` is true never take part.
+    Labels are narrow, so they are cut down before any text is touched; the ids
+    kept are a bounded set, which makes the broadcast of them safe.  Rows for
+    which ``held_out`` is true never take part.
     """
-    lab = labels.select("doc_id", F.col(value).alias("y")).where("y is not null and doc_id is not null")
+    lab = labels.select("doc_id", F.col(value).alias("y")).where("y in (0, 1) and doc_id is not null")
     if held_out is not None:
         lab = lab.where(~held_out)
-    most = rows_per_class if isinstance(rows_per_class, dict) else {c: rows_per_class for c in (classes or (0, 1))}
-    parts = [lab.where(F.col("y") == c).dropDuplicates(["doc_id"])
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most[c])
-             for c in (classes if classes is not None else (0, 1))]
-    chosen = parts[0]
-    for p in parts[1:]:
-        chosen = chosen.unionAll(p)
+    chosen = sample_by_hash(lab.dropDuplicates(), "doc_id", "y", rows_per_class)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
 
 

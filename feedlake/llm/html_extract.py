@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import map_texts, sample_by_hash
 
 #: Bounds of what is fitted on: sampled pages, characters of a page, layouts of each page.
 FIT_PAGES, FIT_CHARS, FIT_LAYOUTS = 150, 40_000, 8
@@ -587,7 +587,8 @@ def fit(pages: list[str], layouts: int = FIT_LAYOUTS, seed: int = 17) -> Boosted
 
 def train(pages: DataFrame, rows: int = FIT_PAGES, chars: int = FIT_CHARS) -> Boosted:
     """Fit on layouts of the texts of at most ``rows`` pages, chosen by a hash of page_id among the narrow column."""
-    chosen = pages.select("page_id").where("page_id is not null").dropDuplicates().orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
+    ids = pages.select("page_id", F.lit(1).alias("all")).where("page_id is not null").dropDuplicates()
+    chosen = sample_by_hash(ids, "page_id", "all", rows).select("page_id")
     got = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").select("page_id", F.substring("html", 1, chars).alias("html")).collect()
     return fit([r["html"] or "" for r in sorted(got, key=lambda r: (r["page_id"], r["html"] or ""))])
 

@@ -25,10 +25,10 @@ from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, map_texts
+from .common import fold, map_texts, sample_by_hash
 
 #: Families by ISO 639-1 code.
 FAMILIES = {
@@ -208,10 +208,7 @@ def train(docs: DataFrame, folds: int = 4, held_out: int = 2, rows_per_lang: int
     of languages times ``rows_per_lang``.
     """
     usable = docs.select("doc_id", "lang").where("lang is not null and doc_id is not null").where(fold(F.col("doc_id"), folds) != held_out)
-    # A row-number limit is applied within each partition before the shuffle, so a frequent language is no hot key.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= rows_per_lang) \
-        .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).dropDuplicates()
+    chosen = sample_by_hash(usable.dropDuplicates(), "doc_id", "lang", rows_per_lang).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi") \
         .select("doc_id", "lang", F.substring("text", 1, chars).alias("text")).collect()
     return fit([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"] or ""))])

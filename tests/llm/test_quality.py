@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from feedlake.llm import quality
-from feedlake.llm.common import fold
+from feedlake.llm.common import fold, sample_by_hash
 
 DIR = "/root/testdata/sf0.1"
 
@@ -27,6 +27,17 @@ def test_held_out_accuracy(spark):
     assert s.min() >= 0 and s.max() <= 1
 
 
+def test_sample_is_bounded_stable_and_balanced(spark):
+    rows = spark.range(20000).selectExpr("id as doc_id", "if(id % 10 = 0, 0, 1) as y")
+    got = sample_by_hash(rows, "doc_id", "y", {0: 100, 1: 300}).collect()
+    assert sorted((y, sum(r["y"] == y for r in got)) for y in (0, 1)) == [(0, 100), (1, 300)]
+    again = sample_by_hash(rows.repartition(7), "doc_id", "y", {0: 100, 1: 300}).collect()
+    assert {r["doc_id"] for r in got} == {r["doc_id"] for r in again}
+    few = sample_by_hash(rows.where("doc_id < 50"), "doc_id", "y", 40).groupBy("y").count().collect()
+    assert {r["y"]: r["count"] for r in few} == {0: 5, 1: 40}
+    assert sample_by_hash(rows.limit(0), "doc_id", "y", 5).collect() == []
+
+
 def test_whole_text_counts():
     model = quality.fit([(1, "plain words of a story " * 9 + str(i)) for i in range(20)] + [(0, "!!%% BUY ## NOW $$ " * 9 + str(i)) for i in range(20)])
     pair = model.compressors()
