@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fl
 from ..operators import dedupe, extract, health, outputs, registry, state, summarize
+from ..sources import io
 from . import inputs as I
 from . import sqlref as S
 from .catalog import (_DIRECT_SQL, _BROKEN, _CANON_ROWS_SQL, _FEED_ITEMS_SQL, _PUB_URL, _RANKED, _RESP_SQL, _arr,
@@ -258,14 +259,18 @@ FROM pre LEFT JOIN dns ON pre.run_id = dns.run_id LEFT JOIN http ON pre.run_id =
 
 # --- D7 / F2: monitoring with feed -> home page fallback
 
+HOME_ERROR = "403 Client Error: Forbidden"
+
+
 def _monitor_spark(spark, sf):
     pages = _t(spark, sf, "pages")
     feeds = I.feeds(pages)
     items, status = extract.parse_feeds(feeds, 5, I.RUN_ISO)
     homes = I.homepages(pages)
     home_items = extract.homepage_posts(homes, 5, I.RUN_ISO)
-    home_status = homes.select("publication_url", F.lit(True).alias("home_ok"),
-                               F.lit(None).cast("string").alias("home_error"))
+    # Every other home page can't be fetched; where the feed is malformed, too, monitoring fails.
+    home_ok = F.substring_index("publication_url", "/", -1).cast("long") % 2 == 1
+    home_status = homes.select("publication_url", home_ok.alias("home_ok"), F.when(~home_ok, F.lit(HOME_ERROR)).alias("home_error"))
     return registry.recent_posts(feeds.select("publication_url", "seq"), items.drop("seq"), status, home_items,
                                  home_status)
 
@@ -275,22 +280,31 @@ SELECT source_url, pos, article_url, title_hint, discovered_via FROM {_FEED_ITEM
 UNION ALL
 SELECT {_PUB_URL}, CAST(3 * rk AS INTEGER), 'https://' || host || '/p/post-' || CAST(page_id AS VARCHAR),
        'Post ' || CAST(page_id AS VARCHAR), 'publication_html'
-FROM {_RANKED} WHERE rk < 5 AND {_BROKEN}""")(
+FROM {_RANKED} WHERE rk < 5 AND {_BROKEN} AND chunk % 2 = 1""")(
     lambda spark, sf: _monitor_spark(spark, sf)[0].select("source_url", "pos", "article_url", "title_hint",
                                                           "discovered_via"))
 
 register("monitor_results", f"""
-SELECT DISTINCT {_PUB_URL} AS publication_url, true AS success,
-       CASE WHEN {_BROKEN} THEN 'html_fallback' ELSE 'rss' END AS monitor_method, NULL::VARCHAR AS error_message
+SELECT DISTINCT {_PUB_URL} AS publication_url, NOT ({_BROKEN} AND chunk % 2 = 0) AS success,
+       CASE WHEN {_BROKEN} THEN 'html_fallback' ELSE 'rss' END AS monitor_method,
+       CASE WHEN {_BROKEN} AND chunk % 2 = 0 THEN '{HOME_ERROR}' END AS error_message
 FROM {_RANKED}""")(
     lambda spark, sf: _monitor_spark(spark, sf)[1].select("publication_url", "success", "monitor_method",
                                                           "error_message"))
 
+_ALL_FEED_ITEMS_SQL = _FEED_ITEMS_SQL.replace("rk < 5", "rk < 50")
+
+
+def _top_posts_spark(spark, sf):
+    """F2 by publication name: all chunks of a host are one publication, hot ones included."""
+    items = extract.parse_feeds(I.feeds(_t(spark, sf, "pages")), 50, I.RUN_ISO)[0]
+    top = state.top_posts(items.withColumn("place", F.struct("seq", "pos")), 3, group_col="source_label", order_col="place")
+    return top.select("source_label", "seq", "pos", "article_url")
+
+
 register("top_posts", f"""
-SELECT source_url, pos, article_url FROM (
-  SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY pos) AS r FROM {_FEED_ITEMS_SQL}) WHERE r <= 2""")(
-    lambda spark, sf: state.top_posts(extract.parse_feeds(I.feeds(_t(spark, sf, "pages")), 5, I.RUN_ISO)[0], 2)
-    .select("source_url", "pos", "article_url"))
+SELECT source_label, seq, pos, article_url FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_label ORDER BY seq, pos) AS r FROM {_ALL_FEED_ITEMS_SQL}) WHERE r <= 3""")(_top_posts_spark)
 
 
 # ============================================================ H / E: outputs and health
@@ -362,18 +376,20 @@ def _md_block_sql() -> str:
     return f"array_to_string(['', '### [' || {title} || '](' || {link} || ')', '', {summary}] || {bl} || {kt}, chr(10))"
 
 
-register("markdown_digest", f"""
+def _markdown_sql(batch: str, more_runs: str = "", intro: str = "") -> str:
+    intro_sql = f" || chr(10) || chr(10) || {S.q(intro)}" if intro else ""
+    return f"""
 WITH g0 AS (SELECT *, coalesce({S.nclean("coalesce(publication, '')")}, 'Unknown Publication') AS group_name
-            FROM {_BATCH_SQL} WHERE processing_status IN ('completed', 'partial')),
+            FROM {batch} WHERE processing_status IN ('completed', 'partial')),
 grp AS (SELECT run_date, group_name, min(seq) AS group_seq FROM g0 GROUP BY run_date, group_name),
 fst AS (SELECT run_date, min(struct_pack(l := lower(group_name), s := group_seq)) AS f FROM grp GROUP BY run_date),
 grp2 AS (SELECT grp.*, (lower(grp.group_name) = fst.f.l AND grp.group_seq = fst.f.s) AS group_first
          FROM grp JOIN fst ON grp.run_date = fst.run_date),
 art AS (SELECT g0.*, grp2.group_seq, grp2.group_first FROM g0 JOIN grp2
         ON g0.run_date = grp2.run_date AND g0.group_name = grp2.group_name),
-runs AS (SELECT DISTINCT run_date FROM art UNION SELECT DISTINCT strftime(ts, '%Y-%m-%d') FROM events)
+runs AS (SELECT DISTINCT run_date FROM art {more_runs})
 SELECT run_date, 0 AS section, '' AS group_lower, 0::BIGINT AS group_seq, 0 AS row_kind, '' AS sort_published,
-       '' AS sort_scraped, 0::BIGINT AS seq, '# Daily Digest - ' || run_date AS text FROM runs
+       '' AS sort_scraped, 0::BIGINT AS seq, '# Daily Digest - ' || run_date{intro_sql} AS text FROM runs
 UNION ALL
 SELECT run_date, 1, '', 0::BIGINT, 0, '', '', 0::BIGINT,
        chr(10) || 'No completed or partial articles were available for this run.'
@@ -383,7 +399,23 @@ SELECT run_date, 1, lower(group_name), group_seq, 0, '', '', 0::BIGINT,
        CASE WHEN group_first THEN chr(10) ELSE chr(10) || chr(10) END || '## ' || group_name FROM grp2
 UNION ALL
 SELECT run_date, 1, lower(group_name), group_seq, 1, coalesce(nullif(published_at, ''), ''),
-       coalesce(nullif(scraped_at, ''), ''), seq, {_md_block_sql()} FROM art""")(_markdown_spark)
+       coalesce(nullif(scraped_at, ''), ''), seq, {_md_block_sql()} FROM art"""
+
+
+register("markdown_digest", _markdown_sql(_BATCH_SQL, "UNION SELECT DISTINCT strftime(ts, '%Y-%m-%d') FROM events"))(_markdown_spark)
+
+
+def _rendered_spark(spark, sf):
+    """K3: the batches of all run dates written as files (H1), validated, read back (A5) and rendered."""
+    from ..plans.jobs import render_digest
+    from ..session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark)}/render-{uuid.uuid4().hex[:8]}"
+    arts = _batch_articles(spark, sf)
+    io.write_daily_batch(outputs.daily_batch_header(arts, None, I.SOURCE_PROFILE, I.RUN_ISO), arts, f"{base}/batch")
+    return render_digest(spark, f"{base}/batch", f"{base}/digest").select(*outputs.MARKDOWN_COLUMNS)
+
+
+register("rendered_digest", _markdown_sql(f"(SELECT * FROM {_BATCH_SQL})", intro=outputs.DEFAULT_INTRO))(_rendered_spark)
 
 def _manifest_spark(spark, sf):
     """A run per published day: English documents count as direct links, the
