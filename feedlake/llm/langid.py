@@ -54,6 +54,12 @@ _TABLE = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (word characters like ``²`` are not)."""
+    m = _LETTER.search(text)
+    return m is not None and (m.group().isalpha() or any(map(str.isalpha, text)))
+
+
 def family_of(lang: str) -> str:
     return next((f for f, members in FAMILIES.items() if lang in members), "other")
 
@@ -148,7 +154,7 @@ class LangModel:
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         if not self.families:
             return [(UNKNOWN, 0.0)] * len(texts)
-        known = [bool(_LETTER.search(t)) for t in texts]
+        known = [has_letter(t) for t in texts]
         m = self.margins(texts)
         fams, sure = self._vote(m, "", sorted(self.families))
         result = []
@@ -180,7 +186,7 @@ class LangModel:
 
 def fit(rows: list[tuple[str, str]]) -> LangModel:
     """``rows``: (language, text)."""
-    rows = [(lang, t) for lang, t in rows if t and _LETTER.search(t)]
+    rows = [(lang, t) for lang, t in rows if t and has_letter(t)]
     if not rows:
         return LangModel()
     langs = np.array([lang for lang, _ in rows])
