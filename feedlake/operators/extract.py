@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions._common import let
-from ..functions.dates import iso_seconds, parse_feed_date
+from ..functions.dates import parse_feed_date
 from ..functions.status import fetch_status
 from ..functions.text import clean_whitespace, content_hash, normalize_text, short_id, strip_ws, topic_tags
 from ..functions.urls import (default_feed_url, is_article_url, is_publication_url, normalize_url,

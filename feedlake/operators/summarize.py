@@ -19,9 +19,9 @@ DEFAULT_SUMMARY_LENGTH = "medium"
 
 
 def prompts(articles: DataFrame, max_input_chars: int = DEFAULT_MAX_INPUT_CHARS,
-            length: str = DEFAULT_SUMMARY_LENGTH) -> DataFrame:
-    """B18 as a job: (article_id, prompt) for an external model."""
-    return articles.select("article_id", summary_prompt(F.col("title"), trim_text(F.col("body_text"), max_input_chars),
+            length: str = DEFAULT_SUMMARY_LENGTH, key: str = "article_id") -> DataFrame:
+    """B18 as a job: (``key``, prompt) for an external model."""
+    return articles.select(key, summary_prompt(F.col("title"), trim_text(F.col("body_text"), max_input_chars),
                                                         length).alias("prompt"))
 
 

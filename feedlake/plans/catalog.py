@@ -131,8 +131,7 @@ SELECT seq, 'Summarize the following article in a medium format. Return plain te
        || 'Title: ' || coalesce(nullif(title, ''), 'Untitled article') || chr(10) || chr(10) || 'Article:' || chr(10)
        || {S.trim_text('body_text', 12000)} AS prompt
 FROM {_doc_articles_sql()}""")(
-    lambda spark, sf: I.doc_articles(_t(spark, sf, "documents")).select(
-        "seq", fl.summary_prompt(F.col("title"), fl.trim_text(F.col("body_text"), 12000)).alias("prompt")))
+    lambda spark, sf: summarize.prompts(I.doc_articles(_t(spark, sf, "documents")), key="seq"))
 
 
 register("topic_tags", f"""

@@ -729,6 +729,19 @@ def _daily_run_live_spark(spark, sf):
     return _canonical_out(out["canonical"])
 
 
+def _daily_run_seeded_spark(spark, sf):
+    """K1 in manual_seed mode: an empty registry is filled from a seed list of all feeds' publications."""
+    from ..plans.jobs import run_daily
+    pages, fetched = _run_inputs(spark, sf)
+    feeds = I.feeds(pages)
+    none = F.lit(None).cast("string")
+    seeds = feeds.select("seq", "publication_url", none.alias("url"), "publication_name", none.alias("name"), none.alias("rss_url"),
+                         none.alias("discovered_from_profile"))
+    out = run_daily(spark, _run_config("manual_seed"), reads_pages=None, fetched=fetched, feeds=feeds, homepages=I.homepages(pages),
+                    responses=None, reg=registry.empty_registry(spark), seen=I.page_seen(pages), seeds=seeds)
+    return _canonical_out(out["canonical"])
+
+
 def _displayed_spark(spark, sf):
     """K4 twice: a healthy run is persisted and published; the next day's
     preflight fails, and what consumers are shown is the first day's dataset."""
@@ -757,8 +770,11 @@ _MONITORED_ITEMS = f"""
        FROM {_RANKED} WHERE rk < 5 AND {_BROKEN})"""
 
 
-def _daily_run_sql(live: bool = False) -> str:
-    if live:
+def _daily_run_sql(live: bool = False, seeded: bool = False) -> str:
+    if seeded:  # all publications were last seen and inserted by the run itself
+        items, rank, order = _MONITORED_ITEMS, "seq, pos", "pub_seq, pos"
+        keys = ("1", "'-1706680800000000'", "'1706680800000000'", "CAST(seq AS VARCHAR)")
+    elif live:
         items, rank, order = _DIRECT_SQL, "seq, pos", "pub_seq, pos"
         keys = ("0", "CAST(seq AS VARCHAR)", "'0'", "'0'")
     else:
@@ -808,6 +824,7 @@ FROM fresh WHERE cu NOT IN (SELECT canonical_url FROM pg)"""
 
 
 register("daily_run", _daily_run_sql())(_daily_run_spark)
+register("daily_run_seeded", _daily_run_sql(seeded=True))(_daily_run_seeded_spark)
 register("daily_run_live", _daily_run_sql(live=True))(_daily_run_live_spark)
 register("displayed_after_degraded_run", f"""
 SELECT article_id, canonical_url, processing_status, title, run_date, 'last_successful_fallback' AS data_freshness,

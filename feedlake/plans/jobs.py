@@ -19,8 +19,6 @@ from ..operators import dedupe, extract, health, outputs, registry, state, summa
 from ..session import cut_lineage
 from ..sources import io
 
-DISCOVERY_MODES = ("live_reads", "manual_seed", "registry_only")
-
 
 @dataclass
 class RunConfig:
