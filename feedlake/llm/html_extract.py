@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from .common import map_texts, sample_by_hash
 
 #: Bounds of what is fitted on: sampled pages, characters of a page, layouts of each page.
-FIT_PAGES, FIT_CHARS, FIT_LAYOUTS = 150, 40_000, 8
-TREES, TREE_DEPTH, LEARNING_RATE, BINS = 60, 4, 0.25, 32
+FIT_PAGES, FIT_CHARS, FIT_LAYOUTS = 150, 40_000, 12
+TREES, TREE_DEPTH, LEARNING_RATE, BINS = 80, 5, 0.25, 32
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of a page.

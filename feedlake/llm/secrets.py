@@ -48,7 +48,6 @@ ALLOW = (
     r"(?i)example|sample|placeholder|change_?me|dummy|redacted|x{6}|0{8}|1234567",
 )
 
-SPAN = "struct<start: int, kind_no: int, end: int>"
 
 
 def matches(text: Column, pattern: str) -> Column:
