@@ -768,8 +768,9 @@ def _displayed_spark(spark, sf):
     out = jobs.run_with_health(spark, next_day, check.withColumn("ok", F.lit(False)), base=base,
                                reg=jobs.load_registry(spark, f"{base}/state/registry", next_day),
                                seen=jobs.load_seen(spark, f"{base}/state/seen"), **inputs)
-    return out["displayed"].crossJoin(out["run_status"].select("run_status", "failure_stage")).select(
-        "article_id", "canonical_url", "processing_status", "title", "run_date", "data_freshness", "banner_message", "run_status", "failure_stage")
+    status = out["run_status"].first()  # the run's one status row
+    return out["displayed"].select("article_id", "canonical_url", "processing_status", "title", "run_date", "data_freshness", "banner_message",
+                                   F.lit(status.run_status).alias("run_status"), F.lit(status.failure_stage).alias("failure_stage"))
 
 
 _MONITORED_ITEMS = f"""
