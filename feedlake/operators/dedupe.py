@@ -27,15 +27,16 @@ def filter_new(candidates: DataFrame, seen: DataFrame, skip_existing: bool = Tru
     return keyed.join(seen_urls, keyed["_key"] == seen_urls["_seen_url"], "left_anti").drop("_key")
 
 
-def filter_unseen(articles: DataFrame, seen: DataFrame, by_hash: bool = True) -> DataFrame:
+def filter_unseen(articles: DataFrame, seen: DataFrame, by_hash: bool = True,
+                  url_col: str = "canonical_url", hash_col: str = "content_hash") -> DataFrame:
     """Drop articles whose canonical URL **or** content hash is in the
     seen-set.  Two anti joins (an OR condition would plan a nested loop)."""
     seen_urls = seen.select(F.col("canonical_url").alias("_seen_url")).distinct()
-    out = articles.join(seen_urls, articles["canonical_url"] == seen_urls["_seen_url"], "left_anti")
+    out = articles.join(seen_urls, articles[url_col] == seen_urls["_seen_url"], "left_anti")
     if by_hash:
         seen_hashes = (seen.where(F.col("content_hash").isNotNull())
                        .select(F.col("content_hash").alias("_seen_hash")).distinct())
-        out = out.join(seen_hashes, out["content_hash"] == seen_hashes["_seen_hash"], "left_anti")
+        out = out.join(seen_hashes, out[hash_col] == seen_hashes["_seen_hash"], "left_anti")
     return out
 
 
@@ -63,7 +64,8 @@ def merge_items(direct: DataFrame, monitored: DataFrame) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str = "content_hash",
-                 order_col: str = "seq", materialize: bool = True) -> DataFrame:
+                 order_col: str = "seq", materialize: bool = True, seen: DataFrame | None = None,
+                 by_hash: bool = True) -> DataFrame:
     """In-run rule -- a row is dropped when its URL or its hash equals that
     of an **earlier kept** row (dropped rows do not block later ones).
 
@@ -81,6 +83,10 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
        is always accepted, so each round makes progress; a round writes one
        checkpoint to the shared folder.
 
+    With ``seen``, rows known to the seen-set are dropped first (D2); that, too,
+    is decided on the narrow columns, so full rows move once, at the end.
+    Without ``by_hash`` only URLs count.
+
     A NULL key matches nothing.  With ``materialize`` the input rows are
     checkpointed first, so an expensive upstream plan (HTML extraction) runs
     once for both the keys and the returned rows.
@@ -89,14 +95,18 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
         df = cut_lineage(df)
 
     def own(c: str):  # a NULL key gets a per-row value that no URL or digest can equal
-        return F.coalesce(F.col(c), F.concat(F.lit("~null:"), F.to_json(F.struct(order_col, url_col, hash_col))))
+        known = F.col(c) if by_hash or c != hash_col else F.lit(None).cast("string")
+        return F.coalesce(known, F.concat(F.lit("~null:"), F.to_json(F.struct(order_col, url_col, hash_col))))
 
-    keys = df.select(own(url_col).alias("k_url"), own(hash_col).alias("k_hash"), F.col(order_col).alias("k_seq"))
+    keys = df.select(order_col, url_col, hash_col)
+    if seen is not None:
+        keys = filter_unseen(keys, seen, by_hash, url_col, hash_col)
+    keys = keys.select(own(url_col).alias("k_url"), own(hash_col).alias("k_hash"), F.col(order_col).alias("k_seq"))
     pairs = keys.groupBy("k_url", "k_hash").agg(F.min("k_seq").alias("k_seq")) \
         .select("k_url", "k_hash", F.struct("k_seq", "k_url", "k_hash").alias("k"))
-    by_url = pairs.groupBy("k_url").agg(F.count(F.lit(1)).alias("n_url"))
-    by_hash = pairs.groupBy("k_hash").agg(F.count(F.lit(1)).alias("n_hash"))
-    pairs = cut_lineage(pairs.join(by_url, "k_url").join(by_hash, "k_hash"))
+    url_sizes = pairs.groupBy("k_url").agg(F.count(F.lit(1)).alias("n_url"))
+    hash_sizes = pairs.groupBy("k_hash").agg(F.count(F.lit(1)).alias("n_hash"))
+    pairs = cut_lineage(pairs.join(url_sizes, "k_url").join(hash_sizes, "k_hash"))
     # What a group's members have beside the group's own key decides whether it stands alone.
     url_groups = pairs.groupBy("k_url").agg(F.min("k").alias("k"), F.max("n_hash").alias("most"))
     hash_groups = pairs.groupBy("k_hash").agg(F.min("k").alias("k"), F.max("n_url").alias("most"))

@@ -186,6 +186,17 @@ def test_dedupe_first_long_chain(spark, monkeypatch):
     assert len(calls) <= 2 + 20  # one checkpoint a round, which settles two pairs of the chain
 
 
+def test_dedupe_first_against_seen(spark):
+    rng = random.Random(3)
+    rows = [(i, f"u{rng.randint(0, 40)}", f"h{rng.randint(0, 40)}") for i in range(200)]
+    seen = spark.createDataFrame([(f"u{i}", f"h{i + 50}") for i in range(5)] + [("other", "h7")], "canonical_url string, content_hash string")
+    df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string").withColumn("body", F.lit("x"))
+    left = [r for r in rows if r[1] not in {f"u{i}" for i in range(5)} and r[2] != "h7"]
+    assert sorted(r.seq for r in dedupe.dedupe_first(df, seen=seen).collect()) == _seq_fold(left)
+    by_url = [(s, u, None) for s, u, _ in rows if u not in {f"u{i}" for i in range(5)}]
+    assert sorted(r.seq for r in dedupe.dedupe_first(df, seen=seen, by_hash=False).collect()) == _seq_fold(by_url)
+
+
 def test_dedupe_first_with_repeated_order(spark):
     rows = [(1, "u", "h"), (1, "u", "h"), (1, "u", "g"), (1, "v", "g"), (2, None, None), (2, None, None), (3, None, "h")]
     df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
