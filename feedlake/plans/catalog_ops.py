@@ -646,7 +646,7 @@ register("incremental_urls", f"SELECT DISTINCT {S.normalize_url('url')} AS canon
 
 def _flagship_digest_spark(spark, sf):
     pages = _t(spark, sf, "pages")
-    arts = dedupe.dedupe_first(dedupe.filter_unseen(I.page_articles(pages), I.page_seen(pages)))
+    arts = dedupe.dedupe_first(I.page_articles(pages), seen=I.page_seen(pages))
     summ = summarize.summarize(arts, created_at=I.RUN_ISO)
     canon = extract.build_canonical(summ, I.SOURCE_PROFILE, I.RUN_DATE)
     return outputs.digest(fl.with_freshness(outputs.publishable(canon), "current")).withColumn(

@@ -158,11 +158,7 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
               .join(errors, F.col("article_url") == F.col("_u"), "left")
               .withColumn("error", F.coalesce(F.col("_e"), F.lit("page was not fetched"))).drop("_u", "_e"))
     if cfg.dedupe_enabled:
-        articles = dedupe.filter_unseen(articles, seen, cfg.dedupe_by_hash)
-        if cfg.dedupe_by_hash:
-            articles = dedupe.dedupe_first(articles)
-        else:
-            articles = dedupe.dedupe_first(articles.withColumn("_nohash", F.lit(None).cast("string")), hash_col="_nohash").drop("_nohash")
+        articles = dedupe.dedupe_first(articles, seen=seen, by_hash=cfg.dedupe_by_hash)
     summarized = summarize.summarize(articles, responses, cfg.summaries_enabled, cfg.include_bullets,
                                      cfg.max_input_chars, model=cfg.model, created_at=cfg.run_iso)
     canonical = extract.build_canonical(summarized, cfg.source_profile, cfg.run_date).unionByName(

@@ -67,7 +67,7 @@ def process_batch(batch: DataFrame, batch_id: int, *, seen_path: str, out_path:
                          F.lit("reads_direct").alias("discovered_via"), "canonical_url")
     cands = dedupe.filter_new(items, seen)
     arts = extract.build_articles(cands.drop("canonical_url"), pages.select(F.col("canonical_url").alias("url"), "html"), run_iso)
-    arts = dedupe.dedupe_first(dedupe.filter_unseen(arts, seen))
+    arts = dedupe.dedupe_first(arts, seen=seen)
     summ = summarize.summarize(arts, responses, created_at=run_iso)
     summ.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
     io.publish_version(state.remember(seen, arts), seen_path, version=batch_id)
