@@ -100,7 +100,7 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
 
     keys = df.select(order_col, url_col, hash_col)
     if seen is not None:
-        keys = filter_unseen(keys, seen, by_hash, url_col, hash_col)
+        keys = cut_lineage(filter_unseen(keys, seen, by_hash, url_col, hash_col))  # narrow; read three times below
     keys = keys.select(own(url_col).alias("k_url"), own(hash_col).alias("k_hash"), F.col(order_col).alias("k_seq"))
     pairs = keys.groupBy("k_url", "k_hash").agg(F.min("k_seq").alias("k_seq")) \
         .select("k_url", "k_hash", F.struct("k_seq", "k_url", "k_hash").alias("k"))
