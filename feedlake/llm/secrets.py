@@ -5,7 +5,10 @@ candidate strings of each character class are scanned with a sliding window: the
 window's character counts and the sum of c * log2(c) over them are updated for
 the character that enters and the one that leaves, which gives the Shannon
 entropy log2(W) - sum / W of every window.  The span of a candidate runs from its
-first to its last window at or above the class's threshold.  Candidates on the
+first to its last window at or above the class's threshold.  Random strings of a
+smaller alphabet have less entropy in a window, so runs of digits and letters of
+one case (base32, base36) are candidates of their own with a threshold from their
+alphabet's size.  Candidates on the
 allow list (identifiers, slugs, numbers, placeholders) are left out, as are spans
 inside one that a fixed pattern has already found.
 
@@ -35,9 +38,38 @@ HEX = r"[0-9a-f]{24,}"
 
 #: Character classes of the entropy scan: kind, alphabet, pattern of a candidate, least entropy of a window.
 WINDOW = 20
+
+
+def least_entropy(size: int, deviations: float) -> float:
+    """Mean entropy of a window of random characters from an alphabet of ``size``, less some standard deviations."""
+    def weight(c: int) -> float:
+        return c * math.log2(c) if c else 0.0
+
+    def chance(c: int, d: int, of: int) -> float:
+        """That one character occurs c times and, with ``of`` 2, another one d times."""
+        rest = WINDOW - c - d
+        return math.comb(WINDOW, c) * math.comb(WINDOW - c, d) * (1 - of / size) ** rest / size ** (c + d)
+
+    mean = sum(chance(c, 0, 1) * weight(c) for c in range(WINDOW + 1))
+    square = sum(chance(c, 0, 1) * weight(c) ** 2 for c in range(WINDOW + 1))
+    both = sum(chance(c, d, 2) * weight(c) * weight(d) for c in range(WINDOW + 1) for d in range(WINDOW + 1 - c))
+    variance = size * (square - mean ** 2) + size * (size - 1) * (both - mean ** 2)
+    return math.log2(WINDOW) - (size * mean + deviations * math.sqrt(variance)) / WINDOW
+
+
+def one_case(letters: str) -> str:
+    """Letters of one case and digits between other characters than letters and digits; all of them hex digits is entropy_hex's."""
+    hex_only = r"(?![0-9A-Fa-f]++(?![A-Za-z0-9]))"
+    return rf"(?<![A-Za-z0-9]){hex_only}[{letters}0-9]{{{WINDOW},}}+(?![A-Za-z0-9])"
+
+
+#: Base32 (32 characters) and base36 are of one case; the smaller alphabet sets the threshold of both.
+ONE_CASE_LEAST = round(least_entropy(32, 2.5), 2)
 CLASSES = (
     ("entropy_hex", "0123456789abcdefABCDEF", rf"[0-9A-Fa-f]{{{WINDOW},}}", 3.15),
     ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}", 3.85),
+    ("entropy_lower", "abcdefghijklmnopqrstuvwxyz0123456789", one_case("a-z"), ONE_CASE_LEAST),
+    ("entropy_upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", one_case("A-Z"), ONE_CASE_LEAST),
 )
 KINDS = ("assign", "access", "hex", *[c[0] for c in CLASSES])
 

@@ -70,3 +70,27 @@ def test_text_form_and_empty_table(spark):
     df = spark.createDataFrame([(1, "x password=abcdef AKIA" + "Z" * 16)], "doc_id long, text string")
     assert secrets.scan_secrets(df).select(secrets.as_text(F.col("base_spans"))).first()[0] == "assign:2:17,access:18:38"
     assert secrets.scan_secrets(df.limit(0)).collect() == []
+
+
+def test_random_keys_of_small_alphabets(spark):
+    """Of random keys of one case nearly all are found, at each length; the one threshold of base64 lost about half."""
+    rnd = random.Random(20)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"base36": lower + digits, "BASE36": lower.upper() + digits, "base32": lower + "234567", "BASE32": lower.upper() + "234567"}
+    rows = [(f"{name} {n}", f"see {''.join(rnd.choice(a) for _ in range(n))} there") for name, a in alphabets.items() for n in (20, 24, 32, 40) for _ in range(300)]
+    got = secrets.scan_secrets(spark.createDataFrame(rows, "kind string, text string")).select("kind", (F.size("entropy_spans") > 0).cast("int").alias("hit"))
+    share = {r["kind"]: r["s"] for r in got.groupBy("kind").agg(F.avg("hit").alias("s")).collect()}
+    assert len(share) == 16 and min(share.values()) >= 0.94, share
+    assert min(v for k, v in share.items() if not k.endswith(" 20")) >= 0.97, share
+
+
+def test_one_case_candidates(spark):
+    key = "q7x2m9k4w1z8r5t3v6b0"
+    texts = [key, key.upper(), "id=" + key, f"/v1/{key}/x", "prefix_" + key, key + "Q", "0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "internationalisation", "1a" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: {(secrets.KINDS[s["kind_no"]], s["start"], s["end"]) for s in r["entropy_spans"]} for r in secrets.scan_secrets(df).collect()}
+    one_case = [{x for x in got[i] if x[0] in ("entropy_lower", "entropy_upper")} for i in range(len(texts))]
+    assert one_case == [{("entropy_lower", 0, 20)}, {("entropy_upper", 0, 20)}, {("entropy_lower", 3, 23)}, {("entropy_lower", 4, 24)}, {("entropy_lower", 7, 27)},
+                        set(), set(), set(), set(), set()]
+    for r in secrets.scan_secrets(df).collect():
+        assert [(s["start"], s["kind_no"], s["end"]) for s in r["entropy_spans"]] == naive(r["text"])[1]
