@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ID_KEY, cut_lineage, with_id_key, write_stage
+from .common import ID_KEY, OWN, cut_lineage, with_id_key, write_stage
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -72,16 +72,21 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
-def with_fingerprint(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number with the same bits."""
-    source = docs.select("doc_id", "text")
-    schema = source.select("doc_id", F.lit(0).cast("long").alias("fp")).schema
+def text_digest() -> Column:
+    return F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+
+
+def with_fingerprint(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, digest: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed 64-bit number with the same bits; with ``digest`` also the text's SHA-256."""
+    source = docs.select("doc_id", "text", *([text_digest().alias("digest")] if digest else []))
+    kept = [c for c in source.columns if c != "text"]
+    schema = source.select(*kept, F.lit(0).cast("long").alias("fp")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text")
             fps = np.array([fingerprint(texts[i].as_py(), shingle_words) for i in range(b.num_rows)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64), pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(fps.view(np.int64), pa.int64())], [*kept, "fp"])
 
     return source.mapInArrow(run, schema)
 
@@ -155,27 +160,39 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def linked_nodes(nodes: DataFrame, radius: int, levels: int) -> DataFrame:
+    """The rows of ``nodes`` whose fingerprint has a link, with their component's ``root``."""
+    roots = components(close_pairs(nodes.select("fp"), radius, levels))
+    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    return roots.join(nodes, roots["node"] == nodes["fp"]).drop("node")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, levels: int = LEVELS) -> DataFrame:
     """One row per input row: doc_id, fp, component_id (smallest doc_id reachable over links, itself included)."""
     prints = write_stage(with_fingerprint(docs, shingle_words), "simhash")
     nodes = write_stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = components(close_pairs(nodes.select("fp"), radius, levels))
-    roots = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
-    linked = roots.join(nodes, roots["node"] == nodes["fp"]).select("node", "root", "least")
+    linked = linked_nodes(nodes, radius, levels)
     tops = linked.groupBy("root").agg(F.min("least").alias("top"))
-    better = linked.join(tops, "root").select(F.col("node").alias("fp"), "top")
+    better = linked.join(tops, "root").select("fp", "top")
     named = nodes.join(better, "fp", "left").select("fp", F.coalesce("top", "least").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component, with all their columns.
+    """Exactly one row of ``docs`` of each component, with all its columns.
 
-    Rows that repeat that doc_id stay once; rows without a doc_id stay only if
-    their component has no row with one, and then one of all such rows stays.
+    It is the row of the smallest doc_id, a null one last, then of the smallest
+    digest of the text.  Rows are told apart by doc_id and text, so rows that
+    share an id, or have none, stay if their components differ.
     """
-    found = near_duplicates(docs, shingle_words, radius)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    keyed = with_id_key(docs)
-    out = keyed.join(with_id_key(kept).select(*ID_KEY), list(ID_KEY), "left_semi").dropDuplicates(list(ID_KEY))
+    prints = with_fingerprint(docs, shingle_words, digest=True)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    nodes = write_stage(prints.groupBy("fp").agg(F.min(rank).alias("best")), "simhash-nodes")
+    linked = write_stage(linked_nodes(nodes, radius, LEVELS), "simhash-linked")
+    best = linked.groupBy("root").agg(F.min("best").alias("best")).select("best") \
+        .unionByName(nodes.join(linked.select("fp"), "fp", "left_anti").select("best"))
+    digest = OWN + "digest"
+    keys = [*ID_KEY, digest]
+    kept = with_id_key(best.select("best.doc_id", F.col("best.digest").alias(digest))).select(*keys)
+    out = with_id_key(docs).withColumn(digest, text_digest()).join(kept, keys, "left_semi").dropDuplicates(keys)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -102,3 +102,16 @@ def test_defined_cases(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted([3, 6, 2, None], key=repr)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(empty).collect() == [] and simhash.keep_one(empty).collect() == []
+
+
+def test_keep_one_row_of_each_component(spark):
+    """Rows without an id, or with a repeated one, are told apart by their text."""
+    text = "one two three four five six seven"
+    rows = [(None, "first of the texts without any id", "a"), (None, "another one that has no number at all", "b"), (None, "another one that has no number at all", "b"),
+            (None, "third and quite different line of words", "c"), (6, text, "near"), (6, "a text that only this row has", "d"),
+            (4, text.upper(), "e"), (None, text, "near"), (9, "repeated id here is nine", "f"), (9, "nine again but other words follow it", "g"), (2, None, "h"), (None, "", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    kept = simhash.keep_one(df.repartition(5))
+    assert kept.columns == df.columns
+    assert sorted(r["mark"] for r in kept.collect()) == ["a", "b", "c", "d", "e", "f", "g", "h"]
+    assert {tuple(r) for r in kept.collect()} <= set(rows)
