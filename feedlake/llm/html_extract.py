@@ -46,6 +46,9 @@ TREES, TREE_DEPTH, LEARNING_RATE, BINS = 80, 5, 0.25, 32
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of a page.
 HIDDEN = frozenset("head title noscript template svg math iframe object audio video canvas select datalist dialog map".split())
+#: What may stand in a head; those with content of their own, which is no text of the page.
+HEAD = frozenset("head html title meta link style script base basefont bgsound noscript noframes template".split())
+HEAD_CONTENT = frozenset("title noscript template".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol p pre section summary table tbody td textarea tfoot th thead tr ul ins""".split())
 #: What an opening tag closes implicitly, if it is open within the nearest of the stopping elements.
@@ -168,20 +171,36 @@ def parse(page: str | None) -> Node:
 
     page = page or ""
     at, hidden_tag = 0, ""
+    within, depth = "", 0  # the head's open element with content
+
+    def in_head() -> bool:
+        return state["hidden"] > 0 and hidden_tag == "head" and not within
+
     for m in _TOKEN.finditer(page):
-        if m.start() > at and not state["hidden"]:
+        if m.start() > at:
             piece = page[at:m.start()]
-            runs.append(piece)
-            if state["link"]:
-                run_link += len(piece)
+            if in_head() and not piece.isspace():
+                state["hidden"] = 0  # text ends a head
+            if not state["hidden"]:
+                runs.append(piece)
+                if state["link"]:
+                    run_link += len(piece)
         at = m.end()
         name = m.group(3) or m.group(6)
         if name is None:
             continue
         name = name.lower()
         closing = (m.group(2) or m.group(5)) == "/"
+        if in_head() and not closing and name not in HEAD:
+            state["hidden"] = 0  # the end tag of a head is optional
         if state["hidden"]:
-            if name == hidden_tag:
+            if hidden_tag == "head" and name in HEAD_CONTENT:
+                if not within and not closing and not (m.group(4) or m.group(7) or "").endswith("/"):
+                    within, depth = name, 1
+                elif name == within and (closing or name == "template"):
+                    depth += -1 if closing else 1
+                    within = within if depth else ""
+            elif name == hidden_tag:
                 state["hidden"] += -1 if closing else 1
             elif hidden_tag == "head" and name == "body":
                 state["hidden"] = 0
@@ -217,7 +236,7 @@ def parse(page: str | None) -> Node:
             if not closing:
                 attrs = m.group(4) or m.group(7) or ""
                 if not attrs.endswith("/"):
-                    state["hidden"], hidden_tag = 1, name
+                    state["hidden"], hidden_tag, within = 1, name, ""
                 if name == "select":
                     state["controls"] += 1
         elif name in VOID:
@@ -227,7 +246,7 @@ def parse(page: str | None) -> Node:
                 state["controls"] += 1
         elif not closing:
             state["inlines"] += 1
-    if at < len(page) and not state["hidden"]:
+    if at < len(page) and (not state["hidden"] or in_head()):
         rest = page[at:]
         cut = re.search(r"<[/a-zA-Z!?][^<>]*\Z", rest)  # a tag that the page's end cuts off is no text
         runs.append(rest[:cut.start()] if cut else rest)

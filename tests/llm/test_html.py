@@ -113,3 +113,22 @@ def test_table(spark, model):
     assert max(len(r["text"]) for r in rows) == len(("many words. " * 60000).strip())
     empty = df.limit(0)
     assert H.extract_main_text(empty, H.train(empty)).collect() == []
+
+
+def test_head_without_end_tag(model):
+    """The end tag of a head and the body's tag are optional: the first element or text that may not stand in a head ends it."""
+    def text(page):
+        return " ".join(n.text for n in H.nodes_of(H.parse(page)) if n.text)
+
+    assert text("<html><head><title>T</title><meta charset=utf-8><link rel=x href=y><style>p{}</style><h1>One</h1><p>Two") == "One Two"
+    assert text("<head><title>T</title><a href=x>One</a> two") == "One two"
+    assert text("<head><title>T</title>\n One <p>two") == "One two"
+    assert text("<head><title>T</title>One") == "One"
+    assert text("<head><title>A <p> in it</title><noscript><img src=x><p>no</p></noscript><template><div><template>no</template>no</div></template><div>One") == "One"
+    assert text("<head><head><title>T</title><div>One</div></head><body><p>two") == "One two"
+    assert text("<head><title>never closed <p>no</head><p>One") == "One"
+    assert text("<head><title>T</title><script>var a = '<p>';</script><!-- <p> --></head>\n<body><p>One") == "One"
+    assert text("<head><title>T</title><meta name=a></head>") == text("<head><title>T") == text("<head>\n<titl") == ""
+    story = " ".join("The ferry left the harbour at dawn, and the crew, tired but glad, waved to the people on the pier." for _ in range(6))
+    page = f"<html><head><title>T</title><meta name='a' content='b'>{{}}<article><h1>A long day at sea</h1><p>{story}</p><p>{story}</p></article>"
+    assert H.extract_all([page.format("")], model) == H.extract_all([page.format("</head><body>")], model) != [""]
