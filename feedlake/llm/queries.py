@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, html_extract, langid, packing, quality, secrets, simhash, toxicity
+from . import bestfit, chat, convtrie, decontam, exact_dedup, html_extract, langid, merkle, packing, quality, secrets, simhash, toxicity
 from .common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,115 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_quality(docs.select("doc_id", "text"), model, "score")
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in as few sequences of 1024 tokens as best fit needs."""
+    return bestfit.best_fit_pack(read(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
+
+
+def _duck_crc32(text: str) -> str:
+    """DuckDB CRC-32 of an ASCII text: each byte is xored in, then eight shifts follow (-1 marks a shift)."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(list_reduce({steps}, lambda a, e: case when e >= 0 then xor(a, e) else xor(a >> 1, 3988292384 * (a & 1)) end, 4294967295::bigint), "
+            "4294967295::bigint)")
+
+
+OP12_SQL = f"""
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as pos
+  from conversations where conv_id is not null),
+c as (select conv_id, {_duck_crc32('conv_id::varchar')} % 9 as h, conv_id - conv_id % 5 as base, count(*) as own from t group by conv_id),
+h as (select c.conv_id, c.h, c.base, coalesce(least(c.h, b.own), 0) as head from c left join c b on b.conv_id = c.base),
+r as (
+  select h.conv_id, t.pos, t.role, t.text from h join t on t.conv_id = h.base and t.pos <= h.h
+  union all select h.conv_id, h.head + t.pos - h.h, t.role, t.text from h join t on t.conv_id = h.conv_id and t.pos > h.h),
+k as (
+  select conv_id, pos as depth, strlen(text) as bytes,
+         string_agg(sha256(strlen(role) || ':' || role || text), '') over (partition by conv_id order by pos rows between unbounded preceding and current row) as path
+  from r),
+m as (
+  select conv_id, depth, bytes, sha256(path) as key, coalesce(lag(sha256(path)) over (partition by conv_id order by depth), '') as parent_key from k
+  union all select conv_id, 0, 0, '', null from c),
+n as (select key, any_value(depth) as depth, any_value(parent_key) as parent_key, any_value(bytes) as bytes, min(conv_id) as conv_id, count(*) as n_convs from m group by key),
+ch as (select parent_key as key, count(*) as n_children from n where parent_key is not null group by parent_key),
+f as (select n.*, coalesce(ch.n_children, 0) as n_children from n left join ch using (key)),
+s as (
+  select m.key, sum((f.n_children = 0)::int) as n_leaves, sum((f.n_convs - 1) * f.bytes) as saved_tokens
+  from f join m on m.conv_id = f.conv_id and m.depth <= f.depth group by m.key),
+d as (select conv_id, max(depth) as depth from m group by conv_id),
+e as (select m.key, string_agg(d.conv_id::varchar, ',' order by d.conv_id) as ids from d join m using (conv_id, depth) group by m.key)
+select f.conv_id, f.depth::bigint as depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children,
+       s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from f join s using (key) left join f p on p.key = f.parent_key left join e on e.key = f.key
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return convtrie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def _op13_sql(levels: int) -> str:
+    """Both trees, unrolled: at each level a group with several nodes goes on to the hashes of its runs, one with a single node stays."""
+    fan = merkle.FANOUT
+
+    def tree(prefix: str, base: str, group: str) -> str:
+        parts = [f"{prefix}0 as ({base})"]
+        for k in range(levels):
+            run = f"(partition by {group}, pos // {fan} order by pos rows between"
+            parts.append(f"""{prefix}s{k} as (select {group}, pos, n,
+                coalesce(string_agg(d, '') over {run} unbounded preceding and 1 preceding), '') as l,
+                coalesce(string_agg(d, '') over {run} 1 following and unbounded following), '') as r from {prefix}{k})""")
+            parts.append(f"""{prefix}{k + 1} as (
+                select {group}, pos // {fan} as pos, (any_value(n) + {fan - 1}) // {fan} as n, sha256(string_agg(d, '' order by pos)) as d
+                from {prefix}{k} where n > 1 group by {group}, pos // {fan}
+                union all select {group}, pos, n, d from {prefix}{k} where n = 1)""")
+        return ",\n".join(parts)
+
+    def enc(value: str) -> str:
+        return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(enc(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    steps, proof, folded = [], [], "coalesce(tampered, leaf)"
+    for prefix, group, at in (("a", "src", "a_pos"), ("b", "g", "b_pos")):
+        for k in range(levels):
+            alias = f"{prefix}x{k}"
+            steps.append(f"join {prefix}s{k} {alias} on {alias}.{group} = v.{group} and {alias}.pos = case when {alias}.n = 1 then 0 else v.{at} // {fan ** k} end")
+            proof.append(f"case when {alias}.n > 1 then {alias}.l || {alias}.r else '' end")
+    sides = [(f"{prefix}x{k}") for prefix in "ab" for k in range(levels)]
+    chain, before = [], "f0"
+    for i, alias in enumerate(sides):
+        chain.append(f"f{i + 1} as (select * exclude (f), case when n{i} > 1 then sha256(l{i} || f || r{i}) else f end as f from {before})")
+        before = f"f{i + 1}"
+    picked = ", ".join(f"{alias}.n as n{i}, {alias}.l as l{i}, {alias}.r as r{i}" for i, alias in enumerate(sides))
+    return f"""
+with v0 as (
+  select doc_id, coalesce('=' || source, '') as src, {leaf('text')} as leaf,
+         case when {_duck_crc32('doc_id::varchar')} % 5 = 0 then {leaf(lower)} end as tampered from documents),
+v1 as (select *, row_number() over (partition by src order by doc_id nulls first, leaf) - 1 as a_pos, count(*) over (partition by src) as n from v0),
+{tree('a', 'select src, a_pos as pos, n, leaf as d from v1', 'src')},
+s as (select src, d, row_number() over (order by src) - 1 as pos, count(*) over () as n from a{levels}),
+{tree('b', "select 0 as g, pos, n, d from s", 'g')},
+v as (select v1.*, s.pos as b_pos, s.d as subroot, 0 as g from v1 join s using (src)),
+f0 as (select v.doc_id, v.leaf, v.subroot, {' || '.join(proof)} as proof, {picked}, {folded} as f from v {' '.join(steps)}),
+{', '.join(chain)}
+select doc_id, leaf, subroot, r.d as root, sha256(proof) as proof_sha256, f as folded_root, f = r.d as verified
+from {before}, b{levels} r
+"""
+
+
+@query("op13_merkle_manifest", _op13_sql(6))
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document; some rows are tampered with."""
+    out = merkle.merkle_manifest(read(spark, sf_dir, "documents"))
+    proof = F.array_join(F.transform("path", lambda s: F.concat(s["left"], s["right"])), "")
+    folded = merkle.fold(F.col("path"), F.coalesce("tampered", "leaf"))
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.digest(proof).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
