@@ -19,7 +19,7 @@ import threading
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from .text import WS_CLASS
+from .text import WS_CLASS, WS_RUN
 
 URL_RE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
 USES_NETLOC = [
@@ -54,7 +54,7 @@ CASE WHEN u IS NULL THEN NULL ELSE transform(array({_PREPARE}), s ->
            v.p))[0])[0] END"""
 
 DEFINITIONS = {
-    "feedlake_clean_ws": ("s STRING", f"trim(regexp_replace(s, {lit(WS_CLASS + '+')}, ' '))"),
+    "feedlake_clean_ws": ("s STRING", f"trim(regexp_replace(s, {lit(WS_RUN)}, ' '))"),
     "feedlake_strip_ws": ("s STRING", f"regexp_replace(s, {lit('^' + WS_CLASS + '+|' + WS_CLASS + '+$')}, '')"),
     "feedlake_normalize_url": ("u STRING", _NORMALIZE),
 }

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from ._common import as_col
 
 # The whitespace set of Python's ``str.split()`` / ``re \s``
-# (29 code points), written as a Java regex character class.
-WS_CLASS = (
-    r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000-\u200a"
-    r"\u2028\u2029\u202f\u205f\u3000]"
-)
+# (29 code points), written as Java regex character classes.  Beyond Latin-1 one
+# range check rules out other characters before the single ones are compared.
+_WS_LATIN = r"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+_WS_WIDE = r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+WS_CLASS = rf"[\x20{_WS_LATIN}{_WS_WIDE}]"
+#: Runs that collapsing changes: all but a single space, which is most of a text's whitespace.
+WS_RUN = rf"[{_WS_LATIN}{_WS_WIDE}]{WS_CLASS}*|\x20{WS_CLASS}+"
 
 # Line boundaries of Python's ``str.splitlines()``.
 LINE_BREAK_RE = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -36,7 +38,7 @@ def clean_whitespace(c) -> Column:
 
 
 def _clean_cols(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, WS_CLASS + "+", " "))
+    return F.trim(F.regexp_replace(c, WS_RUN, " "))
 
 
 def normalize_text(c) -> Column:

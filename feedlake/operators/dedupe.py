@@ -13,29 +13,42 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
 from ..session import cut_lineage
+from .seen import SeenSet
 
 
-def filter_new(candidates: DataFrame, seen: DataFrame, skip_existing: bool = True,
+def _known_urls(seen: DataFrame | SeenSet, urls: DataFrame) -> DataFrame:
+    """URLs of the seen-set; of a bucketed one only those that also occur in ``urls``."""
+    if isinstance(seen, SeenSet):
+        return seen.known_urls(urls)
+    return seen.select(F.col("canonical_url").alias("_seen_url")).distinct()
+
+
+def _known_hashes(seen: DataFrame | SeenSet, hashes: DataFrame) -> DataFrame:
+    if isinstance(seen, SeenSet):
+        return seen.known_hashes(hashes)
+    return seen.where(F.col("content_hash").isNotNull()).select(F.col("content_hash").alias("_seen_hash")).distinct()
+
+
+def filter_new(candidates: DataFrame, seen: DataFrame | SeenSet, skip_existing: bool = True,
                url_col: str = "canonical_url", fallback_col: str = "article_url") -> DataFrame:
     """Drop candidates whose URL (canonical, else article URL) is already
     in the seen-set (left-anti equi-join)."""
     if not skip_existing:
         return candidates
     key = F.coalesce(F.nullif(F.col(url_col), F.lit("")), F.col(fallback_col))
-    seen_urls = seen.select(F.col("canonical_url").alias("_seen_url")).distinct()
     keyed = candidates.withColumn("_key", key)
+    seen_urls = _known_urls(seen, keyed.select("_key"))
     return keyed.join(seen_urls, keyed["_key"] == seen_urls["_seen_url"], "left_anti").drop("_key")
 
 
-def filter_unseen(articles: DataFrame, seen: DataFrame, by_hash: bool = True,
+def filter_unseen(articles: DataFrame, seen: DataFrame | SeenSet, by_hash: bool = True,
                   url_col: str = "canonical_url", hash_col: str = "content_hash") -> DataFrame:
     """Drop articles whose canonical URL **or** content hash is in the
     seen-set.  Two anti joins (an OR condition would plan a nested loop)."""
-    seen_urls = seen.select(F.col("canonical_url").alias("_seen_url")).distinct()
+    seen_urls = _known_urls(seen, articles.select(url_col))
     out = articles.join(seen_urls, articles[url_col] == seen_urls["_seen_url"], "left_anti")
     if by_hash:
-        seen_hashes = (seen.where(F.col("content_hash").isNotNull())
-                       .select(F.col("content_hash").alias("_seen_hash")).distinct())
+        seen_hashes = _known_hashes(seen, articles.select(hash_col))
         out = out.join(seen_hashes, out[hash_col] == seen_hashes["_seen_hash"], "left_anti")
     return out
 
@@ -64,7 +77,7 @@ def merge_items(direct: DataFrame, monitored: DataFrame) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str = "content_hash",
-                 order_col: str = "seq", materialize: bool = True, seen: DataFrame | None = None,
+                 order_col: str = "seq", materialize: bool = True, seen: DataFrame | SeenSet | None = None,
                  by_hash: bool = True) -> DataFrame:
     """In-run rule -- a row is dropped when its URL or its hash equals that
     of an **earlier kept** row (dropped rows do not block later ones).

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions import pagetokens as P
 from ..functions._common import let
 from ..functions.dates import parse_feed_date
 from ..functions.status import fetch_status
@@ -33,45 +34,36 @@ VIA_HTML = "publication_html"
 # Metadata and body of fetched pages
 # --------------------------------------------------------------------------
 
-def _meta_structs(clean_html: Column) -> Column:
-    return F.transform(
-        F.regexp_extract_all(clean_html, F.lit(H.META_RE), 0),
-        lambda m: F.struct(H.attr(m, "name").alias("name"), H.attr(m, "property").alias("property"),
-                           H.attr(m, "content").alias("content")),
-    )
-
-
-def _meta(metas: Column, key: str, value: str) -> Column:
-    hit = F.get(F.filter(metas, lambda m: m[key] == value), 0)
-    return F.nullif(clean_whitespace(hit["content"]), F.lit(""))
+def with_tokens(pages: DataFrame, html_col: str) -> DataFrame:
+    """``pages`` with the page's tokens (one scan of the HTML) in place of the HTML."""
+    return pages.withColumn("_tok", P.tokens(f"`{html_col}`"))
 
 
 def extract_metadata(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """C1 + C2: add canonical_url (raw), title, description, subtitle, author,
     publication, published_at, body_text, topic_tags to every page row.
 
-    ``html`` is read once; the cleaned text is staged in its own projection so
-    the optimizer keeps it as one computed column.
+    ``html`` is scanned once; its tokens are staged in a projection of their own
+    so the optimizer keeps them as one computed column, and everything else is
+    looked up in them.
     """
-    staged = pages.withColumn("_clean", H.strip_non_text(F.col(html_col)))
-    staged = staged.withColumn("_metas", _meta_structs(F.col("_clean")))
-    m = F.col("_metas")
-    description = F.coalesce(_meta(m, "name", "description"), _meta(m, "property", "og:description"))
+    staged = with_tokens(pages, html_col).withColumn("_head", P.head_tags("_tok"))
+    description = F.coalesce(P.meta("_head", "name", "description"), P.meta("_head", "property", "og:description"))
     out = staged.select(
         "*",
-        F.coalesce(H.canonical_link(F.col("_clean")), F.col(url_col)).alias("canonical_raw"),
-        F.coalesce(_meta(m, "property", "og:title"), _meta(m, "name", "twitter:title"),
-                   H.title_text(F.col("_clean"))).alias("title_raw"),
+        F.coalesce(P.first_value("_head", "k.tag = 'link' AND k.v[3] = 'canonical'", "href"), F.col(url_col)).alias("canonical_raw"),
+        F.coalesce(P.meta("_head", "property", "og:title"), P.meta("_head", "name", "twitter:title"),
+                   P.title("_tok")).alias("title_raw"),
         description.alias("description_raw"),
-        F.coalesce(_meta(m, "name", "twitter:description"), description).alias("subtitle_raw"),
-        F.coalesce(_meta(m, "name", "author"), _meta(m, "property", "article:author")).alias("author_raw"),
-        _meta(m, "property", "og:site_name").alias("publication_raw"),
-        F.coalesce(_meta(m, "property", "article:published_time"),
-                   H.time_datetime(F.col("_clean"))).alias("published_raw"),
-        H.body_text(F.col("_clean")).alias("body_raw"),
-        topic_tags(_meta(m, "name", "keywords")).alias("topic_tags"),
+        F.coalesce(P.meta("_head", "name", "twitter:description"), description).alias("subtitle_raw"),
+        F.coalesce(P.meta("_head", "name", "author"), P.meta("_head", "property", "article:author")).alias("author_raw"),
+        P.meta("_head", "property", "og:site_name").alias("publication_raw"),
+        F.coalesce(P.meta("_head", "property", "article:published_time"),
+                   P.first_value("_head", "k.tag = 'time' AND k.has_datetime", "datetime")).alias("published_raw"),
+        P.body("_tok").alias("body_raw"),
+        topic_tags(P.meta("_head", "name", "keywords")).alias("topic_tags"),
     )
-    return out.drop("_clean", "_metas")
+    return out.drop("_tok", "_head")
 
 
 def extract_body(pages: DataFrame, html_col: str = "html", out_col: str = "body_text",
@@ -84,7 +76,7 @@ def extract_body(pages: DataFrame, html_col: str = "html", out_col: str = "body_
     reference) -- the general path for pages the regex chain cannot read.
     """
     if method == "regex":
-        return pages.withColumn(out_col, H.body_text(H.strip_non_text(F.col(html_col))))
+        return with_tokens(pages, html_col).withColumn(out_col, P.body("_tok")).drop("_tok")
     if method != "parser":
         raise ValueError(f"unknown method: {method}")
     from pyspark.sql import types as T
@@ -111,11 +103,9 @@ def quarantine_challenges(pages: DataFrame, html_col: str = "html") -> tuple[Dat
 # links
 # --------------------------------------------------------------------------
 
-def _page_links(clean_html: Column, base: Column) -> Column:
+def _page_links(tok: str, base: Column) -> Column:
     """array<struct<pos, href, text, url>> of all anchors with an href."""
-    raw = F.transform(H.anchors(clean_html), lambda a, i: F.struct(
-        i.alias("pos"), H.anchor_href(a).alias("href"), H.anchor_text(a).alias("text")))
-    with_href = F.filter(raw, lambda x: x["href"].isNotNull())
+    with_href = F.filter(P.anchors(tok), lambda x: x["href"].isNotNull())
     return F.transform(with_href, lambda x: F.struct(
         x["pos"].alias("pos"), strip_ws(x["href"]).alias("href"), x["text"].alias("text"),
         F.when(strip_ws(x["href"]) != "", resolve_url(base, strip_ws(x["href"]))).alias("url")))
@@ -138,17 +128,15 @@ def extract_links(pages: DataFrame, base_col: str = "url", html_col: str = "html
                   seq_col: str = "page_id") -> DataFrame:
     """Every ``a[href]`` in document order with anchor text, resolved
     against the page URL and normalised (one row per anchor)."""
-    staged = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("source_url"),
-                          H.strip_non_text(F.col(html_col)).alias("_clean"))
-    exploded = staged.select(
-        "seq", "source_url",
-        F.explode(_page_links(F.col("_clean"), F.col("source_url"))).alias("l"))
+    staged = with_tokens(pages, html_col).select(F.col(seq_col).alias("seq"), F.col(base_col).alias("source_url"), "_tok")
+    exploded = staged.select("seq", "source_url", F.explode(_page_links("_tok", F.col("source_url"))).alias("l"))
     return exploded.select("seq", F.col("l.pos").alias("pos"), "source_url", F.col("l.href").alias("href"),
                            F.col("l.text").alias("anchor_text"), F.col("l.url").alias("link_url"))
 
 
-def _links_column(pages: DataFrame, base_col: str, html_col: str) -> Column:
-    return _page_links(H.strip_non_text(F.col(html_col)), F.col(base_col))
+def _with_links(pages: DataFrame, base_col: str, html_col: str) -> DataFrame:
+    """``pages`` with the links of each page as ``_links``."""
+    return with_tokens(pages, html_col).withColumn("_links", _page_links("_tok", F.col(base_col))).drop("_tok")
 
 
 def direct_articles(pages: DataFrame, discovered_at: str, source_label: str | None = None,
@@ -158,9 +146,8 @@ def direct_articles(pages: DataFrame, discovered_at: str, source_label: str | No
     Drops blank and ``#...`` hrefs, keeps B12 candidates, first occurrence per
     URL within a page wins; title hint is the anchor text or NULL.
     """
-    links = _links_column(pages, base_col, html_col)
-    cands = _article_links(links)
-    rows = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("source_url"),
+    cands = _article_links(F.col("_links"))
+    rows = _with_links(pages, base_col, html_col).select(F.col(seq_col).alias("seq"), F.col(base_col).alias("source_url"),
                         F.explode(_first_per_url(cands)).alias("l"))
     return rows.select(
         "seq", F.col("l.pos").alias("pos"), "source_url", F.col("l.url").alias("article_url"),
@@ -180,9 +167,8 @@ def _publication_links(links: Column, profile_host: Column) -> Column:
 
 def link_counts(pages: DataFrame, base_col: str = "url", html_col: str = "html", seq_col: str = "page_id") -> DataFrame:
     """Per page: seq, is_challenge, and how many links C4 and C5 would take (before first-per-URL)."""
-    staged = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("_base"),
-                          H.is_challenge_page(F.col(html_col)).alias("is_challenge"),
-                          _links_column(pages, base_col, html_col).alias("_links"))
+    staged = _with_links(pages, base_col, html_col).select(
+        F.col(seq_col).alias("seq"), F.col(base_col).alias("_base"), H.is_challenge_page(F.col(html_col)).alias("is_challenge"), "_links")
     return staged.select("seq", "is_challenge", F.size(_article_links(F.col("_links"))).alias("direct_links"),
                          F.size(_publication_links(F.col("_links"), url_host(F.col("_base")))).alias("publication_links"))
 
@@ -194,10 +180,9 @@ def discovered_publications(pages: DataFrame, discovered_at: str, base_col: str
     Fragment-only hrefs are not skipped here (they resolve to the page itself
     and are then judged by the same-host ``/@`` rule).
     """
-    links = _links_column(pages, base_col, html_col)
     profile_host = url_host(F.col(base_col))
-    cands = _publication_links(links, profile_host)
-    rows = pages.select(F.col(seq_col).alias("seq"), F.col(base_col).alias("discovered_from_profile"),
+    cands = _publication_links(F.col("_links"), profile_host)
+    rows = _with_links(pages, base_col, html_col).select(F.col(seq_col).alias("seq"), F.col(base_col).alias("discovered_from_profile"),
                         F.explode(_first_per_url(cands)).alias("l"))
     url = F.col("l.url")
     return rows.select(
@@ -216,9 +201,8 @@ def homepage_posts(homepages: DataFrame, limit: int, discovered_at: str,
                    url_col: str = "publication_url", name_col: str = "publication_name",
                    html_col: str = "html") -> DataFrame:
     """First ``limit`` distinct ``/p/`` links of each publication homepage."""
-    links = _links_column(homepages, url_col, html_col)
-    cands = F.filter(links, lambda x: (x["href"] != "") & x["url"].contains("/p/"))
-    rows = homepages.select(F.col(url_col).alias("source_url"), F.col(name_col).alias("source_label"),
+    cands = F.filter(F.col("_links"), lambda x: (x["href"] != "") & x["url"].contains("/p/"))
+    rows = _with_links(homepages, url_col, html_col).select(F.col(url_col).alias("source_url"), F.col(name_col).alias("source_label"),
                             F.explode(F.slice(_first_per_url(cands), 1, limit)).alias("l"))
     return rows.select(
         F.col("l.pos").alias("pos"), "source_url", F.col("l.url").alias("article_url"),
@@ -288,26 +272,17 @@ def parse_feeds(feeds: DataFrame, limit: int, now_iso: str, xml_col: str = "xml"
 # Article records
 # --------------------------------------------------------------------------
 
-def build_articles(read_items: DataFrame, fetched: DataFrame, fetched_at: str,
-                   fetched_url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Article records of read items whose page was fetched.
-
-    ``fetched`` holds (url, html); it is joined on the item's article URL.
-    Items without a fetched page are not returned (see :func:`build_failed`).
-    """
-    pages = fetched.select(F.col(fetched_url_col).alias("_fetched_url"), F.col(html_col).alias("_html"))
-    joined = read_items.join(pages, read_items["article_url"] == pages["_fetched_url"], "inner")
-    meta = extract_metadata(joined, url_col="article_url", html_col="_html")
-    body = F.coalesce(normalize_text(F.col("body_raw")), F.lit(""))
-    canonical = normalize_url(F.coalesce(F.nullif(F.col("canonical_raw"), F.lit("")), F.col("article_url")))
-    staged = meta.withColumn("canonical_url", canonical).withColumn("body_text", body)
+def page_fields(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """The article fields that depend on the page alone, beside its URL (``_fetched_url``): no join, one scan of the HTML."""
+    meta = extract_metadata(pages.select(F.col(url_col).alias("_fetched_url"), F.col(html_col).alias("_html")), "_fetched_url", "_html")
+    canonical = normalize_url(F.coalesce(F.nullif(F.col("canonical_raw"), F.lit("")), F.col("_fetched_url")))
+    staged = meta.withColumn("canonical_url", canonical).withColumn("body_text", F.coalesce(normalize_text(F.col("body_raw")), F.lit("")))
     return staged.select(
-        "seq",
+        "_fetched_url",
         short_id(F.col("canonical_url")).alias("article_id"),
-        "source_url",
-        normalize_url(F.col("article_url")).alias("original_url"),
+        normalize_url(F.col("_fetched_url")).alias("original_url"),
         "canonical_url",
-        F.coalesce(normalize_text(F.col("title_raw")), F.col("title_hint")).alias("title"),
+        normalize_text(F.col("title_raw")).alias("page_title"),
         F.coalesce(normalize_text(F.col("subtitle_raw")), normalize_text(F.col("description_raw"))).alias("subtitle"),
         normalize_text(F.col("author_raw")).alias("author"),
         normalize_text(F.col("publication_raw")).alias("publication"),
@@ -316,9 +291,32 @@ def build_articles(read_items: DataFrame, fetched: DataFrame, fetched_at: str,
         "body_text",
         content_hash(F.col("body_text")).alias("content_hash"),
         fetch_status(F.col("body_text")).alias("fetch_status"),
-        F.lit(fetched_at).alias("fetched_at"),
         F.coalesce(F.col("topic_tags"), F.array().cast("array<string>")).alias("topic_tags"),
-        "source_label", "discovered_via",
+    )
+
+
+def build_articles(read_items: DataFrame, fetched: DataFrame, fetched_at: str,
+                   fetched_url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Article records of read items whose page was fetched.
+
+    ``fetched`` holds (url, html); it is joined on the item's article URL.  Of
+    several fetches of one URL one counts: the smallest in the order of its
+    extracted fields.  Items without a fetched page are not returned (see
+    :func:`build_failed`).
+
+    Pages that no item names are dropped first, then fields are extracted where
+    the page lies; HTML never crosses an exchange.
+    """
+    named = read_items.select(F.col("article_url").alias("_named")).distinct()
+    pages = fetched.join(named, fetched[fetched_url_col] == F.col("_named"), "left_semi")
+    fields = page_fields(pages, fetched_url_col, html_col)
+    rest = [c for c in fields.columns if c != "_fetched_url"]
+    fields = fields.groupBy("_fetched_url").agg(F.min(F.struct(*rest)).alias("_f")).select("_fetched_url", "_f.*")
+    joined = read_items.join(fields, read_items["article_url"] == fields["_fetched_url"], "inner")
+    return joined.select(
+        "seq", "article_id", "source_url", "original_url", "canonical_url",
+        F.coalesce("page_title", "title_hint").alias("title"), "subtitle", "author", "publication", "published_at", "description", "body_text",
+        "content_hash", "fetch_status", F.lit(fetched_at).alias("fetched_at"), "topic_tags", "source_label", "discovered_via",
     )
 
 

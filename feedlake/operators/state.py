@@ -60,20 +60,44 @@ def remember(seen: DataFrame, kept: DataFrame, seen_at_col: str = "fetched_at")
 def merge_index(index: DataFrame, batch: DataFrame, run_date: str) -> DataFrame:
     """Last write wins by article_id; a replaced row keeps its first
     position.  Position is (first_run_date, first_seq) so no global counter
-    is needed."""
+    is needed.  Of a batch's rows of one id the highest seq wins, of equal ones
+    the greatest hash of the row, so exactly one row of an id comes out.
+
+    Both sides are read once: one aggregate with a partial step before the
+    shuffle picks the whole winning row.
+    """
     value_cols = [c for c in batch.columns if c not in ("first_run_date", "first_seq")]
     old = index.select(*value_cols, "first_run_date", "first_seq", F.lit(0).alias("_v"))
     new = batch.select(*value_cols, F.lit(run_date).alias("first_run_date"), F.col("seq").alias("first_seq"),
                        F.lit(1).alias("_v"))
-    both = old.unionByName(new)
-    # The winner is chosen on narrow columns; the wide row is fetched by one join on (id, version, seq).
-    pick = both.groupBy("article_id").agg(
-        F.max(F.struct("_v", "seq")).alias("_last"),
+    rest = [c for c in value_cols if c != "article_id"]
+    won = old.unionByName(new).groupBy("article_id").agg(
+        F.max_by(F.struct(*rest), F.struct("_v", "seq", F.xxhash64(*rest))).alias("_row"),
         F.min(F.struct("first_run_date", "first_seq")).alias("_pos"))
-    pick = pick.select(F.col("article_id").alias("_id"), F.col("_last._v").alias("_lv"), F.col("_last.seq").alias("_ls"), "_pos")
-    won = both.drop("first_run_date", "first_seq").join(
-        pick, (F.col("article_id") == F.col("_id")) & (F.col("_v") == F.col("_lv")) & F.col("seq").eqNullSafe(F.col("_ls")))
-    return won.select(*value_cols, F.col("_pos.first_run_date").alias("first_run_date"), F.col("_pos.first_seq").alias("first_seq"))
+    return won.select(*[c if c == "article_id" else F.col("_row")[c].alias(c) for c in value_cols],
+                      F.col("_pos.first_run_date").alias("first_run_date"), F.col("_pos.first_seq").alias("first_seq"))
+
+
+def merge_index_buckets(tx, table: str, batch: DataFrame, run_date: str, buckets: int = 16) -> None:
+    """G6 on stored state: the index lies in buckets of article_id (parts of a
+    run commit); only those that the batch touches are read and written again."""
+    n = tx.settings.setdefault(f"{table}.buckets", buckets)
+    bucket = F.pmod(F.xxhash64("article_id"), F.lit(n)).cast("int")
+    touched = [str(r[0]) for r in batch.select(bucket).distinct().collect()]  # at most `buckets`
+    if not touched:
+        return
+    index = tx.read(table, touched)
+    if index is None:
+        index = batch.limit(0).withColumns({"first_run_date": F.lit(""), "first_seq": F.col("seq")})
+    tx.write_parts(table, merge_index(index, batch, run_date).withColumn("bucket", bucket), "bucket", touched)
+
+
+def next_checkpoints(last: DataFrame | None, manifest: DataFrame) -> DataFrame:
+    """G7 by merging: the checkpoints so far and those of new manifests; no history is read again."""
+    new = checkpoints(manifest)
+    if last is None:
+        return new
+    return last.select(*new.columns).unionByName(new).agg(*[F.max(c).alias(c) for c in new.columns])
 
 
 def checkpoints(manifests: DataFrame) -> DataFrame:

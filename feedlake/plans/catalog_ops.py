@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import functions as fl
 from ..operators import dedupe, extract, health, outputs, registry, state, summarize
-from ..sources import io
+from ..operators.seen import SeenSet
+from ..sources import commits, io
 from . import inputs as I
 from . import sqlref as S
 from .catalog import (_DIRECT_SQL, _BROKEN, _CANON_ROWS_SQL, _FEED_ITEMS_SQL, _PUB_URL, _RANKED, _RESP_SQL, _arr,
@@ -765,9 +766,7 @@ def _displayed_spark(spark, sf):
                                   F.lit(True).alias("ok"), F.lit(None).cast("int").alias("status_code"), F.lit(None).cast("string").alias("error"))
     jobs.run_with_health(spark, _run_config("registry_only"), check, base=base, reg=reg, seen=I.page_seen(pages), **inputs)
     next_day = _run_config("registry_only", "2024-02-01 06:00:00")
-    out = jobs.run_with_health(spark, next_day, check.withColumn("ok", F.lit(False)), base=base,
-                               reg=jobs.load_registry(spark, f"{base}/state/registry", next_day),
-                               seen=jobs.load_seen(spark, f"{base}/state/seen"), **inputs)
+    out = jobs.run_with_health(spark, next_day, check.withColumn("ok", F.lit(False)), base=base, **inputs)
     status = out["run_status"].first()  # the run's one status row
     return out["displayed"].select("article_id", "canonical_url", "processing_status", "title", "run_date", "data_freshness", "banner_message",
                                    F.lit(status.run_status).alias("run_status"), F.lit(status.failure_stage).alias("failure_stage"))
@@ -849,17 +848,23 @@ FROM ({_daily_run_sql()})""")(_displayed_spark)
 SPLIT_PAGE = 120
 
 
-def _incremental_articles_spark(spark, sf):
-    """The foreachBatch stream over two arrivals of pages; equal to one pass in page order."""
+def _stream_arrivals(spark, name, arrivals, **options):
+    """Land each arrival and run the stream over it; the state after the last one."""
     from ..session import ensure_checkpoint_dir
     from ..streaming.incremental import incremental_articles
-    run = f"{ensure_checkpoint_dir(spark)}/incremental-articles-{uuid.uuid4().hex[:8]}"
-    pages = _t(spark, sf, "pages")
-    for part in (pages.where(F.col("page_id") < SPLIT_PAGE), pages.where(F.col("page_id") >= SPLIT_PAGE)):
+    run = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+    for part in arrivals:
         part.write.mode("append").parquet(f"{run}/in")
-        incremental_articles(spark, f"{run}/in", f"{run}/checkpoint", f"{run}/seen", f"{run}/out", I.RUN_ISO,
-                             file_glob="*.parquet").awaitTermination()
-    return spark.read.parquet(f"{run}/out").select("seq", "article_id", "canonical_url", "title", "content_hash", "summary_status")
+        incremental_articles(spark, f"{run}/in", f"{run}/checkpoint", f"{run}/base", I.RUN_ISO, file_glob="*.parquet", **options).awaitTermination()
+    return commits.current(spark, f"{run}/base")
+
+
+def _incremental_articles_spark(spark, sf):
+    """The foreachBatch stream over two arrivals of pages; equal to one pass in page order."""
+    pages = _t(spark, sf, "pages").withColumn("error", F.lit(None).cast("string"))
+    state_after = _stream_arrivals(spark, "incremental-articles", [
+        pages.where(F.col("page_id") < SPLIT_PAGE), pages.where(F.col("page_id") >= SPLIT_PAGE)])
+    return state_after.read("articles").select("seq", "article_id", "canonical_url", "title", "content_hash", "summary_status")
 
 
 register("incremental_articles", f"""
@@ -879,6 +884,97 @@ SELECT seq, article_id, canonical_url, title, content_hash, 'fallback' AS summar
 FROM a WHERE seq IN (SELECT seq FROM walk WHERE kept)""")(_incremental_articles_spark)
 
 
+def _incremental_retries_spark(spark, sf):
+    """Three arrivals: fetches of URLs with a query or a fragment fail at first; those with a query
+    succeed when they are fetched again, of those with a fragment only the https ones, on the third try."""
+    pages = _t(spark, sf, "pages")
+    query, fragment = F.col("url").contains("?"), F.col("url").contains("#")
+    bad = F.when(fragment, F.lit("Read timed out. (read timeout=20)")).when(query, F.lit("403 Client Error: Forbidden"))
+
+    def arrival(rows, error):
+        return rows.select("page_id", "url", F.when(error.isNull(), F.col("html")).alias("html"), error.alias("error"))
+
+    secure = F.when(~F.col("url").startswith("https://"), F.lit("Connection reset by peer"))
+    after = _stream_arrivals(spark, "incremental-retries", [
+        arrival(pages, bad), arrival(pages.where(query | fragment), F.when(fragment, bad)), arrival(pages.where(fragment), secure)])
+    articles = after.read("articles").select(
+        "seq", "canonical_url", "content_hash", F.lit("article").alias("kind"), F.lit(None).cast("int").alias("attempts"), F.lit(None).cast("string").alias("error"))
+    return articles.unionByName(after.read("retry").select(
+        F.lit(None).cast("long").alias("seq"), "canonical_url", F.lit(None).cast("string").alias("content_hash"), "kind", "attempts", "error"))
+
+
+_ARRIVALS_SQL = """
+  SELECT 1 AS arrival, page_id, url, CASE WHEN contains(url, '#') THEN 'Read timed out. (read timeout=20)'
+         WHEN contains(url, '?') THEN '403 Client Error: Forbidden' END AS error FROM pages
+  UNION ALL SELECT 2, page_id, url, CASE WHEN contains(url, '#') THEN 'Read timed out. (read timeout=20)' END FROM pages
+  WHERE contains(url, '#') OR contains(url, '?')
+  UNION ALL SELECT 3, page_id, url, CASE WHEN NOT starts_with(url, 'https://') THEN 'Connection reset by peer' END FROM pages WHERE contains(url, '#')"""
+
+register("incremental_retries", f"""
+WITH RECURSIVE arr AS ({_ARRIVALS_SQL}),
+pa AS (SELECT * FROM {_page_articles_sql()}),
+a AS (SELECT * FROM (SELECT pa.*, arr.arrival, row_number() OVER (PARTITION BY arr.arrival, pa.canonical_url ORDER BY pa.seq) AS r
+                     FROM arr JOIN pa ON pa.seq = arr.page_id WHERE arr.error IS NULL) WHERE r = 1),
+d AS (SELECT arrival, seq, canonical_url AS u, content_hash AS h, row_number() OVER (ORDER BY arrival, seq) AS rn FROM a),
+walk(rn, arrival, seq, kept, urls, hashes) AS (
+  SELECT 0::BIGINT, NULL::INTEGER, NULL::BIGINT, false, []::VARCHAR[], []::VARCHAR[]
+  UNION ALL
+  SELECT d.rn, d.arrival, d.seq, NOT (list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h)),
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.urls ELSE list_append(w.urls, d.u) END,
+         CASE WHEN list_contains(w.urls, d.u) OR list_contains(w.hashes, d.h) THEN w.hashes
+              ELSE list_append(w.hashes, d.h) END
+  FROM walk w JOIN d ON d.rn = w.rn + 1),
+u AS (SELECT arr.*, pa.canonical_url FROM arr JOIN pa ON pa.seq = arr.page_id),
+t AS (SELECT canonical_url, arrival, bool_or(error IS NULL) AS settled, count(*) AS failures, arg_max(error, page_id) AS error
+      FROM u GROUP BY canonical_url, arrival),
+last_ok AS (SELECT canonical_url, max(arrival) FILTER (WHERE settled) AS ok FROM t GROUP BY canonical_url),
+q AS (SELECT t.canonical_url, sum(failures)::INTEGER AS attempts, arg_max(error, arrival) AS error
+      FROM t JOIN last_ok l ON l.canonical_url = t.canonical_url WHERE l.ok IS NULL OR t.arrival > l.ok GROUP BY t.canonical_url)
+SELECT seq, canonical_url, content_hash, 'article' AS kind, NULL::INTEGER AS attempts, NULL::VARCHAR AS error
+FROM a WHERE (arrival, seq) IN (SELECT (arrival, seq) FROM walk WHERE kept)
+UNION ALL
+SELECT NULL, canonical_url, NULL, CASE WHEN attempts < 3 THEN 'retry' ELSE 'given_up' END, attempts, error FROM q""")(_incremental_retries_spark)
+
+
+def _repeated_run_spark(spark, sf):
+    """K1 twice: the first attempt breaks off after all its writes, before its commit; repeated, it gives what an unbroken run gives.
+
+    Read back through the commit: articles of the day, how often the run is in the history, seen-set and index.
+    """
+    from ..plans import jobs
+    from ..session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark)}/repeated-{uuid.uuid4().hex[:8]}"
+    cfg = _run_config("registry_only")
+    pages, fetched = _run_inputs(spark, sf)
+    feeds, reg = _feed_registry(spark, sf, pages)
+    first = commits.begin(spark, base, "earlier")
+    SeenSet(first, buckets=8).replace(I.page_seen(pages))
+    first.write("state/registry", reg)
+    first.commit()
+    inputs = dict(reads_pages=None, fetched=fetched, feeds=feeds, homepages=I.homepages(pages), responses=None)
+    for attempt in range(2):
+        tx = commits.begin(spark, base, cfg.state_run_id)
+        out = jobs.run_daily(spark, cfg, reg=jobs.load_registry(spark, base, cfg, tx), seen=SeenSet(tx), **inputs)
+        jobs.persist_run(spark, cfg, out, base, tx=tx)
+        if attempt:
+            tx.commit()
+    now = commits.current(spark, base)
+    runs = now.read("runs/manifests").select(F.lit("run").alias("kind"), F.col("run_id").alias("name"), F.col("summaries_created").cast("string").alias("value"))
+    rows = now.read("processed/articles").select(F.col("processing_status").alias("kind"), F.col("canonical_url").alias("name"), F.col("title").alias("value"))
+    seen = SeenSet(now).rows().select(F.lit("seen").alias("kind"), F.col("canonical_url").alias("name"), F.col("content_hash").alias("value"))
+    index = now.read("processed/index").select(F.lit("index").alias("kind"), F.col("article_id").alias("name"), F.col("first_run_date").alias("value"))
+    return runs.unionByName(rows).unionByName(seen).unionByName(index)
+
+
+register("repeated_run", f"""
+WITH r AS ({_daily_run_sql()})
+SELECT 'run' AS kind, '{I.RUN_DATE.replace('-', '')}T060000' AS name, CAST(count(*) AS VARCHAR) AS value FROM r WHERE processing_status <> 'failed_extraction'
+UNION ALL SELECT processing_status, canonical_url, title FROM r
+UNION ALL SELECT 'index', article_id, '{I.RUN_DATE}' FROM r
+UNION ALL SELECT 'seen', canonical_url, content_hash FROM r WHERE processing_status <> 'failed_extraction'
+UNION ALL SELECT 'seen', canonical_url, content_hash FROM {_page_articles_sql("WHERE starts_with(url, 'http://')")}""")(_repeated_run_spark)
+
+
 def _registry_defaults_spark(spark, sf):
     """State written before four columns existed, half of it rewritten since with NULLs in them."""
     old = I.registry_from_events(_t(spark, sf, "events"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.status import error_type, fetch_status
 from ..functions.text import content_hash, normalize_text, short_id, topic_tags
 from ..functions.urls import url_host
-from ..operators.extract import build_articles
+from ..operators.extract import build_articles, page_fields
 from ..sources.io import spread
 
 # The run clock and profile the derived inputs use.
@@ -73,7 +73,7 @@ def page_articles(pages: DataFrame) -> DataFrame:
 
 def page_seen(pages: DataFrame) -> DataFrame:
     """Prior seen-set: pages fetched over plain http in an earlier run."""
-    arts = page_articles(pages.where(F.col("url").startswith("http://")))
+    arts = page_fields(pages.where(F.col("url").startswith("http://")))
     return arts.select("canonical_url", "article_id", "content_hash",
                        F.lit(PRIOR_TS).cast("timestamp").alias("first_seen"),
                        F.lit(PRIOR_TS).cast("timestamp").alias("last_seen"))

@@ -7,6 +7,7 @@ or from one aggregated row; the data work itself is a DataFrame plan.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from zoneinfo import ZoneInfo
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
 from ..operators import dedupe, extract, health, outputs, registry, state, summarize
+from ..operators.seen import SeenSet
 from ..session import cut_lineage
-from ..sources import io
+from ..sources import commits, io
 
 
 @dataclass
@@ -105,14 +107,15 @@ def discovery(spark: SparkSession, cfg: RunConfig, reads_pages: DataFrame | None
 
 def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | None, fetched: DataFrame,
               feeds: DataFrame, homepages: DataFrame | None, responses: DataFrame | None,
-              reg: DataFrame, seen: DataFrame, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
+              reg: DataFrame, seen: DataFrame | SeenSet, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
     """K1: one daily run as a DataFrame plan (:func:`persist_run` writes it).
 
     ``fetched`` holds (url, html, error) of fetched (normalised) article URLs:
     a non-NULL error marks a failed fetch, a selected item without any fetched
     row fails with "page was not fetched".  Of several rows for one URL a page
     goes before an error, then the smallest html counts.  Returns the canonical
-    articles, summaries, outputs and the new state tables.
+    articles, summaries, outputs and the new state tables; a seen-set in buckets
+    is not among them, as :func:`persist_run` changes it in place.
     """
     fetched = fetched.groupBy("url").agg(F.min(F.struct(F.col("error").isNotNull().alias("bad"), "html", "error")).alias("f")) \
         .select("url", "f.html", "f.error")
@@ -145,7 +148,7 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
     order = ["source_rank", "k1", "k2", "k3", "pos"]
     both = direct_o.unionByName(monitored.select(*direct_o.columns)) \
         .withColumn("canonical_url", normalize_url(F.col("article_url")))
-    merged = dedupe.first_by_key(both, ["canonical_url"], order)
+    merged = cut_lineage(dedupe.first_by_key(both, ["canonical_url"], order))  # narrow rows, for the lookup, the rest and the raw sink
     fresh = state.select_batch(dedupe.filter_new(merged, seen, cfg.skip_existing), cfg.article_fetch_limit, order)
     fresh = fresh.withColumn("seq", F.struct(*[F.col(c) for c in order])).drop("k1", "k2", "k3", "canonical_url")
     # The run's candidate batch feeds both the fetched articles and the failed
@@ -163,8 +166,8 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
                                      cfg.max_input_chars, model=cfg.model, created_at=cfg.run_iso)
     canonical = extract.build_canonical(summarized, cfg.source_profile, cfg.run_date).unionByName(
         extract.build_failed(failed, cfg.source_profile, cfg.run_date, cfg.run_iso))
-    new_seen = state.remember(seen, articles)
-    return {
+    new_seen = {} if isinstance(seen, SeenSet) else {"seen": state.remember(seen, articles)}
+    return new_seen | {
         "direct": direct, "found": found, "registry": reg, "monitor_results": results,
         "raw_items": merged.select(*[c for c in extract.READ_ITEM_COLUMNS if c != "seq"]),
         "monitored_items": items.select(*[c for c in extract.READ_ITEM_COLUMNS if c in items.columns]),
@@ -172,18 +175,18 @@ def run_daily(spark: SparkSession, cfg: RunConfig, *, reads_pages: DataFrame | N
         "digest": outputs.digest(canonical.withColumn("data_freshness", F.lit("current"))),
         "dashboard_feed": outputs.dashboard_feed(canonical.withColumn("data_freshness", F.lit("current"))),
         "batch_header": outputs.daily_batch_header(canonical, None, cfg.source_profile, cfg.run_iso),
-        "seen": new_seen,
     }
 
 
-def load_registry(spark: SparkSession, path: str, cfg: RunConfig) -> DataFrame:
-    reg = io.read_published(spark, path)
+def load_registry(spark: SparkSession, base: str, cfg: RunConfig, state: commits.Snapshot | None = None) -> DataFrame:
+    """The registry of the last committed run below ``base`` (or of ``state``)."""
+    reg = (state or commits.current(spark, base)).read("state/registry")
     return registry.with_registry_defaults(registry.empty_registry(spark) if reg is None else reg, cfg.expiry_days)
 
 
-def load_seen(spark: SparkSession, path: str) -> DataFrame:
-    seen = io.read_published(spark, path)
-    return spark.createDataFrame([], state.SEEN_SCHEMA) if seen is None else seen
+def load_seen(spark: SparkSession, base: str) -> SeenSet:
+    """The seen-set of the last committed run below ``base``."""
+    return SeenSet(commits.current(spark, base))
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -206,44 +209,50 @@ def manifest(out: dict[str, DataFrame], cfg: RunConfig, completed_at: str | None
 
 
 def persist_run(spark: SparkSession, cfg: RunConfig, out: dict[str, DataFrame], base: str,
-                completed_at: str | None = None) -> dict[str, DataFrame]:
+                completed_at: str | None = None, tx: commits.Transaction | None = None) -> dict[str, DataFrame]:
     """Write what one K1 run leaves behind below ``base``.
 
     Raw discovery rows are landed also in a dry run (A6).  Otherwise: the
     canonical articles and summaries of the run date (A7), the merged article
     index (G6), the archive of the batch, digest and dashboard feed (A8), the
-    manifest with its error rows (A9, E1), the seen-set and the registry as new
-    versions (G5, A10) and the checkpoints derived from the manifests (G7).
-    The registry goes last: a run that breaks off before is simply run again.
+    manifest and error rows of the run (A9, E1), the seen-set (G5), the registry
+    (A10) and the checkpoints (G7).
+
+    All of it becomes visible in one run commit, the last write.  A run that
+    breaks off anywhere before leaves nothing that a reader sees, and is simply
+    run again; run again after its commit it replaces its own rows.  With ``tx``
+    the caller commits.
     """
+    own, tx = tx is None, tx or commits.begin(spark, base, cfg.state_run_id)
     on_date = lambda df: df.withColumn("run_date", F.lit(cfg.run_date))
-    io.write_raw(on_date(out["raw_items"]), f"{base}/raw/reads")
-    io.write_raw(on_date(out["found"]), f"{base}/raw/publications")
-    io.write_raw(on_date(out["monitored_items"]), f"{base}/raw/monitored")
-    out = out | {k: stored(out[k]) for k in ("summaries", "registry", "seen")}
+    for table, rows in (("raw/reads", "raw_items"), ("raw/publications", "found"), ("raw/monitored", "monitored_items")):
+        tx.write(table, on_date(out[rows]), cfg.run_date)
+    out = out | {k: stored(out[k]) for k in ("summaries", "registry")}
     flat = stored(numbered(out["canonical"]))
     fresh = flat.withColumn("data_freshness", F.lit("current"))
     man = stored(manifest(out, cfg, completed_at))
     out = out | {"manifest": man, "flat": flat}
-    if cfg.dry_run:
-        return out
-    io.write_processed(flat, f"{base}/processed/articles")
-    io.write_processed(on_date(out["summaries"]).drop("seq"), f"{base}/processed/summaries")
-    index = io.read_published(spark, f"{base}/processed/index")
-    if index is None:
-        index = spark.createDataFrame([], flat.schema).withColumns({"first_run_date": F.lit(""), "first_seq": F.lit(0).cast("long")})
-    io.publish_version(state.merge_index(index, flat, cfg.run_date), f"{base}/processed/index")
-    header = outputs.daily_batch_header(flat, spark.range(1).select(F.lit(cfg.run_date).alias("run_date"), F.lit(cfg.run_id).alias("run_id")),
-                                        cfg.source_profile, cfg.run_iso)
-    io.write_daily_batch(header, fresh, f"{base}/archive/batch")
-    io.write_archive(on_date(outputs.digest(fresh)), f"{base}/archive/digest")
-    io.write_archive(on_date(outputs.dashboard_feed(fresh)), f"{base}/archive/dashboard_feed")
-    errors = out["failed"].select(F.lit(cfg.run_id).alias("run_id"), F.concat_ws(": ", "article_url", "error").alias("error"))
-    io.write_raw(on_date(errors), f"{base}/runs/errors")
-    io.append_manifest(man, f"{base}/runs/manifests")
-    io.publish_version(out["seen"], f"{base}/state/seen")
-    io.publish_version(state.checkpoints(spark.read.parquet(f"{base}/runs/manifests")), f"{base}/state/checkpoints")
-    io.publish_version(out["registry"], f"{base}/state/registry")
+    if not cfg.dry_run:
+        tx.write("processed/articles", flat, cfg.run_date)
+        tx.write("processed/summaries", on_date(out["summaries"]).drop("seq"), cfg.run_date)
+        state.merge_index_buckets(tx, "processed/index", flat, cfg.run_date)
+        header = outputs.daily_batch_header(flat, spark.range(1).select(F.lit(cfg.run_date).alias("run_date"), F.lit(cfg.run_id).alias("run_id")),
+                                            cfg.source_profile, cfg.run_iso)
+        tx.write_with("archive/batch", cfg.run_date, lambda path: io.write_daily_batch(header, fresh, path), "json")
+        tx.write("archive/digest", on_date(outputs.digest(fresh)), cfg.run_date)
+        tx.write("archive/dashboard_feed", on_date(outputs.dashboard_feed(fresh)), cfg.run_date)
+        tx.write("runs/errors", on_date(out["failed"].select(
+            F.lit(cfg.run_id).alias("run_id"), F.concat_ws(": ", "article_url", "error").alias("error"))), cfg.state_run_id)
+        tx.write("runs/manifests", man, cfg.state_run_id)
+        seen = SeenSet(tx)
+        if "seen" in out:
+            seen.replace(out["seen"])
+        else:
+            seen.remember(out["articles"])
+        tx.write("state/checkpoints", state.next_checkpoints(tx.read("state/checkpoints"), man))
+        tx.write("state/registry", out["registry"])
+    if own:
+        tx.commit()
     return out
 
 
@@ -256,24 +265,29 @@ def numbered(canonical: DataFrame) -> DataFrame:
     return canonical.orderBy("seq").withColumn("seq", F.monotonically_increasing_id())
 
 
-def import_seeds(spark: SparkSession, seeds_path: str, registry_path: str, cfg: RunConfig) -> int:
-    """K2: seeds file -> G3 -> new registry version (A10).  Returns the
-    number of imported seed rows (one small aggregate)."""
-    reg = load_registry(spark, registry_path, cfg)
-    new_reg, rows = registry.import_publications(reg, io.read_seeds(spark, seeds_path), cfg.source_profile,
+def import_seeds(spark: SparkSession, seeds_path: str, base: str, cfg: RunConfig) -> int:
+    """K2: seeds file -> G3 -> the registry of a commit of its own (A10).  Returns
+    the number of imported seed rows (one small aggregate)."""
+    tx = commits.begin(spark, base, f"seeds-{uuid.uuid4().hex}")
+    new_reg, rows = registry.import_publications(load_registry(spark, base, cfg, tx), io.read_seeds(spark, seeds_path), cfg.source_profile,
                                                  cfg.run_ts, cfg.expiry_days)
-    io.publish_version(new_reg, registry_path)
+    tx.write("state/registry", new_reg)
+    tx.commit()
     return rows.count()
 
 
-def render_digest(spark: SparkSession, batch_path: str, out_path: str, title: str = outputs.DEFAULT_TITLE,
+def render_digest(spark: SparkSession, batch_path: str | list[str], out_path: str, title: str = outputs.DEFAULT_TITLE,
                   intro: str = outputs.DEFAULT_INTRO) -> DataFrame:
-    """K3: batch file -> validate (A5) -> publishable (D8) -> Markdown (H4) -> files."""
-    arts = io.read_daily_batch(spark, batch_path)
-    arts = arts.withColumn("run_date", F.col("batch_run_date"))
-    runs = arts.select("run_date").distinct()
-    if io.path_exists(spark, f"{batch_path}/header"):
-        runs = runs.unionByName(io.read_batch_header(spark, batch_path).select("run_date")).distinct()  # empty batches, too
+    """K3: batch files -> validate (A5) -> publishable (D8) -> Markdown (H4) -> files."""
+    arts = runs = None
+    for path in [batch_path] if isinstance(batch_path, str) else batch_path:
+        batch = io.read_daily_batch(spark, path)
+        batch = batch.withColumn("run_date", F.col("batch_run_date"))
+        dates = batch.select("run_date").distinct()
+        if io.path_exists(spark, f"{path}/header"):
+            dates = dates.unionByName(io.read_batch_header(spark, path).select("run_date"))  # empty batches, too
+        arts = batch if arts is None else arts.unionByName(batch)
+        runs = (dates if runs is None else runs.unionByName(dates)).distinct()
     blocks = outputs.markdown_blocks(arts, runs, title, intro)
     io.write_markdown(blocks, out_path)
     return blocks
@@ -288,8 +302,10 @@ def run_with_health(spark: SparkSession, cfg: RunConfig, checks: DataFrame, base
     ``latest`` and, if the run is healthy, as ``latest_successful``; what
     consumers see (a degraded run without rows shows the last successful
     payload under a banner); the registry's health snapshot with the row of the
-    reads profile; and one more row of run history.  An unexpected error ends
-    in status ``failed`` at stage ``internal``, and the last payloads stay.
+    reads profile; and the row of run history.  All tables of the run, its state
+    included, change in one commit; without ``reg`` or ``seen`` those of the
+    state it starts from are taken.  An unexpected error ends
+    in status ``failed`` at stage ``internal``: that row is all that is committed.
     """
     checks = checks.withColumn("run_id", F.lit(cfg.state_run_id))
     if "checked_at" not in checks.columns:
@@ -298,6 +314,10 @@ def run_with_health(spark: SparkSession, cfg: RunConfig, checks: DataFrame, base
     status = {"run_id": cfg.state_run_id, "started_at": cfg.run_ts, "run_status": "running", "failure_stage": None,
               "article_count": 0, "source_checks_attempted": 0, "source_checks_succeeded": 0, "source_checks_failed": 0,
               "preserved_last_successful_output": False, "warnings": [], "errors": []}
+    tx = None
+    if base:
+        tx = commits.begin(spark, base, cfg.state_run_id)
+        inputs = {"reg": load_registry(spark, base, cfg, tx), "seen": SeenSet(tx)} | inputs
     try:
         pre = health.preflight_status(checks).first()
         blocked = None
@@ -307,8 +327,8 @@ def run_with_health(spark: SparkSession, cfg: RunConfig, checks: DataFrame, base
             current = spark.createDataFrame([], PAYLOAD_SCHEMA)
         else:
             out = run_daily(spark, cfg, **inputs)
-            if base:
-                out = persist_run(spark, cfg, out, base)
+            if tx:
+                out = persist_run(spark, cfg, out, base, tx=tx)
             counts = out["monitor_results"].agg(
                 F.count(F.lit(1)).alias("attempted"), F.count_if("success").alias("succeeded"),
                 F.count_if(~F.col("success")).alias("failed")).first()
@@ -322,20 +342,32 @@ def run_with_health(spark: SparkSession, cfg: RunConfig, checks: DataFrame, base
             current = out["flat"] if "flat" in out else stored(numbered(out["canonical"]))
         current = outputs.articles_payload(current, cfg.state_run_id, status["run_status"])
         out["reads_row"] = health.reads_source_row(checks, reads_host or _host(cfg.source_profile), cfg.source_profile, blocked=blocked)
-        if base:
-            _publish(spark, cfg, base, status, current, out)
+        if tx:
+            _publish(spark, cfg, tx, status, current, out)
         reg = out["registry"] if "registry" in out else inputs["reg"]
         out["health"] = registry.health_snapshot(reg, out["reads_row"])
-        if base:
-            io.publish_version(out["health"], f"{base}/latest/registry_snapshot")
+        if tx:
+            out["health"] = tx.write("latest/registry_snapshot", out["health"])
+            _write_status(spark, tx, status).commit()
+    except commits.CommitConflict:
+        raise  # another run was faster: nothing of this one is visible, and it can be run again
     except Exception as e:  # the run is over; its status row tells why
         status |= {"run_status": "failed", "failure_stage": "internal", "errors": [repr(e)[:2000]]}
-    out["run_status"] = spark.createDataFrame([tuple(status.values())], RUN_STATUS_SCHEMA)
-    if base:
-        io.append_manifest(out["run_status"], f"{base}/runs/status")
+        if tx:
+            _write_status(spark, commits.begin(spark, base, cfg.state_run_id), status).commit()
+    out["run_status"] = _status_row(spark, status)
     return out
 
 
+def _status_row(spark: SparkSession, status: dict) -> DataFrame:
+    return spark.createDataFrame([tuple(status.values())], RUN_STATUS_SCHEMA)
+
+
+def _write_status(spark: SparkSession, tx: commits.Transaction, status: dict) -> commits.Transaction:
+    tx.write("runs/status", _status_row(spark, status), status["run_id"])
+    return tx
+
+
 RUN_STATUS_SCHEMA = ("run_id string, started_at string, run_status string, failure_stage string, article_count long, "
                      "source_checks_attempted long, source_checks_succeeded long, source_checks_failed long, "
                      "preserved_last_successful_output boolean, warnings array<string>, errors array<string>")
@@ -347,18 +379,17 @@ def _host(url: str) -> str:
     return url.split("://", 1)[-1].split("/", 1)[0]
 
 
-def _publish(spark: SparkSession, cfg: RunConfig, base: str, status: dict, current: DataFrame, out: dict[str, DataFrame]) -> None:
+def _publish(spark: SparkSession, cfg: RunConfig, tx: commits.Transaction, status: dict, current: DataFrame, out: dict[str, DataFrame]) -> None:
     """The payload of this run, the last successful one, and what is shown."""
-    io.publish_version(current, f"{base}/latest/payload")
-    current = io.read_published(spark, f"{base}/latest/payload")
+    current = tx.write("latest/payload", current)
     status["article_count"] = current.count()
     healthy = status["run_status"] == "healthy"
     if healthy:
-        io.publish_version(current, f"{base}/latest/successful")
+        tx.tables["latest/successful"] = dict(tx.tables["latest/payload"])  # the same files under one more name
     status["preserved_last_successful_output"] = not healthy
     shown, banner = current, None
     if status["run_status"] == "degraded" and status["article_count"] == 0:
-        last = io.read_published(spark, f"{base}/latest/successful")
+        last = tx.read("latest/successful")
         shown = (current if last is None else last).withColumn("data_freshness", F.lit("last_successful_fallback"))
         banner = outputs.FALLBACK_BANNER
     shown = shown.withColumn("banner_message", F.lit(banner).cast("string"))
@@ -366,8 +397,7 @@ def _publish(spark: SparkSession, cfg: RunConfig, base: str, status: dict, curre
         shown.withColumn("run_date", F.lit(cfg.run_date)),
         spark.range(1).select(F.lit(cfg.run_date).alias("run_date"), F.lit(cfg.state_run_id).alias("run_id")),
         cfg.source_profile, cfg.run_iso).withColumns({"status": F.lit(status["run_status"]), "banner_message": F.lit(banner).cast("string")})
-    io.publish_version(header, f"{base}/latest/batch_header")
-    io.publish_version(shown, f"{base}/latest/batch")
-    io.publish_version(outputs.digest(shown, ("banner_message",)), f"{base}/latest/digest")
-    io.publish_version(outputs.dashboard_feed(shown, ("banner_message",)), f"{base}/latest/dashboard_feed")
-    out["displayed"] = shown
+    tx.write("latest/batch_header", header)
+    out["displayed"] = tx.write("latest/batch", shown)
+    tx.write("latest/digest", outputs.digest(shown, ("banner_message",)))
+    tx.write("latest/dashboard_feed", outputs.dashboard_feed(shown, ("banner_message",)))

@@ -208,7 +208,7 @@ def read_published(spark: SparkSession, base: str, fmt: str = "parquet") -> Data
 
 def read_version_before(spark: SparkSession, base: str, version: int, fmt: str = "parquet") -> DataFrame | None:
     """The highest finished version below ``version``, or None if there is none."""
-    fs, hbase = _fs(spark, base)
+    fs, hbase = hadoop_path(spark, base)
     if not fs.exists(hbase):
         return None
     done = [n for n in _versions(spark, base) if n < version
@@ -245,14 +245,15 @@ def write_daily_batch(header: DataFrame, articles: DataFrame, path: str) -> None
 
 # -- pointer helpers (tiny text files through the Hadoop FS API) ------------
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
-    fs, hbase = _fs(spark, base)
+    fs, hbase = hadoop_path(spark, base)
     if not fs.exists(hbase):
         return []
     names = [st.getPath().getName() for st in fs.listStatus(hbase)]
@@ -265,7 +266,7 @@ def _next_version(spark: SparkSession, base: str) -> int:
 
 def _write_pointer(spark: SparkSession, path: str, target: str) -> None:
     """Replace the pointer in one rename: readers see the old or the new one, never none."""
-    fs, hpath = _fs(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
@@ -284,7 +285,7 @@ def _read_pointer(spark: SparkSession, path: str) -> str | None:
     Versions without a pointer are a damaged dataset, which must not pass for
     an empty one.
     """
-    fs, hpath = _fs(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     if not fs.exists(hpath):
         base = path.rsplit("/", 1)[0]
         if _next_version(spark, base) > 0:

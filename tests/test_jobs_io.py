@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedlake.operators import state
 from feedlake.plans import inputs as I
 from feedlake.plans.jobs import RunConfig, discovery, run_daily
-from feedlake.sources import io
+from feedlake.sources import commits, io
 
 
 # --------------------------------------------------------------- A3 / A5 / A10
@@ -221,45 +221,44 @@ def test_output_queries_read_only_their_columns(spark, sf_dir):
 
 
 def test_incremental_articles_foreach_batch(spark, sf_dir, tmp_path):
+    from feedlake.plans.jobs import load_seen
     from feedlake.streaming.incremental import incremental_articles
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    src, ckpt = tmp_path / "in", str(tmp_path / "ckpt")
-    seen_path, out = str(tmp_path / "seen"), str(tmp_path / "out")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("error", F.lit(None).cast("string"))
+    src, ckpt, base = tmp_path / "in", str(tmp_path / "ckpt"), str(tmp_path / "base")
+
+    def run():
+        incremental_articles(spark, str(src), ckpt, base, I.RUN_ISO, file_glob="*.parquet").awaitTermination()
+        return commits.current(spark, base).read("articles")
+
     pages.where("page_id < 120").write.mode("append").parquet(str(src))
-    incremental_articles(spark, str(src), ckpt, seen_path, out, I.RUN_ISO, file_glob="*.parquet").awaitTermination()
-    first = spark.read.parquet(out).count()
-    seen1 = io.read_published(spark, seen_path).count()
+    first = run().count()
+    seen1 = load_seen(spark, base).rows().count()
     pages.where("page_id >= 120").write.mode("append").parquet(str(src))
-    incremental_articles(spark, str(src), ckpt, seen_path, out, I.RUN_ISO, file_glob="*.parquet").awaitTermination()
-    arts = spark.read.parquet(out)
-    urls = [r.canonical_url for r in arts.collect()]
+    urls = [r.canonical_url for r in run().collect()]
     assert first > 0 and len(urls) > first
     assert len(urls) == len(set(urls))  # state carried: no URL twice across runs
-    assert io.read_published(spark, seen_path).count() > seen1
+    assert load_seen(spark, base).rows().count() > seen1
     # a third run without new files changes nothing
-    incremental_articles(spark, str(src), ckpt, seen_path, out, I.RUN_ISO, file_glob="*.parquet").awaitTermination()
-    assert spark.read.parquet(out).count() == len(urls)
-
-
-def _files(path):
-    return sorted((str(p.relative_to(path)), p.stat().st_size) for p in path.rglob("*.parquet"))
+    assert run().count() == len(urls)
 
 
 def test_process_batch_replay_and_repeated_urls(spark, tmp_path):
+    from feedlake.plans.jobs import load_seen
     from feedlake.streaming.incremental import process_batch
     html = "<html><article>text {}</article></html>"
-    batches = [[(1, "https://a.example.com/p/one", html.format(1)), (2, "https://a.example.com/p/one/", html.format(2)),
-                (3, "https://a.example.com/p/one?x=1", html.format(3)), (4, "https://a.example.com/p/two", html.format(4))],
+    batches = [[(1, "https://a.example.com/p/one", html.format(1)), (2, "https://a.example.com/p/one", html.format(2)),
+                (3, "https://a.example.com/p/one", html.format(3)), (4, "https://a.example.com/p/two", html.format(4))],
                [(5, "https://a.example.com/p/one", html.format(5)), (6, "https://a.example.com/p/new", html.format(6)),
                 (7, "https://a.example.com/p/copy", html.format(4))]]
-    seen, out = str(tmp_path / "seen"), str(tmp_path / "out")
+    base = str(tmp_path / "base")
 
     def rows(n):
-        return sorted((r.seq, r.canonical_url) for r in spark.read.parquet(f"{out}/batch_id={n}").collect())
+        return sorted((r.seq, r.canonical_url) for r in commits.current(spark, base).read("articles", [f"{n:012d}"]).collect())
 
     def run(n):
-        df = spark.createDataFrame(batches[n], "page_id long, url string, html string")
-        process_batch(df, n, seen_path=seen, out_path=out, run_iso=I.RUN_ISO)
+        df = spark.createDataFrame(batches[n], "page_id long, canonical_url string, html string") \
+            .withColumns({"kind": F.lit("page"), "attempts": F.lit(None).cast("int"), "error": F.lit(None).cast("string")})
+        process_batch(df, n, base=base, run_iso=I.RUN_ISO)
 
     run(0)
     first = [(1, "https://a.example.com/p/one"), (4, "https://a.example.com/p/two")]
@@ -269,9 +268,9 @@ def test_process_batch_replay_and_repeated_urls(spark, tmp_path):
     run(1)
     second = [(6, "https://a.example.com/p/new")]  # known by URL, new, known by content
     assert rows(1) == second
-    known = io.read_published(spark, seen).count()
+    known = load_seen(spark, base).rows().count()
     run(1)
-    assert rows(1) == second and rows(0) == first and io.read_published(spark, seen).count() == known == 3
+    assert rows(1) == second and rows(0) == first and load_seen(spark, base).rows().count() == known == 3
 
 
 def test_promote_and_consumer_outputs(spark):
@@ -297,10 +296,10 @@ def test_import_seeds_job(spark, tmp_path):
     seeds.write_text(json.dumps({"publications": [
         {"publication_name": "Macro", "publication_url": "https://macro.example.com/?utm=1"},
         {"name": "Rates", "url": "https://rates.example.com"}, {"name": "no url"}]}))
-    base = str(tmp_path / "registry")
+    base = str(tmp_path / "run")
     assert import_seeds(spark, str(seeds), base, _cfg("manual_seed")) == 2
     assert import_seeds(spark, str(seeds), base, _cfg("manual_seed")) == 2  # idempotent upsert
-    reg = io.read_published(spark, base)
+    reg = commits.current(spark, base).read("state/registry")
     assert sorted(r.publication_url for r in reg.collect()) == ["https://macro.example.com/",
                                                                "https://rates.example.com/"]
 
@@ -346,54 +345,54 @@ def test_two_days_healthy_then_degraded(spark, tmp_path):
     day1 = _day(spark, [("a", "one", "text one"), ("b", "two", "text two"), ("c", "dup", "text one")])
     cfg = jobs.RunConfig(run_ts="2026-03-10 23:30:00", source_profile="https://reads.example.com/@me", run_zone="Europe/Berlin")
     assert (cfg.run_date, cfg.run_id, cfg.state_run_id) == ("2026-03-11", "20260311T003000", "2026-03-10T23:30:00Z")
-    out = jobs.run_with_health(spark, cfg, _checks(spark, True), base=base, reg=reg, seen=jobs.load_seen(spark, f"{base}/state/seen"), **day1)
+    out = jobs.run_with_health(spark, cfg, _checks(spark, True), base=base, reg=reg, seen=jobs.load_seen(spark, base), **day1)
     st = out["run_status"].first()
     assert (st.run_status, st.failure_stage, list(st.errors)) == ("healthy", None, [])
-    man = spark.read.parquet(f"{base}/runs/manifests").first()
+    man = commits.current(spark, base).read("runs/manifests").first()
     # three direct links and the feed's one; its page was not fetched; one page repeats another's text
     assert (man.reads_discovered, man.articles_selected, man.articles_fetched, man.summaries_created, man.error_count, man.status) == (
         3, 4, 3, 2, 1, "completed_with_errors")
-    assert [r.error for r in spark.read.parquet(f"{base}/runs/errors").collect()] == ["https://feed.example.com/p/f: page was not fetched"]
-    titles = lambda name: sorted(r.canonical_url for r in io.read_published(spark, f"{base}/latest/{name}").collect())
+    assert [r.error for r in commits.current(spark, base).read("runs/errors").collect()] == ["https://feed.example.com/p/f: page was not fetched"]
+    titles = lambda name: sorted(r.canonical_url for r in commits.current(spark, base).read(f"latest/{name}").collect())
     shown1 = titles("batch")
     assert shown1 == ["https://a.example.com/p/one", "https://b.example.com/p/two", "https://feed.example.com/p/f"]
     assert titles("successful") == shown1
-    snap = {r.name: r.monitor_status for r in io.read_published(spark, f"{base}/latest/registry_snapshot").collect()}
+    snap = {r.name: r.monitor_status for r in commits.current(spark, base).read("latest/registry_snapshot").collect()}
     assert snap["Reads profile"] == "ok" and snap["Feed"] == "ok"
-    assert io.read_daily_batch(spark, f"{base}/archive/batch").count() == 3
-    assert io.read_published(spark, f"{base}/state/checkpoints").first().last_successful_run_date == "2026-03-11"
+    assert io.read_daily_batch(spark, commits.current(spark, base).folders("archive/batch")[0]).count() == 3
+    assert commits.current(spark, base).read("state/checkpoints").first().last_successful_run_date == "2026-03-11"
 
     # the next day fails its preflight: yesterday's dataset is shown, state is untouched
     cfg2 = jobs.RunConfig(run_ts="2026-03-12 06:00:00", source_profile="https://reads.example.com/@me")
-    kept = io.read_published(spark, f"{base}/state/seen").count()
-    out = jobs.run_with_health(spark, cfg2, _checks(spark, False), base=base, reg=jobs.load_registry(spark, f"{base}/state/registry", cfg2),
-                               seen=jobs.load_seen(spark, f"{base}/state/seen"), **day1)
+    kept = jobs.load_seen(spark, base).rows().count()
+    out = jobs.run_with_health(spark, cfg2, _checks(spark, False), base=base, reg=jobs.load_registry(spark, base, cfg2),
+                               seen=jobs.load_seen(spark, base), **day1)
     st = out["run_status"].first()
     assert (st.run_status, st.failure_stage, st.article_count, st.preserved_last_successful_output) == ("degraded", "preflight_dns", 0, True)
     assert titles("batch") == shown1 and titles("successful") == shown1 and titles("payload") == []
-    row = io.read_published(spark, f"{base}/latest/batch").first()
+    row = commits.current(spark, base).read("latest/batch").first()
     assert row.data_freshness == "last_successful_fallback" and row.banner_message
-    head = io.read_published(spark, f"{base}/latest/batch_header").first()
+    head = commits.current(spark, base).read("latest/batch_header").first()
     assert (head.article_count, head.status, head.run_date) == (3, "degraded", "2026-03-12")
-    snap = {r.name: r for r in io.read_published(spark, f"{base}/latest/registry_snapshot").collect()}
+    snap = {r.name: r for r in commits.current(spark, base).read("latest/registry_snapshot").collect()}
     assert (snap["Reads profile"].monitor_status, snap["Reads profile"].last_error_type, snap["Reads profile"].last_error_message) == (
         "error", "dns_failure", "gaierror")
-    assert io.read_published(spark, f"{base}/state/seen").count() == kept
+    assert jobs.load_seen(spark, base).rows().count() == kept
 
     # the day after, only what is new is taken; then a broken input ends in `failed` and shows no new payload
     day3 = _day(spark, [("a", "one", "text one"), ("d", "new", "text new")])
     cfg3 = jobs.RunConfig(run_ts="2026-03-13 06:00:00", source_profile="https://reads.example.com/@me")
-    jobs.run_with_health(spark, cfg3, _checks(spark, True), base=base, reg=jobs.load_registry(spark, f"{base}/state/registry", cfg3),
-                         seen=jobs.load_seen(spark, f"{base}/state/seen"), **day3)
+    jobs.run_with_health(spark, cfg3, _checks(spark, True), base=base, reg=jobs.load_registry(spark, base, cfg3),
+                         seen=jobs.load_seen(spark, base), **day3)
     assert "https://d.example.com/p/new" in titles("batch") and "https://a.example.com/p/one" not in titles("batch")
-    assert io.read_published(spark, f"{base}/processed/index").where("processing_status = 'completed'").count() == 3
+    assert commits.current(spark, base).read("processed/index").where("processing_status = 'completed'").count() == 3
     cfg4 = jobs.RunConfig(run_ts="2026-03-14 06:00:00", source_profile="https://reads.example.com/@me")
     broken = day3 | {"fetched": day3["fetched"].drop("html")}
-    out = jobs.run_with_health(spark, cfg4, _checks(spark, True), base=base, reg=reg, seen=jobs.load_seen(spark, f"{base}/state/seen"), **broken)
+    out = jobs.run_with_health(spark, cfg4, _checks(spark, True), base=base, reg=reg, seen=jobs.load_seen(spark, base), **broken)
     st = out["run_status"].first()
     assert (st.run_status, st.failure_stage) == ("failed", "internal") and st.errors
     assert "https://d.example.com/p/new" in titles("batch")
-    history = spark.read.parquet(f"{base}/runs/status")
+    history = commits.current(spark, base).read("runs/status")
     assert [r.run_status for r in history.orderBy("started_at").collect()] == ["healthy", "degraded", "healthy", "failed"]
 
 
@@ -404,8 +403,8 @@ def test_dry_run_lands_raw_rows_only(spark, tmp_path):
     day = _day(spark, [("a", "one", "text one")])
     seen = jobs.load_seen(spark, str(tmp_path / "none"))
     jobs.persist_run(spark, cfg, jobs.run_daily(spark, cfg, reg=registry.empty_registry(spark), seen=seen, **day), str(tmp_path / "run"))
-    assert sorted(p.name for p in (tmp_path / "run").iterdir()) == ["raw"]
-    assert spark.read.parquet(str(tmp_path / "run/raw/reads")).count() == 1
+    assert sorted(p.name for p in (tmp_path / "run").iterdir()) == ["_commits", "raw"]
+    assert commits.current(spark, str(tmp_path / "run")).read("raw/reads").count() == 1
 
 
 def test_reads_can_be_switched_off(spark):
