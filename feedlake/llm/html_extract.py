@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import map_texts, sample_by_hash
 
-#: Bounds of what is fitted on: sampled pages, characters of a page, layouts of each page.
-FIT_PAGES, FIT_CHARS, FIT_LAYOUTS = 150, 40_000, 12
+#: Bounds of what is fitted on: sampled pages (whole ones), layouts of each page.
+FIT_PAGES, FIT_LAYOUTS = 150, 12
 TREES, TREE_DEPTH, LEARNING_RATE, BINS = 80, 5, 0.25, 32
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -138,6 +138,7 @@ def parse(page: str | None) -> Node:
     stack: list[Node] = [root]
     inline: list[str] = []  # open inline elements
     runs: list[str] = []
+    opens: dict[str, int] = {}  # how many elements of a name are open
     state = {"hidden": 0, "link": 0, "controls": 0, "links": 0, "inlines": 0}
     run_link = 0
 
@@ -158,10 +159,14 @@ def parse(page: str | None) -> Node:
 
     def pop_to(i: int) -> None:
         flush()
+        for node in stack[i:]:
+            opens[node.tag] -= 1
         del stack[i:]
         state["link"] = 0
 
     def opened(tags: tuple, stops: tuple) -> int:
+        if not any(opens.get(t) for t in tags):
+            return 0  # spares a walk up a deep stack
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
                 return i
@@ -172,6 +177,28 @@ def parse(page: str | None) -> Node:
     page = page or ""
     at, hidden_tag = 0, ""
     within, depth = "", 0  # the head's open element with content
+    inside: list[str] = []  # blocks opened within the hidden element
+    last_end: dict[str, int] = {}  # where the last end tag of a name stands
+
+    def ends_later(name: str, pos: int) -> bool:
+        if name not in last_end:
+            found = [m.start() for m in re.finditer(rf"</{re.escape(name)}[\s/>]", page, re.I)]
+            last_end[name] = found[-1] if found else -1
+        return last_end[name] >= pos
+
+    def out_of_hidden(name: str, closing: bool) -> bool:
+        """A block tag that a hidden element without end tag can't contain: the end tag of an element around it,
+        or, if no end tag of its own follows at all, the next block."""
+        if name not in BLOCK or hidden_tag == "head":
+            return False
+        if not closing:
+            inside.append(name)
+            return not ends_later(hidden_tag, at)
+        if name in inside:
+            while inside.pop() != name:
+                pass
+            return False
+        return bool(opens.get(name))
 
     def in_head() -> bool:
         return state["hidden"] > 0 and hidden_tag == "head" and not within
@@ -193,6 +220,8 @@ def parse(page: str | None) -> Node:
         closing = (m.group(2) or m.group(5)) == "/"
         if in_head() and not closing and name not in HEAD:
             state["hidden"] = 0  # the end tag of a head is optional
+        if state["hidden"] and out_of_hidden(name, closing):
+            state["hidden"] = 0
         if state["hidden"]:
             if hidden_tag == "head" and name in HEAD_CONTENT:
                 if not within and not closing and not (m.group(4) or m.group(7) or "").endswith("/"):
@@ -228,6 +257,7 @@ def parse(page: str | None) -> Node:
                 node.controls = int(name in ("button", "textarea"))
                 stack[-1].children.append(node)
                 stack.append(node)
+                opens[name] = opens.get(name, 0) + 1
         elif name == "a":
             state["link"] = 0 if closing else 1
             if not closing:
@@ -237,6 +267,7 @@ def parse(page: str | None) -> Node:
                 attrs = m.group(4) or m.group(7) or ""
                 if not attrs.endswith("/"):
                     state["hidden"], hidden_tag, within = 1, name, ""
+                    inside.clear()
                 if name == "select":
                     state["controls"] += 1
         elif name in VOID:
@@ -604,11 +635,11 @@ def fit(pages: list[str], layouts: int = FIT_LAYOUTS, seed: int = 17) -> Boosted
     return boost(x, y, np.log1p(np.expm1(x[:, 4])) + 1.0)
 
 
-def train(pages: DataFrame, rows: int = FIT_PAGES, chars: int = FIT_CHARS) -> Boosted:
-    """Fit on layouts of the texts of at most ``rows`` pages, chosen by a hash of page_id among the narrow column."""
+def train(pages: DataFrame, rows: int = FIT_PAGES) -> Boosted:
+    """Fit on layouts of the whole texts of at most ``rows`` pages, chosen by a hash of page_id among the narrow column."""
     ids = pages.select("page_id", F.lit(1).alias("all")).where("page_id is not null").dropDuplicates()
     chosen = sample_by_hash(ids, "page_id", "all", rows).select("page_id")
-    got = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").select("page_id", F.substring("html", 1, chars).alias("html")).collect()
+    got = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").select("page_id", "html").collect()
     return fit([r["html"] or "" for r in sorted(got, key=lambda r: (r["page_id"], r["html"] or ""))])
 
 

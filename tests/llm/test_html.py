@@ -17,7 +17,7 @@ def pages(sf_dir):
 
 @pytest.fixture(scope="module")
 def model(pages):
-    return H.fit([p[:H.FIT_CHARS] for p in pages[::2]])
+    return H.fit(pages[::2])
 
 
 def article(page):
