@@ -47,7 +47,7 @@ DIM_BITS = 13
 GRAMS = (2, 3, 4)
 #: Bounds of the sample that is fitted on.
 FIT_ROWS_PER_LANG = 400
-FIT_CHARS = 6000
+FIT_LANGUAGES = 64
 
 #: Byte table: ASCII letters and all bytes of multi-byte characters stay, the rest is a space.
 _TABLE = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], dtype=np.uint8)
@@ -206,17 +206,20 @@ def fit(rows: list[tuple[str, str]]) -> LangModel:
     return LangModel(families, pairs, np.ascontiguousarray(weights, dtype=np.float32), np.array(bs))
 
 
-def train(docs: DataFrame, folds: int = 4, held_out: int = 2, rows_per_lang: int = FIT_ROWS_PER_LANG, chars: int = FIT_CHARS) -> LangModel:
-    """Fit on at most ``rows_per_lang`` rows of each language, ``chars`` characters of each, outside the held-out fold.
+def train(docs: DataFrame, folds: int = 4, held_out: int = 2, rows_per_lang: int = FIT_ROWS_PER_LANG,
+          languages: int = FIT_LANGUAGES) -> LangModel:
+    """Fit on the whole texts of at most ``rows_per_lang`` rows of each of the ``languages`` most frequent languages, outside the held-out fold.
 
     Rows are chosen by a hash of doc_id among the narrow columns; only then are
-    the texts of that set read, in one pass.  Its size is bounded by the number
-    of languages times ``rows_per_lang``.
+    the texts of that set read, in one pass.  Its size is bounded by
+    ``languages`` times ``rows_per_lang``.
     """
     usable = docs.select("doc_id", "lang").where("lang is not null and doc_id is not null").where(fold(F.col("doc_id"), folds) != held_out)
+    known = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    usable = usable.where(F.col("lang").isin([r["lang"] for r in known.collect()]))
     chosen = sample_by_hash(usable.dropDuplicates(), "doc_id", "lang", rows_per_lang).select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi") \
-        .select("doc_id", "lang", F.substring("text", 1, chars).alias("text")).collect()
+        .select("doc_id", "lang", "text").collect()
     return fit([(r["lang"], r["text"]) for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"] or ""))])
 
 

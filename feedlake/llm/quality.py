@@ -35,7 +35,6 @@ WINDOW = 128
 CLIP = 0.1
 #: Bounds of what is fitted on: rows of each class and bytes of each row's text.
 FIT_ROWS = 1500
-FIT_BYTES = 16384
 PIECE = 256
 DICT_BYTES = 200 * 1024
 LEVEL = 3
@@ -124,11 +123,11 @@ def fit(rows: list[tuple[int, str]], seed: int = 7, rate: float | None = None) -
 
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, rows_per_class: int = FIT_ROWS) -> QualityModel:
-    """Fit on at most ``rows_per_class`` labelled rows of each class outside the held-out fold."""
+    """Fit on at most ``rows_per_class`` labelled rows of each class, their whole texts, outside the held-out fold."""
     away = fold(F.col("doc_id"), folds) == held_out
     rate = labels.where(~away).where("doc_id is not null").agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
     sample = labelled_sample(docs, labels, "quality", rows_per_class, held_out=away)
-    rows = sample.select("doc_id", "y", F.substring("text", 1, FIT_BYTES).alias("text")).collect()
+    rows = sample.select("doc_id", "y", "text").collect()
     return fit([(r["y"], r["text"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["y"], r["text"] or ""))], rate=rate)
 
 
