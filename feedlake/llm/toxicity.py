@@ -35,9 +35,11 @@ WINDOW, STRIDE = 48, 24
 HIDDEN, DIM = 8, 12
 WORD_BITS, GRAM_BITS = 13, 14
 GRAMS = (3, 4, 5)
-#: Bounds of the sample that is fitted on: rows of each class, characters of a row, windows of a row and epoch.
-FIT_ROWS, FIT_CHARS, FIT_WINDOWS = {0: 2400, 1: 1200}, 12000, 10
+#: Bounds of the sample that is fitted on: rows of each class, windows of a row and epoch.
+FIT_ROWS, FIT_WINDOWS = {0: 2400, 1: 1200}, 10
 EPOCHS = 5
+#: Epochs before which all windows of the longer texts are scored anew.
+HARD_EPOCHS = (1, 3)
 #: Words whose input projections a worker keeps.
 CACHE_WORDS = 200_000
 _BATCH_WINDOWS = 2048
@@ -222,26 +224,31 @@ class Scorer:
             self.table = np.concatenate([self.table, *blocks])
         return np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
 
-    def logits(self, texts: list[str]) -> np.ndarray:
-        """The largest window logit of each text."""
+    def windows(self, docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(owner, logit) of all windows of the documents' words."""
         if len(self.number) > CACHE_WORDS:
             self.clear()
         words, spans, owner = [], [], []
-        for i, t in enumerate(texts):
-            own = words_of(t)
+        for i, own in enumerate(docs):
             base, n = len(words), len(own)
             words += own
             for s in window_starts(n) if n else ():
                 spans.append((base + s, base + min(n, s + WINDOW)))
                 owner.append(i)
         ids = self.ids(words)
-        best = np.full(len(texts), -np.inf)
+        z = np.zeros(len(spans))
         order = sorted(range(len(spans)), key=lambda j: spans[j][1] - spans[j][0])  # windows of like length together
         for i in range(0, len(order), _BATCH_WINDOWS):
             part = order[i:i + _BATCH_WINDOWS]
             at, mask = lay_out(ids, [spans[j] for j in part], 0)
-            z = self.net.forward(self.table[at], mask)
-            np.maximum.at(best, [owner[j] for j in part], z)
+            z[part] = self.net.forward(self.table[at], mask)
+        return np.array(owner, dtype=np.int64), z
+
+    def logits(self, texts: list[str]) -> np.ndarray:
+        """The largest window logit of each text."""
+        owner, z = self.windows([words_of(t) for t in texts])
+        best = np.full(len(texts), -np.inf)
+        np.maximum.at(best, owner, z)
         return np.where(np.isneginf(best), self.net.blank, best)
 
 
@@ -262,13 +269,16 @@ def fit(rows: list[tuple[int, str]], rate: float | None = None, epochs: int = EP
     train_rows = np.nonzero(~held)[0]
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
+    hardest: dict[int, np.ndarray] = {}
     for epoch in range(epochs):
+        # What the net finds most suspicious so far, in every window of the longer texts.
+        hardest = window_logits(net, {i: docs[i] for i in train_rows if len(window_starts(len(docs[i]))) > FIT_WINDOWS}) if epoch in HARD_EPOCHS else hardest
         for part in np.array_split(rng.permutation(train_rows), max(1, len(train_rows) // 32)):
             spans, owner, words = [], [], []
             for j, i in enumerate(part):
                 starts = np.array(window_starts(len(docs[i])))
                 if len(starts) > FIT_WINDOWS:
-                    starts = rng.choice(starts, FIT_WINDOWS, replace=False)
+                    starts = chosen_windows(starts, hardest.get(i), rng)
                 for s in starts:
                     own = docs[i][s:s + WINDOW]
                     spans.append((len(words), len(words) + len(own)))
@@ -314,6 +324,27 @@ def fit(rows: list[tuple[int, str]], rate: float | None = None, epochs: int = EP
     return net
 
 
+def window_logits(net: Net, docs: dict[int, list[str]], words: int = 200_000) -> dict[int, np.ndarray]:
+    """Logits of all windows of each text, some ``words`` at a time."""
+    scorer, found, group, size = Scorer(net), {}, [], 0
+    for k, (i, own) in enumerate(docs.items(), 1):
+        group.append(i)
+        size += len(own)
+        if size >= words or k == len(docs):
+            owner, z = scorer.windows([docs[j] for j in group])
+            for n, j in enumerate(group):
+                found[j] = z[owner == n]
+            group, size = [], 0
+    return found
+
+
+def chosen_windows(starts: np.ndarray, logits: np.ndarray | None, rng: np.random.Generator) -> np.ndarray:
+    """FIT_WINDOWS of a text's windows for one step: half of them those of the largest logits, the others random ones of the rest."""
+    order = rng.permutation(len(starts)) if logits is None else np.argsort(-logits, kind="stable")
+    top, rest = order[:FIT_WINDOWS // 2], order[FIT_WINDOWS // 2:]
+    return starts[np.concatenate([top, rng.choice(rest, FIT_WINDOWS - len(top), replace=False)])]
+
+
 def calibrate(net: Net, rows: list[tuple[int, str]], rate: float) -> None:
     """Logistic regression of the labels on the largest window logits, weighted to the true share of label 1."""
     x = Scorer(net).logits([t or "" for _, t in rows])
@@ -335,7 +366,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0,
     away = fold(F.col("doc_id"), folds) == held_out
     rate = labels.where(~away).where("doc_id is not null").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     sample = labelled_sample(docs, labels, "toxic", rows_per_class, held_out=away)
-    rows = sample.select("doc_id", "y", F.substring("text", 1, FIT_CHARS).alias("text")).collect()
+    rows = sample.select("doc_id", "y", "text").collect()
     return fit([(r["y"], r["text"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["y"], r["text"] or ""))], rate)
 
 
