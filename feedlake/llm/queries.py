@@ -121,25 +121,36 @@ _ASSIGN_KEEP = """length(regexp_extract(m, '(?i)(password|passwd|secret|token|ap
 _ALLOWED = " or ".join(f"regexp_matches(m, '{p}')" for p in secrets.ALLOW)
 
 
-def _duck_entropy(least: float) -> str:
-    """DuckDB list of the (s, e) that windows of enough entropy cover, of a list of candidates (s, e, m)."""
+def _duck_entropy(cs: str, least: float) -> str:
+    """DuckDB list of the (s, e) that windows of enough entropy cover, of a list ``cs`` of candidates (s, e, m)."""
     window = f"list_filter(range(0, length(c.m) - {secrets.WINDOW - 1}), lambda i: list_aggregate(string_split(substr(c.m, (i + 1)::int, {secrets.WINDOW}), ''), 'entropy') >= {least})"
-    return f"list_filter(list_transform(cs, lambda c: {{'s': c.s + list_min({window}), 'e': c.s + list_max({window}) + {secrets.WINDOW}}}), lambda x: x.s is not null)"
+    hot = f"list_transform({cs}, lambda c: {{'s': c.s, 'm': c.m, 'lo': list_min({window}), 'hi': list_max({window}) + {secrets.WINDOW}}})"
+    pieces = f"string_split_regex(substr(h.m, (h.lo + 1)::int, (h.hi - h.lo)::int), '{secrets.PLACEHOLDER}')"
+    real = f"list_filter({hot}, lambda h: h.lo is not null and len(list_filter({pieces}, lambda p: length(p) >= {secrets.WINDOW})) > 0)"
+    return f"list_transform({real}, lambda h: {{'s': h.s + h.lo, 'e': h.s + h.hi}})"
+
+
+_MIXED = f"regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOWED})"
+
+
+def _duck_one_case(letters: str) -> str:
+    """Maximal runs of letters and digits that are of one case and not all hex digits."""
+    return _duck_spans("'[A-Za-z0-9]{20,}'", f"regexp_full_match(m, '[{letters}0-9]+') and not regexp_full_match(m, '[0-9A-Fa-f]+') and {_MIXED}")
 
 
 OP6_SQL = f"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 f as (select doc_id, {_duck_spans(_ASSIGN, _ASSIGN_KEEP)} as a, {_duck_spans("'AKIA[A-Z0-9]{16,}'")} as k, {_duck_spans("'[0-9a-f]{24,}'")} as h,
-        {_duck_spans("'[0-9A-Fa-f]{20,}'", f"regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOWED})")} as ch,
-        {_duck_spans("'[A-Za-z0-9+/_=-]{20,}'", f"regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOWED})")} as cb
+        {_duck_spans("'[0-9A-Fa-f]{20,}'", _MIXED)} as c0, {_duck_spans("'[A-Za-z0-9+/_=-]{20,}'", _MIXED)} as c1,
+        {_duck_one_case('a-z')} as c2, {_duck_one_case('A-Z')} as c3
       from d),
-e as (select doc_id, a, k, h, {_duck_entropy(secrets.CLASSES[0][3]).replace('cs', 'ch')} as eh, {_duck_entropy(secrets.CLASSES[1][3]).replace('cs', 'cb')} as eb from f),
+e as (select doc_id, a, k, h, {', '.join(f"{_duck_entropy(f'c{i}', c[3])} as e{i}" for i, c in enumerate(secrets.CLASSES))} from f),
 u as (
   select doc_id, 0 as kind, 'assign' as name, unnest(a) as x from e union all
   select doc_id, 1, 'access', unnest(k) from e union all
   select doc_id, 2, 'hex', unnest(h) from e),
 b as (select doc_id, kind, name, x.s as s, x.e as e from u),
-v as (select doc_id, 3 as kind, 'entropy_hex' as name, unnest(eh) as x from e union all select doc_id, 4, 'entropy_base64', unnest(eb) from e),
+v as ({' union all '.join(f"select doc_id, {3 + i} as kind, '{c[0]}' as name, unnest(e{i}) as x from e" for i, c in enumerate(secrets.CLASSES))}),
 w as (select doc_id, kind, name, x.s as s, x.e as e from v),
 n as (select * from w where not exists (select 1 from b where b.doc_id = w.doc_id and b.s <= w.s and b.e >= w.e)),
 al as (select * from b union all select * from n)

@@ -30,6 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import OWN
+
 # The patterns of the base kinds, least length of what they find.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_VALUE = 6
@@ -77,24 +79,42 @@ KINDS = ("assign", "access", "hex", *[c[0] for c in CLASSES])
 ALLOW = (
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",                 # UUID
     r"^([A-Za-z]+|[0-9]+)([-_/=+]+([A-Za-z]+|[0-9]+))*[-_/=+]*$",            # words and numbers with separators
-    r"(?i)example|sample|placeholder|change_?me|dummy|redacted|x{6}|0{8}|1234567",
 )
+#: Placeholders cut a span; one whose pieces are all shorter than a window is not reported.
+PLACEHOLDER = r"(?i)example|sample|placeholder|change_?me|dummy|redacted|x{6}|0{8}|1234567"
+
+
+def running(values: Column, zero: Column, op) -> Column:
+    """For each position, ``op`` folded over all earlier values, from ``zero``.  Blocks keep the work far below the square of the length."""
+    def before(part: Column) -> Column:
+        return F.transform(part, lambda _, i: F.aggregate(F.slice(part, 1, i), zero, op))
+
+    def blocks(n: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), F.ceil(n / width).cast("int") - 1), lambda b: F.slice(values, b * width + 1, width))
+
+    def joined(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, zero, op))
+        return bound(before(totals), lambda starts: F.flatten(F.zip_with(parts, starts, lambda p, s: F.transform(before(p), lambda x: op(s, x)))))
+
+    return F.when(F.size(values) > 0, bound(blocks(F.size(values)), joined)).otherwise(values)
+
 
+def bound(value: Column, body) -> Column:
+    """``body`` on a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def matches(text: Column, pattern: str) -> Column:
     """Every leftmost non-overlapping match as (start, end, match), in order."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
-    sized = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.transform(F.split(text, pattern, -1), F.char_length), 1, F.size(found))
+        sized = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g"), F.char_length(m).alias("n")))
+        return bound(sized, lambda s: F.zip_with(s, running(F.transform(s, lambda x: x["g"] + x["n"]), F.lit(0), lambda a, x: a + x), lambda x, at: F.struct(
+            (at + x["g"]).alias("start"), (at + x["g"] + x["n"]).alias("end"), x["m"].alias("m"))))
+
     empty = F.array().cast("array<struct<start: int, end: int, m: string>>")
-    return F.when(F.size(found) > 0, F.aggregate(
-        sized, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + F.char_length(x["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + F.char_length(x["m"])).alias("end"), x["m"].alias("m")))).alias("out")),
-        lambda acc: acc["out"])).otherwise(empty)
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(empty))
 
 
 def spans(found: Column, kind: str) -> Column:
@@ -143,20 +163,41 @@ def hot_range(candidate: Column, alphabet: str, least: float) -> Column:
 
 def entropy_spans(text: Column, kind: str, alphabet: str, pattern: str, least: float) -> Column:
     candidates = F.filter(matches(text, pattern), lambda m: m["m"].rlike("[0-9]") & m["m"].rlike("[A-Za-z]") & ~allowed(m["m"]))
-    ranged = F.transform(candidates, lambda m: F.struct(m["start"].alias("start"), hot_range(m["m"], alphabet, least).alias("r")))
-    return F.transform(F.filter(ranged, lambda m: m["r"]["lo"].isNotNull()), lambda m: F.struct(
+    ranged = F.transform(candidates, lambda m: F.struct(m["start"].alias("start"), m["m"].alias("m"), hot_range(m["m"], alphabet, least).alias("r")))
+    real = F.filter(ranged, lambda m: m["r"]["lo"].isNotNull() & F.exists(
+        F.split(F.substr(m["m"], m["r"]["lo"] + 1, m["r"]["hi"] - m["r"]["lo"]), PLACEHOLDER, -1), lambda p: F.char_length(p) >= WINDOW))
+    return F.transform(real, lambda m: F.struct(
         (m["start"] + m["r"]["lo"]).alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"), (m["start"] + m["r"]["hi"]).alias("end")))
 
 
 def scan_secrets(docs: DataFrame, base: str = "base_spans", more: str = "entropy_spans") -> DataFrame:
-    """``docs`` with two arrays of (start, kind_no, end), each in order of start, then kind; kind_no indexes KINDS."""
+    """``docs`` with two arrays of (start, kind_no, end), each in order of start, then kind; kind_no indexes KINDS.
+
+    Input columns of these two names are replaced.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     assign = F.filter(matches(text, ASSIGN), lambda m: F.char_length(F.regexp_extract(m["m"], ASSIGN, 2)) >= ASSIGN_VALUE)
     fixed = F.sort_array(F.concat(spans(assign, "assign"), spans(matches(text, ACCESS), "access"), spans(matches(text, HEX), "hex")))
-    out = docs.withColumn(base, fixed)
     found = F.concat(*[entropy_spans(text, *c) for c in CLASSES])
-    new = F.filter(found, lambda e: ~F.exists(F.col(base), lambda b: (b["start"] <= e["start"]) & (b["end"] >= e["end"])))
-    return out.withColumn(more, F.sort_array(new))
+
+    def inside_none(b: Column, f: Column) -> Column:
+        """Spans of ``f`` that lie in none of ``b``: in order of starts, the furthest end of the base spans so far decides."""
+        def span(x: Column, new: int) -> Column:
+            return F.struct(x["start"].alias("start"), F.lit(new).alias("new"), x["kind_no"].alias("kind_no"), x["end"].alias("end"))
+
+        def kept(both: Column) -> Column:
+            ends = F.transform(both, lambda x: F.when(x["new"] == 0, x["end"]).otherwise(F.lit(-1)))
+            furthest = running(ends, F.lit(-1), lambda a, x: F.greatest(a, x))
+            marked = F.zip_with(both, furthest, lambda x, far: F.struct(x["start"].alias("start"), x["kind_no"].alias("kind_no"), x["end"].alias("end"),
+                                                                          ((x["new"] == 1) & (far < x["end"])).alias("keep")))
+            return F.transform(F.filter(marked, lambda x: x["keep"]), lambda x: F.struct(x["start"].alias("start"), x["kind_no"].alias("kind_no"), x["end"].alias("end")))
+
+        return bound(F.sort_array(F.concat(F.transform(b, lambda x: span(x, 0)), F.transform(f, lambda x: span(x, 1)))), kept)
+
+    # Both arrays in one value: the base scan is computed once, also where only the other one is asked for.
+    both = bound(F.struct(fixed.alias("b"), found.alias("f")), lambda v: F.struct(v["b"].alias("b"), F.sort_array(inside_none(v["b"], v["f"])).alias("f")))
+    out = docs.withColumn(OWN + "scan", both)
+    return out.withColumn(base, F.col(OWN + "scan.b")).withColumn(more, F.col(OWN + "scan.f")).drop(OWN + "scan")
 
 
 def as_text(found: Column) -> Column:
