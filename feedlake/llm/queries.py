@@ -125,9 +125,9 @@ def _duck_entropy(cs: str, least: float) -> str:
     """DuckDB list of the (s, e) that windows of enough entropy cover, of a list ``cs`` of candidates (s, e, m)."""
     window = f"list_filter(range(0, length(c.m) - {secrets.WINDOW - 1}), lambda i: list_aggregate(string_split(substr(c.m, (i + 1)::int, {secrets.WINDOW}), ''), 'entropy') >= {least})"
     hot = f"list_transform({cs}, lambda c: {{'s': c.s, 'm': c.m, 'lo': list_min({window}), 'hi': list_max({window}) + {secrets.WINDOW}}})"
-    pieces = f"string_split_regex(substr(h.m, (h.lo + 1)::int, (h.hi - h.lo)::int), '{secrets.PLACEHOLDER}')"
-    real = f"list_filter({hot}, lambda h: h.lo is not null and len(list_filter({pieces}, lambda p: length(p) >= {secrets.WINDOW})) > 0)"
-    return f"list_transform({real}, lambda h: {{'s': h.s + h.lo, 'e': h.s + h.hi}})"
+    pieces = f"string_split_regex(substr(y.m, (y.lo + 1)::int, (y.hi - y.lo)::int), '{secrets.PLACEHOLDER}')"
+    real = f"list_filter({hot}, lambda y: y.lo is not null and len(list_filter({pieces}, lambda p: length(p) >= {secrets.WINDOW})) > 0)"
+    return f"list_transform({real}, lambda y: {{'s': y.s + y.lo, 'e': y.s + y.hi}})"
 
 
 _MIXED = f"regexp_matches(m, '[0-9]') and regexp_matches(m, '[A-Za-z]') and not ({_ALLOWED})"
