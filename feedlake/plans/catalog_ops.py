@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import functions as fl
 from ..operators import dedupe, extract, health, outputs, registry, state, summarize
 from ..operators.seen import SeenSet
+from ..session import cut_lineage
 from ..sources import commits, io
 from . import inputs as I
 from . import sqlref as S
@@ -411,7 +412,7 @@ def _rendered_spark(spark, sf):
     from ..plans.jobs import render_digest
     from ..session import ensure_checkpoint_dir
     base = f"{ensure_checkpoint_dir(spark)}/render-{uuid.uuid4().hex[:8]}"
-    arts = _batch_articles(spark, sf)
+    arts = cut_lineage(_batch_articles(spark, sf))  # for the header and the articles
     io.write_daily_batch(outputs.daily_batch_header(arts, None, I.SOURCE_PROFILE, I.RUN_ISO), arts, f"{base}/batch")
     return render_digest(spark, f"{base}/batch", f"{base}/digest").select(*outputs.MARKDOWN_COLUMNS)
 
@@ -583,7 +584,7 @@ _INDEX_COLUMNS = [*extract.CANONICAL_COLUMNS, "seq"]
 
 def _merge_index_spark(spark, sf):
     """All 23 columns of the document and the page rows; the arrays as text."""
-    rows = _batch_articles(spark, sf).select(*_INDEX_COLUMNS)
+    rows = cut_lineage(_batch_articles(spark, sf).select(*_INDEX_COLUMNS))  # both halves read it
     old = rows.where(F.col("run_date") < "2024-01-15").withColumn("first_run_date", F.col("run_date")) \
         .withColumn("first_seq", F.col("seq"))
     new = rows.where(F.col("run_date") >= "2024-01-10")
