@@ -40,8 +40,12 @@ def _stage() -> Column:
 def preflight_status(checks: DataFrame, by: str = "run_id") -> DataFrame:
     """E5: any DNS failure -> degraded/preflight_dns; else any HTTP failure
     -> degraded/preflight_http; else ok."""
-    agg = checks.groupBy(by).agg(_failed("dns").alias("_dns_fail"), _failed("http").alias("_http_fail"))
-    return agg.select(by, F.when(_stage().isNotNull(), F.lit("degraded")).otherwise(F.lit("ok")).alias("core_status"),
+    return preflight_from_flags(checks.groupBy(by).agg(_failed("dns").alias("_dns_fail"), _failed("http").alias("_http_fail")), by)
+
+
+def preflight_from_flags(flags: DataFrame, by: str = "run_id") -> DataFrame:
+    """Status and stage from the two flags of each run."""
+    return flags.select(by, F.when(_stage().isNotNull(), F.lit("degraded")).otherwise(F.lit("ok")).alias("core_status"),
                       _stage().alias("failure_stage"))
 
 

@@ -218,15 +218,29 @@ def mark_checked(registry: DataFrame, checks: DataFrame) -> DataFrame:
     last_successful_check comes from the last success; any success
     re-activates.  Checks for unknown publications are ignored.
     """
+    return apply_checks(registry, check_fold(checks))
+
+
+def check_fold(checks: DataFrame, *more: str) -> DataFrame:
+    """One row per publication (and per value of ``more``): its last check, the time of its last success, whether any succeeded."""
     c = checks.withColumn("_url", normalize_url(F.col("publication_url")))
     order = F.struct(F.col("checked_at").alias("t"), F.col("seq").alias("s"))
-    agg = c.groupBy("_url").agg(
+    return c.groupBy("_url", *more).agg(
         F.max(F.struct(order.alias("o"), F.col("checked_at").alias("checked_at"), F.col("success").alias("success"),
                        F.col("monitor_method").alias("method"), F.col("error_message").alias("msg"),
                        F.col("error_type").alias("etype"))).alias("_last"),
         F.max(F.when(F.col("success"), order))["t"].alias("_last_ok"),
         F.max(F.col("success").cast("int")).alias("_any_ok"),
     )
+
+
+def merge_folds(folds: DataFrame) -> DataFrame:
+    """Folds of several days as one: all three are maxima."""
+    return folds.groupBy("_url").agg(*[F.max(c).alias(c) for c in ("_last", "_last_ok", "_any_ok")])
+
+
+def apply_checks(registry: DataFrame, agg: DataFrame) -> DataFrame:
+    """The registry after the folded checks."""
     r = registry.alias("r")
     j = r.join(agg, F.col("r.publication_url") == agg["_url"], "left")
     hit = F.col("_url").isNotNull()

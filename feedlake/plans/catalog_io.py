@@ -6,12 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import extract, health, outputs, registry
+from ..operators import extract, health, outputs, partials, registry
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import commits, io
 from . import inputs as I
 from .catalog import _CANON_ROWS_SQL, _FEED_ITEMS_SQL, _PUB_URL, _RANKED, ORACLES, _page_articles_sql, _page_canonical_rows, _t, register
-from .catalog_ops import _BATCH_SQL, _batch_articles, _markdown_sql, _run_config
+from .catalog_ops import _BATCH_SQL, _batch_articles, _markdown_sql, _reg_out, _run_config
 
 
 def _folder(spark, name):
@@ -106,3 +106,37 @@ def _run_errors_spark(spark, sf):
 register("run_errors", f"""
 SELECT run_date AS run_id, seq, concat_ws(': ', article_url, error_message) AS error
 FROM {_CANON_ROWS_SQL} WHERE processing_status = 'failed_extraction'""")(_run_errors_spark)
+
+
+# ---------------------------------------------------------------- E2, E5, G4 from daily partials
+
+def _recorded_days(spark, sf, name):
+    """Daily partials of all checks, recorded in three commits; the third one records its days a second time."""
+    base = _folder(spark, name)
+    events = _t(spark, sf, "events")
+    day = lambda df: df.withColumn("day", F.date_format("checked_at", "yyyy-MM-dd"))
+    runs, publications = day(I.checks(events)), day(I.source_check_rows(events))
+    for n, days in enumerate(("day < '2024-01-11'", "day >= '2024-01-11' and day < '2024-01-21'", "day >= '2024-01-21'", "day >= '2024-01-21'")):
+        tx = commits.begin(spark, base, f"days-{min(n, 2)}")
+        partials.record_days(tx, runs.where(days), publications.where(days))
+        state = tx.commit()
+    return events, state
+
+
+def _run_checks_spark(spark, sf):
+    """E2 and E5 of all runs, merged from the partials of their days."""
+    merged = partials.runs(_recorded_days(spark, sf, "run-partials")[1])
+    return partials.preflight_status(merged).join(partials.check_counts(merged), "run_id", "left")
+
+
+register("run_checks_merged", f"""
+SELECT * FROM ({ORACLES['preflight_status']}) LEFT JOIN ({ORACLES['check_counts']}) USING (run_id)""")(_run_checks_spark)
+
+
+def _mark_checked_merged_spark(spark, sf):
+    """G4 from the partials of all days."""
+    events, state = _recorded_days(spark, sf, "publication-partials")
+    return _reg_out(partials.mark_checked(I.registry_from_events(events), state))
+
+
+register("mark_checked_merged", ORACLES["mark_checked"])(_mark_checked_merged_spark)
