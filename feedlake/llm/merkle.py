@@ -153,16 +153,18 @@ def merkle_manifest(docs: DataFrame) -> DataFrame:
     # A null source is the empty key; the others follow a character that sorts above it.
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
     rows = docs.select(*LEAF_COLUMNS).select("doc_id", key.alias("grp"), leaf_digest().alias("digest"), tampered_leaf().alias("tampered"))
-    leaves = numbered(rows, "grp", ["doc_id", "digest"], "merkle-leaves")
+    # The texts are read once: laying out a range samples its input first, and then reads the narrow rows.
+    leaves = numbered(write_stage(rows, "merkle-rows"), "grp", ["doc_id", "digest"], "merkle-leaves")
     levels = build_levels(leaves, "merkle")
     subroots = write_stage(tops(leaves, levels), "merkle-subroots")
     # The tree on top: one group, whose leaves are the subroots in order of their sources.
     upper = numbered(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("of"), "digest"), "grp", ["of"], "merkle-top")
     upper_levels = build_levels(upper, "merkle-top")
-    root = F.broadcast(tops(upper, upper_levels).select(F.col("digest").alias("root")))  # one row
+    top = tops(upper, upper_levels).first()  # one row, or none of an empty table
+    root = F.lit(top["digest"] if top else None).cast("string").alias("root")
     no_path = spark.range(1).select(F.lit("").alias("grp"), F.array().cast(PATH_TYPE).alias("path"))
     above = descend(upper, upper_levels, no_path, "merkle-top")
     above = write_stage(above.select(F.col("of").alias("grp"), F.col("digest").alias("subroot"), "path"), "merkle-roots")
     out = descend(leaves, levels, above.select("grp", "path"), "merkle")
-    out = out.join(above.select("grp", "subroot"), "grp").join(root)
-    return out.select("doc_id", F.col("digest").alias("leaf"), "tampered", "subroot", "root", "path")
+    out = out.join(above.select("grp", "subroot"), "grp")
+    return out.select("doc_id", F.col("digest").alias("leaf"), "tampered", "subroot", root, "path")
