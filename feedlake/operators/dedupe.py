@@ -8,6 +8,7 @@ skewed left side; nothing collects a key group into one task.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,9 +77,58 @@ def merge_items(direct: DataFrame, monitored: DataFrame) -> DataFrame:
     return first_by_key(both, ["_nurl"], order).drop("_nurl")
 
 
+#: Conflicting pairs that one task settles in order (about 1 kB each in its memory).
+COMPONENT_PAIRS = 100_000
+#: Steps of label spreading; each reaches over one more URL and one more hash.
+LABEL_STEPS = 3
+
+
+def _rank(value):
+    """Sort key of a collected value in Spark's order: null first, structs by their fields."""
+    if value is None:
+        return (0,)
+    return (1, tuple(_rank(v) for v in value.values())) if isinstance(value, dict) else (1, value)
+
+
+def _settle(pairs: DataFrame) -> DataFrame:
+    """``k`` of the pairs that the rule keeps, each ``label`` in one task: a pair stays if no earlier kept one has its URL or hash."""
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.select(["k_url", "k_hash", "k"]).to_pylist()
+        urls, hashes, kept = set(), set(), []
+        for i in sorted(range(len(rows)), key=lambda i: _rank(rows[i]["k"])):
+            url, digest = rows[i]["k_url"], rows[i]["k_hash"]
+            if url not in urls and digest not in hashes:
+                urls.add(url)
+                hashes.add(digest)
+                kept.append(i)
+        return table.take(pa.array(kept, pa.int64())).select(["k"])
+
+    return cut_lineage(pairs.groupBy("label").applyInArrow(run, pairs.select("k").schema))
+
+
+def _small_components(pairs: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(kept ``k`` of the components that are found whole and have at most ``most`` pairs, the pairs of all others).
+
+    A pair's label is the smallest pair within some steps over shared keys.  A label
+    is a whole component if none of its URLs carries another one (its hashes
+    can't, as the last step made them equal).
+    """
+    labelled = pairs.withColumn("label", F.col("k"))
+    for _ in range(LABEL_STEPS):
+        by_url = labelled.groupBy("k_url").agg(F.min("label").alias("lu"))
+        labelled = labelled.join(by_url, "k_url")
+        by_hash = labelled.groupBy("k_hash").agg(F.min("lu").alias("lh"))
+        labelled = cut_lineage(labelled.join(by_hash, "k_hash").select("k_url", "k_hash", "k", F.col("lh").alias("label")))
+    open_urls = labelled.groupBy("k_url").agg((F.min("label") != F.max("label")).alias("open"))
+    whole = labelled.join(open_urls, "k_url").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("open").cast("int")).alias("open")) \
+        .where((F.col("open") == 0) & (F.col("n") <= most)).select("label")
+    whole = cut_lineage(whole)
+    return _settle(labelled.join(whole, "label", "left_semi")), cut_lineage(labelled.join(whole, "label", "left_anti").drop("label"))
+
+
 def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str = "content_hash",
                  order_col: str = "seq", materialize: bool = True, seen: DataFrame | SeenSet | None = None,
-                 by_hash: bool = True) -> DataFrame:
+                 by_hash: bool = True, component_pairs: int | None = None) -> DataFrame:
     """In-run rule -- a row is dropped when its URL or its hash equals that
     of an **earlier kept** row (dropped rows do not block later ones).
 
@@ -90,11 +140,15 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
        survives, whatever happens to the first;
     2. a URL group whose hashes occur nowhere else, or a hash group whose URLs
        occur nowhere else, is settled at once: its first pair stays;
-    3. the rest, pairs in conflict on both keys, is settled in rounds: accept
-       every pair that is first of both its groups, remove all pairs that
-       share a URL or a hash with an accepted one.  The first undecided pair
-       is always accepted, so each round makes progress; a round writes one
-       checkpoint to the shared folder.
+    3. the rest, pairs in conflict on both keys, falls into components that don't
+       share a key.  At most :data:`COMPONENT_PAIRS` pairs are settled in order by
+       one task: all of them if they are no more, else each component that a
+       few steps of label spreading find whole and within that bound;
+    4. what is left goes through rounds: accept every pair that is first of both
+       its groups, remove all pairs that share a URL or a hash with an accepted
+       one.  The first undecided pair is always accepted, so each round makes
+       progress and writes one checkpoint; as soon as no more than the bound is
+       left, one task settles it.
 
     With ``seen``, rows known to the seen-set are dropped first (D2); that, too,
     is decided on the narrow columns, so full rows move once, at the end.
@@ -104,6 +158,7 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
     checkpointed first, so an expensive upstream plan (HTML extraction) runs
     once for both the keys and the returned rows.
     """
+    component_pairs = COMPONENT_PAIRS if component_pairs is None else component_pairs
     if materialize:
         df = cut_lineage(df)
 
@@ -127,15 +182,24 @@ def dedupe_first(df: DataFrame, url_col: str = "canonical_url", hash_col: str =
     undecided = pairs.select("k_url", "k_hash", "k") \
         .join(url_groups.where("most = 1").select("k_url"), "k_url", "left_anti") \
         .join(hash_groups.where("most = 1").select("k_hash"), "k_hash", "left_anti")
-    while not undecided.isEmpty():
+    undecided = cut_lineage(undecided)
+    left = undecided.count()
+    if left > component_pairs:
+        settled, undecided = _small_components(undecided, component_pairs)
+        kept = kept.unionByName(settled)
+        left = undecided.count()
+    while left > component_pairs:
         first_url = undecided.groupBy("k_url").agg(F.min("k").alias("u"))
         first_hash = undecided.groupBy("k_hash").agg(F.min("k").alias("h"))
         seen = cut_lineage(undecided.join(first_url, "k_url").join(first_hash, "k_hash").select(
             "k_url", "k_hash", "k", ((F.col("k") == F.col("u")) & (F.col("k") == F.col("h"))).alias("accepted")))
         accepted = seen.where("accepted")
         kept = kept.unionByName(accepted.select("k"))
-        undecided = seen.where(~F.col("accepted")).select("k_url", "k_hash", "k") \
-            .join(accepted.select("k_url"), "k_url", "left_anti").join(accepted.select("k_hash"), "k_hash", "left_anti")
+        undecided = cut_lineage(seen.where(~F.col("accepted")).select("k_url", "k_hash", "k")
+                                .join(accepted.select("k_url"), "k_url", "left_anti").join(accepted.select("k_hash"), "k_hash", "left_anti"))
+        left = undecided.count()
+    if left:
+        kept = kept.unionByName(_settle(undecided.withColumn("label", F.lit(0))))
     # A pair that is alone in both its groups is named twice.
     kept = kept.select("k.*").distinct()
     marked = df.withColumns({"_k_url": own(url_col), "_k_hash": own(hash_col), "_k_seq": F.col(order_col)})

@@ -158,7 +158,20 @@ def test_dedupe_first_matches_sequential_rule(spark):
     rows = [(i, f"u{rng.randint(0, 60)}", f"h{rng.randint(0, 60)}" if rng.random() > 0.05 else None)
             for i in range(400)]
     df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
-    assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows)
+    want = _seq_fold(rows)
+    for bound in (None, 0, 30):  # one task, rounds only, and both
+        assert sorted(r.seq for r in dedupe.dedupe_first(df, component_pairs=bound).collect()) == want, bound
+
+
+def test_dedupe_first_splits_components(spark):
+    """Many small components and one long chain: the small ones are settled apart, the chain in rounds."""
+    small = [(10 * i + j, f"u{i}-{j // 2}", f"h{i}-{(j + 1) // 2}") for i in range(30) for j in range(6)]
+    chain = [(1000 + i, f"u{(i + 1) // 2}", f"h{i // 2}") for i in range(40)]
+    random.Random(5).shuffle(small)
+    df = spark.createDataFrame(small + chain, "seq long, canonical_url string, content_hash string")
+    want = _seq_fold(sorted(small + chain))
+    for bound in (0, 6, 20, 39):
+        assert sorted(r.seq for r in dedupe.dedupe_first(df, component_pairs=bound).collect()) == want, bound
 
 
 def _count_checkpoints(monkeypatch):
@@ -174,16 +187,16 @@ def test_dedupe_first_settles_groups_without_rounds(spark, monkeypatch):
     rows = [(i, f"u{i % 7}", f"h{i}") for i in range(70)] + [(100 + i, f"v{i}", "empty") for i in range(50)] + [(200 + i, "w", "hw") for i in range(20)]
     df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
     assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows)
-    assert len(calls) == 2  # the input and the pairs
+    assert len(calls) == 3  # the input, the pairs and what is undecided: nothing
 
 
 def test_dedupe_first_long_chain(spark, monkeypatch):
     """Each pair conflicts with the next by URL or by hash in turn: every second one stays."""
     calls = _count_checkpoints(monkeypatch)
-    rows = [(i, f"u{(i + 1) // 2}", f"h{i // 2}") for i in range(40)]
-    df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string")
-    assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows) == list(range(0, 40, 2))
-    assert len(calls) <= 2 + 20  # one checkpoint a round, which settles two pairs of the chain
+    rows = [(i, f"u{(i + 1) // 2}", f"h{i // 2}") for i in range(10_000)]
+    df = spark.createDataFrame(rows, "seq long, canonical_url string, content_hash string").repartition(8)
+    assert sorted(r.seq for r in dedupe.dedupe_first(df).collect()) == _seq_fold(rows) == list(range(0, 10_000, 2))
+    assert len(calls) <= 5
 
 
 def test_dedupe_first_against_seen(spark):
