@@ -33,7 +33,7 @@ from .common import fold, labelled_sample, map_texts
 
 WINDOW = 128
 CLIP = 0.1
-#: Bounds of what is fitted on: rows of each class and bytes of each row's text.
+#: Bound of what is fitted on: rows of each class (their whole texts).
 FIT_ROWS = 1500
 PIECE = 256
 DICT_BYTES = 200 * 1024

@@ -132,3 +132,22 @@ def test_head_without_end_tag(model):
     story = " ".join("The ferry left the harbour at dawn, and the crew, tired but glad, waved to the people on the pier." for _ in range(6))
     page = f"<html><head><title>T</title><meta name='a' content='b'>{{}}<article><h1>A long day at sea</h1><p>{story}</p><p>{story}</p></article>"
     assert H.extract_all([page.format("")], model) == H.extract_all([page.format("</head><body>")], model) != [""]
+
+
+def test_hidden_elements_without_end_tag():
+    def text(page):
+        return " ".join(n.text for n in H.nodes_of(H.parse(page)) if n.text)
+
+    for tag in ("svg", "noscript", "object", "map", "iframe"):
+        assert text(f"<div>a<{tag}>no</div><p>article</p>") == "a article", tag               # its parent ends
+        assert text(f"<p>a</p><{tag}>no<p>article</p><p>more</p>") == "a article more", tag   # no end tag follows at all
+        assert text(f"<div>a<{tag}><div>no</div>no</{tag}>b</div><p>c</p>") == "ab c", tag   # a whole one hides its blocks
+        assert text(f"<div><{tag}>no</div><p>article</p><div><{tag}>no</{tag}>x</div>") == "article x", tag
+
+
+def test_deep_nesting_is_parsed_in_linear_time():
+    import time
+
+    start = time.time()
+    root = H.parse("<div>" * 40_000 + "x" + "</div>" * 40_000)
+    assert time.time() - start < 5 and root.children
