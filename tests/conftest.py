@@ -16,7 +16,7 @@ SF_SMALL = os.environ.get("FEEDLAKE_TEST_SF", "/root/testdata/sf0.01")
 def spark():
     from feedlake.session import build_session
 
-    s = build_session("local[8]", app_name="feedlake-tests", shuffle_partitions=8)
+    s = build_session(f"local[{os.environ.get('FEEDLAKE_TEST_CPUS', '8')}]", app_name="feedlake-tests", shuffle_partitions=8)
     yield s
     s.stop()
 
