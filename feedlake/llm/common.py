@@ -107,11 +107,59 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     Unlike checkpoint() the copy is columnar and its size is known to the
     optimiser, which then broadcasts it only when it is small.
     """
+    return write_stage_at(df, name)[0]
+
+
+def write_stage_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """write_stage() and the folder it wrote, for a caller that removes it when nothing reads it any more."""
     import uuid
 
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/feedlake-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_stage(spark: SparkSession, path: str) -> None:
+    """Delete a folder of write_stage_at()."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: A key with more than one row in so many is hot: there are fewer hot keys than this.
+HOT_SHARE = 1000
+
+
+def join_hot(rows: DataFrame, named: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` joined to ``named``, which has one row for each ``key`` and in ``n`` the number of rows of that key.
+
+    Rows of hot keys stay where they lie and meet a broadcast of the hot part of
+    ``named``: fewer than HOT_SHARE rows, as the counts add up to all rows.  The
+    others are joined by the key.  Both tables are read twice, so they are
+    expected to be written ones.
+    """
+    total = named.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * HOT_SHARE > total
+    few, rest = named.where(hot), named.where(~hot)
+    near = rows.join(F.broadcast(few), key)
+    return near.unionByName(rows.join(F.broadcast(few.select(key)), key, "left_anti").join(rest, key))
+
+
+def without_marked(docs: DataFrame, digest: Column, marked: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``marked`` (doc_id, digest, once) names, but one row of each that has ``once``.
+
+    ``digest`` is computed for rows whose doc_id occurs in ``marked`` only.
+    Texts are shuffled where ``marked`` is too large for a broadcast, and in a
+    second pass over ``docs`` the rows marked ``once``, if there are any.
+    """
+    name, flag = OWN + "digest", OWN + "named"
+    keys = [*ID_KEY, name]
+    marked = with_id_key(marked).select(*ID_KEY, F.col("digest").alias(name), "once")
+    ids = marked.select(*ID_KEY, F.lit(True).alias(flag)).distinct()
+    keyed = with_id_key(docs).join(ids, list(ID_KEY), "left").withColumn(name, F.when(F.col(flag), digest))
+    out = keyed.join(marked.select(*keys), keys, "left_anti")
+    if not marked.where("once").isEmpty():
+        out = out.unionByName(keyed.join(marked.where("once").select(*keys), keys, "left_semi").dropDuplicates(keys))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def batches_by_bytes(texts: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:

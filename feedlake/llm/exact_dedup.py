@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ID_KEY, OWN, with_id_key, write_stage
+from .common import ASCII_SPACE, without_marked, write_stage
 
 PREFIX_CHARS = 64
 
@@ -79,14 +79,13 @@ def exact_dedup(docs: DataFrame, hash_all: bool = False) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that exact_dedup() keeps, with all their columns.
+    """The rows of ``docs`` that exact_dedup() keeps, with all their columns; of rows repeated whole one stays.
 
-    Kept rows are found again by (doc_id, full hash); of rows repeated whole
-    one stays.
+    Rows that length and prefix show to be alone pass unhashed.  The copies to
+    drop are a narrow table of (doc_id, full hash), and only rows whose doc_id
+    occurs there are hashed to be found again.
     """
-    digest = OWN + "hash"
-    keys = [*ID_KEY, digest]
-    kept = with_id_key(exact_dedup(docs, hash_all=True).where("kept")).withColumnRenamed("full_hash", digest).select(*keys)
-    keyed = with_id_key(docs).withColumn(digest, F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    out = keyed.join(kept, keys, "left_semi").dropDuplicates(keys)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    members = exact_dedup(docs).where("group_size > 1").groupBy("doc_id", F.col("full_hash").alias("digest")) \
+        .agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    marked = write_stage(members.where("not kept or n > 1").select("doc_id", "digest", F.col("kept").alias("once")), "dedup-marked")
+    return without_marked(docs, F.sha2(normalised(F.col("text")).cast("binary"), 256), marked)

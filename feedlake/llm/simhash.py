@@ -25,9 +25,11 @@ folder.
 
 Scale.  The number of query rows is linear in the distinct fingerprints.  The
 pairs that reach the exact test are those of overlapping shards: with 8 levels
-about 3 in 10,000 of all pairs for evenly spread fingerprints.  For more than
-some hundred million fingerprints take ``levels=16`` (545 shards, 1 in 10
-million).
+about 3 in 10,000 of all pairs for evenly spread fingerprints.  So the tree
+grows where the data are dense: a shard of more than ``SPLIT`` fingerprints is
+split once more, by 16 vantage points on half segments whose distances add up to
+those above, and only the queries that reach such a shard go on to its parts (5
+in 10 million of all pairs if every shard is split).
 
 Defined cases: null, empty and blank texts have the fingerprint zero and are
 linked like any other; fewer words than a shingle make one shingle; repeated
@@ -46,11 +48,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ID_KEY, OWN, cut_lineage, with_id_key, write_stage
+from .common import cut_lineage, join_hot, without_marked, write_stage
 
 SHINGLE_WORDS = 3
 RADIUS = 2
 LEVELS = 8
+#: A shard of more fingerprints than this is split, up to so many levels.
+SPLIT = 64
+DEEPEST = 16
 SEED = 42
 #: Any fixed value serves; this one has about half its bits set.
 VANTAGE = 0x9E3779B97F4A7C15
@@ -102,36 +107,62 @@ def shard_key(fp: Column, levels: int = LEVELS) -> Column:
     return key
 
 
-def overlaps(levels: int = LEVELS, radius: int = RADIUS) -> list[int]:
-    """Differences of shard keys within the radius: zero, then one of each pair +x and -x.
+def overlaps(levels: int = LEVELS, radius: int = RADIUS, top: int | None = None) -> list[tuple[int, bool]]:
+    """Moves between shards of ``levels`` distances within the radius, each with whether it stays in the shard above.
+
+    The shard above is the one of ``top`` levels (the same, if not given), whose
+    distances are sums of neighbouring ones.  As links are symmetric, one of each
+    two opposite moves between shards above is enough; moves within one are all
+    there, and the order of the two fingerprints makes each pair occur once.
 
     A field that would fall below 0 or rise above its segment's width names no
     shard: it wraps to a value that no distance has.
     """
-    room = 64 // levels
-    moves: dict[int, None] = {0: None}
+    room, each = 64 // levels, levels // (top or levels)
+    moves: list[tuple[int, bool]] = []
 
-    def add(i: int, left: int, key: int, first: bool) -> None:
+    def add(i: int, left: int, key: int, above: int, sums: tuple[int, ...]) -> None:
+        if i and i % each == 0:
+            sums, above = (*sums, above), 0
         if i == levels:
-            moves[key] = None
+            first = next((x for x in sums if x), 0)
+            if first >= 0:
+                moves.append((((key + (1 << 63)) % (1 << 64)) - (1 << 63), first == 0))
             return
-        for step in range(0 if first else -left, left + 1):
-            add(i + 1, left - abs(step), key + step * (1 << (i * room)), first and step == 0)
+        for step in range(-left, left + 1):
+            add(i + 1, left - abs(step), key + step * (1 << (i * room)), above + step, sums)
+
+    add(0, radius, 0, 0, ())
+    return moves
 
-    add(0, radius, 0, True)
-    return [((k + (1 << 63)) % (1 << 64)) - (1 << 63) for k in moves]
 
+def close_pairs(fps: DataFrame, radius: int = RADIUS, levels: int = LEVELS, split: int = SPLIT) -> DataFrame:
+    """(a, b) of distinct fingerprints that differ in 1 to ``radius`` bits, each pair once; ``fps`` has distinct ``fp``.
 
-def close_pairs(fps: DataFrame, radius: int = RADIUS, levels: int = LEVELS) -> DataFrame:
-    """(a, b) of distinct fingerprints that differ in 1 to ``radius`` bits, each pair once; ``fps`` has distinct ``fp``."""
-    homes = fps.select(F.col("fp").alias("b"), shard_key(F.col("fp"), levels).alias("shard"))
-    moves = F.array(*[F.lit(m).cast("long") for m in overlaps(levels, radius)])
-    queries = fps.select(F.col("fp").alias("a"), shard_key(F.col("fp"), levels).alias("own")) \
-        .select("a", "own", F.explode(moves).alias("move")) \
-        .select("a", (F.col("own") + F.col("move")).alias("shard"), (F.col("move") == 0).alias("home"))
+    A shard of more than ``split`` fingerprints is split by twice as many
+    vantage points on segments of half the width, and queries that reach it go
+    on to its parts.
+    """
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    once = ~F.col("home") | (F.col("a") < F.col("b"))
-    return queries.join(homes.hint("shuffle_hash"), (queries["shard"] == homes["shard"]) & near & once).select("a", "b")
+    top, homes, queries, found = levels, fps, fps, None
+    while True:
+        moves = F.array(*[F.struct(F.lit(m).cast("long").alias("move"), F.lit(home).alias("home")) for m, home in overlaps(levels, radius, top)])
+        shards = homes.select(F.col("fp").alias("b"), shard_key(F.col("fp"), levels).alias("shard"))
+        asked = queries.select(F.col("fp").alias("a"), shard_key(F.col("fp"), levels).alias("own")) \
+            .select("a", "own", F.explode(moves).alias("m")) \
+            .select("a", (F.col("own") + F.col("m.move")).alias("shard"), F.col("m.home").alias("home"))
+        full = None
+        if 2 * levels <= DEEPEST:
+            full = write_stage(shards.groupBy("shard").count().where(F.col("count") > split).select("shard"), "simhash-full")
+            full = None if full.isEmpty() else full
+        here = shards if full is None else shards.join(full, "shard", "left_anti")
+        pairs = asked.join(here.hint("shuffle_hash"), (asked["shard"] == here["shard"]) & near & (~F.col("home") | (F.col("a") < F.col("b")))).select("a", "b")
+        found = pairs if found is None else found.unionByName(pairs)
+        if full is None:
+            return found
+        homes = write_stage(shards.join(full, "shard", "left_semi").select(F.col("b").alias("fp")), "simhash-homes")
+        queries = write_stage(asked.join(full, "shard", "left_semi").select(F.col("a").alias("fp")).distinct(), "simhash-queries")
+        levels *= 2
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -167,15 +198,20 @@ def linked_nodes(nodes: DataFrame, radius: int, levels: int) -> DataFrame:
     return roots.join(nodes, roots["node"] == nodes["fp"]).drop("node")
 
 
+def best_of_components(nodes: DataFrame, radius: int, levels: int) -> DataFrame:
+    """(fp, n, top): for every row (fp, n, best) of ``nodes`` the smallest ``best`` of its component; written."""
+    linked = write_stage(linked_nodes(nodes, radius, levels), "simhash-linked")
+    tops = linked.groupBy("root").agg(F.min("best").alias("top"))
+    better = linked.join(tops, "root").select("fp", "top")
+    return write_stage(nodes.join(better, "fp", "left").select("fp", "n", F.coalesce("top", "best").alias("top")), "simhash-named")
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, levels: int = LEVELS) -> DataFrame:
     """One row per input row: doc_id, fp, component_id (smallest doc_id reachable over links, itself included)."""
     prints = write_stage(with_fingerprint(docs, shingle_words), "simhash")
-    nodes = write_stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    linked = linked_nodes(nodes, radius, levels)
-    tops = linked.groupBy("root").agg(F.min("least").alias("top"))
-    better = linked.join(tops, "root").select("fp", "top")
-    named = nodes.join(better, "fp", "left").select("fp", F.coalesce("top", "least").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    nodes = write_stage(prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("best")), "simhash-nodes")
+    named = best_of_components(nodes, radius, levels)
+    return join_hot(prints, named, "fp", "n").select("doc_id", "fp", F.col("top").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -183,16 +219,14 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int =
 
     It is the row of the smallest doc_id, a null one last, then of the smallest
     digest of the text.  Rows are told apart by doc_id and text, so rows that
-    share an id, or have none, stay if their components differ.
+    share an id, or have none, stay if their components differ; of rows
+    repeated whole one stays.
     """
     prints = with_fingerprint(docs, shingle_words, digest=True)
+    rows = write_stage(prints.groupBy("doc_id", "digest", "fp").agg(F.count(F.lit(1)).alias("copies")), "simhash-rows")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
-    nodes = write_stage(prints.groupBy("fp").agg(F.min(rank).alias("best")), "simhash-nodes")
-    linked = write_stage(linked_nodes(nodes, radius, LEVELS), "simhash-linked")
-    best = linked.groupBy("root").agg(F.min("best").alias("best")).select("best") \
-        .unionByName(nodes.join(linked.select("fp"), "fp", "left_anti").select("best"))
-    digest = OWN + "digest"
-    keys = [*ID_KEY, digest]
-    kept = with_id_key(best.select("best.doc_id", F.col("best.digest").alias(digest))).select(*keys)
-    out = with_id_key(docs).withColumn(digest, text_digest()).join(kept, keys, "left_semi").dropDuplicates(keys)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    nodes = write_stage(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("best")), "simhash-nodes")
+    joined = join_hot(rows, best_of_components(nodes, radius, LEVELS), "fp", "n")
+    kept = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("digest") == F.col("top.digest"))
+    marked = write_stage(joined.select("doc_id", "digest", "copies", kept.alias("once")).where("not once or copies > 1"), "simhash-marked")
+    return without_marked(docs, text_digest(), marked)

@@ -7,6 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from feedlake.llm import simhash
+from feedlake.llm.common import join_hot
 
 
 def naive(text, k=3):
@@ -54,6 +55,15 @@ def test_overlaps_are_half_of_the_l1_ball():
     assert len(set(simhash.overlaps(16, 2))) == 273
 
 
+def test_moves_within_a_split_shard():
+    """Every fine move within the radius is there once, but for the opposite of one that leaves the shard above."""
+    fine = [v for v in product(range(-2, 3), repeat=4) if sum(map(abs, v)) <= 2]
+    above = [(v[0] + v[1], v[2] + v[3]) for v in fine]
+    got = simhash.overlaps(4, 2, top=2)
+    assert len({m for m, _ in got}) == len(got) == sum(a >= (0, 0) for a in above)
+    assert sum(home for _, home in got) == above.count((0, 0))
+
+
 def planted(seed=1, n=400):
     rnd = random.Random(seed)
     fps = {0, (1 << 64) - 1, simhash.VANTAGE, simhash.VANTAGE ^ ((1 << 64) - 1)}
@@ -74,6 +84,9 @@ def test_close_pairs_and_components(spark):
     for levels in (4, 8, 16):
         got = [(r["a"], r["b"]) for r in simhash.close_pairs(df, 2, levels).collect()]
         assert len(got) == len(set(got)) and {frozenset(p) for p in got} == {frozenset(p) for p in want}
+    for levels, split in ((8, 0), (8, 1), (4, 0), (4, 3), (2, 5)):  # shards that are too full are split
+        got = [(r["a"], r["b"]) for r in simhash.close_pairs(df, 2, levels, split).collect()]
+        assert len(got) == len(set(got)) and {frozenset(p) for p in got} == {frozenset(p) for p in want}
     roots = {r["node"]: r["root"] for r in simhash.components(simhash.close_pairs(df)).collect()}
     brute = brute_components(fps)
     groups = {}
@@ -115,3 +128,12 @@ def test_keep_one_row_of_each_component(spark):
     assert kept.columns == df.columns
     assert sorted(r["mark"] for r in kept.collect()) == ["a", "b", "c", "d", "e", "f", "g", "h"]
     assert {tuple(r) for r in kept.collect()} <= set(rows)
+
+
+def test_join_of_hot_keys(spark):
+    """Rows of a key that holds most rows, of rare keys and of none."""
+    rows = spark.createDataFrame([(1, i) for i in range(3000)] + [(2, 0), (3, 0), (3, 1)], "fp long, i long")
+    named = spark.createDataFrame([(1, 3000, "a"), (2, 1, "b"), (3, 2, None)], "fp long, n long, top string")
+    got = sorted(map(tuple, join_hot(rows, named, "fp", "n").select("fp", "i", "top").collect()), key=repr)
+    assert got == sorted([(1, i, "a") for i in range(3000)] + [(2, 0, "b"), (3, 0, None), (3, 1, None)], key=repr)
+    assert join_hot(rows.limit(0), named.limit(0), "fp", "n").collect() == []
