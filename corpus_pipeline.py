@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm import decontam, exact_dedup, packing, quality, simhash
-from feedlake.llm.common import OWN, read, write_stage
+from feedlake.llm.common import OWN, read, remove_stage, write_stage_at
 from feedlake.llm.queries import tokenizer_path
 
 
@@ -55,8 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``; each result is written to the shared folder, as the next stage reads it more than once."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages on ``documents``; each result is written to the shared folder, as the next stage reads it more than once.
+
+    A stage's copy is removed when the next one is written, so one is left: that the result reads.
+    """
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = write_stage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = write_stage_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last:
+            remove_stage(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
