@@ -31,11 +31,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, END = "<|turn|>", "<|end|>"
+#: Start of every control string of the template; escaped text never holds it.
+MARK = "<|"
 #: Model tokens for one unit: an image tile, a second of audio, a document page.
 TOKENS_PER_UNIT = {"image": 256.0, "audio": 25.0, "document": 768.0}
 #: Roles whose text is under the loss mask.
 LOSS_ROLES = ("assistant",)
 
+#: Code points of a block of cut().
+BLOCK = 1024
+
 PART = "struct<type: string, text: string, ref: string, units: double>"
 
 
@@ -77,19 +82,26 @@ def tokens(part: Column) -> Column:
     return F.ceil(rate * F.coalesce(part["units"], F.lit(0.0))).cast("long")
 
 
-def visit(content: Column) -> Column:
-    """Each part as (piece of text, attachment or null), in order; placeholders count from 1 within the message."""
-    parts = F.transform(F.coalesce(content, F.array().cast(f"array<{PART}>")), lambda p: F.coalesce(p, F.struct(
-        *[F.lit(None).cast(t).alias(n) for n, t in (("type", "string"), ("text", "string"), ("ref", "string"), ("units", "double"))])))
+def visit(content: Column) -> tuple[Column, Column]:
+    """(body, attachments) of a message: the parts' text in order, and a record for each attachment.
+
+    Each attachment first becomes the bare mark ``<|``, which no escaped text
+    holds, also where two parts meet.  The text is then cut at the marks and the
+    numbered placeholders are put between the pieces, so the cost is linear in
+    the number of parts.
+    """
+    parts = F.filter(F.coalesce(content, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
+    marked = F.array_join(F.transform(parts, lambda p: F.when(is_attachment(p), F.lit(MARK)).otherwise(escape(p["text"]))), "")
+    found = F.transform(F.filter(parts, is_attachment), lambda p, i: F.struct(
+        F.concat(F.lit("<|"), p["type"], F.lit(":"), (i + 1).cast("string"), F.lit("|>")).alias("placeholder"),
+        p["type"].alias("type"), p["ref"].alias("ref"), tokens(p).alias("tokens")))
+    return marked, found
 
-    def one(part: Column, i: Column) -> Column:
-        number = F.size(F.filter(F.slice(parts, 1, i + 1), is_attachment)).cast("string")
-        holder = F.concat(F.lit("<|"), part["type"], F.lit(":"), number, F.lit("|>"))
-        attachment = F.struct(holder.alias("placeholder"), part["type"].alias("type"), part["ref"].alias("ref"), tokens(part).alias("tokens"))
-        return F.struct(F.when(is_attachment(part), holder).otherwise(escape(part["text"])).alias("piece"),
-                        F.when(is_attachment(part), attachment).alias("attachment"))
 
-    return F.transform(parts, one)
+def placed(marked: Column, found: Column) -> Column:
+    """The marks of visit() replaced by the placeholders, in order."""
+    holders = F.concat(F.array(F.lit("")), F.transform(found, lambda a: a["placeholder"]))
+    return F.array_join(F.zip_with(holders, F.split(marked, r"<\|", -1), lambda h, s: F.concat(h, s)), "")
 
 
 def format_chat(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> DataFrame:
@@ -99,11 +111,9 @@ def format_chat(messages: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -
     messages from 0.  ``loss_spans`` are (start, end) code points in ``formatted``, end
     exclusive, of the bodies of messages whose role is under the loss mask.
     """
-    rows = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), visit(F.col("content")).alias("seen"))
-    rows = rows.select(
-        "conv_id", "turn", "role",
-        F.array_join(F.transform("seen", lambda s: s["piece"]), "").alias("body"),
-        F.filter(F.transform("seen", lambda s: s["attachment"]), lambda a: a.isNotNull()).alias("attachments"))
+    marked, found = visit(F.col("content"))
+    rows = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), marked.alias("marked"), found.alias("attachments"))
+    rows = rows.select("conv_id", "turn", "role", placed(F.col("marked"), F.col("attachments")).alias("body"), "attachments")
     rows = rows.withColumn("head", F.concat(F.lit(TURN), escape_role(F.col("role")), F.lit("\n")))
     rows = rows.withColumn("head_chars", F.char_length("head")).withColumn("body_chars", F.char_length("body"))
     # Offsets and message numbers are running sums over the conversation's rows, so their cost is linear.
@@ -137,9 +147,23 @@ def read_back(formatted: Column) -> Column:
         unescape(F.substr(p, F.locate("\n", p) + 1)).alias("text")))
 
 
-def masked_text(messages: Column, loss_roles: tuple[str, ...] = LOSS_ROLES) -> Column:
-    """All text under the loss mask, joined without anything between; ``messages`` as read_back() gives them.
+def cut(formatted: Column, spans: Column) -> Column:
+    """The text of each (start, end) span of code points, in order.
 
-    The same text as that of ``loss_spans``, without a search from the start for each span.
+    Texts are found from their start, so the formatted text is first cut into
+    blocks; a span reads the blocks it lies in, and the cost is linear.
     """
-    return F.array_join(F.transform(F.filter(messages, lambda m: m["role"].isin(*loss_roles)), lambda m: m["text"]), "")
+    blocks = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def one(blocks: Column, s: Column) -> Column:
+        first = F.floor(s["start"] / BLOCK).cast("int")
+        several = F.slice(blocks, first + 1, F.floor(s["end"] / BLOCK).cast("int") - first + 1)
+        return F.substr(F.array_join(several, ""), (s["start"] % BLOCK + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+
+    # The array of one value binds the blocks once for all spans.
+    return F.flatten(F.transform(F.array(blocks), lambda b: F.transform(spans, lambda s: one(b, s))))
+
+
+def masked_text(formatted: Column, loss_spans: Column) -> Column:
+    """All text under the loss mask, cut from the formatted text, unescaped and joined without anything between."""
+    return unescape(F.array_join(cut(formatted, loss_spans), ""))

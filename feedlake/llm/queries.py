@@ -56,14 +56,14 @@ select conv_id, count(*) as n_turns,
 from e group by conv_id
 """)
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of every formatted conversation, read back from the formatted text."""
+    """Digests of every formatted conversation, read back from the formatted text; the masked text is cut at the loss spans."""
     talk = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(1).select(F.inline(F.array(*[F.struct(
         F.lit(-7).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"), F.lit(role).alias("role"), F.lit(CONTROL_TEXT).alias("text"))
         for turn, role in enumerate(("user", "assistant"))])))
     messages = talk.unionByName(extra).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("content"))
     out = chat.format_chat(messages).withColumn("turns", chat.read_back(F.col("formatted"))) \
-        .withColumn("masked", chat.masked_text(F.col("turns")))
+        .withColumn("masked", chat.masked_text(F.col("formatted"), F.col("loss_spans")))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
                       F.sha2(whole.cast("binary"), 256).alias("turns_sha256"),
