@@ -147,15 +147,13 @@ def join_hot(rows: DataFrame, named: DataFrame, key: str, n: str) -> DataFrame:
 def without_marked(docs: DataFrame, digest: Column, marked: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``marked`` (doc_id, digest, once) names, but one row of each that has ``once``.
 
-    ``digest`` is computed for rows whose doc_id occurs in ``marked`` only.
-    Texts are shuffled where ``marked`` is too large for a broadcast, and in a
-    second pass over ``docs`` the rows marked ``once``, if there are any.
+    Texts are shuffled only where ``marked`` is too large for a broadcast; rows
+    marked ``once``, if there are any, are taken from a second pass over ``docs``.
     """
-    name, flag = OWN + "digest", OWN + "named"
+    name = OWN + "digest"
     keys = [*ID_KEY, name]
     marked = with_id_key(marked).select(*ID_KEY, F.col("digest").alias(name), "once")
-    ids = marked.select(*ID_KEY, F.lit(True).alias(flag)).distinct()
-    keyed = with_id_key(docs).join(ids, list(ID_KEY), "left").withColumn(name, F.when(F.col(flag), digest))
+    keyed = with_id_key(docs).withColumn(name, digest)
     out = keyed.join(marked.select(*keys), keys, "left_anti")
     if not marked.where("once").isEmpty():
         out = out.unionByName(keyed.join(marked.where("once").select(*keys), keys, "left_semi").dropDuplicates(keys))
