@@ -180,6 +180,24 @@ def test_incremental_urls_equals_batch(spark, sf_dir, tmp_path):
     assert streamed == batch
 
 
+@pytest.mark.parametrize("parts", [0, 3])
+def test_incremental_urls_query_reads_one_file_and_part_files(spark, sf_dir, tmp_path, parts):
+    import shutil
+
+    from __spark_entry__ import queries
+    from feedlake.functions import normalize_url
+    path = f"{tmp_path}/pages.parquet"
+    if parts:
+        spark.read.parquet(f"{sf_dir}/pages.parquet").repartition(parts).write.parquet(path)
+    else:
+        shutil.copyfile(f"{sf_dir}/pages.parquet", path)
+    # Another table beside it, which the stream must not read.
+    spark.range(3).selectExpr("id AS page_id", "concat('https://other.example/', id) AS url", "'' AS html").write.parquet(f"{tmp_path}/other.parquet")
+    rows = [r.canonical_url for r in queries()["incremental_urls"](spark, str(tmp_path)).collect()]
+    batch = [r.u for r in spark.read.parquet(path).select(normalize_url("url").alias("u")).distinct().collect()]
+    assert sorted(rows) == sorted(batch)
+
+
 # --------------------------------------------------------------- plan shape
 
 def _plan(df):
